@@ -6,5 +6,6 @@ Importing this package registers every query in ``REGISTRY``.
 from lendlake.plans import (  # noqa: F401
     marts_q,
     ranking_q,
+    features_q,
 )
 from lendlake.plans.registry import REGISTRY  # noqa: F401

@@ -26,6 +26,7 @@ class Entry:
     fn: QueryFn
     sql: str | None
     kind: str  # "Q" (twin) or "R" (rows-only + own invariant tests)
+    body: str | None = None  # twin SQL without the fixture prefix
 
 
 REGISTRY: dict[str, Entry] = {}
@@ -50,7 +51,7 @@ def query(name: str, sql: str | None = None, fixture: bool = True):
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         full = None if sql is None else (with_fixture(sql) if fixture else sql.strip())
-        REGISTRY[name] = Entry(run, full, "Q" if sql is not None else "R")
+        REGISTRY[name] = Entry(run, full, "Q" if sql is not None else "R", sql)
         return run
 
     return deco
@@ -70,3 +71,11 @@ class Portfolio:
 
 def portfolio(spark: SparkSession, sf_dir: str) -> Portfolio:
     return Portfolio(spark, sf_dir)
+
+
+def mart_cte(cte_name: str, query_name: str) -> str:
+    """A registered twin body as a named CTE (nested WITH when needed)."""
+    body = REGISTRY[query_name].body.strip()
+    if body.upper().startswith("SELECT"):
+        return f"{cte_name} AS (\n{body}\n)"
+    return f"{cte_name} AS (\nWITH {body}\n)"
