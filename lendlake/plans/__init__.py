@@ -7,5 +7,6 @@ from lendlake.plans import (  # noqa: F401
     marts_q,
     ranking_q,
     features_q,
+    quality_q,
 )
 from lendlake.plans.registry import REGISTRY  # noqa: F401
