@@ -58,7 +58,6 @@ def _cohort_measures(cfg: PortfolioConfig, with_max: bool) -> list[Column]:
     amt, lab = F.col(cfg.amount_col), F.col(cfg.label_col)
     severity = F.when(lab, amt)
     out = [
-        F.countDistinct(cfg.id_col).alias("funded_loan_count"),
         F.sum(lab.cast("int")).cast("bigint").alias("loss_loan_count"),
         rate_of(lab).alias("observed_loss_rate"),
         F.sum(F.coalesce(amt, F.lit(0))).alias("total_recorded_loss_amount"),
@@ -72,30 +71,51 @@ def _cohort_measures(cfg: PortfolioConfig, with_max: bool) -> list[Column]:
     return out
 
 
-def portfolio_yearly(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
+def cohort_aggregate(df: DataFrame, keys: Sequence[Column], cfg: PortfolioConfig, with_max: bool) -> DataFrame:
+    """Cohort measures plus an exact distinct loan count per cohort.
+
+    The distinct count is its own aggregate (group by cohort + id, then
+    count), joined back on the cohort key; both sides are one row per cohort.
+    Mixing it into the main ``agg`` would make Catalyst aggregate per
+    (cohort, id) and keep a median buffer for every single loan.
+    """
+    keyed = df.select(*keys, cfg.id_col, cfg.label_col, cfg.amount_col)
+    names = [k for k in keyed.columns if k not in (cfg.id_col, cfg.label_col, cfg.amount_col)]
+    main = keyed.groupBy(*names).agg(*_cohort_measures(cfg, with_max))
+    distinct = (
+        keyed.select(*names, cfg.id_col)
+        .where(F.col(cfg.id_col).isNotNull())
+        .distinct()
+        .groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("funded_loan_count"))
+    )
+    j = main.join(distinct, [main[n].eqNullSafe(distinct[n]) for n in names], "left")
+    measures = [c for c in main.columns if c not in names]
+    return j.select(
+        *[main[n] for n in names],
+        F.coalesce(distinct["funded_loan_count"], F.lit(0)).alias("funded_loan_count"),
+        *[main[c] for c in measures],
+    )
+
+
+def portfolio_yearly(loans: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
     """One row per origination year (undated loans excluded)."""
     cfg = _cfg(cfg)
-    return (
-        joined.where(F.col(cfg.date_col).isNotNull())
-        .groupBy(F.year(cfg.date_col).cast("int").alias("origination_year"))
-        .agg(*_cohort_measures(cfg, with_max=True))
-    )
+    dated = loans.where(F.col(cfg.date_col).isNotNull())
+    return cohort_aggregate(dated, [F.year(cfg.date_col).cast("int").alias("origination_year")], cfg, with_max=True)
 
 
 def portfolio_quarterly(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
     """A10: one row per origination quarter present in the data."""
     cfg = _cfg(cfg)
     d = F.col(cfg.date_col)
-    grouped = (
-        joined.where(d.isNotNull())
-        .groupBy(
-            F.year(d).cast("int").alias("origination_year"),
-            F.quarter(d).cast("int").alias("origination_quarter_number"),
-            F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("origination_quarter_name"),
-            F.trunc(d, "quarter").alias("origination_quarter_start"),
-        )
-        .agg(*_cohort_measures(cfg, with_max=False))
-    )
+    keys = [
+        F.year(d).cast("int").alias("origination_year"),
+        F.quarter(d).cast("int").alias("origination_quarter_number"),
+        F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("origination_quarter_name"),
+        F.trunc(d, "quarter").alias("origination_quarter_start"),
+    ]
+    grouped = cohort_aggregate(joined.where(d.isNotNull()), keys, cfg, with_max=False)
     key = F.concat(
         F.col("origination_year").cast("string"), F.lit("-"), F.col("origination_quarter_name")
     ).alias("origination_year_quarter_key")
@@ -196,11 +216,16 @@ def duplicate_vectors(joined: DataFrame, columns: Sequence[str] | None = None, c
     )
 
 
-def all_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
-    """One row holding every KPI as a column (J4 without a cross join)."""
+def all_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: DataFrame | None = None) -> DataFrame:
+    """One row holding every KPI as a column (J4 without a cross join).
+
+    ``loans`` (optional) is the outcome table the joined view was built from;
+    outcome-only measures read it directly so the plan skips the feature join.
+    """
     cfg = _cfg(cfg)
-    base = portfolio_metrics(joined, cfg)
-    base = attach_row(base, trailing_windows(joined, cfg))
+    loans = loans if loans is not None else joined
+    base = portfolio_metrics(loans, cfg)
+    base = attach_row(base, trailing_windows(loans, cfg))
     base = base.withColumn(
         "loss_rate_12_month_change", F.col("loss_rate_last_12_months") - F.col("loss_rate_prior_12_months")
     )
@@ -229,8 +254,8 @@ def kpi_long(metrics: DataFrame, kpis: Sequence[tuple] = KPI_DEFINITIONS) -> Dat
     return metrics.select(F.explode(F.array(*rows)).alias("k")).select("k.*")
 
 
-def portfolio_kpis(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
-    return kpi_long(all_metrics(joined, cfg))
+def portfolio_kpis(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: DataFrame | None = None) -> DataFrame:
+    return kpi_long(all_metrics(joined, cfg, loans))
 
 
 def kpi_wide(long: DataFrame, kpis: Sequence[tuple] = KPI_DEFINITIONS) -> DataFrame:

@@ -57,7 +57,7 @@ GROUP BY 1
 def q_portfolio_yearly(spark, sf_dir):
     """Yearly cohort mart."""
     p = portfolio(spark, sf_dir)
-    return marts.portfolio_yearly(p.joined, p.cfg)
+    return marts.portfolio_yearly(p.loans, p.cfg)
 
 
 @query(
@@ -79,7 +79,7 @@ FROM q
 def q_portfolio_quarterly(spark, sf_dir):
     """A10: quarterly cohort mart."""
     p = portfolio(spark, sf_dir)
-    return marts.portfolio_quarterly(p.joined, p.cfg)
+    return marts.portfolio_quarterly(p.loans, p.cfg)
 
 
 # ---------------------------------------------------------------- KPI record
@@ -181,14 +181,14 @@ def _kpi_wide_sql() -> str:
 def q_portfolio_kpis_long(spark, sf_dir):
     """The long KPI mart (29 rows)."""
     p = portfolio(spark, sf_dir)
-    return marts.portfolio_kpis(p.joined, p.cfg)
+    return marts.portfolio_kpis(p.joined, p.cfg, p.loans)
 
 
 @query("portfolio_kpis_wide", _METRICS_SQL + ",\n" + _kpi_long_sql() + "\n" + _kpi_wide_sql())
 def q_portfolio_kpis_wide(spark, sf_dir):
     """One typed row pivoted from the long mart."""
     p = portfolio(spark, sf_dir)
-    return marts.kpi_wide(marts.portfolio_kpis(p.joined, p.cfg))
+    return marts.kpi_wide(marts.portfolio_kpis(p.joined, p.cfg, p.loans))
 
 
 @query(
@@ -198,7 +198,7 @@ def q_portfolio_kpis_wide(spark, sf_dir):
 def q_headline_kpis(spark, sf_dir):
     """Headline KPIs (ordered by display order)."""
     p = portfolio(spark, sf_dir)
-    return marts.headline_kpis(marts.portfolio_kpis(p.joined, p.cfg))
+    return marts.headline_kpis(marts.portfolio_kpis(p.joined, p.cfg, p.loans))
 
 
 @query(
@@ -210,8 +210,8 @@ def q_headline_kpis(spark, sf_dir):
 def q_trailing_windows(spark, sf_dir):
     """A11 + F5: last / prior 12-month windows anchored on the newest date."""
     p = portfolio(spark, sf_dir)
-    rw = marts.trailing_windows(p.joined, p.cfg)
-    return marts.attach_row(rw, marts.window_bounds(p.joined, p.cfg))
+    rw = marts.trailing_windows(p.loans, p.cfg)
+    return marts.attach_row(rw, marts.window_bounds(p.loans, p.cfg))
 
 
 @query(
@@ -334,4 +334,4 @@ FROM m CROSS JOIN t
 def q_severity_bands(spark, sf_dir):
     """Loss-severity bands."""
     p = portfolio(spark, sf_dir)
-    return marts.severity_bands(p.joined, p.cfg)
+    return marts.severity_bands(p.loans, p.cfg)

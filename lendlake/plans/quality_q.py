@@ -40,16 +40,16 @@ class Tables(dict):
             "stg_loans": lambda: p.loans,
             "stg_loan_features": lambda: p.features,
             "loans_joined": lambda: p.joined,
-            "kpis": lambda: marts.portfolio_kpis(p.joined, p.cfg),
+            "kpis": lambda: marts.portfolio_kpis(p.joined, p.cfg, p.loans),
             "kpis_wide": lambda: marts.kpi_wide(self["kpis"]),
-            "concentration": lambda: ranking.loss_concentration(p.joined, p.cfg),
+            "concentration": lambda: ranking.loss_concentration(p.loans, p.cfg),
             "summary": lambda: ranking.concentration_summary(self["concentration"]),
-            "bands": lambda: marts.severity_bands(p.joined, p.cfg),
+            "bands": lambda: marts.severity_bands(p.loans, p.cfg),
             "segmentation": lambda: marts.risk_segmentation(p.joined, p.cfg),
             "training_set": lambda: fx.training_set(p.joined, p.cfg),
             "severity_set": lambda: fx.severity_set(p.joined, p.cfg),
-            "yearly": lambda: marts.portfolio_yearly(p.joined, p.cfg),
-            "quarterly": lambda: marts.portfolio_quarterly(p.joined, p.cfg),
+            "yearly": lambda: marts.portfolio_yearly(p.loans, p.cfg),
+            "quarterly": lambda: marts.portfolio_quarterly(p.loans, p.cfg),
         }[name]
         self[name] = build()
         return self[name]

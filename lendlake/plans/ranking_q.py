@@ -61,19 +61,19 @@ GROUP BY c.top_share_threshold, c.loan_cutoff, c.positive_loss_loan_population,
 def q_loss_concentration(spark, sf_dir):
     """Concentration curve, plain global window (test form)."""
     p = portfolio(spark, sf_dir)
-    return ranking.loss_concentration(p.joined, p.cfg, method="plain")
+    return ranking.loss_concentration(p.loans, p.cfg, method="plain")
 
 
 @query("loss_concentration_scaled", _CURVE_SQL + _CURVE_SELECT)
 def q_loss_concentration_scaled(spark, sf_dir):
     """W1-W4 in the scaled form (bucketed by sampled composite cut points)."""
     p = portfolio(spark, sf_dir)
-    return ranking.loss_concentration(p.joined, p.cfg, method="scaled")
+    return ranking.loss_concentration(p.loans, p.cfg, method="scaled")
 
 
 @query("loss_concentration_summary", _CURVE_SQL + "," + _SUMMARY_SQL)
 def q_loss_concentration_summary(spark, sf_dir):
     """Loss share of the top 1/5/10/20 % of loans."""
     p = portfolio(spark, sf_dir)
-    conc = ranking.loss_concentration(p.joined, p.cfg, method="scaled")
+    conc = ranking.loss_concentration(p.loans, p.cfg, method="scaled")
     return ranking.concentration_summary(conc)
