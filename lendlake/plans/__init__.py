@@ -8,5 +8,6 @@ from lendlake.plans import (  # noqa: F401
     ranking_q,
     features_q,
     quality_q,
+    profile_q,
 )
 from lendlake.plans.registry import REGISTRY  # noqa: F401
