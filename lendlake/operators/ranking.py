@@ -29,13 +29,21 @@ DEFAULT_SAMPLE_PER_BUCKET = 64
 MAX_BUCKETS = 4096
 
 
-def _le(cut: tuple, amount: str, id_col: str) -> Column:
-    """Cut point precedes-or-equals the row in (amount desc, id asc) order."""
-    a, i = cut
-    return (F.col(amount) < F.lit(a)) | ((F.col(amount) == F.lit(a)) & (F.col(id_col) >= F.lit(i)))
+def _before_or_equal(cut: tuple, order: Sequence[tuple[str, bool]]) -> Column:
+    """The cut point sorts at or before the row under ``order`` [(column, descending)]."""
+    cond = None
+    for k in range(len(order) - 1, -1, -1):
+        c, desc = order[k]
+        v = F.lit(cut[k])
+        strict = (F.col(c) < v) if desc else (F.col(c) > v)
+        if cond is None:
+            cond = strict | (F.col(c) == v)
+        else:
+            cond = strict | ((F.col(c) == v) & cond)
+    return cond
 
 
-def bucket_expr(cuts: Sequence[tuple], amount: str, id_col: str) -> Column:
+def bucket_expr(cuts: Sequence[tuple], order: Sequence[tuple[str, bool]]) -> Column:
     """Number of cut points at or before the row: a balanced binary CASE tree.
 
     Depth is log2(len(cuts)), so each row does ~log2(buckets) comparisons.
@@ -45,7 +53,7 @@ def bucket_expr(cuts: Sequence[tuple], amount: str, id_col: str) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(_le(cuts[mid], amount, id_col), search(mid + 1, hi)).otherwise(search(lo, mid))
+        return F.when(_before_or_equal(cuts[mid], order), search(mid + 1, hi)).otherwise(search(lo, mid))
 
     return search(0, len(cuts))
 
@@ -57,24 +65,29 @@ def _default_buckets(df: DataFrame) -> int:
 
 def sample_cut_points(
     df: DataFrame,
-    amount: str,
-    id_col: str,
+    order: Sequence[tuple[str, bool]],
     buckets: int,
     sample_per_bucket: int = DEFAULT_SAMPLE_PER_BUCKET,
     seed: int = 42,
 ) -> list[tuple]:
     """Composite cut points from a seeded sample of bounded size.
 
-    At most ``4 * buckets * sample_per_bucket`` (amount, id) pairs reach the
-    driver, whatever the table size.
+    At most ``4 * buckets * sample_per_bucket`` key tuples reach the driver,
+    whatever the table size.  Rows with a NULL key are never sampled.
     """
+    cols = [c for c, _ in order]
     n = df.count()
     if n == 0:
         return []
     target = buckets * sample_per_bucket
     frac = min(1.0, target / n)
-    rows = df.select(amount, id_col).sample(False, frac, seed).limit(4 * target).collect()
-    keys = sorted(((r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None), key=lambda k: (-k[0], k[1]))
+    notnull = df.select(*cols).dropna()
+    rows = notnull.sample(False, frac, seed).limit(4 * target).collect()
+
+    def sort_key(r):
+        return tuple(_Desc(r[i]) if desc else _Asc(r[i]) for i, (_, desc) in enumerate(order))
+
+    keys = sorted((tuple(r) for r in rows), key=sort_key)
     if len(keys) < 2:
         return []
     step = len(keys) / buckets
@@ -86,56 +99,102 @@ def sample_cut_points(
     return cuts
 
 
-def rank_running_sum(
+class _Asc:
+    __slots__ = ("v",)
+
+    def __init__(self, v):
+        self.v = v
+
+    def __lt__(self, other):
+        return self.v < other.v
+
+    def __eq__(self, other):
+        return self.v == other.v
+
+
+class _Desc(_Asc):
+    def __lt__(self, other):
+        return self.v > other.v
+
+
+def running_totals(
     df: DataFrame,
-    amount: str,
-    id_col: str,
-    rank_col: str = "loss_rank",
-    cum_col: str = "cumulative_positive_loss_amount",
+    order: Sequence[tuple[str, bool]],
+    sums: dict[str, str],
+    rank_col: str | None = None,
     method: str = "scaled",
     buckets: int | None = None,
     cuts: Sequence[tuple] | None = None,
     seed: int = 42,
+    include_current: bool = True,
 ) -> DataFrame:
-    """Add ``row_number()`` and a ROWS running sum over (amount desc, id asc)."""
-    order = [F.col(amount).desc(), F.col(id_col).asc()]
+    """Global ``row_number`` and ROWS running sums over a total order.
+
+    ``order`` is a list of (column, descending); it must be a total order on
+    the rows (end it with a unique key).  ``sums`` maps output name -> column.
+    With ``include_current=False`` the running sums stop at the previous row.
+    """
+    ocols = [F.col(c).desc() if d else F.col(c).asc() for c, d in order]
+    upto = Window.currentRow if include_current else -1
     if method == "plain":
-        w = Window.orderBy(*order)
-        return df.select(
-            "*",
-            F.row_number().over(w).cast("bigint").alias(rank_col),
-            F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(cum_col),
-        )
+        w = Window.orderBy(*ocols)
+        extra = [F.coalesce(F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, upto)), F.lit(0)).alias(k) for k, v in sums.items()]
+        if rank_col:
+            extra.insert(0, F.row_number().over(w).cast("bigint").alias(rank_col))
+        return df.select("*", *extra)
     if method != "scaled":
         raise ValueError(f"unknown method {method!r}")
     buckets = buckets or _default_buckets(df)
     if cuts is None:
-        cuts = sample_cut_points(df, amount, id_col, buckets, seed=seed)
-    b = df.withColumn("__bucket", bucket_expr(list(cuts), amount, id_col))
+        cuts = sample_cut_points(df, order, buckets, seed=seed)
+    b = df.withColumn("__bucket", bucket_expr(list(cuts), order))
     # Per-bucket totals: at most len(cuts) + 1 rows, so the broadcast below is bounded.
-    stats = b.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"), F.sum(amount).alias("__s"))
+    stats = b.groupBy("__bucket").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__s_{k}") for k, v in sums.items()]
+    )
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(
         "__bucket",
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off_n"),
-        F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__off_s"),
+        *[F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0)).alias(f"__off_{k}") for k in sums],
     )
     with_off = b.join(F.broadcast(offsets), "__bucket")
-    w = Window.partitionBy("__bucket").orderBy(*order)
-    acc = F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = with_off.select(
-        *[F.col(c) for c in df.columns],
-        (F.row_number().over(w) + F.col("__off_n")).cast("bigint").alias(rank_col),
-        (acc + F.col("__off_s")).cast(acc_type(df, amount)).alias(cum_col),
-    )
-    return out
+    w = Window.partitionBy("__bucket").orderBy(*ocols)
+    frame = w.rowsBetween(Window.unboundedPreceding, upto)
+    out = [F.col(c) for c in df.columns]
+    if rank_col:
+        out.append((F.row_number().over(w) + F.col("__off_n")).cast("bigint").alias(rank_col))
+    for k, v in sums.items():
+        acc = F.coalesce(F.sum(v).over(frame), F.lit(0)) + F.col(f"__off_{k}")
+        out.append(acc.cast(_acc_type(df, v)).alias(k))
+    return with_off.select(*out)
 
 
-def acc_type(df: DataFrame, amount: str) -> str:
-    t = df.schema[amount].dataType
+def _acc_type(df: DataFrame, col_name: str) -> str:
+    t = df.schema[col_name].dataType
     if t.typeName() == "decimal":
         return f"decimal({min(38, t.precision + 10)},{t.scale})"
-    return t.simpleString()
+    if t.typeName() in ("integer", "long", "short", "byte"):
+        return "bigint"
+    return "double"
+
+
+def rank_running_sum(
+    df: DataFrame,
+    amount: str,
+    id_col: str,
+    rank_col: str = "loss_rank",
+    cum_col: str = "cumulative_positive_loss_amount",
+    method: str = "scaled",
+    buckets: int | None = None,
+    cuts: Sequence[tuple] | None = None,
+    seed: int = 42,
+) -> DataFrame:
+    """``row_number()`` and a ROWS running sum over (amount desc, id asc)."""
+    return running_totals(
+        df, [(amount, True), (id_col, False)], {cum_col: amount}, rank_col=rank_col,
+        method=method, buckets=buckets, cuts=cuts, seed=seed,
+    )
 
 
 # --------------------------------------------------------------------------

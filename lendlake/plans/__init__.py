@@ -9,5 +9,6 @@ from lendlake.plans import (  # noqa: F401
     features_q,
     quality_q,
     profile_q,
+    metrics_q,
 )
 from lendlake.plans.registry import REGISTRY  # noqa: F401
