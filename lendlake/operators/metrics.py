@@ -60,8 +60,8 @@ def average_precision(df: DataFrame, score: str, label: str, method: str = "scal
     counts = _score_counts(df, score, label)
     desc = running_totals(counts, [(score, True)], {"tp": "pos", "fp": "neg"}, method=method)
     P, _ = _totals(counts)
-    step = F.col("pos") / P * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return desc.agg(F.sum(step).alias("average_precision"))
+    step = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
+    return desc.agg(F.sum(step).alias("s")).select((F.col("s") / P).alias("average_precision"))
 
 
 def threshold_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:

@@ -10,5 +10,7 @@ from lendlake.plans import (  # noqa: F401
     quality_q,
     profile_q,
     metrics_q,
+    scoring_q,
+    models_q,
 )
 from lendlake.plans.registry import REGISTRY  # noqa: F401

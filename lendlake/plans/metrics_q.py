@@ -67,7 +67,7 @@ def q_roc_auc(spark, sf_dir):
 @query("average_precision", _T + """,
 r AS (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
       sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM c)
-SELECT round(sum(pos / P * (tp / (tp + fp))), 12) AS average_precision FROM r CROSS JOIN tot
+SELECT round(sum(pos * (tp / (tp + fp))) / max(P), 12) AS average_precision FROM r CROSS JOIN tot
 """)
 def q_average_precision(spark, sf_dir):
     """Step-wise average precision."""
