@@ -7,6 +7,9 @@ same casts, so both sides hash identically.
 
 from __future__ import annotations
 
+import os
+import re
+
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -58,19 +61,55 @@ def query(name: str, sql: str | None = None, fixture: bool = True):
 
 
 class Portfolio:
-    """Staged tables for one input folder (lazy DataFrames, nothing computed)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: PortfolioConfig = FIXTURE_CONFIG):
+    """Staged tables for one input folder.
+
+    Like the staging models they reproduce, ``stg_loans``,
+    ``stg_loan_features`` and the joined view are *stored*: written once per
+    session and input folder as Parquet under the cluster's checkpoint folder
+    (``spark.checkpoint.dir``), then read back by every query.  This cuts the
+    lineage (a lost executor re-reads files instead of recomputing the
+    projection) and every mart scans only the columns it needs.
+    ``materialize=False`` keeps everything as lazy plans.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: PortfolioConfig = FIXTURE_CONFIG, materialize: bool = True):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
         raw = raw_tables(spark, sf_dir)
         self.raw_loans, self.raw_features = raw.loans, raw.features
-        self.loans = stage_loans(raw.loans, cfg)
-        self.features = stage_features(raw.features, cfg)
-        self.joined = join_loans(self.loans, self.features, cfg)
+        loans = stage_loans(raw.loans, cfg)
+        features = stage_features(raw.features, cfg)
+        if materialize:
+            base = staging_folder(spark, sf_dir)
+            loans = store(loans, f"{base}/stg_loans")
+            features = store(features, f"{base}/stg_loan_features")
+            joined = store(join_loans(loans, features, cfg), f"{base}/loans_joined")
+        else:
+            joined = join_loans(loans, features, cfg)
+        self.loans, self.features, self.joined = loans, features, joined
+
+
+def staging_folder(spark: SparkSession, sf_dir: str) -> str:
+    from lendlake.session import checkpoint_dir
+
+    tag = re.sub(r"[^A-Za-z0-9_.-]+", "_", os.path.abspath(sf_dir)).strip("_")
+    return f"{checkpoint_dir(spark).rstrip('/')}/lendlake-staged/{spark.sparkContext.applicationId}/{tag}"
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """K1: write a staged table (overwrite) and return the stored table."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+_PORTFOLIOS: dict[tuple[str, str], Portfolio] = {}
 
 
 def portfolio(spark: SparkSession, sf_dir: str) -> Portfolio:
-    return Portfolio(spark, sf_dir)
+    """The (cached) staged tables of an input folder for this session."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _PORTFOLIOS:
+        _PORTFOLIOS[key] = Portfolio(spark, sf_dir)
+    return _PORTFOLIOS[key]
 
 
 def mart_cte(cte_name: str, query_name: str) -> str:
