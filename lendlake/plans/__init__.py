@@ -12,5 +12,6 @@ from lendlake.plans import (  # noqa: F401
     metrics_q,
     scoring_q,
     models_q,
+    sinks_q,
 )
 from lendlake.plans.registry import REGISTRY  # noqa: F401
