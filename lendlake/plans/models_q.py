@@ -202,3 +202,38 @@ def q_batch_scoring(spark, sf_dir):
     models = sc.fit_scoring_models(p.joined, p.cfg)
     ids = p.loans.select("loan_id")
     return sc.score_batch(models, ids, p.joined, p.cfg)
+
+
+@query("model_knn")
+def q_model_knn(spark, sf_dir):
+    """L4: exact k-nearest-neighbour probability (k = 40) for the test rows."""
+    from lendlake.operators import neighbors as nb
+
+    d = ClassifierData(spark, sf_dir)
+    probs = nb.knn_probability(d.test, d.train, 40, "loan_id")
+    return d.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss")).join(probs, "loan_id")
+
+
+@query("oversample")
+def q_oversample(spark, sf_dir):
+    """Minority oversampling of the training vectors until the classes balance."""
+    from lendlake.operators import neighbors as nb
+
+    d = ClassifierData(spark, sf_dir)
+    over = nb.smote(d.train, "loan_id", "label", "features")
+    return over.groupBy("label", "is_synthetic").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("weighting_comparison")
+def q_weighting_comparison(spark, sf_dir):
+    """Class weights vs oversampling for the logistic model (test ROC-AUC / AP)."""
+    from lendlake.operators import neighbors as nb
+
+    d = ClassifierData(spark, sf_dir)
+    rows = [_classification_row("Logistic (class weights)", _class_predictions(d, "logistic", PROBABILITY_C))]
+    over = ml.cache(nb.smote(d.train, "loan_id", "label", "features"))
+    model = ml.logistic(PROBABILITY_C, ml.total_weight(over, None), weight=None).fit(over)
+    preds = ml.positive_score(model.transform(d.test), "logistic").select(
+        "loan_id", F.col("is_loss").cast("int").alias("actual_is_loss"), "score", F.col("prediction").cast("int").alias("predicted"))
+    rows.append(_classification_row("Logistic (oversampled)", preds))
+    return reduce(DataFrame.unionByName, rows)
