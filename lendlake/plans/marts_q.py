@@ -335,3 +335,42 @@ def q_severity_bands(spark, sf_dir):
     """Loss-severity bands."""
     p = portfolio(spark, sf_dir)
     return marts.severity_bands(p.loans, p.cfg)
+
+
+# ---------------------------------------------------------------- typed-load diagnostics
+
+_CASTS = {"feat_002": "DOUBLE", "feat_001": "INTEGER", "feat_003": "VARCHAR", "feat_041": "INTEGER"}
+
+
+@query(
+    "cast_failures",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) AS BIGINT) "
+        f"AS failed_casts FROM raw_features"
+        for c, t in _CASTS.items()
+    ),
+)
+def q_cast_failures(spark, sf_dir):
+    """S3 variant: non-NULL raw values that fail a typed cast (try_cast), per column."""
+    from lendlake.sources.staging import cast_failures
+
+    p = portfolio(spark, sf_dir)
+    return cast_failures(p.raw_features, {c: ("STRING" if t == "VARCHAR" else t) for c, t in _CASTS.items()})
+
+
+@query(
+    "date_filter",
+    f"""
+SELECT CAST(extract(year FROM received_date) AS INTEGER) AS origination_year, count(*) AS loans,
+    {rate('is_loss')} AS loss_rate
+FROM loans_joined WHERE received_date >= DATE '2000-01-01' GROUP BY 1
+""",
+)
+def q_date_filter(spark, sf_dir):
+    """Loans received on or after a date (filter pushed to the Parquet scan)."""
+    from lendlake.functions import rate_of
+
+    p = portfolio(spark, sf_dir)
+    recent = p.loans.where(F.col("received_date") >= F.lit("2000-01-01").cast("date"))
+    return recent.groupBy(F.year("received_date").cast("int").alias("origination_year")).agg(
+        F.count(F.lit(1)).alias("loans"), rate_of("is_loss").alias("loss_rate"))

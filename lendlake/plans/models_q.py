@@ -199,7 +199,15 @@ def q_coefficients(spark, sf_dir):
 def q_batch_scoring(spark, sf_dir):
     """Fit both models, score every loan in one distributed pass."""
     p = portfolio(spark, sf_dir)
-    models = sc.fit_scoring_models(p.joined, p.cfg)
+    import uuid
+
+    from lendlake.plans.registry import staging_folder
+
+    fitted = sc.fit_scoring_models(p.joined, p.cfg)
+    # K5: persist the fitted pipelines with their metadata and score with the reloaded copy.
+    path = f"{staging_folder(spark, sf_dir)}/models-{uuid.uuid4().hex[:8]}"
+    sc.save_models(fitted, path)
+    models = sc.load_models(path)
     ids = p.loans.select("loan_id")
     return sc.score_batch(models, ids, p.joined, p.cfg)
 
