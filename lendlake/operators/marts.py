@@ -23,6 +23,7 @@ from lendlake.config import (
     TRAILING_MONTHS,
     PortfolioConfig,
 )
+from lendlake.operators.quantiles import exact_median
 from lendlake.functions import (
     band_label,
     band_order,
@@ -35,6 +36,11 @@ from lendlake.functions import (
 )
 
 
+# "select": exact median by selection (bounded memory per task, default);
+# "percentile": Spark's exact percentile aggregate (one value->count map per group).
+MEDIAN_METHOD = "select"
+
+
 def _cfg(cfg: PortfolioConfig | None) -> PortfolioConfig:
     return cfg or PortfolioConfig()
 
@@ -64,8 +70,9 @@ def _cohort_measures(cfg: PortfolioConfig, with_max: bool) -> list[Column]:
         F.sum(F.when(amt > 0, amt).otherwise(0)).alias("total_positive_loss_amount"),
         mean_of(F.coalesce(amt, F.lit(0))).alias("average_loss_per_funded_loan"),
         mean_of(severity).alias("average_loss_severity"),
-        decimal_median(severity).alias("median_loss_severity"),
     ]
+    if MEDIAN_METHOD == "percentile":
+        out.append(decimal_median(severity).alias("median_loss_severity"))
     if with_max:
         out.append(F.max(amt).alias("maximum_loss_amount"))
     return out
@@ -91,11 +98,19 @@ def cohort_aggregate(df: DataFrame, keys: Sequence[Column], cfg: PortfolioConfig
     )
     j = main.join(distinct, [main[n].eqNullSafe(distinct[n]) for n in names], "left")
     measures = [c for c in main.columns if c not in names]
-    return j.select(
+    out = j.select(
         *[main[n] for n in names],
         F.coalesce(distinct["funded_loan_count"], F.lit(0)).alias("funded_loan_count"),
         *[main[c] for c in measures],
     )
+    if MEDIAN_METHOD == "percentile":
+        return out
+    med = exact_median(keyed.where(F.col(cfg.label_col)), names, cfg.amount_col, "median_loss_severity")
+    joined = out.join(med, [out[n].eqNullSafe(med[n]) for n in names], "left")
+    cols = [out[c] for c in out.columns]
+    pos = out.columns.index("average_loss_severity") + 1
+    cols.insert(pos, med["median_loss_severity"])
+    return joined.select(*cols)
 
 
 def portfolio_yearly(loans: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
@@ -150,7 +165,7 @@ def portfolio_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None) ->
         F.sum(F.when(amt < 0, amt).otherwise(0)).alias("total_net_recovery_amount"),
         mean_of(F.coalesce(amt, F.lit(0))).alias("average_loss_per_funded_loan"),
         mean_of(F.when(lab, amt)).alias("average_loss_severity"),
-        decimal_median(F.when(lab, amt)).alias("median_loss_severity"),
+        *([decimal_median(F.when(lab, amt)).alias("median_loss_severity")] if MEDIAN_METHOD == "percentile" else []),
         F.max(amt).alias("maximum_loss_amount"),
         F.sum(F.when(conflict, 1).otherwise(0)).cast("bigint").alias("label_conflict_loan_count"),
         mean_of(F.when(conflict, 1).otherwise(0)).alias("label_conflict_rate"),
@@ -161,6 +176,9 @@ def portfolio_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None) ->
     funded = loans.agg(F.countDistinct(cfg.id_col).alias("funded_loan_count"))
     days = loans.agg(F.countDistinct(cfg.date_col).alias("distinct_origination_days"))
     out = attach_row(attach_row(main, funded), days)
+    if MEDIAN_METHOD != "percentile":
+        med = exact_median(loans.where(lab), [], cfg.amount_col, "median_loss_severity")
+        out = attach_row(out, med)
     return out
 
 
@@ -324,10 +342,14 @@ def risk_segmentation(
             F.sum(F.when(amt > 0, amt).otherwise(0)).alias("total_positive_loss_amount"),
             mean_of(F.coalesce(amt, F.lit(0))).alias("average_loss_per_funded_loan"),
             mean_of(positive).alias("average_positive_loss_severity"),
-            decimal_median(positive).alias("median_positive_loss_severity"),
+            *([decimal_median(positive).alias("median_positive_loss_severity")] if MEDIAN_METHOD == "percentile" else []),
             F.max(positive).alias("maximum_positive_loss_amount"),
         )
     )
+    if MEDIAN_METHOD != "percentile":
+        long = segments_long(base, cfg).where(amt > 0)
+        med = exact_median(long, ["feature_name", "segment"], cfg.amount_col, "median_positive_loss_severity")
+        seg = seg.join(med, ["feature_name", "segment"], "left")
     seg = attach_row(seg, totals)
     diff = (F.col("observed_loss_rate") - F.col("portfolio_loss_rate")) * 100
     n = F.col("funded_loan_count")
@@ -380,8 +402,11 @@ def severity_bands(joined: DataFrame, cfg: PortfolioConfig | None = None, bands=
         F.count(F.lit(1)).alias("loan_count"),
         F.sum(amt).alias("total_positive_loss_amount"),
         mean_of(amt).alias("average_positive_loss"),
-        decimal_median(amt).alias("median_positive_loss"),
+        *([decimal_median(amt).alias("median_positive_loss")] if MEDIAN_METHOD == "percentile" else []),
     )
+    if MEDIAN_METHOD != "percentile":
+        med = exact_median(banded, ["severity_band_order", "severity_band"], cfg.amount_col, "median_positive_loss")
+        metrics = metrics.join(med, ["severity_band_order", "severity_band"], "left")
     m = attach_row(metrics, totals)
     return m.select(
         "severity_band",
