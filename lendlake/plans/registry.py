@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from lendlake.config import PortfolioConfig
-from lendlake.sources.fixture import FIXTURE_CONFIG, raw_tables, with_fixture
+from pyspark.storagelevel import StorageLevel
+
+from lendlake.sources.fixture import FIXTURE_CONFIG, raw_tables, raw_tables_from, with_fixture
 from lendlake.sources.staging import join_loans, stage_features, stage_loans
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -76,12 +78,18 @@ class Portfolio:
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
         raw = raw_tables(spark, sf_dir)
         self.raw_loans, self.raw_features = raw.loans, raw.features
+        if materialize:
+            # Both raw tables come from one orders x lines x customer plan:
+            # keep it (memory, spill to disk) for the two writes, then drop it.
+            shared = raw.base.persist(StorageLevel.MEMORY_AND_DISK)
+            raw = raw_tables_from(shared)
         loans = stage_loans(raw.loans, cfg)
         features = stage_features(raw.features, cfg)
         if materialize:
             base = staging_folder(spark, sf_dir)
             loans = store(loans, f"{base}/stg_loans")
             features = store(features, f"{base}/stg_loan_features")
+            shared.unpersist()
             joined = store(join_loans(loans, features, cfg), f"{base}/loans_joined")
         else:
             joined = join_loans(loans, features, cfg)

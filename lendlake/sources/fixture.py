@@ -82,6 +82,7 @@ def _line_aggregates(lineitem: DataFrame) -> DataFrame:
 class RawTables:
     loans: DataFrame
     features: DataFrame
+    base: DataFrame | None = None  # the shared orders x lines x customer plan
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
@@ -92,6 +93,12 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     lines = _line_aggregates(table(spark, sf_dir, "lineitem"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     base = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    base = base.join(customer, base.o_custkey == customer.c_custkey, "left")
+    return raw_tables_from(base)
+
+
+def raw_tables_from(base: DataFrame) -> RawTables:
+    """Project the shared orders x lines x customer plan onto the two raw tables."""
     loan_id = F.concat(F.lit("L"), F.col("o_orderkey").cast("string")).alias("loan_id")
 
     loans = base.select(
@@ -101,7 +108,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
         F.col("loss_amount"),
     )
     acct = F.col("c_acctbal")
-    feats = base.join(customer, base.o_custkey == customer.c_custkey, "left").select(
+    feats = base.select(
         loan_id,
         F.when(
             acct >= 0, F.concat(F.lit("IND_"), F.floor(acct / 100).cast("int").cast("string"))
@@ -124,7 +131,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
         F.col("o_orderpriority").alias("feat_041"),
         F.coalesce(F.col("feat_066_min"), F.lit(999.0)).alias("feat_066_min"),
     )
-    return RawTables(loans=loans, features=feats)
+    return RawTables(loans=loans, features=feats, base=base)
 
 
 # --------------------------------------------------------------------------
