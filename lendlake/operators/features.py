@@ -188,8 +188,14 @@ def impute_missing_category(df: DataFrame, columns: Sequence[str], fill: str = M
 
 def fit_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """M6 fit: exact (interpolated) median of each numeric column, one pass, long form."""
-    one = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
-    return _unpivot_row(one, columns, "median")
+    from lendlake.operators.profiling import unpivot_values
+    from lendlake.operators.quantiles import exact_quantiles
+
+    long = unpivot_values(train, columns)
+    med = exact_quantiles(long, ["column_name"], "value", [0.5], "__q").select("column_name", F.col("__q")[0].alias("median"))
+    names = train.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    # Columns that are NULL on every training row keep a NULL median.
+    return names.join(med, "column_name", "left")
 
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> DataFrame:

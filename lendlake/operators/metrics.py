@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendlake.operators.quantiles import exact_quantiles
 from lendlake.operators.ranking import running_totals
 
 
@@ -100,18 +101,13 @@ def confusion(df: DataFrame, pred: str, label: str) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def decile_edges(df: DataFrame, score: str, k: int = 10) -> list:
-    """W5 edges: exact interpolated quantiles 1/k .. (k-1)/k (one aggregate)."""
-    return [F.percentile(F.col(score).cast("double"), [i / k for i in range(1, k)])]
-
-
 def with_risk_decile(df: DataFrame, score: str, out: str = "risk_decile", k: int = 10, digits: int = 6) -> DataFrame:
     """Decile by quantile edges, 1 = riskiest; right-closed bins (not ``ntile``).
 
     Edges come from one aggregate attached as a scalar subquery and are
     rounded to ``digits`` (engines differ in the last bits of interpolation).
     """
-    edges = df.agg(F.percentile(F.col(score).cast("double"), [i / k for i in range(1, k)]).alias("e")).scalar()
+    edges = exact_quantiles(df, [], score, [i / k for i in range(1, k)], "e").scalar()
     s = F.round(F.col(score).cast("double"), digits)
     above = sum(F.when(s > F.round(edges[i], digits), 1).otherwise(0) for i in range(k - 1))
     return df.withColumn(out, (F.lit(k) - above).cast("int"))
@@ -133,7 +129,7 @@ def decline_table(df: DataFrame, score: str, label: str, shares: Sequence[float]
     shares are answered by one quantile aggregate and one conditional pass.
     """
     qs = [1 - s for s in shares]
-    edges = df.agg(F.percentile(F.col(score).cast("double"), qs).alias("e")).scalar()
+    edges = exact_quantiles(df, [], score, qs, "e").scalar()
     s = F.round(F.col(score).cast("double"), digits)
     y = F.col(label).cast("int")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("P")]
@@ -193,7 +189,7 @@ def prediction_rows(df: DataFrame, id_col: str, actual: str, predicted: str, ext
 
 def median_baseline(train: DataFrame, test: DataFrame, target: str) -> DataFrame:
     """Predict the training median for every test row."""
-    med = train.agg(F.median(F.col(target).cast("double"))).scalar()
+    med = exact_quantiles(train, [], target, [0.5], "m").select(F.col("m")[0]).scalar()
     return test.withColumn("baseline_prediction", med)
 
 

@@ -78,8 +78,8 @@ def fit_preprocessor(
         base = fx.apply_rare_levels(train, kept, cat_cols)
     # Exact medians, then mean / population std of the imputed columns (two
     # aggregate passes; results are one number per column).
-    med_row = base.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in num_cols]).first() if num_cols else None
-    medians = {c: (float(med_row[c]) if med_row[c] is not None else 0.0) for c in num_cols}
+    fitted = {r["column_name"]: r["median"] for r in fx.fit_medians(base, num_cols).collect()} if num_cols else {}
+    medians = {c: (float(fitted[c]) if fitted.get(c) is not None else 0.0) for c in num_cols}
     imputed = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in num_cols]
     stats = base.agg(
         *[F.avg(e).alias(f"m_{c}") for c, e in zip(num_cols, imputed)],

@@ -13,12 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.functions import any_null, all_null, mean_of, rate_of, sign_group
+from lendlake.operators.quantiles import exact_quantiles
 
 
 def _explode_rows(one: DataFrame, rows: list[Column]) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _with_median(agg: DataFrame, src: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Join an exact median (selection, bounded memory) onto a grouped result."""
+    med = exact_quantiles(src, keys, value, [0.5], "__q").select(*keys, F.col("__q")[0].alias(out))
+    return agg.join(med, [agg[k].eqNullSafe(med[k]) for k in keys], "left").select(
+        *[agg[c] for c in agg.columns], med[out]
+    )
+
+
 def _total(df: DataFrame) -> Column:
     """Row count of ``df`` as a scalar subquery."""
     return df.agg(F.count(F.lit(1))).scalar()
@@ -61,21 +70,22 @@ def loss_by_level(
 
 def median_by_level(df: DataFrame, feature: str, amount: str, top_n: int = 10) -> DataFrame:
     """A25 + O4: median amount of the ``top_n`` most frequent levels (a top-k report)."""
-    g = df.groupBy(feature).agg(F.count(F.lit(1)).alias("loans"), F.median(F.col(amount).cast("double")).alias("median_amount"))
-    return g.orderBy(F.col("loans").desc(), F.col(feature).asc_nulls_last()).limit(top_n)
+    g = df.groupBy(feature).agg(F.count(F.lit(1)).alias("loans"))
+    top = g.orderBy(F.col("loans").desc(), F.col(feature).asc_nulls_last()).limit(top_n)
+    return _with_median(top, df.join(top.select(feature), feature, "left_semi"), [feature], amount, "median_amount")
 
 
 def amount_profile_by_label(df: DataFrame, label: str = "is_loss", amount: str = "loss_amount") -> DataFrame:
     """Count, missing, min, median, mean, max of the amount by label."""
     a = F.col(amount).cast("double")
-    return df.groupBy(label).agg(
+    g = df.groupBy(label).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(amount).isNull()).alias("missing"),
         F.min(a).alias("min"),
-        F.median(a).alias("median"),
         mean_of(F.col(amount)).alias("mean"),
         F.max(a).alias("max"),
     )
+    return _with_median(g, df, [label], amount, "median").select(label, "rows", "missing", "min", "median", "mean", "max")
 
 
 def sign_label_crosstab(df: DataFrame, label: str = "is_loss", amount: str = "loss_amount") -> DataFrame:
@@ -169,14 +179,16 @@ def null_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def missing_flag_outcome(df: DataFrame, columns: Sequence[str], label: str, amount: str, date: str) -> DataFrame:
     """Outcome by an "all columns missing" flag."""
-    return df.groupBy(all_null(columns).alias("all_missing")).agg(
+    flagged = df.withColumn("all_missing", all_null(columns))
+    g = flagged.groupBy("all_missing").agg(
         F.count(F.lit(1)).alias("loans"),
         rate_of(label).alias("loss_rate"),
         mean_of(amount).alias("mean_loss_amount"),
-        F.median(F.col(amount).cast("double")).alias("median_loss_amount"),
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
     )
+    out = _with_median(g, flagged, ["all_missing"], amount, "median_loss_amount")
+    return out.select("all_missing", "loans", "loss_rate", "mean_loss_amount", "median_loss_amount", "first_date", "last_date")
 
 
 def missing_vs_outcome(df: DataFrame, columns: Sequence[str], label: str = "is_loss") -> DataFrame:
@@ -235,7 +247,6 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.count_if(x.isNull()).alias(f"z{i}"),
             F.min(x).alias(f"lo{i}"),
             F.max(x).alias(f"hi{i}"),
-            F.median(x).alias(f"md{i}"),
             F.avg(x).alias(f"mu{i}"),
             F.stddev_samp(x).alias(f"sd{i}"),
         ]
@@ -247,29 +258,40 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.col(f"z{i}").cast("bigint").alias("nulls"),
             F.col(f"lo{i}").alias("min"),
             F.col(f"hi{i}").alias("max"),
-            F.col(f"md{i}").alias("median"),
             F.col(f"mu{i}").alias("mean"),
             F.col(f"sd{i}").alias("std"),
         )
         for i, c in enumerate(columns)
     ]
-    return _explode_rows(one, rows)
+    prof = _explode_rows(one, rows)
+    long = unpivot_values(df, columns)
+    out = _with_median(prof, long, ["column_name"], "value", "median")
+    return out.select("column_name", "count", "nulls", "min", "max", "median", "mean", "std")
+
+
+def unpivot_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value) rows for per-column quantiles (NULLs dropped)."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where(F.col("value").isNotNull())
 
 
 def describe(df: DataFrame, column: str, by: str | None = None, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, std, min, exact interpolated quantiles, max (optionally by a key)."""
     x = F.col(column).cast("double")
-    q = F.percentile(x, F.array(*[F.lit(v) for v in quantiles]))
     aggs = [
         F.count(x).alias("count"),
         F.avg(x).alias("mean"),
         F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"),
-        q.alias("__q"),
         F.max(x).alias("max"),
     ]
-    g = df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
     keys = [by] if by else []
+    if by:
+        g = df.groupBy(by).agg(*aggs)
+        q = exact_quantiles(df, keys, column, quantiles, "__q")
+        g = g.join(q, [g[by].eqNullSafe(q[by])], "left").select(*[g[c] for c in g.columns], q["__q"])
+    else:
+        g = df.agg(*aggs).select("*", exact_quantiles(df, [], column, quantiles, "__q").scalar().alias("__q"))
     qcols = [F.col("__q")[i].alias(f"q{int(round(v * 100)):02d}") for i, v in enumerate(quantiles)]
     return g.select(*keys, "count", "mean", "std", "min", *qcols, "max")
 

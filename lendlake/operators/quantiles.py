@@ -93,3 +93,81 @@ def exact_median(
         # One row like an aggregate (NULL median on empty input), via a scalar subquery.
         return df.sparkSession.range(1).select(res.select(out).scalar().alias(out))
     return res
+
+
+def exact_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    out: str = "quantiles",
+    accuracy: int = DEFAULT_ACCURACY,
+) -> DataFrame:
+    """Exact interpolated quantiles (position (n-1)p, linear) by selection.
+
+    Returns ``keys + [out]`` with ``out`` an array<double> in ``probs`` order
+    (one row for no keys, NULLs on empty input).  Each probability gets a
+    sketch bracket; a row is routed to the brackets that contain it (at most
+    ``len(probs)`` copies of the bracket rows only), ranked inside its group
+    and bracket, and the two ranks around the position are interpolated.
+    """
+    keys, probs = list(keys), [float(p) for p in probs]
+    P = len(probs)
+    g = keys or ["__g"]
+    v = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("__v"))
+    if not keys:
+        v = v.withColumn("__g", F.lit(0))
+    v = v.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    m = 3.0 / accuracy
+    stats = v.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("__v", [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs], accuracy).alias("__b"),
+    )
+    pos = [(F.col("__n") - 1) * F.lit(p) for p in probs]
+    stats = stats.select(
+        *g,
+        "__n",
+        F.array(*[F.col("__b")[i] for i in range(P)]).alias("__lo"),
+        F.array(*[F.col("__b")[P + i] for i in range(P)]).alias("__hi"),
+        F.array(*[(F.floor(x) + 1).cast("bigint") for x in pos]).alias("__kl"),
+        F.array(*[(F.ceil(x) + 1).cast("bigint") for x in pos]).alias("__kh"),
+        F.array(*pos).alias("__pos"),
+    )
+    j = v.join(stats, g)
+    inb = [F.col("__v").between(F.col("__lo")[i], F.col("__hi")[i]) for i in range(P)]
+    counts = j.groupBy(*g).agg(
+        F.array(*[F.count_if(F.col("__v") < F.col("__lo")[i]).cast("bigint") for i in range(P)]).alias("__below"),
+        F.array(*[F.count_if(inb[i]).cast("bigint") for i in range(P)]).alias("__within"),
+    )
+    routed = j.select(
+        *g, "__v", F.explode(F.array_compact(F.array(*[F.when(inb[i], F.lit(i)) for i in range(P)]))).alias("__i")
+    )
+    w = Window.partitionBy(*g, "__i").orderBy("__v")
+    meta = stats.join(counts, g)
+    ranked = routed.withColumn("__r", F.row_number().over(w)).join(meta, g)
+    at = lambda name: F.col(name)[F.col("__i")]
+    ranked = ranked.withColumn("__r", F.col("__r") + at("__below"))
+    hits = ranked.where((F.col("__r") == at("__kl")) | (F.col("__r") == at("__kh"))).groupBy(*g, "__i").agg(
+        F.max(F.when(F.col("__r") == at("__kl"), F.col("__v"))).alias("__a"),
+        F.max(F.when(F.col("__r") == at("__kh"), F.col("__v"))).alias("__z"),
+        F.first(at("__kl")).alias("__kl1"),
+        F.first(at("__kh")).alias("__kh1"),
+        F.first(at("__pos")).alias("__p"),
+    )
+    val = F.when(F.col("__kl1") == F.col("__kh1"), F.col("__a")).otherwise(
+        (F.col("__kh1") - 1 - F.col("__p")) * F.col("__a") + (F.col("__p") - (F.col("__kl1") - 1)) * F.col("__z")
+    )
+    per_group = hits.groupBy(*g).agg(F.sort_array(F.collect_list(F.struct("__i", val.alias("__x")))).alias("__s"))
+    ok = meta.where(
+        F.forall(
+            F.sequence(F.lit(0), F.lit(P - 1)),
+            lambda i: (F.col("__below")[i] < F.col("__kl")[i]) & (F.col("__below")[i] + F.col("__within")[i] >= F.col("__kh")[i]),
+        )
+    ).select(*g)
+    sel = per_group.join(ok, g).select(*g, F.transform("__s", lambda s: s["__x"]).alias(out))
+    missed = stats.select(*g).join(ok, g, "left_anti")
+    fb = v.join(missed, g, "left_semi").groupBy(*g).agg(F.percentile("__v", probs).alias(out))
+    res = sel.unionByName(fb)
+    if not keys:
+        return df.sparkSession.range(1).select(res.select(out).scalar().alias(out))
+    return res

@@ -138,7 +138,9 @@ def q_regression_comparison(spark, sf_dir):
     """Baseline, ridge, lasso and OLS compared on MAE / RMSE / R^2."""
     d = SeverityData(spark, sf_dir)
     base_train = d.train.select(F.expm1("label").alias("y"))
-    med = base_train.agg(F.median("y")).scalar()
+    from lendlake.operators.quantiles import exact_quantiles
+
+    med = exact_quantiles(base_train, [], "y", [0.5], "m").select(F.col("m")[0]).scalar()
     rows = [mx.regression_metrics(d.test.select(F.col("loss_amount").cast("double").alias("a"), med.alias("p")), "a", "p")
             .select(F.lit("Baseline (training median)").alias("model"), "*")]
     for name, model in [
