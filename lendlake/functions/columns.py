@@ -1,5 +1,15 @@
 """Column-expression helpers (all JVM-side built-ins, no Python UDFs).
 
+Scalar functions of the inventory and where they live: F1 casts (staging),
+F2/F3 year, quarter, trunc (cohorts), F4 datediff, F5 add_months, F6
+date_format (KPI record), F7 date parameters (``split_label``), F8 concat
+(quarter keys), F9 coalesce / nullif (``ratio``), F10 ceil (top-share
+cutoffs), F11 abs (errors), F12 log1p / expm1 (severity target), F13
+``clip``, F14 round (scoring record), F15 percentage points (segmentation),
+F16 case/when (``when_chain``), F17 isNull (checks), F18 isin / semi joins
+(accepted values, scoring ids), F19 string aggregation re-aimed (profiling),
+F20 ``profiling.column_family``, F21 sqrt / ln (RMSE, BIC).
+
 Every helper returns a ``Column`` so it can sit inside one ``select``/``agg``
 and stay in whole-stage codegen.
 """

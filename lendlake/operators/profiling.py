@@ -266,7 +266,34 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     prof = _explode_rows(one, rows)
     long = unpivot_values(df, columns)
     out = _with_median(prof, long, ["column_name"], "value", "median")
-    return out.select("column_name", "count", "nulls", "min", "max", "median", "mean", "std")
+    return out.select("column_name", column_family("column_name").alias("column_family"),
+                      "count", "nulls", "min", "max", "median", "mean", "std")
+
+
+# Fixed value: the aggregate-suffix naming convention of the feature columns.
+FAMILY_PATTERN = "_(min|max|mean|sum|trend|cv|std)$"
+
+
+def column_family(name_col: str | Column) -> Column:
+    """aggregate suffix of a feature column name ('' when there is none)."""
+    c = F.col(name_col) if isinstance(name_col, str) else name_col
+    return F.regexp_extract(c, FAMILY_PATTERN, 1)
+
+
+def feature_groups(columns: Sequence[str]) -> dict[str, list[str]]:
+    """F20 (plan-time helper): columns grouped by suffix family, to feed A32."""
+    import re
+
+    groups: dict[str, list[str]] = {}
+    for c in columns:
+        m = re.search(FAMILY_PATTERN, c)
+        groups.setdefault(m.group(1) if m else "", []).append(c)
+    return groups
+
+
+def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """A small row sample for viewing (a limit is the feature here)."""
+    return df.limit(n)
 
 
 def unpivot_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

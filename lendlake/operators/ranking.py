@@ -244,6 +244,8 @@ def loss_concentration(
 def concentration_summary(conc: DataFrame, thresholds: Sequence[str] = TOP_SHARE_THRESHOLDS, amount: str = "loss_amount") -> DataFrame:
     """A18/A19 (J6/J7 without the range join): loss held by the top n % of loans.
 
+    The thresholds are a literal relation (S5) given as decimal text.
+
     ``cutoff = ceil(population * share)`` (exact decimal arithmetic).  All
     thresholds are answered by one aggregate pass of conditional sums instead
     of joining thresholds x detail on ``rank <= cutoff``.

@@ -94,7 +94,7 @@ def _classification_row(name: str, preds: DataFrame) -> DataFrame:
 
 @query("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    """Classifier comparison on the test split, sorted by ROC-AUC."""
+    """Classifier comparison on the test split, sorted by ROC-AUC."""
     d = ClassifierData(spark, sf_dir)
     rows = [
         _classification_row("SVM (C=10, linear)", _class_predictions(d, "svm", 10.0)),
@@ -155,7 +155,7 @@ def q_regression_comparison(spark, sf_dir):
 
 @query("sweep")
 def q_sweep(spark, sf_dir):
-    """Logistic C sweep scored on a hash validation split inside train."""
+    """Logistic C sweep scored on a hash validation split inside train; best C flagged."""
     d = ClassifierData(spark, sf_dir)
     tv = fx.hash_split(d.train, "loan_id", 0.2)
     fit_part = ml.cache(tv.where(~F.col("is_validation")))
@@ -167,7 +167,10 @@ def q_sweep(spark, sf_dir):
         preds = ml.positive_score(model.transform(val_part), "logistic").select(
             "score", F.col("is_loss").cast("int").alias("y"))
         rows.append(mx.roc_auc(preds, "score", "y").select(F.lit("logistic").alias("model"), F.lit(C).alias("C"), "roc_auc"))
-    return reduce(DataFrame.unionByName, rows)
+    table = reduce(DataFrame.unionByName, rows)
+    # Best row by the metric (ties -> smaller C), flagged via a scalar subquery.
+    best = table.agg(F.max_by("C", F.struct(F.col("roc_auc"), -F.col("C")))).scalar()
+    return table.withColumn("is_best", F.col("C") == best)
 
 
 @query("poly_degree")

@@ -46,16 +46,17 @@ def q_profile_nulls(spark, sf_dir):
 @query(
     "profile_columns",
     "p AS (" + _u(
-        f"SELECT '{c}' AS column_name, count({c}) AS count, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls, "
+        f"SELECT '{c}' AS column_name, regexp_extract('{c}', '_(min|max|mean|sum|trend|cv|std)$', 1) AS column_family, "
+        f"count({c}) AS count, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls, "
         f"min({c}) AS min, max({c}) AS max, round(median({c}), 6) AS median, round(avg({c}), 4) AS mean, "
         f"round(stddev_samp({c}), 4) AS std FROM loans_joined" for c in NUM_COLS
     ) + ")\nSELECT * FROM p",
 )
 def q_profile_columns(spark, sf_dir):
-    """Per-column count, nulls, min, max, median, mean, std."""
+    """Per-column count, nulls, min, max, median, mean, std (+ suffix family)."""
     p = portfolio(spark, sf_dir)
     out = pf.column_profile(p.joined, NUM_COLS)
-    return out.select("column_name", "count", "nulls", "min", "max", _r("median", 6), _r("mean", 4), _r("std", 4))
+    return out.select("column_name", "column_family", "count", "nulls", "min", "max", _r("median", 6), _r("mean", 4), _r("std", 4))
 
 
 @query(

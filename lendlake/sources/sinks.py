@@ -1,5 +1,8 @@
 """Sinks: stored marts, views and ordered CSV exports (K1-K4; K5 in scoring).
 
+O2/O3: every export has an explicit sort key (display order, rank, year and
+quarter, feature then rate and count, band order) applied at write time.
+
 Ordered exports sort with a range shuffle and keep the part files in key
 order.  Only marts with a structural size bound (one row per KPI, band,
 threshold, year, quarter) are collapsed to a single file; large marts (the
