@@ -12,7 +12,9 @@ that map holds every distinct amount.  Here the median is *selected*:
 3. a window partitioned by group ranks those rows; the rows at the two
    middle ranks give the median.
 
-Groups whose bracket misses a middle rank (not expected; the sketch error is
+The per-group statistics (one row per group) are cached, counted and
+broadcast only below ``BROADCAST_MAX_GROUPS``; with more groups the joins
+stay shuffle joins.  Groups whose bracket misses a middle rank (not expected; the sketch error is
 bounded) are answered by the exact ``percentile`` for those groups only, so
 the result is always exact.  Decimal inputs keep the decimal convention of
 the marts: the midpoint of the two middle values is truncated toward zero to
@@ -26,73 +28,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
+from pyspark.storagelevel import StorageLevel
 
 DEFAULT_ACCURACY = 10000
+# Per-group statistics are broadcast up to this many groups; beyond it the
+# plan keeps shuffle joins.
+BROADCAST_MAX_GROUPS = 200_000
 
 
 def exact_median(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "median", accuracy: int = DEFAULT_ACCURACY
 ) -> DataFrame:
-    """One row per group of ``keys`` (one row overall for no keys) with the exact median."""
-    keys = list(keys)
+    """One row per group of ``keys`` (one row overall for no keys) with the exact median.
+
+    Decimal inputs return the input decimal type with the midpoint of the two
+    middle values truncated toward zero at the input scale.
+    """
     vtype = df.schema[value].dataType
-    g = keys or ["__g"]
-    v = df.select(*[F.col(k) for k in keys], F.col(value).alias("__v"))
-    if not keys:
-        v = v.withColumn("__g", F.lit(0))
-    v = v.where(F.col("__v").isNotNull())
-    margin = 3.0 / accuracy
-    stats = v.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)], accuracy).alias("__b"),
-    )
-    stats = stats.select(
-        *g,
-        "__n",
-        F.col("__b")[0].alias("__lo"),
-        F.col("__b")[1].alias("__hi"),
-        F.floor((F.col("__n") + 1) / 2).cast("bigint").alias("__k1"),
-        F.ceil((F.col("__n") + 1) / 2).cast("bigint").alias("__k2"),
-    )
-    # One row per group: broadcast when small (AQE), shuffled otherwise.
-    j = v.join(stats, g)
-    below = j.groupBy(*g).agg(
-        F.count_if(F.col("__v") < F.col("__lo")).cast("bigint").alias("__below"),
-        F.count_if(F.col("__v").between(F.col("__lo"), F.col("__hi"))).cast("bigint").alias("__within"),
-    )
-    inside = j.where(F.col("__v").between(F.col("__lo"), F.col("__hi"))).join(below, g)
-    w = Window.partitionBy(*g).orderBy("__v")
-    ranked = inside.withColumn("__r", F.row_number().over(w) + F.col("__below"))
-    picked = ranked.where((F.col("__r") == F.col("__k1")) | (F.col("__r") == F.col("__k2"))).groupBy(*g).agg(
-        F.min("__v").alias("__a"), F.max("__v").alias("__z")
-    )
-    ok = stats.join(below, g).where(
-        (F.col("__below") < F.col("__k1")) & (F.col("__below") + F.col("__within") >= F.col("__k2"))
-    ).select(*g)
-    sel = picked.join(ok, g)
-    if isinstance(vtype, DecimalType):
-        scale = vtype.scale
-        cents = ((F.col("__a") + F.col("__z")) * F.lit(10**scale)).cast("bigint")
-        mid = cents / 2  # double, exact: an integer or a half
-        trunc = F.when(cents >= 0, F.floor(mid)).otherwise(F.ceil(mid))
-        med = (trunc.cast("decimal(38,0)") / F.lit(10**scale)).cast(f"decimal({vtype.precision},{scale})")
-    else:
-        med = (F.col("__a").cast("double") + F.col("__z").cast("double")) / 2
-    sel = sel.select(*g, med.alias(out))
-    # Fallback: groups whose bracket missed (exact percentile on those groups only).
-    missed = stats.select(*g).join(ok, g, "left_anti")
-    fb_rows = v.join(missed, g, "left_semi")
+    q = exact_quantiles(df, keys, value, [0.5], "__q", accuracy)
+    m = F.col("__q")[0]
     if isinstance(vtype, DecimalType):
-        from lendlake.functions import decimal_median
+        factor = 10**vtype.scale
+        m = (
+            (m.cast(f"decimal({vtype.precision + 4},{vtype.scale + 2})") * F.lit(factor)).cast("bigint") / F.lit(factor)
+        ).cast(f"decimal({vtype.precision},{vtype.scale})")
+    return q.select(*list(keys), m.alias(out))
 
-        fb = fb_rows.groupBy(*g).agg(decimal_median("__v", vtype.scale, vtype.precision).alias(out))
-    else:
-        fb = fb_rows.groupBy(*g).agg(F.median("__v").alias(out))
-    res = sel.unionByName(fb)
-    if not keys:
-        # One row like an aggregate (NULL median on empty input), via a scalar subquery.
-        return df.sparkSession.range(1).select(res.select(out).scalar().alias(out))
-    return res
+
+def _bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_GROUPS) -> DataFrame:
+    """Broadcast a per-group table only behind a size check (cached, counted)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def exact_quantiles(
@@ -133,6 +99,7 @@ def exact_quantiles(
         F.array(*[(F.ceil(x) + 1).cast("bigint") for x in pos]).alias("__kh"),
         F.array(*pos).alias("__pos"),
     )
+    stats = _bounded(stats)
     j = v.join(stats, g)
     inb = [F.col("__v").between(F.col("__lo")[i], F.col("__hi")[i]) for i in range(P)]
     counts = j.groupBy(*g).agg(
@@ -143,7 +110,7 @@ def exact_quantiles(
         *g, "__v", F.explode(F.array_compact(F.array(*[F.when(inb[i], F.lit(i)) for i in range(P)]))).alias("__i")
     )
     w = Window.partitionBy(*g, "__i").orderBy("__v")
-    meta = stats.join(counts, g)
+    meta = _bounded(stats.join(counts, g))
     ranked = routed.withColumn("__r", F.row_number().over(w)).join(meta, g)
     at = lambda name: F.col(name)[F.col("__i")]
     ranked = ranked.withColumn("__r", F.col("__r") + at("__below"))
@@ -165,7 +132,7 @@ def exact_quantiles(
         )
     ).select(*g)
     sel = per_group.join(ok, g).select(*g, F.transform("__s", lambda s: s["__x"]).alias(out))
-    missed = stats.select(*g).join(ok, g, "left_anti")
+    missed = meta.select(*g).join(ok, g, "left_anti")
     fb = v.join(missed, g, "left_semi").groupBy(*g).agg(F.percentile("__v", probs).alias(out))
     res = sel.unionByName(fb)
     if not keys:
