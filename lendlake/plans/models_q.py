@@ -51,6 +51,19 @@ class SeverityData:
         self.n, self.label_sd, self.log_lo, self.log_hi = int(st["n"]), float(st["sd"] or 0.0), st["lo"], st["hi"]
 
 
+_DATA: dict = {}
+
+
+def _memo(cls, spark, sf_dir):
+    """Prepared (cached) model inputs, shared by the model queries of a session."""
+    import os
+
+    key = (cls.__name__, spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _DATA:
+        _DATA[key] = cls(spark, sf_dir)
+    return _DATA[key]
+
+
 def _classifier(d: ClassifierData, kind: str, param):
     if kind == "logistic":
         return ml.logistic(param, d.sum_w)
@@ -69,19 +82,19 @@ def _class_predictions(d: ClassifierData, kind: str, param) -> DataFrame:
 @query("model_logistic")
 def q_model_logistic(spark, sf_dir):
     """Balanced logistic regression (C = 1), test-row probabilities."""
-    return _class_predictions(ClassifierData(spark, sf_dir), "logistic", PROBABILITY_C)
+    return _class_predictions(_memo(ClassifierData, spark, sf_dir), "logistic", PROBABILITY_C)
 
 
 @query("model_linear_svm")
 def q_model_linear_svm(spark, sf_dir):
     """L2: balanced linear SVM (C = 10), test-row decision scores."""
-    return _class_predictions(ClassifierData(spark, sf_dir), "svm", 10.0)
+    return _class_predictions(_memo(ClassifierData, spark, sf_dir), "svm", 10.0)
 
 
 @query("model_tree")
 def q_model_tree(spark, sf_dir):
     """L3: balanced decision tree (depth 2), test-row probabilities."""
-    return _class_predictions(ClassifierData(spark, sf_dir), "tree", 2)
+    return _class_predictions(_memo(ClassifierData, spark, sf_dir), "tree", 2)
 
 
 def _classification_row(name: str, preds: DataFrame) -> DataFrame:
@@ -95,7 +108,7 @@ def _classification_row(name: str, preds: DataFrame) -> DataFrame:
 @query("model_comparison")
 def q_model_comparison(spark, sf_dir):
     """Classifier comparison on the test split, sorted by ROC-AUC."""
-    d = ClassifierData(spark, sf_dir)
+    d = _memo(ClassifierData, spark, sf_dir)
     rows = [
         _classification_row("SVM (C=10, linear)", _class_predictions(d, "svm", 10.0)),
         _classification_row("Logistic Regression (C=1.0)", _class_predictions(d, "logistic", 1.0)),
@@ -115,28 +128,28 @@ def _severity_predictions(d: SeverityData, model, clip: bool = True) -> DataFram
 @query("model_ols")
 def q_model_ols(spark, sf_dir):
     """OLS on log1p(loss), back-transformed and clipped at 0."""
-    d = SeverityData(spark, sf_dir)
+    d = _memo(SeverityData, spark, sf_dir)
     return _severity_predictions(d, ml.ols())
 
 
 @query("model_ridge")
 def q_model_ridge(spark, sf_dir):
     """Ridge (alpha = 100) on log1p(loss)."""
-    d = SeverityData(spark, sf_dir)
+    d = _memo(SeverityData, spark, sf_dir)
     return _severity_predictions(d, ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd))
 
 
 @query("model_lasso")
 def q_model_lasso(spark, sf_dir):
     """Lasso (alpha = 0.01) on log1p(loss)."""
-    d = SeverityData(spark, sf_dir)
+    d = _memo(SeverityData, spark, sf_dir)
     return _severity_predictions(d, ml.lasso(0.01))
 
 
 @query("regression_comparison")
 def q_regression_comparison(spark, sf_dir):
     """Baseline, ridge, lasso and OLS compared on MAE / RMSE / R^2."""
-    d = SeverityData(spark, sf_dir)
+    d = _memo(SeverityData, spark, sf_dir)
     base_train = d.train.select(F.expm1("label").alias("y"))
     from lendlake.operators.quantiles import exact_quantiles
 
@@ -156,7 +169,7 @@ def q_regression_comparison(spark, sf_dir):
 @query("sweep")
 def q_sweep(spark, sf_dir):
     """Logistic C sweep scored on a hash validation split inside train; best C flagged."""
-    d = ClassifierData(spark, sf_dir)
+    d = _memo(ClassifierData, spark, sf_dir)
     tv = fx.hash_split(d.train, "loan_id", 0.2)
     fit_part = ml.cache(tv.where(~F.col("is_validation")))
     val_part = tv.where(F.col("is_validation"))
@@ -176,7 +189,7 @@ def q_sweep(spark, sf_dir):
 @query("poly_degree")
 def q_poly_degree(spark, sf_dir):
     """Polynomial degree 1-3 of the top numeric features, picked by BIC."""
-    d = SeverityData(spark, sf_dir)
+    d = _memo(SeverityData, spark, sf_dir)
     from pyspark.ml.feature import VectorAssembler
 
     top = [c for c in d.num if not c.startswith("is_unobserved")][:4]
@@ -194,7 +207,7 @@ def q_poly_degree(spark, sf_dir):
 @query("coefficients")
 def q_coefficients(spark, sf_dir):
     """Ridge coefficients by magnitude (named by the assembled attributes)."""
-    d = SeverityData(spark, sf_dir)
+    d = _memo(SeverityData, spark, sf_dir)
     model = ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd).fit(d.train)
     pairs = ml.coefficient_table(model, d.pre.feature_names)
     return spark.createDataFrame(pairs, "feature string, coefficient double")
@@ -222,7 +235,7 @@ def q_model_knn(spark, sf_dir):
     """L4: exact k-nearest-neighbour probability (k = 40) for the test rows."""
     from lendlake.operators import neighbors as nb
 
-    d = ClassifierData(spark, sf_dir)
+    d = _memo(ClassifierData, spark, sf_dir)
     probs = nb.knn_probability(d.test, d.train, 40, "loan_id")
     return d.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss")).join(probs, "loan_id")
 
@@ -232,7 +245,7 @@ def q_oversample(spark, sf_dir):
     """Minority oversampling of the training vectors until the classes balance."""
     from lendlake.operators import neighbors as nb
 
-    d = ClassifierData(spark, sf_dir)
+    d = _memo(ClassifierData, spark, sf_dir)
     over = nb.smote(d.train, "loan_id", "label", "features")
     return over.groupBy("label", "is_synthetic").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -242,7 +255,7 @@ def q_weighting_comparison(spark, sf_dir):
     """Class weights vs oversampling for the logistic model (test ROC-AUC / AP)."""
     from lendlake.operators import neighbors as nb
 
-    d = ClassifierData(spark, sf_dir)
+    d = _memo(ClassifierData, spark, sf_dir)
     rows = [_classification_row("Logistic (class weights)", _class_predictions(d, "logistic", PROBABILITY_C))]
     over = ml.cache(nb.smote(d.train, "loan_id", "label", "features"))
     model = ml.logistic(PROBABILITY_C, ml.total_weight(over, None), weight=None).fit(over)
