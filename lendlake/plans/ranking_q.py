@@ -59,16 +59,19 @@ GROUP BY c.top_share_threshold, c.loan_cutoff, c.positive_loss_loan_population,
 
 @query("loss_concentration", _CURVE_SQL + _CURVE_SELECT)
 def q_loss_concentration(spark, sf_dir):
-    """Concentration curve, plain global window (test form)."""
+    """Concentration curve (bucketed global rank, default bucket count).
+
+    The plain single-partition window form is kept for the tests only.
+    """
     p = portfolio(spark, sf_dir)
-    return ranking.loss_concentration(p.loans, p.cfg, method="plain")
+    return ranking.loss_concentration(p.loans, p.cfg, method="scaled")
 
 
 @query("loss_concentration_scaled", _CURVE_SQL + _CURVE_SELECT)
 def q_loss_concentration_scaled(spark, sf_dir):
-    """W1-W4 in the scaled form (bucketed by sampled composite cut points)."""
+    """W1-W4 with many small buckets (64): exercises offsets across bucket borders."""
     p = portfolio(spark, sf_dir)
-    return ranking.loss_concentration(p.loans, p.cfg, method="scaled")
+    return ranking.loss_concentration(p.loans, p.cfg, method="scaled", buckets=64)
 
 
 @query("loss_concentration_summary", _CURVE_SQL + "," + _SUMMARY_SQL)
