@@ -9,8 +9,10 @@ that map holds every distinct amount.  Here the median is *selected*:
    error;
 2. one pass counts the rows below the bracket and keeps only the rows inside
    it (about 2m of the group);
-3. a window partitioned by group ranks those rows; the rows at the two
-   middle ranks give the median.
+3. the bracket rows are reduced to (value, count) — ties collapse map-side,
+   so a value held by a third of a group is one row — and a window over the
+   distinct values of the bracket accumulates counts; the values covering the
+   two ranks around the position give the result.
 
 The per-group statistics (one row per group) are cached, counted and
 broadcast only below ``BROADCAST_MAX_GROUPS``; with more groups the joins
@@ -109,14 +111,20 @@ def exact_quantiles(
     routed = j.select(
         *g, "__v", F.explode(F.array_compact(F.array(*[F.when(inb[i], F.lit(i)) for i in range(P)]))).alias("__i")
     )
-    w = Window.partitionBy(*g, "__i").orderBy("__v")
+    # Ties collapse map-side: the window sees distinct values with their counts,
+    # so a value held by a third of a group is one row, not a third of the group.
+    distinct_vals = routed.groupBy(*g, "__i", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*g, "__i").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     meta = _bounded(stats.join(counts, g))
-    ranked = routed.withColumn("__r", F.row_number().over(w)).join(meta, g)
     at = lambda name: F.col(name)[F.col("__i")]
-    ranked = ranked.withColumn("__r", F.col("__r") + at("__below"))
-    hits = ranked.where((F.col("__r") == at("__kl")) | (F.col("__r") == at("__kh"))).groupBy(*g, "__i").agg(
-        F.max(F.when(F.col("__r") == at("__kl"), F.col("__v"))).alias("__a"),
-        F.max(F.when(F.col("__r") == at("__kh"), F.col("__v"))).alias("__z"),
+    ranked = distinct_vals.withColumn("__cum", F.sum("__c").over(w)).join(meta, g)
+    # Ranks covered by this value: (below + cum - c, below + cum].
+    hi_rank = F.col("__cum") + at("__below")
+    lo_rank = hi_rank - F.col("__c")
+    covers = lambda k: (lo_rank < k) & (k <= hi_rank)
+    hits = ranked.where(covers(at("__kl")) | covers(at("__kh"))).groupBy(*g, "__i").agg(
+        F.max(F.when(covers(at("__kl")), F.col("__v"))).alias("__a"),
+        F.max(F.when(covers(at("__kh")), F.col("__v"))).alias("__z"),
         F.first(at("__kl")).alias("__kl1"),
         F.first(at("__kh")).alias("__kh1"),
         F.first(at("__pos")).alias("__p"),

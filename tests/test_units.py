@@ -140,3 +140,18 @@ def test_checks_runner_counts(spark):
               quality.Check("expression", "t", expression="k > 1", where="v is not null")]
     out = {r.check_kind: r.n_violations for r in quality.run_checks({"t": df}, checks).collect()}
     assert out == {"unique": 1, "not_null": 1, "accepted_values": 1, "expression": 2}
+
+
+def test_exact_quantiles_hot_value_and_groups(spark):
+    from lendlake.operators.quantiles import exact_median, exact_quantiles
+
+    # One value holds a third of group "a" and sits on its median.
+    rows = [("a", 50.0)] * 1000 + [("a", float(i)) for i in range(2000)] + [("b", float(i % 7)) for i in range(301)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    probs = [0.1, 0.5, 0.9, 1.0]
+    got = {r.k: r.quantiles for r in exact_quantiles(df, ["k"], "x", probs).collect()}
+    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("x", probs).alias("q")).collect()}
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-9)
+    dec = spark.createDataFrame([(D("1.00"),), (D("1.01"),), (D("-5.00"),), (D("7.00"),)], "x decimal(12,2)")
+    assert exact_median(dec, [], "x").first()[0] == D("1.00")
