@@ -7,7 +7,6 @@ heavy ties and a hot value holding a large share of the rows.
 import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lendlake.operators.quantiles import exact_quantiles
 from lendlake.operators.ranking import running_totals
