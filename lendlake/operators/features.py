@@ -243,20 +243,16 @@ def hash_split(df: DataFrame, id_col: str, share: float = 0.2, seed: int = 42, o
     """Reproducible validation split from a hash of the id (partitioning-invariant)."""
     return df.withColumn(out, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(100)) < int(share * 100))
 
-
-def _unpivot_row(one: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias(name)) for c in columns]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def impute_medians(df: DataFrame, medians: DataFrame) -> DataFrame:
+def impute_medians(df: DataFrame, medians: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """M6 transform: NULL -> fitted median (medians: long table column_name, median).
 
     The fitted table has one row per column; it is pivoted to one row and
     attached as a scalar subquery.
     """
     names = [c for c in df.columns]
-    wide = medians.groupBy().pivot("column_name").agg(F.first("median"))
+    # Known pivot values avoid the extra job that discovers them.
+    pivot = medians.groupBy().pivot("column_name", list(columns)) if columns else medians.groupBy().pivot("column_name")
+    wide = pivot.agg(F.first("median"))
     cols = [c for c in wide.columns]
     packed = wide.select(F.struct(*cols).alias("m")).scalar()
     return df.select(*[F.coalesce(F.col(c).cast("double"), packed[c]).alias(c) if c in cols else F.col(c) for c in names])

@@ -123,7 +123,7 @@ def q_fit_scaler(spark, sf_dir):
     p = portfolio(spark, sf_dir)
     ts = fx.booleans_to_int(fx.training_set(p.joined, p.cfg), keep=["is_loss"])
     train = ts.where(F.col("split") == "train")
-    imputed = fx.impute_medians(train, fx.fit_medians(train, TRAIN_NUM))
+    imputed = fx.impute_medians(train, fx.fit_medians(train, TRAIN_NUM), TRAIN_NUM)
     st = fx.fit_scaler(imputed, TRAIN_NUM)
     return st.select("column_name", F.round("mean", 6).alias("mean"), F.round("scale", 6).alias("scale"))
 
