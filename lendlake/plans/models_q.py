@@ -168,22 +168,46 @@ def q_regression_comparison(spark, sf_dir):
 
 @query("sweep")
 def q_sweep(spark, sf_dir):
-    """Logistic C sweep scored on a hash validation split inside train; best C flagged."""
+    """Parameter sweeps selected on hash validation splits inside train.
+
+    Logistic C and tree depth by validation ROC-AUC; ridge alpha by validation
+    RMSE (currency).  ``is_best`` flags the best row per model.
+    """
     d = _memo(ClassifierData, spark, sf_dir)
     tv = fx.hash_split(d.train, "loan_id", 0.2)
     fit_part = ml.cache(tv.where(~F.col("is_validation")))
     val_part = tv.where(F.col("is_validation"))
     sum_w = ml.total_weight(fit_part, "weight")
     rows = []
+
+    def auc_row(model_name, param, model, kind):
+        preds = ml.positive_score(model.transform(val_part), kind).select("score", F.col("is_loss").cast("int").alias("y"))
+        auc = mx.roc_auc(preds, "score", "y")
+        return auc.select(F.lit(model_name).alias("model"), F.lit(float(param)).alias("param"),
+                          F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
+
     for C in (0.01, 0.1, 1.0, 10.0):
-        model = ml.logistic(C, sum_w).fit(fit_part)
-        preds = ml.positive_score(model.transform(val_part), "logistic").select(
-            "score", F.col("is_loss").cast("int").alias("y"))
-        rows.append(mx.roc_auc(preds, "score", "y").select(F.lit("logistic").alias("model"), F.lit(C).alias("C"), "roc_auc"))
+        rows.append(auc_row("logistic", C, ml.logistic(C, sum_w).fit(fit_part), "logistic"))
+    for depth in (2, 4, 6):
+        rows.append(auc_row("tree", depth, ml.decision_tree(depth).fit(fit_part), "tree"))
+    s = _memo(SeverityData, spark, sf_dir)
+    stv = fx.hash_split(s.train, "loan_id", 0.2)
+    s_fit = ml.cache(stv.where(~F.col("is_validation")))
+    s_val = stv.where(F.col("is_validation"))
+    st = s_fit.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
+    for alpha in (1.0, 10.0, 100.0):
+        fitted = ml.ridge(alpha, int(st["n"]), float(st["sd"] or 0.0)).fit(s_fit)
+        pred = fitted.transform(s_val).select(
+            F.col("loss_amount").cast("double").alias("a"), F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("p"))
+        rows.append(mx.regression_metrics(pred, "a", "p").select(
+            F.lit("ridge").alias("model"), F.lit(alpha).alias("param"), F.lit("rmse").alias("metric"),
+            F.col("rmse").alias("value")))
     table = reduce(DataFrame.unionByName, rows)
-    # Best row by the metric (ties -> smaller C), flagged via a scalar subquery.
-    best = table.agg(F.max_by("C", F.struct(F.col("roc_auc"), -F.col("C")))).scalar()
-    return table.withColumn("is_best", F.col("C") == best)
+    # Best row per model (highest AUC, lowest RMSE; ties -> smaller parameter).
+    score = F.when(F.col("metric") == "rmse", -F.col("value")).otherwise(F.col("value"))
+    best = table.groupBy("model").agg(F.max_by("param", F.struct(score, -F.col("param"))).alias("best_param"))
+    return table.join(best, "model").select(
+        "model", "param", "metric", "value", (F.col("param") == F.col("best_param")).alias("is_best"))
 
 
 @query("poly_degree")
