@@ -287,3 +287,24 @@ def q_weighting_comparison(spark, sf_dir):
         "loan_id", F.col("is_loss").cast("int").alias("actual_is_loss"), "score", F.col("prediction").cast("int").alias("predicted"))
     rows.append(_classification_row("Logistic (oversampled)", preds))
     return reduce(DataFrame.unionByName, rows)
+
+
+@query("knn_sweep")
+def q_knn_sweep(spark, sf_dir):
+    """L9 (k = 5..55 step 5), L4: one 55-neighbour search answers every k on the validation split."""
+    from lendlake.operators import neighbors as nb
+
+    d = _memo(ClassifierData, spark, sf_dir)
+    tv = fx.hash_split(d.train, "loan_id", 0.2)
+    fit_part, val_part = tv.where(~F.col("is_validation")), tv.where(F.col("is_validation"))
+    ks = list(range(5, 60, 5))
+    nn = ml.cache(nb.nearest_neighbors(val_part, fit_part, max(ks), "loan_id", "loan_id"))
+    truth = val_part.select(F.col("loan_id").alias("test_id"), F.col("is_loss").cast("int").alias("y"))
+    per_k = nn.groupBy("test_id").agg(
+        *[F.avg(F.when(F.col("neighbor_rank") <= k, F.col("train_label"))).alias(f"k{k}") for k in ks]
+    ).join(truth, "test_id")
+    long = per_k.select("y", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("score")) for k in ks])).alias("s")).select("y", "s.*")
+    table = mx.roc_auc_by_group(long, "k", "score", "y")
+    best = table.agg(F.max_by("k", F.struct(F.col("roc_auc"), -F.col("k")))).scalar()
+    return table.withColumn("is_best", F.col("k") == best)
