@@ -170,8 +170,9 @@ def q_regression_comparison(spark, sf_dir):
 def q_sweep(spark, sf_dir):
     """Parameter sweeps selected on hash validation splits inside train.
 
-    Logistic C and tree depth by validation ROC-AUC; ridge alpha by validation
-    RMSE (currency).  ``is_best`` flags the best row per model.
+    Logistic C, linear-SVM C and tree depth by validation ROC-AUC; ridge and
+    lasso alpha by validation RMSE (currency).  ``is_best`` flags the best row
+    per model.
     """
     d = _memo(ClassifierData, spark, sf_dir)
     tv = fx.hash_split(d.train, "loan_id", 0.2)
@@ -188,6 +189,8 @@ def q_sweep(spark, sf_dir):
 
     for C in (0.01, 0.1, 1.0, 10.0):
         rows.append(auc_row("logistic", C, ml.logistic(C, sum_w).fit(fit_part), "logistic"))
+    for C in (0.1, 1.0, 10.0):
+        rows.append(auc_row("linear_svm", C, ml.linear_svm(C, sum_w).fit(fit_part), "svm"))
     for depth in (2, 4, 6):
         rows.append(auc_row("tree", depth, ml.decision_tree(depth).fit(fit_part), "tree"))
     s = _memo(SeverityData, spark, sf_dir)
@@ -195,12 +198,13 @@ def q_sweep(spark, sf_dir):
     s_fit = ml.cache(stv.where(~F.col("is_validation")))
     s_val = stv.where(F.col("is_validation"))
     st = s_fit.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
-    for alpha in (1.0, 10.0, 100.0):
-        fitted = ml.ridge(alpha, int(st["n"]), float(st["sd"] or 0.0)).fit(s_fit)
-        pred = fitted.transform(s_val).select(
+    regressors = [("ridge", a, ml.ridge(a, int(st["n"]), float(st["sd"] or 0.0))) for a in (1.0, 10.0, 100.0)]
+    regressors += [("lasso", a, ml.lasso(a)) for a in (0.001, 0.01, 0.1)]
+    for name, alpha, est in regressors:
+        pred = est.fit(s_fit).transform(s_val).select(
             F.col("loss_amount").cast("double").alias("a"), F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("p"))
         rows.append(mx.regression_metrics(pred, "a", "p").select(
-            F.lit("ridge").alias("model"), F.lit(alpha).alias("param"), F.lit("rmse").alias("metric"),
+            F.lit(name).alias("model"), F.lit(alpha).alias("param"), F.lit("rmse").alias("metric"),
             F.col("rmse").alias("value")))
     table = reduce(DataFrame.unionByName, rows)
     # Best row per model (highest AUC, lowest RMSE; ties -> smaller parameter).
