@@ -57,10 +57,15 @@ def exact_median(
     return q.select(*list(keys), m.alias(out))
 
 
-def _bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_GROUPS) -> DataFrame:
-    """Broadcast a per-group table only behind a size check (cached, counted)."""
+def _bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_GROUPS, small: bool | None = None) -> tuple[DataFrame, bool]:
+    """Broadcast a per-group table only behind a size check (cached, counted).
+
+    ``small`` reuses an earlier check for a table with the same groups.
+    """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if small is None:
+        small = df.count() <= max_rows
+    return (F.broadcast(df) if small else df), small
 
 
 def exact_quantiles(
@@ -101,7 +106,7 @@ def exact_quantiles(
         F.array(*[(F.ceil(x) + 1).cast("bigint") for x in pos]).alias("__kh"),
         F.array(*pos).alias("__pos"),
     )
-    stats = _bounded(stats)
+    stats, small = _bounded(stats)
     j = v.join(stats, g)
     inb = [F.col("__v").between(F.col("__lo")[i], F.col("__hi")[i]) for i in range(P)]
     counts = j.groupBy(*g).agg(
@@ -115,7 +120,7 @@ def exact_quantiles(
     # so a value held by a third of a group is one row, not a third of the group.
     distinct_vals = routed.groupBy(*g, "__i", "__v").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(*g, "__i").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    meta = _bounded(stats.join(counts, g))
+    meta, _ = _bounded(stats.join(counts, g), small=small)  # same groups as stats
     at = lambda name: F.col(name)[F.col("__i")]
     ranked = distinct_vals.withColumn("__cum", F.sum("__c").over(w)).join(meta, g)
     # Ranks covered by this value: (below + cum - c, below + cum].
