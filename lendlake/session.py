@@ -7,6 +7,7 @@ the query catalogue takes the caller's ``SparkSession``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,10 +34,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster.
+    """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Reads ``spark.checkpoint.dir`` from the session (set by the cluster).  Only
-    when it is unset — local tests — a scratch folder is created and set.
+    Where it is unset, a folder is made only for a local master, whose driver
+    and executors are one process.  On a cluster the executors would each
+    write to a disk of their own, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -44,6 +46,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="lendlake-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lendlake-ckpt-"))
+    return sc.getCheckpointDir()
