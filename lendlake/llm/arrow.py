@@ -2,15 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 SLICE_BYTES = 8 << 20
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Spark's file server sends the archive, so it may lie on the driver's disk.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="lendlake-")) / "lendlake.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _SHIPPED.add(app)
+
+
+def map_batches(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about ``limit`` bytes of ``column``.

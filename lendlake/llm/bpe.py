@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lendlake.llm.arrow import by_bytes, list_array, replaced_schema, with_column
+from lendlake.llm.arrow import by_bytes, list_array, map_batches, replaced_schema, with_column
 
 MEMO_ENTRIES = 300_000
 MEMO_LENGTH = 64
@@ -220,7 +220,7 @@ def encode(
             packed = [coder.encode(x) if x else b"" for x in batch.column(text).to_pylist()]
             yield with_column(batch, drop, ids, list_array(packed, pa.int32()))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -238,4 +238,4 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "ids", out: st
             texts = [coder.decode(values[a:b]) for a, b in zip(ends, ends[1:])]
             yield with_column(batch, [out], out, pa.array(texts, pa.binary()))
 
-    return tokens.mapInArrow(run, schema)
+    return map_batches(tokens, run, schema)

@@ -12,14 +12,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import bpe, chat, exact_dedup, sharding
-from lendlake.llm.common import table, text_or_empty
+from lendlake.llm import bpe, chat, exact_dedup, packing, quality_rules, sharding, simhash, token_files, word_tokens
+from lendlake.llm.common import scratch_path, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 # Fixed value: the conversation that the contract of op9 adds.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -127,3 +128,80 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+h AS (
+  SELECT rid, i, word, ('0x' || substr(md5(word), 1, 8))::BIGINT AS h,
+         lead(('0x' || substr(md5(word), 1, 8))::BIGINT) OVER v AS h2,
+         CASE WHEN lead(word, 4) OVER v IS NOT NULL THEN
+           word || ' ' || lead(word, 1) OVER v || ' ' || lead(word, 2) OVER v || ' ' || lead(word, 3) OVER v || ' ' || lead(word, 4) OVER v
+         END AS five
+  FROM w WINDOW v AS (PARTITION BY rid ORDER BY i)),
+r AS (SELECT *, five IS NOT NULL AND count(*) OVER (PARTITION BY rid, five) > 1 AS again FROM h),
+covered AS (
+  SELECT rid, max(again::INT) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c FROM r),
+per_doc AS (SELECT rid, sum(c)::BIGINT AS n_repeat_words FROM covered GROUP BY rid),
+grams AS (
+  SELECT rid, h % 65536 AS bucket FROM h
+  UNION ALL SELECT rid, (h * 1000003 + h2) % 65536 FROM h WHERE h2 IS NOT NULL),
+counts AS (
+  SELECT bucket, count(*) AS raw,
+         count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)) AS target
+  FROM grams JOIN d USING (rid) GROUP BY bucket),
+ratios AS (
+  SELECT bucket, CASE WHEN sum(target) OVER () = 0 THEN 0 ELSE round(1e6 * (ln(target + 1) - ln(raw + 1)
+    - (ln(sum(target) OVER () + 65536) - ln(sum(raw) OVER () + 65536)))) END::BIGINT AS ratio
+  FROM counts),
+scores AS (SELECT rid, sum(ratio) AS score, count(*) AS n FROM grams JOIN ratios USING (bucket) GROUP BY rid),
+lines AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+base AS (
+  SELECT doc_id, len(ws) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(score, 0) AS score, coalesce(n, 0) AS n
+  FROM d LEFT JOIN per_doc USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN scores USING (rid)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND score >= -150000 * n AS kept
+FROM judged
+""")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; trusted are those labelled 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    judged = quality_rules.apply_rules(docs, good)
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+@query()
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 4-word shingles, linked within 4 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents, each with end id 0, into sequences of 2048."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.cut(word_tokens.encode(docs, WORDS, end_id=0), 2048)
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(narrow, 2048)
+
+
+@query()
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of all documents, read the files back."""
+    target = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), target, WORDS, end_id=1)
+    return token_files.with_crc(token_files.read(spark, target)).select("doc_id", "start", "n_tokens", "ids_crc32")
