@@ -12,7 +12,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlake.llm import bpe, chat, exact_dedup, packing, quality_rules, sharding, simhash, token_files, word_tokens
+from lendlake.llm import (
+    bpe,
+    chat,
+    classifier,
+    exact_dedup,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_files,
+    word_tokens,
+)
 from lendlake.llm.common import scratch_path, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,6 +202,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove all bytes of 100-byte strings that also start earlier."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=100)
+    lengths = F.transform("spans", lambda s: s["length"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents, each with end id 0, into sequences of 2048."""
@@ -199,6 +225,21 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(narrow, 2048)
 
 
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from four fifths of the labels, score every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    scored = classifier.score(docs, classifier.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query()
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the ids of all documents, read the files back."""
