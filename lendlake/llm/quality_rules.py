@@ -93,9 +93,9 @@ def count_buckets(docs: DataFrame, text: str, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in by_bytes(batches, text):
-            for x in text_bytes(batch.column(text)):
-                if words := x.split():
-                    total += np.bincount(buckets_of(words, buckets), minlength=buckets)
+            found = [buckets_of(words, buckets) for x in text_bytes(batch.column(text)) if (words := x.split())]
+            if found:
+                total += np.bincount(np.concatenate(found), minlength=buckets)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["bucket", "n"])
 
