@@ -19,7 +19,7 @@ import base64
 import gc
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -28,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lendlake.llm.arrow import by_bytes, list_array, map_batches, replaced_schema, with_column
+from lendlake.llm.arrow import by_bytes, list_array, map_batches, replaced_schema, with_columns
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 250_000
 MEMO_LENGTH = 64
 
 
@@ -47,15 +47,54 @@ def merge_bytes(piece: str, rank: dict[str, int], below: int) -> list[str]:
     return parts
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """Rank to bytes of a rank file, read once per process."""
+    with open(path, "rb") as lines:
+        pairs = [line.split() for line in lines if line.strip()]
+    return {int(rank): base64.b64decode(token) for token, rank in pairs}
+
+
+def decode_lists(lists: pa.ListArray, path: str) -> pa.Array:
+    """The bytes of each list of ids."""
+    token = token_bytes(path).__getitem__
+    ends = lists.offsets.to_pylist()
+    parts = list(map(token, lists.values[ends[0] : ends[-1]].to_pylist()))
+    first = ends[0]
+    return pa.array([b"".join(parts[a - first : b - first]) for a, b in zip(ends, ends[1:])], pa.binary())
+
+
+class Memo(dict):
+    """Results of ``compute`` by key, at most twice ``MEMO_ENTRIES``; long keys are not kept.
+
+    When full, its entries become the old ones, and those in use come back.
+    """
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= MEMO_LENGTH:
+            if len(self) >= MEMO_ENTRIES:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+def pair_key(left: int, right: int) -> int:
+    return left << 32 | right
+
+
 class BytePairEncoder:
     """Encoder for one rank file (``base64(token) rank`` lines) and split pattern."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            pairs = [line.split() for line in lines if line.strip()]
-        self.rank = {base64.b64decode(token).decode("latin-1"): int(rank) for token, rank in pairs}
+        self.rank = {token.decode("latin-1"): rank for rank, token in token_bytes(path).items()}
         self.token = {rank: token for token, rank in self.rank.items()}
-        self.raw = {rank: token.encode("latin-1") for rank, token in self.token.items()}
         self.pieces = regex.compile(pattern)
         # The two tokens whose merge makes a token; single bytes have none.
         self.halves: dict[int, tuple[int, int]] = {}
@@ -75,14 +114,14 @@ class BytePairEncoder:
         self.size = {rank: len(token) for rank, token in self.token.items()}
         self.shorter: dict[int, int] = {}
         self.fits: dict[int, bool] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Memo(self._word)
+        self.chunks = Memo(self._spaced)
         # A blank before a non-blank always starts a piece, so texts fall apart there.
         self.blank = re.compile(r" (?=\S)")
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens ends in just these two."""
-        key = left << 32 | right
+        key = pair_key(left, right)
         known = self.fits.get(key)
         if known is None:
             if len(self.fits) > 2 * MEMO_ENTRIES:
@@ -137,6 +176,14 @@ class BytePairEncoder:
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
+        # Longest matches alone are the answer if all neighbours are compatible.
+        out = [token for _, token in self.longest.iter_long(piece)]
+        known = [self.fits.get(pair) for pair in map(pair_key, out, out[1:])]
+        if all(known) or all(self.compatible(a, b) for a, b in zip(out, out[1:])):
+            return out
+        return self._backtrack(piece)
+
+    def _backtrack(self, piece: str) -> list[int]:
         n, size, fits = len(piece), self.size, self.fits
         alive, out, last, pos = bytearray(b"\x01") * (n + 1), [], -1, 0
         token = self._longest(piece, 0)
@@ -161,37 +208,25 @@ class BytePairEncoder:
                 # The token just taken back ends at a dead place: the loop goes on with its prefixes.
         return out
 
+    def _word(self, piece: str) -> bytes:
+        latin = piece if piece.isascii() else piece.encode().decode("latin-1")
+        return array("i", self.encode_piece(latin)).tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
-        out = []
-        for piece in self.pieces.findall(chunk):
-            ids = self.words.get(piece)
-            if ids is None:
-                ids = array("i", self.encode_piece(piece.encode().decode("latin-1"))).tobytes()
-                if len(piece) <= MEMO_LENGTH:
-                    if len(self.words) >= MEMO_ENTRIES:
-                        self.words.clear()
-                    self.words[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, self.pieces.findall(chunk)))
+
+    def _spaced(self, part: str) -> bytes:
+        """Ids of a blank and a chunk without blanks."""
+        if part.isalpha():
+            return self.words[" " + part]
+        if part[-1] in ".," and part[:-1].isalpha():
+            return self.words[" " + part[:-1]] + self.words[part[-1]]
+        return self._chunk(" " + part)
 
     def encode(self, text: str) -> bytes:
         """Token ids of a text as packed int32."""
         first, *parts = self.blank.split(text)
-        known = self.chunks
-        found = list(map(known.get, parts))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    part = parts[i]
-                    found[i] = ids = known.get(part) or self._chunk(" " + part)
-                    if len(part) <= MEMO_LENGTH:
-                        if len(known) >= MEMO_ENTRIES:
-                            known.clear()
-                        known[part] = ids
-        return self._chunk(first) + b"".join(found)
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.raw.__getitem__, ids))
+        return self._chunk(first) + b"".join(map(self.chunks.__getitem__, parts))
 
 
 @lru_cache(maxsize=2)
@@ -203,39 +238,43 @@ def encoder(path: str, pattern: str) -> BytePairEncoder:
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep_text: bool = True
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep_text: bool = True,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` with a column ``ids`` (``array<int>``): the tokens of the whole text.
 
     Null and empty texts give an empty list.  A column of that name is replaced;
     all others pass unchanged (the text only if ``keep_text``).  Row by row, so
     repeated rows and null ids pass as they are; an empty table stays empty.
+    With ``decoded``, the ids are decoded again in the same pass, as ``decode``
+    does, into a binary column of that name.
     """
-    drop = [ids] + ([] if keep_text else [text])
-    schema = replaced_schema(docs, drop, T.StructField(ids, T.ArrayType(T.IntegerType(), False)))
+    drop = [ids] + ([] if keep_text else [text]) + ([decoded] if decoded else [])
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    fields += [T.StructField(decoded, T.BinaryType())] if decoded else []
+    schema = replaced_schema(docs, drop, *fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, pattern)
-        for batch in by_bytes(batches, text):
+        for batch in by_bytes(batches, text, 2 << 20):
             packed = [coder.encode(x) if x else b"" for x in batch.column(text).to_pylist()]
-            yield with_column(batch, drop, ids, list_array(packed, pa.int32()))
+            more = {ids: list_array(packed, pa.int32())}
+            if decoded:
+                more[decoded] = decode_lists(more[ids], path)
+            yield with_columns(batch, drop, more)
 
     return map_batches(docs, run, schema)
 
 
-def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``tokens`` with the bytes of its ids in ``out`` (binary; a null list gives none).
 
-    An id that the rank file lacks is an error.
+    An id that the rank file lacks is an error.  Columns named ``out`` are replaced.
     """
     schema = replaced_schema(tokens, [out], T.StructField(out, T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
-        for batch in by_bytes(batches, ids):
-            lists = batch.column(ids)
-            values, ends = lists.values.to_pylist(), lists.offsets.to_pylist()
-            texts = [coder.decode(values[a:b]) for a, b in zip(ends, ends[1:])]
-            yield with_column(batch, [out], out, pa.array(texts, pa.binary()))
+        for batch in by_bytes(batches, ids, 4 << 20):
+            yield with_columns(batch, [out], {out: decode_lists(batch.column(ids), path)})
 
     return map_batches(tokens, run, schema)

@@ -52,8 +52,7 @@ def query(sql: str | None = None):
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids again; digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, RANKS, PATTERN, keep_text=False)
-    both = bpe.decode(tokens, RANKS, PATTERN)
+    both = bpe.encode(docs, RANKS, PATTERN, keep_text=False, decoded="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
