@@ -13,9 +13,10 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendlake.llm.arrow import ship_package
 from lendlake.llm.common import stored, without
@@ -129,14 +130,14 @@ def pack(
     """
     outputs = ["sequence_id", "offset"]
     rows = stored(
-        without(pieces, outputs + ["pack_row"]).withColumn("pack_row", F.monotonically_increasing_id()), "pieces"
+        without(pieces, outputs + ["pack_row", "block"]).withColumn("pack_row", F.monotonically_increasing_id()), "pieces"
     )
     blocks = max(1, -(-rows.count() // block_rows))
-    keys, names = list(order), [c for c in rows.columns if c != "pack_row"]
+    keys, names = [*order, "pack_row"], [c for c in rows.columns if c != "pack_row"]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(keys + ["pack_row"], kind="stable").reset_index(drop=True)
-        lengths = rows[length].fillna(0).astype("int64").tolist()
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(k, "ascending") for k in keys])
+        lengths = [n or 0 for n in rows[length].to_pylist()]
         bins = improve(best_fit(lengths, capacity), lengths, capacity)
         sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
         for b, items in enumerate(bins):
@@ -144,15 +145,15 @@ def pack(
             for i in sorted(items):
                 sequence[i], offset[i] = b, place
                 place += lengths[i]
-        out = rows[names].copy()
-        out["sequence_id"] = rows["block"].astype("int64") * (1 << 32) + sequence
-        out["offset"] = offset
-        return out
+        block = rows["block"].to_numpy()
+        out = rows.select(names)
+        return out.append_column("sequence_id", pa.array((block << 32) + sequence)).append_column("offset", pa.array(offset))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "pack_row")
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "pack_row"])
+    schema = schema.add("sequence_id", T.LongType()).add("offset", T.LongType())
     ship_package(rows.sparkSession)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("pack_row"), F.lit(blocks)))
-    return dealt.groupBy("block").applyInPandas(run, f"{schema}, sequence_id bigint, offset bigint")
+    return dealt.groupBy("block").applyInArrow(run, schema)
 
 
 def cut(tokens: DataFrame, capacity: int, ids: str = "ids") -> DataFrame:

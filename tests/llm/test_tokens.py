@@ -124,7 +124,7 @@ def test_op7_query(spark, words):
 def test_cut_pack_and_sequences(spark):
     tokens = word_tokens.encode(odd_docs(spark), queries.WORDS, end_id=0)
     pieces = packing.cut(tokens, 256)
-    packed = packing.pack(pieces.select("doc_id", "piece", "start", "length", "ids", "block"), 256, block_rows=7)
+    packed = packing.pack(pieces.select("doc_id", "piece", "start", "length", "ids", "block", "offset"), 256, block_rows=7)
     rows = packed.collect()
     check_packing(rows, None, 256)
     assert sum(r["length"] for r in rows) == tokens.select(F.sum(F.length("ids") / 4)).first()[0]
