@@ -56,7 +56,7 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, start = encoder(path), TaskContext.get().partitionId(), 0
-        for batch in by_bytes(batches, "text", 4 << 20):
+        for batch in by_bytes(batches, "text", 6 << 20):
             packed = [x + end for x in coder.encode([x or "" for x in batch.column("text").to_pylist()])]
             sizes = np.array([len(x) // 4 for x in packed], np.int64)
             starts = start + np.cumsum(sizes) - sizes
