@@ -5,7 +5,6 @@ from lendlake.functions.columns import (  # noqa: F401
     any_null,
     band_label,
     band_order,
-    clip,
     decimal_median,
     is_conflict,
     mean_of,

@@ -113,15 +113,6 @@ def sign_group(amount: str | Column) -> Column:
     )
 
 
-def clip(x: str | Column, lo: float | Column | None = None, hi: float | Column | None = None) -> Column:
-    out = col(x)
-    if lo is not None:
-        out = F.greatest(out, lo if isinstance(lo, Column) else F.lit(lo))
-    if hi is not None:
-        out = F.least(out, hi if isinstance(hi, Column) else F.lit(hi))
-    return out
-
-
 def any_null(cols: Sequence[str]) -> Column:
     """True when any of the columns is NULL (row-wise)."""
     out = F.lit(False)

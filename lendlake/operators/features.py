@@ -22,6 +22,7 @@ from lendlake.config import (
     PortfolioConfig,
 )
 from lendlake.functions import sentinel_flag, sentinel_to_null, split_label
+from lendlake.session import stored
 
 
 def _cfg(cfg):
@@ -52,6 +53,28 @@ def train_level_counts(labelled: DataFrame, column: str) -> DataFrame:
     return labelled.where(F.col("split") == "train").groupBy(column).agg(F.count(F.lit(1)).alias("train_loan_count"))
 
 
+def with_grouped_level(labelled: DataFrame, column: str, min_count: int, rare_label: str) -> DataFrame:
+    """``column``_grouped, the level if enough training rows have it, else ``rare_label``.
+
+    The table of kept levels (at most training rows / ``min_count``) is counted
+    first.  Up to ``MAX_BROADCAST_LEVELS`` it is broadcast, so the wide rows
+    are not shuffled on a hot level; beyond, rows of a level are spread over
+    ``LEVEL_SALTS`` salts.  A NULL level is never kept.
+    """
+    kept = train_level_counts(labelled, column).where(F.col("train_loan_count") >= min_count).where(F.col(column).isNotNull())
+    kept = stored(kept.select(F.col(column).alias("__level")), "levels")
+    if kept.count() <= MAX_BROADCAST_LEVELS:
+        joined = labelled.join(F.broadcast(kept), labelled[column] == kept["__level"], "left")
+    else:
+        salts = F.sequence(F.lit(0), F.lit(LEVEL_SALTS - 1))
+        salted = labelled.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(LEVEL_SALTS)).cast("int"))
+        spread = kept.withColumn("__at", F.explode(salts))
+        on = (salted[column] == spread["__level"]) & (salted["__salt"] == spread["__at"])
+        joined = salted.join(spread, on, "left").drop("__salt", "__at")
+    grouped = F.coalesce(F.col("__level"), F.lit(rare_label))
+    return joined.withColumn(f"{column}_grouped", grouped).drop("__level")
+
+
 def training_set(
     joined: DataFrame,
     cfg: PortfolioConfig | None = None,
@@ -62,17 +85,15 @@ def training_set(
     cfg = _cfg(cfg)
     lab = label_split(joined, cfg)
     f = cfg.rare_feature
-    counts = train_level_counts(lab, f).withColumnRenamed(f, "__lvl")
-    # Left join to the learned count table; a NULL level never matches.
-    j = lab.join(counts, lab[f] == counts["__lvl"], "left")
-    grouped = F.when(F.coalesce(F.col("train_loan_count"), F.lit(0)) >= min_count, F.col(f)).otherwise(F.lit(rare_label))
+    j = with_grouped_level(lab, f, min_count, rare_label)
+    grouped = F.col(f"{f}_grouped")
     others = [c for c in cfg.categorical if c != f]
     return j.select(
         cfg.id_col,
         "split",
         cfg.label_col,
         cfg.date_col,
-        grouped.alias(f"{f}_grouped"),
+        grouped,
         *others,
         *_sentinel_block(j, cfg),
         *_rest(lab, cfg),
@@ -95,6 +116,9 @@ def severity_set(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataF
     )
 
 
+MAX_BROADCAST_LEVELS = 200_000
+LEVEL_SALTS = 32
+
 # --------------------------------------------------------------------------
 # Column routing
 # --------------------------------------------------------------------------
@@ -181,11 +205,6 @@ def apply_rare_levels(
     return out
 
 
-def impute_missing_category(df: DataFrame, columns: Sequence[str], fill: str = MISSING_CATEGORY) -> DataFrame:
-    """M4: constant imputation of categories."""
-    return df.select(*[F.coalesce(F.col(c), F.lit(fill)).alias(c) if c in columns else F.col(c) for c in df.columns])
-
-
 def fit_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """M6 fit: exact (interpolated) median of each numeric column, one pass, long form."""
     from lendlake.operators.profiling import unpivot_values

@@ -142,8 +142,8 @@ def portfolio_quarterly(joined: DataFrame, cfg: PortfolioConfig | None = None) -
 # --------------------------------------------------------------------------
 
 
-def portfolio_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
-    """A1: the one-pass portfolio aggregate (one row).
+def loan_measures(joined: DataFrame, cfg: PortfolioConfig | None = None, more: Sequence[Column] = ()) -> DataFrame:
+    """A1: the one-pass portfolio aggregate (one row), with ``more`` measures of the same pass.
 
     The two exact distinct counts are separate aggregates attached as scalar
     subqueries instead of one ``agg`` with two DISTINCTs, which Catalyst would
@@ -172,6 +172,7 @@ def portfolio_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None) ->
         F.sum(F.when(amt < 0, 1).otherwise(0)).cast("bigint").alias("net_recovery_loan_count"),
         F.sum(F.when(amt.isNull(), 1).otherwise(0)).cast("bigint").alias("missing_loss_amount_count"),
         F.sum(F.when(d.isNull(), 1).otherwise(0)).cast("bigint").alias("missing_received_date_count"),
+        *more,
     )
     funded = loans.agg(F.countDistinct(cfg.id_col).alias("funded_loan_count"))
     days = loans.agg(F.countDistinct(cfg.date_col).alias("distinct_origination_days"))
@@ -182,7 +183,7 @@ def portfolio_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None) ->
     return out
 
 
-def window_bounds(joined: DataFrame, cfg: PortfolioConfig | None = None, months: int = TRAILING_MONTHS) -> DataFrame:
+def trailing_bounds(joined: DataFrame, cfg: PortfolioConfig | None = None, months: int = TRAILING_MONTHS) -> DataFrame:
     """Anchor on the newest date; window starts ``months`` and ``2*months`` back."""
     cfg = _cfg(cfg)
     anchor = F.max(cfg.date_col)
@@ -193,21 +194,22 @@ def window_bounds(joined: DataFrame, cfg: PortfolioConfig | None = None, months:
     )
 
 
+def _trailing_measures(joined: DataFrame, cfg: PortfolioConfig, months: int) -> list[Column]:
+    """Loans and loss rate in the last and the prior ``months``; the bounds are one scalar struct."""
+    bounds = trailing_bounds(joined, cfg, months).select(F.struct("last_window_start", "prior_window_start").alias("b")).scalar()
+    d, lab = F.col(cfg.date_col), F.col(cfg.label_col).cast("int")
+    recent = d > bounds["last_window_start"]
+    earlier = ~recent & (d > bounds["prior_window_start"])
+    out = []
+    for inside, name in ((recent, "last"), (earlier, "prior")):
+        out.append(F.count_if(inside).cast("bigint").alias(f"funded_loan_count_{name}_12_months"))
+        out.append(mean_of(F.when(inside, lab)).alias(f"loss_rate_{name}_12_months"))
+    return out
+
+
 def trailing_windows(joined: DataFrame, cfg: PortfolioConfig | None = None, months: int = TRAILING_MONTHS) -> DataFrame:
     """Loans and loss rate in the last / prior ``months`` (half-open windows)."""
-    cfg = _cfg(cfg)
-    b = window_bounds(joined, cfg, months)
-    last_start = b.select("last_window_start").scalar()
-    prior_start = b.select("prior_window_start").scalar()
-    d, lab = F.col(cfg.date_col), F.col(cfg.label_col).cast("int")
-    in_last = d > last_start
-    in_prior = (d <= last_start) & (d > prior_start)
-    return joined.agg(
-        F.sum(F.when(in_last, 1).otherwise(0)).cast("bigint").alias("funded_loan_count_last_12_months"),
-        mean_of(F.when(in_last, lab)).alias("loss_rate_last_12_months"),
-        F.sum(F.when(in_prior, 1).otherwise(0)).cast("bigint").alias("funded_loan_count_prior_12_months"),
-        mean_of(F.when(in_prior, lab)).alias("loss_rate_prior_12_months"),
-    )
+    return joined.agg(*_trailing_measures(joined, _cfg(cfg), months))
 
 
 def feature_columns(joined: DataFrame, cfg: PortfolioConfig | None = None) -> list[str]:
@@ -234,7 +236,7 @@ def duplicate_vectors(joined: DataFrame, columns: Sequence[str] | None = None, c
     )
 
 
-def all_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: DataFrame | None = None) -> DataFrame:
+def kpi_record(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: DataFrame | None = None) -> DataFrame:
     """One row holding every KPI as a column (J4 without a cross join).
 
     ``loans`` (optional) is the outcome table the joined view was built from;
@@ -242,15 +244,14 @@ def all_metrics(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: Da
     """
     cfg = _cfg(cfg)
     loans = loans if loans is not None else joined
-    base = portfolio_metrics(loans, cfg)
-    base = attach_row(base, trailing_windows(loans, cfg))
+    base = loan_measures(loans, cfg, _trailing_measures(loans, cfg, TRAILING_MONTHS))
     base = base.withColumn(
         "loss_rate_12_month_change", F.col("loss_rate_last_12_months") - F.col("loss_rate_prior_12_months")
     )
     return attach_row(base, duplicate_vectors(joined, cfg=cfg))
 
 
-def kpi_long(metrics: DataFrame, kpis: Sequence[tuple] = KPI_DEFINITIONS) -> DataFrame:
+def kpi_rows(metrics: DataFrame, kpis: Sequence[tuple] = KPI_DEFINITIONS) -> DataFrame:
     """Wide one-row record -> one row per KPI via one explode (no unions)."""
     rows = []
     for pos, (group, name, unit, headline) in enumerate(kpis, start=1):
@@ -273,7 +274,7 @@ def kpi_long(metrics: DataFrame, kpis: Sequence[tuple] = KPI_DEFINITIONS) -> Dat
 
 
 def portfolio_kpis(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: DataFrame | None = None) -> DataFrame:
-    return kpi_long(all_metrics(joined, cfg, loans))
+    return kpi_rows(kpi_record(joined, cfg, loans))
 
 
 def kpi_wide(long: DataFrame, kpis: Sequence[tuple] = KPI_DEFINITIONS) -> DataFrame:
@@ -303,7 +304,7 @@ def headline_kpis(long: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def segments_long(joined: DataFrame, cfg: PortfolioConfig | None = None, null_label: str = NULL_SEGMENT) -> DataFrame:
+def loan_levels(joined: DataFrame, cfg: PortfolioConfig | None = None, null_label: str = NULL_SEGMENT) -> DataFrame:
     """One row per loan per categorical feature in a single scan."""
     cfg = _cfg(cfg)
     pairs = [
@@ -331,7 +332,7 @@ def risk_segmentation(
     )
     positive = F.when(amt > 0, amt)
     seg = (
-        segments_long(base, cfg)
+        loan_levels(base, cfg)
         .groupBy("feature_name", "segment")
         .agg(
             F.count(F.lit(1)).alias("funded_loan_count"),
@@ -347,7 +348,7 @@ def risk_segmentation(
         )
     )
     if MEDIAN_METHOD != "percentile":
-        long = segments_long(base, cfg).where(amt > 0)
+        long = loan_levels(base, cfg).where(amt > 0)
         med = exact_median(long, ["feature_name", "segment"], cfg.amount_col, "median_positive_loss_severity")
         seg = seg.join(med, ["feature_name", "segment"], "left")
     seg = attach_row(seg, totals)

@@ -18,6 +18,10 @@ from lendlake.operators.quantiles import exact_quantiles
 from lendlake.operators.ranking import running_totals
 
 
+# Fixed value: from this many parameters a row, BIC is not to be trusted.
+PARAMS_PER_ROW_LIMIT = 0.8
+
+
 def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     lab = F.col(label).cast("int")
     return df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(
@@ -28,16 +32,17 @@ def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
 def _totals(counts: DataFrame):
     t = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     packed = t.select(F.struct("P", "N").alias("t")).scalar()
-    return packed["P"], packed["N"]
+    # As doubles: the product of two large counts does not fit a bigint.
+    return packed["P"].cast("double"), packed["N"].cast("double")
 
 
 def roc_auc(df: DataFrame, score: str, label: str, method: str = "scaled") -> DataFrame:
-    """ROC-AUC by ranks, ties count one half (Mann-Whitney)."""
+    """ROC-AUC by ranks, ties count one half (Mann-Whitney); NULL if a class is absent."""
     counts = _score_counts(df, score, label)
     asc = running_totals(counts, [(score, False)], {"neg_below": "neg"}, method=method, include_current=False)
     P, N = _totals(counts)
     contrib = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)
-    return asc.agg(F.sum(contrib).alias("s")).select((F.col("s") / (P * N)).alias("roc_auc"))
+    return asc.agg(F.sum(contrib).alias("s")).select(F.try_divide(F.col("s"), P * N).alias("roc_auc"))
 
 
 def curve_points(df: DataFrame, score: str, label: str, method: str = "scaled") -> DataFrame:
@@ -49,10 +54,10 @@ def curve_points(df: DataFrame, score: str, label: str, method: str = "scaled")
         F.col(score).alias("threshold"),
         "tp",
         "fp",
-        (F.col("tp") / P).alias("tpr"),
-        (F.col("fp") / N).alias("fpr"),
+        F.try_divide(F.col("tp"), P).alias("tpr"),
+        F.try_divide(F.col("fp"), N).alias("fpr"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        (F.col("tp") / P).alias("recall"),
+        F.try_divide(F.col("tp"), P).alias("recall"),
     )
 
 
@@ -62,7 +67,7 @@ def average_precision(df: DataFrame, score: str, label: str, method: str = "scal
     desc = running_totals(counts, [(score, True)], {"tp": "pos", "fp": "neg"}, method=method)
     P, _ = _totals(counts)
     step = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return desc.agg(F.sum(step).alias("s")).select((F.col("s") / P).alias("average_precision"))
+    return desc.agg(F.sum(step).alias("s")).select(F.try_divide(F.col("s"), P).alias("average_precision"))
 
 
 def threshold_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
@@ -101,28 +106,37 @@ def confusion(df: DataFrame, pred: str, label: str) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def with_risk_decile(df: DataFrame, score: str, out: str = "risk_decile", k: int = 10, digits: int = 6) -> DataFrame:
+def with_risk_decile(df: DataFrame, score: str, out: str = "risk_decile", k: int = 10) -> DataFrame:
     """Decile by quantile edges, 1 = riskiest; right-closed bins (not ``ntile``).
 
-    Edges come from one aggregate attached as a scalar subquery and are
-    rounded to ``digits`` (engines differ in the last bits of interpolation).
+    The edges are the k + 1 quantiles from minimum to maximum, equal ones
+    once.  The bins between them are numbered from the lowest, 0, and bin b is
+    decile k - b: the lowest bin is always decile k, and with tied edges the
+    highest bin has a number above 1.  A NULL score has no decile.
     """
-    edges = exact_quantiles(df, [], score, [i / k for i in range(1, k)], "e").scalar()
-    s = F.round(F.col(score).cast("double"), digits)
-    above = sum(F.when(s > F.round(edges[i], digits), 1).otherwise(0) for i in range(k - 1))
-    return df.withColumn(out, (F.lit(k) - above).cast("int"))
+    edges = exact_quantiles(df, [], score, [i / k for i in range(k + 1)], "e").scalar()
+    s = F.col(score).cast("double")
+    counted = [(s > edges[0])] + [(s > edges[i]) & (edges[i] > edges[i - 1]) for i in range(1, k + 1)]
+    below = sum(c.cast("int") for c in counted)
+    return df.withColumn(out, F.when(s.isNotNull(), F.lit(k) - F.greatest(below - 1, F.lit(0))).cast("int"))
 
 
 def decile_table(df: DataFrame, decile: str, label: str) -> DataFrame:
-    """Observed loss rate per decile."""
-    return df.groupBy(decile).agg(
+    """Observed loss rate per decile, and its lead over the last decile in points.
+
+    Sorted from the riskiest decile; the first row's lead is the spread
+    between top and bottom.
+    """
+    rates = df.groupBy(decile).agg(
         F.count(F.lit(1)).alias("loans"),
         F.sum(F.col(label).cast("int")).cast("bigint").alias("losses"),
         (F.sum(F.col(label).cast("int")) / F.count(F.col(label))).alias("loss_rate"),
     )
+    last = rates.agg(F.max_by("loss_rate", decile)).scalar()
+    return rates.withColumn("lead_over_last_pp", (F.col("loss_rate") - last) * 100).orderBy(decile)
 
 
-def decline_table(df: DataFrame, score: str, label: str, shares: Sequence[float], digits: int = 6) -> DataFrame:
+def decline_table(df: DataFrame, score: str, label: str, shares: Sequence[float]) -> DataFrame:
     """Decline the riskiest share of loans; what is caught and what is lost.
 
     Cutoff = quantile(score, 1 - share); declined = score >= cutoff.  All
@@ -130,13 +144,13 @@ def decline_table(df: DataFrame, score: str, label: str, shares: Sequence[float]
     """
     qs = [1 - s for s in shares]
     edges = exact_quantiles(df, [], score, qs, "e").scalar()
-    s = F.round(F.col(score).cast("double"), digits)
+    s = F.col(score).cast("double")
     y = F.col(label).cast("int")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("P")]
     for i in range(len(shares)):
-        dec = s >= F.round(edges[i], digits)
+        dec = s >= edges[i]
         aggs += [
-            F.round(edges[i], digits).alias(f"cut{i}"),
+            edges[i].alias(f"cut{i}"),
             F.count_if(dec).alias(f"d{i}"),
             F.sum(F.when(dec, y).otherwise(0)).alias(f"c{i}"),
         ]
@@ -170,12 +184,12 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (1 - F.sum(err * err) / (F.var_pop(a) * F.count(a))).alias("r2"),
+        (1 - F.try_divide(F.sum(err * err), F.var_pop(a) * F.count(a))).alias("r2"),
     )
 
 
 def prediction_rows(df: DataFrame, id_col: str, actual: str, predicted: str, extra: Sequence[str] = ()) -> DataFrame:
-    """Actual, predicted, residual, absolute error."""
+    """Actual, predicted, residual, absolute error; the largest error first, then the id."""
     res = F.col(actual).cast("double") - F.col(predicted).cast("double")
     return df.select(
         id_col,
@@ -184,7 +198,7 @@ def prediction_rows(df: DataFrame, id_col: str, actual: str, predicted: str, ext
         F.col(predicted).cast("double").alias("predicted_loss_amount"),
         res.alias("residual"),
         F.abs(res).alias("absolute_error"),
-    )
+    ).orderBy(F.col("absolute_error").desc_nulls_last(), id_col)
 
 
 def median_baseline(train: DataFrame, test: DataFrame, target: str) -> DataFrame:
@@ -194,7 +208,12 @@ def median_baseline(train: DataFrame, test: DataFrame, target: str) -> DataFrame
 
 
 def bic(df: DataFrame, actual: str, predicted: str, n_params: int) -> DataFrame:
-    """N ln(RSS/n) + k ln n, plus the rows-per-parameter guard."""
+    """N ln(RSS/n) + k ln n, with the parameters per row.
+
+    ``is_reliable`` is false from ``PARAMS_PER_ROW_LIMIT`` parameters a row on:
+    there least squares can fit the rows exactly and BIC says nothing.  An
+    exact fit (RSS = 0) has BIC minus infinity.
+    """
     err = F.col(actual).cast("double") - F.col(predicted).cast("double")
     one = df.agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("rss"))
     n = F.col("n")
@@ -202,21 +221,25 @@ def bic(df: DataFrame, actual: str, predicted: str, n_params: int) -> DataFrame:
         "n",
         "rss",
         F.lit(n_params).alias("n_params"),
-        (n * F.log(F.col("rss") / n) + F.lit(n_params) * F.log(n)).alias("bic"),
-        (n / F.lit(n_params)).alias("rows_per_param"),
+        F.when(F.col("rss") == 0, F.lit(float("-inf")))
+        .otherwise(n * F.log(F.col("rss") / n) + F.lit(n_params) * F.log(n))
+        .alias("bic"),
+        (F.lit(n_params) / n).alias("params_per_row"),
+        (F.lit(n_params) / n < PARAMS_PER_ROW_LIMIT).alias("is_reliable"),
     )
 
 
 def expected_loss(
     test_loans: DataFrame, severity_predictions: DataFrame, label: str, amount: str, predicted_severity: str
 ) -> DataFrame:
-    """Modelled vs actual loss per funded loan (long, five rows).
+    """Modelled vs actual loss per funded loan (long, six rows).
 
     modelled = test loss rate x mean predicted severity (over the severity
     test rows); actual = total positive loss / funded test loans.
     """
     a = F.col(amount)
     t = test_loans.agg(
+        F.count(F.lit(1)).cast("double").alias("test_loans"),
         (F.sum(F.col(label).cast("int")) / F.count(F.col(label))).alias("loss_rate"),
         (F.sum(F.when(a > 0, a).otherwise(0)).cast("double") / F.count(F.lit(1))).alias("actual_loss_per_loan"),
     )
@@ -227,6 +250,7 @@ def expected_loss(
     rows = [
         F.struct(F.lit(k).alias("metric"), v.alias("value"))
         for k, v in [
+            ("test_loans", F.col("test_loans")),
             ("loss_rate", F.col("loss_rate")),
             ("mean_predicted_severity", F.col("mean_predicted_severity")),
             ("modelled_expected_loss_per_loan", modelled),
@@ -251,5 +275,7 @@ def roc_auc_by_group(df: DataFrame, group: str, score: str, label: str) -> DataF
     w = Window.partitionBy(group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     below = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
     return below.groupBy(group).agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc")
+        F.try_divide(
+            F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)), F.sum("pos").cast("double") * F.sum("neg")
+        ).alias("roc_auc")
     )

@@ -27,10 +27,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from lendlake.config import GROUPER_MIN_COUNT, MISSING_CATEGORY
 from lendlake.operators import features as fx
+from lendlake.session import stored
 
 
 @dataclass
@@ -62,6 +62,19 @@ class Preprocessor:
         return self.encoder.transform(x).withColumnRenamed("__features", out)
 
 
+# The encoder holds every level on the driver: one vector slot each.
+MAX_LEVELS = 10_000
+
+
+def check_level_counts(df: DataFrame, cat_cols: Sequence[str], limit: int = MAX_LEVELS) -> None:
+    """M5: raise before a column with too many levels is one-hot encoded (group it first)."""
+    if cat_cols:
+        counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cat_cols]).first().asDict()
+        wide = {c: n for c, n in counts.items() if n > limit}
+        if wide:
+            raise ValueError(f"too many levels to one-hot encode: {wide}")
+
+
 def fit_preprocessor(
     train: DataFrame,
     cat_cols: Sequence[str],
@@ -74,7 +87,7 @@ def fit_preprocessor(
     kept = None
     base = train
     if group_rare and cat_cols:
-        kept = fx.fit_rare_levels(train, cat_cols, rare_min_count).cache()
+        kept = stored(fx.fit_rare_levels(train, cat_cols, rare_min_count), "rare-levels")
         base = fx.apply_rare_levels(train, kept, cat_cols)
     # Exact medians, then mean / population std of the imputed columns (two
     # aggregate passes; results are one number per column).
@@ -88,6 +101,7 @@ def fit_preprocessor(
     means = {c: float(stats[f"m_{c}"] or 0.0) for c in num_cols}
     scales = {c: (float(stats[f"s_{c}"]) if stats[f"s_{c}"] else 1.0) for c in num_cols}
     stages = []
+    check_level_counts(base, cat_cols)
     if cat_cols:
         stages.append(
             StringIndexer(inputCols=cat_cols, outputCols=[f"__idx_{c}" for c in cat_cols], handleInvalid="keep",
@@ -126,22 +140,38 @@ def logistic(C: float, sum_w: float, weight: str | None = "weight", label: str =
 
 
 def linear_svm(C: float, sum_w: float, weight: str | None = "weight", label: str = "label", max_iter: int = 100):
-    """L2: linear SVM (hinge loss) with the same penalty mapping."""
+    """L2: linear SVM (hinge loss) with the same penalty mapping.
+
+    At most ``max_iter`` iterations; ``converged`` tells whether fewer did.
+    """
     m = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * sum_w), standardization=False,
                   maxIter=max_iter, tol=1e-6, aggregationDepth=2)
     return m.setWeightCol(weight) if weight else m
 
 
-def decision_tree(max_depth: int | None, weight: str | None = "weight", label: str = "label"):
-    """L3: decision tree (``None`` depth -> 30, Spark's maximum)."""
+def converged(model, max_iter: int) -> bool:
+    """Whether an iterative fit stopped by its tolerance, not by ``max_iter``."""
+    return model.summary().totalIterations < max_iter if callable(model.summary) else model.summary.totalIterations < max_iter
+
+
+def decision_tree(max_depth: int | None, weight: str | None = "weight", label: str = "label", max_bins: int = 64):
+    """L3: decision tree (``None`` depth -> 30, Spark's maximum).
+
+    Numeric splits are chosen among ``max_bins`` quantile bins of a column.
+    """
     m = DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=30 if max_depth is None else max_depth,
-                               maxBins=64, seed=42)
+                               maxBins=max_bins, seed=42)
     return m.setWeightCol(weight) if weight else m
 
 
-def ols(label: str = "label"):
-    """Ordinary least squares."""
-    return LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, standardization=False, solver="normal")
+# The normal equations are solved on the driver, which Spark refuses above this width.
+NORMAL_MAX_COLUMNS = 4096
+
+
+def ols(label: str = "label", width: int | None = None):
+    """Ordinary least squares; wide inputs (``width`` columns) are fitted iteratively."""
+    solver = "l-bfgs" if width is not None and width > NORMAL_MAX_COLUMNS else "normal"
+    return LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, standardization=False, solver=solver)
 
 
 def ridge(alpha: float, n: int, label_std: float, label: str = "label"):
@@ -172,8 +202,3 @@ def coefficient_table(model, names: Sequence[str]) -> list[tuple[str, float]]:
 def polynomial(df: DataFrame, degree: int, in_col: str = "features", out: str = "poly") -> DataFrame:
     """M9: polynomial expansion without bias term."""
     return PolynomialExpansion(degree=degree, inputCol=in_col, outputCol=out).transform(df)
-
-
-def cache(df: DataFrame) -> DataFrame:
-    """Persist assembled features before iterative fits (spills to disk)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -71,7 +71,7 @@ def loss_by_level(
 def median_by_level(df: DataFrame, feature: str, amount: str, top_n: int = 10) -> DataFrame:
     """A25 + O4: median amount of the ``top_n`` most frequent levels (a top-k report)."""
     g = df.groupBy(feature).agg(F.count(F.lit(1)).alias("loans"))
-    top = g.orderBy(F.col("loans").desc(), F.col(feature).asc_nulls_last()).limit(top_n)
+    top = g.where(F.col(feature).isNotNull()).orderBy(F.col("loans").desc(), feature).limit(top_n)
     return _with_median(top, df.join(top.select(feature), feature, "left_semi"), [feature], amount, "median_amount")
 
 
@@ -107,7 +107,7 @@ def sign_label_crosstab(df: DataFrame, label: str = "is_loss", amount: str = "lo
 
 
 def repeated_patterns(df: DataFrame, keys: Sequence[str], id_col: str = "loan_id") -> DataFrame:
-    """Value combinations held by more than one row.
+    """Value combinations held by more than one row, the most frequent first.
 
     The reference renders the member ids as one joined string per group; a
     hot combination would then funnel an unbounded list into one task.  Here
@@ -117,15 +117,20 @@ def repeated_patterns(df: DataFrame, keys: Sequence[str], id_col: str = "loan_id
     g = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"), F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id")
     )
-    return g.where(F.col("rows") > 1)
+    return g.where(F.col("rows") > 1).orderBy(F.col("rows").desc(), *keys)
+
+
+def flagged_not_positive(df: DataFrame, label: str = "is_loss", amount: str = "loss_amount") -> DataFrame:
+    """The rows A28 looks at: flagged as a loss with an amount of zero or less."""
+    return df.where(F.col(label) & (F.col(amount) <= 0))
 
 
 def repeated_members(df: DataFrame, keys: Sequence[str], id_col: str = "loan_id") -> DataFrame:
     """Members of the repeated groups, one row each (window count per key)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
-    return df.select(*keys, id_col).join(g, [df[k].eqNullSafe(g[k]) for k in keys], "inner").select(
-        *[df[k] for k in keys], id_col, "rows"
-    )
+    named = [F.col(k).alias(f"__{k}") for k in keys]
+    g = df.groupBy(*named).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return df.select(*keys, id_col).join(g, on, "inner").select(*keys, id_col, "rows")
 
 
 def outcome_shares(df: DataFrame, label: str = "is_loss", amount: str = "loss_amount") -> DataFrame:
@@ -145,7 +150,7 @@ def outcome_shares(df: DataFrame, label: str = "is_loss", amount: str = "loss_am
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None, only_positive: bool = True) -> DataFrame:
-    """NULL count and % per column (one aggregate pass)."""
+    """NULL count and % per column (one aggregate pass), most NULLs first, then by name."""
     cols = list(columns or df.columns)
     one = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     rows = [
@@ -157,14 +162,26 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None, only_posit
         for c in cols
     ]
     out = _explode_rows(one, rows)
-    return out.where(F.col("null_count") > 0) if only_positive else out
+    out = out.where(F.col("null_count") > 0) if only_positive else out
+    return out.orderBy(F.col("null_count").desc(), "column_name")
+
+
+def missing_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows, columns, columns per data type and missing cells in total."""
+    cols = list(columns or df.columns)
+    mix = dtype_mix(df.select(*cols))
+    nulls = sum(F.col(c).isNull().cast("bigint") for c in cols)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("missing_cells")).select(
+        "rows", F.lit(len(cols)).alias("columns"), "missing_cells",
+        *[F.lit(n).alias(f"columns_{kind}") for kind, n in sorted(mix.items())],
+    )
 
 
 def dtype_mix(df: DataFrame) -> dict[str, int]:
     """A31 (plan-time helper): number of columns per data type."""
     mix: dict[str, int] = {}
     for f in df.schema.fields:
-        mix[f.dataType.simpleString()] = mix.get(f.dataType.simpleString(), 0) + 1
+        mix[f.dataType.typeName()] = mix.get(f.dataType.typeName(), 0) + 1
     return mix
 
 
@@ -178,17 +195,27 @@ def null_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def missing_flag_outcome(df: DataFrame, columns: Sequence[str], label: str, amount: str, date: str) -> DataFrame:
-    """Outcome by an "all columns missing" flag."""
-    flagged = df.withColumn("all_missing", all_null(columns))
-    g = flagged.groupBy("all_missing").agg(
+    """Outcome by an "any of the columns missing" flag."""
+    flagged = df.withColumn("any_missing", any_null(columns))
+    g = flagged.groupBy("any_missing").agg(
         F.count(F.lit(1)).alias("loans"),
+        F.sum(F.col(label).cast("int")).cast("bigint").alias("losses"),
         rate_of(label).alias("loss_rate"),
+        (rate_of(label) * 100).alias("loss_rate_pct"),
         mean_of(amount).alias("mean_loss_amount"),
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
     )
-    out = _with_median(g, flagged, ["all_missing"], amount, "median_loss_amount")
-    return out.select("all_missing", "loans", "loss_rate", "mean_loss_amount", "median_loss_amount", "first_date", "last_date")
+    out = _with_median(g, flagged, ["any_missing"], amount, "median_loss_amount")
+    return out.select(
+        "any_missing", "loans", "losses", "loss_rate", "loss_rate_pct", "mean_loss_amount", "median_loss_amount",
+        "first_date", "last_date",
+    )
+
+
+def rows_with_nulls(df: DataFrame, columns: Sequence[str], id_col: str = "loan_id") -> DataFrame:
+    """P10: the rows in which any of the columns is NULL, with these columns."""
+    return df.where(any_null(columns)).select(id_col, *columns)
 
 
 def missing_vs_outcome(df: DataFrame, columns: Sequence[str], label: str = "is_loss") -> DataFrame:
@@ -220,7 +247,8 @@ def missing_vs_outcome(df: DataFrame, columns: Sequence[str], label: str = "is_l
                 (rm - rp).alias("difference"),
             )
         )
-    return _explode_rows(one, rows).where(F.col("missing_rows") > 0)
+    found = _explode_rows(one, rows).where(F.col("missing_rows") > 0)
+    return found.orderBy(F.abs("difference").desc_nulls_last(), "column_name")
 
 
 def missing_by_year(df: DataFrame, columns: Sequence[str], date: str = "received_date") -> DataFrame:
@@ -338,12 +366,22 @@ def skewness_profile(df: DataFrame, column: str) -> DataFrame:
 
 
 def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Pearson correlation of every column with the target (pairwise complete), one pass."""
+    """Pearson correlation of every column with the target, one pass, by falling size.
+
+    Pairwise complete; a constant column has no correlation and comes last.
+    """
     t = F.col(target).cast("double")
-    one = df.agg(*[F.corr(F.col(c).cast("double"), t).alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def correlation(c: str) -> Column:
+        x = F.when(t.isNotNull(), F.col(c).cast("double"))
+        y = F.when(F.col(c).isNotNull(), t)
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    one = df.agg(*[correlation(c).alias(f"c{i}") for i, c in enumerate(columns)])
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("correlation")) for i, c in enumerate(columns)]
     out = _explode_rows(one, rows)
-    return out.select("*", F.abs("correlation").alias("abs_correlation"))
+    out = out.select("*", F.abs("correlation").alias("abs_correlation"))
+    return out.orderBy(F.col("abs_correlation").desc_nulls_last(), "column_name")
 
 
 def value_frequency(df: DataFrame, columns: Sequence[str], values: Sequence[float]) -> DataFrame:

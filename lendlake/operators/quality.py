@@ -194,21 +194,17 @@ def single_row(df: DataFrame) -> DataFrame:
 
 
 def split_is_chronological(df: DataFrame, date_col: str = "received_date") -> DataFrame:
-    """Every training date precedes every test date."""
+    """Both sides have dates and every training date precedes every test date."""
     one = df.agg(
         F.max(F.when(F.col("split") == "train", F.col(date_col))).alias("last_train_date"),
         F.min(F.when(F.col("split") == "test", F.col(date_col))).alias("first_test_date"),
         F.count(F.lit(1)).cast("bigint").alias("row_count"),
     )
-    ok = (F.col("row_count") > 0) & F.coalesce(
-        F.col("last_train_date") < F.col("first_test_date"),
-        F.col("last_train_date").isNull() | F.col("first_test_date").isNull(),
-    )
-    return one.withColumn("passed", ok)
+    return one.withColumn("passed", F.coalesce(F.col("last_train_date") < F.col("first_test_date"), F.lit(False)))
 
 
 def shares_sum_to_one(seg: DataFrame, tol: float = 1e-6) -> DataFrame:
-    """C11: both share columns sum to 1 within each feature."""
+    """C11: both share columns sum to 1 within each feature; an empty input is one failed row."""
     g = seg.groupBy("feature_name").agg(
         F.sum("portfolio_loan_share").alias("total_loan_share"),
         F.sum("portfolio_positive_loss_share").alias("total_positive_loss_share"),
@@ -217,7 +213,11 @@ def shares_sum_to_one(seg: DataFrame, tol: float = 1e-6) -> DataFrame:
         (F.abs(F.col("total_loan_share") - 1) <= tol) & (F.abs(F.col("total_positive_loss_share") - 1) <= tol),
         F.lit(False),
     )
-    return g.withColumn("passed", ok)
+    judged = g.withColumn("passed", ok)
+    nothing = seg.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        *[F.lit(None).cast(judged.schema[c].dataType).alias(c) for c in judged.columns[:-1]], F.lit(False).alias("passed")
+    )
+    return judged.unionByName(nothing)
 
 
 def band_shares_sum_to_one(bands: DataFrame, tol: float = 1e-6) -> DataFrame:
@@ -250,10 +250,11 @@ def yearly_reconciles(yearly: DataFrame, joined: DataFrame, date_col: str = "rec
 
 
 def no_group_straddles_split(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
-    """C14: no duplicate feature vector has rows in both train and test."""
+    """C14: there are rows, and no duplicate feature vector has rows in both train and test."""
     g = df.groupBy(*feature_cols).agg(F.countDistinct("split").alias("splits"), F.count(F.lit(1)).alias("n"))
     one = g.agg(
+        F.count(F.lit(1)).alias("groups"),
         F.count_if(F.col("n") > 1).cast("bigint").alias("duplicate_groups"),
         F.count_if(F.col("splits") > 1).cast("bigint").alias("straddling_groups"),
     )
-    return one.withColumn("passed", F.col("straddling_groups") == 0)
+    return one.withColumn("passed", (F.col("groups") > 0) & (F.col("straddling_groups") == 0))

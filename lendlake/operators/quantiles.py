@@ -30,7 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
-from pyspark.storagelevel import StorageLevel
+
+from lendlake.session import stored
 
 DEFAULT_ACCURACY = 10000
 # Per-group statistics are broadcast up to this many groups; beyond it the
@@ -57,12 +58,17 @@ def exact_median(
     return q.select(*list(keys), m.alias(out))
 
 
+def nan_count(df: DataFrame, keys: Sequence[str], value: str, out: str = "nan_count") -> DataFrame:
+    """How many values of each group the quantiles leave out because they are NaN."""
+    return df.groupBy(*keys).agg(F.count_if(F.isnan(F.col(value).cast("double"))).alias(out))
+
+
 def _bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_GROUPS, small: bool | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast a per-group table only behind a size check (cached, counted).
+    """Broadcast a per-group table only behind a size check (stored, counted).
 
     ``small`` reuses an earlier check for a table with the same groups.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = stored(df, "quantiles")
     if small is None:
         small = df.count() <= max_rows
     return (F.broadcast(df) if small else df), small
@@ -79,7 +85,9 @@ def exact_quantiles(
     """Exact interpolated quantiles (position (n-1)p, linear) by selection.
 
     Returns ``keys + [out]`` with ``out`` an array<double> in ``probs`` order
-    (one row for no keys, NULLs on empty input).  Each probability gets a
+    (one row for no keys, NULLs on empty input).  NULL and NaN values are no
+    observations and are left out; ``nan_count`` reports how many NaN there
+    are.  Each probability gets a
     sketch bracket; a row is routed to the brackets that contain it (at most
     ``len(probs)`` copies of the bracket rows only), ranked inside its group
     and bracket, and the two ranks around the position are interpolated.

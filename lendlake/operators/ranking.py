@@ -4,14 +4,13 @@ Two forms of "rank every row by (amount desc, id) and carry a running sum":
 
 * ``plain`` — ``Window.orderBy`` with no partition.  Spark moves every row to
   one task (``Exchange SinglePartition``); kept as the test form.
-* ``scaled`` — the default.  Rows are cut into ``buckets`` contiguous ranges
-  of the total order, using composite cut points ``(amount, id)`` taken from a
-  bounded, seeded sample.  Because the cut points include the id, one hot
-  amount held by a third of all rows is still spread over many buckets.  Per
-  bucket counts and sums (at most ``buckets`` rows, broadcast) give each
-  bucket's offset; a window partitioned by bucket finishes the job in
-  parallel.  The cut points only steer balance: the result is exact and the
-  same for any choice of cut points.
+* ``scaled`` — the default.  Rows are written once in key ranges of the total
+  order (``repartitionByRange`` samples the bounds).  The key includes the id,
+  so one hot amount held by a third of all rows is spread over many ranges,
+  and NULL keys sort where Spark sorts them.  Counts and sums per range (one
+  row per range, broadcast) give each range's offset; a window partitioned by
+  range finishes the job in parallel.  The bounds only steer balance: the
+  result is exact and the same for any of them.
 """
 
 from __future__ import annotations
@@ -19,102 +18,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlake.config import TOP_SHARE_THRESHOLDS, PortfolioConfig
 from lendlake.functions import ratio
+from lendlake.session import stored
 
-DEFAULT_SAMPLE_PER_BUCKET = 64
-MAX_BUCKETS = 4096
-
-
-def _before_or_equal(cut: tuple, order: Sequence[tuple[str, bool]]) -> Column:
-    """The cut point sorts at or before the row under ``order`` [(column, descending)]."""
-    cond = None
-    for k in range(len(order) - 1, -1, -1):
-        c, desc = order[k]
-        v = F.lit(cut[k])
-        strict = (F.col(c) < v) if desc else (F.col(c) > v)
-        if cond is None:
-            cond = strict | (F.col(c) == v)
-        else:
-            cond = strict | ((F.col(c) == v) & cond)
-    return cond
-
-
-def bucket_expr(cuts: Sequence[tuple], order: Sequence[tuple[str, bool]]) -> Column:
-    """Number of cut points at or before the row: a balanced binary CASE tree.
-
-    Depth is log2(len(cuts)), so each row does ~log2(buckets) comparisons.
-    """
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_before_or_equal(cuts[mid], order), search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(cuts))
-
-
-def _default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(MAX_BUCKETS, parts))
-
-
-def sample_cut_points(
-    df: DataFrame,
-    order: Sequence[tuple[str, bool]],
-    buckets: int,
-    sample_per_bucket: int = DEFAULT_SAMPLE_PER_BUCKET,
-    seed: int = 42,
-) -> list[tuple]:
-    """Composite cut points from a seeded sample of bounded size.
-
-    At most ``4 * buckets * sample_per_bucket`` key tuples reach the driver,
-    whatever the table size.  Rows with a NULL key are never sampled.
-    """
-    cols = [c for c, _ in order]
-    n = df.count()
-    if n == 0:
-        return []
-    target = buckets * sample_per_bucket
-    frac = min(1.0, target / n)
-    notnull = df.select(*cols).dropna()
-    rows = notnull.sample(False, frac, seed).limit(4 * target).collect()
-
-    def sort_key(r):
-        return tuple(_Desc(r[i]) if desc else _Asc(r[i]) for i, (_, desc) in enumerate(order))
-
-    keys = sorted((tuple(r) for r in rows), key=sort_key)
-    if len(keys) < 2:
-        return []
-    step = len(keys) / buckets
-    cuts: list[tuple] = []
-    for k in range(1, buckets):
-        c = keys[min(len(keys) - 1, int(k * step))]
-        if not cuts or c != cuts[-1]:
-            cuts.append(c)
-    return cuts
-
-
-class _Asc:
-    __slots__ = ("v",)
-
-    def __init__(self, v):
-        self.v = v
-
-    def __lt__(self, other):
-        return self.v < other.v
-
-    def __eq__(self, other):
-        return self.v == other.v
-
-
-class _Desc(_Asc):
-    def __lt__(self, other):
-        return self.v > other.v
+ROWS_PER_RANGE = 250_000
 
 
 def running_totals(
@@ -124,15 +35,16 @@ def running_totals(
     rank_col: str | None = None,
     method: str = "scaled",
     buckets: int | None = None,
-    cuts: Sequence[tuple] | None = None,
-    seed: int = 42,
     include_current: bool = True,
 ) -> DataFrame:
     """Global ``row_number`` and ROWS running sums over a total order.
 
     ``order`` is a list of (column, descending); it must be a total order on
-    the rows (end it with a unique key).  ``sums`` maps output name -> column.
-    With ``include_current=False`` the running sums stop at the previous row.
+    the rows (end it with a unique key).  NULL keys come first in ascending
+    and last in descending order, in both forms.  ``sums`` maps output name ->
+    column.  With ``include_current=False`` the running sums stop at the
+    previous row.  ``buckets`` is the number of ranges; by default it follows
+    from the number of rows, ``ROWS_PER_RANGE`` each.
     """
     ocols = [F.col(c).desc() if d else F.col(c).asc() for c, d in order]
     upto = Window.currentRow if include_current else -1
@@ -144,11 +56,12 @@ def running_totals(
         return df.select("*", *extra)
     if method != "scaled":
         raise ValueError(f"unknown method {method!r}")
-    buckets = buckets or _default_buckets(df)
-    if cuts is None:
-        cuts = sample_cut_points(df, order, buckets, seed=seed)
-    b = df.withColumn("__bucket", bucket_expr(list(cuts), order))
-    # Per-bucket totals: at most len(cuts) + 1 rows, so the broadcast below is bounded.
+    if buckets is None:
+        df = stored(df, "totals-input")
+        buckets = max(1, -(-df.count() // ROWS_PER_RANGE))
+    ranges = df.repartitionByRange(buckets, *ocols).withColumn("__bucket", F.spark_partition_id())
+    b = stored(ranges, "totals-ranges")
+    # One row per range: the broadcast below is bounded by their number.
     stats = b.groupBy("__bucket").agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__s_{k}") for k, v in sums.items()]
     )
@@ -187,13 +100,11 @@ def rank_running_sum(
     cum_col: str = "cumulative_positive_loss_amount",
     method: str = "scaled",
     buckets: int | None = None,
-    cuts: Sequence[tuple] | None = None,
-    seed: int = 42,
 ) -> DataFrame:
     """``row_number()`` and a ROWS running sum over (amount desc, id asc)."""
     return running_totals(
         df, [(amount, True), (id_col, False)], {cum_col: amount}, rank_col=rank_col,
-        method=method, buckets=buckets, cuts=cuts, seed=seed,
+        method=method, buckets=buckets,
     )
 
 
@@ -251,7 +162,7 @@ def concentration_summary(conc: DataFrame, thresholds: Sequence[str] = TOP_SHARE
     of joining thresholds x detail on ``rank <= cutoff``.
     """
     n = F.col("positive_loss_loan_count")
-    cut = {t: F.ceil(n * F.lit(Decimal(t))).cast("int") for t in thresholds}
+    cut = {t: F.ceil(n * F.lit(Decimal(t))).cast("bigint") for t in thresholds}
     aggs = [
         F.max("positive_loss_loan_count").alias("pop"),
         F.max("portfolio_positive_loss_amount").alias("portfolio"),

@@ -19,6 +19,7 @@ from lendlake.config import GROUPER_MIN_COUNT, PROBABILITY_C, SEVERITY_ALPHA, Po
 from lendlake.functions import sentinel_flag, sentinel_to_null
 from lendlake.operators import features as fx
 from lendlake.operators import models as ml
+from lendlake.session import stored
 
 CLS_ID = ["loan_id", "split", "received_date", "is_loss"]
 SEV_ID = ["loan_id", "split", "received_date", "is_loss", "loss_amount"]
@@ -35,85 +36,90 @@ class ScoringModels:
     metadata: dict = field(default_factory=dict)
 
 
-def severity_features_all(joined: DataFrame, cfg: PortfolioConfig) -> DataFrame:
-    """Severity-model rows for every loan (J12 fallback with the raw category).
+def scoring_rows(joined: DataFrame, cfg: PortfolioConfig) -> DataFrame:
+    """Every loan with the features of both models, from one projection.
 
-    For loans with a positive loss these equal the severity mart rows; for the
-    others the same columns come from the joined table, so the severity model
-    answers the counterfactual "how much, had it lost".
+    J12: loans in the severity population keep their own level of the rare
+    feature; for all others the grouped level of the training mart stands in.
     """
-    lab = fx.label_split(joined, cfg)
+    labelled = fx.label_split(joined, cfg)
+    f = cfg.rare_feature
+    grouped = fx.with_grouped_level(labelled, f, fx.TRAIN_RARE_MIN_COUNT, fx.TRAIN_RARE_LABEL)
     sent = []
     for s in cfg.sentinels:
         sent += [sentinel_to_null(F.col(s.column), s.threshold).alias(s.column),
                  sentinel_flag(F.col(s.column), s.threshold).alias(f"is_unobserved_{s.column}")]
     skip = set(cfg.outcome_cols) | set(cfg.categorical) | {s.column for s in cfg.sentinels} | {"split"}
-    rest = [c for c in lab.columns if c not in skip]
-    return lab.select(cfg.id_col, "split", cfg.amount_col, cfg.date_col, cfg.label_col, *cfg.categorical, *sent, *rest)
+    own = F.when(F.col(cfg.amount_col) > 0, F.col(f)).otherwise(F.col(f"{f}_grouped"))
+    return grouped.select(
+        cfg.id_col, "split", cfg.amount_col, cfg.date_col, cfg.label_col, f"{f}_grouped", own.alias(f),
+        *[c for c in cfg.categorical if c != f], *sent, *[c for c in labelled.columns if c not in skip],
+    )
 
 
 def fit_scoring_models(joined: DataFrame, cfg: PortfolioConfig, C: float = PROBABILITY_C, alpha: float = SEVERITY_ALPHA) -> ScoringModels:
     """G1: fit the probability and severity pipelines on their training rows."""
-    ts = ml.cache(fx.booleans_to_int(fx.training_set(joined, cfg), keep=["is_loss"]).withColumn("label", F.col("is_loss").cast("double")))
+    ts = stored(fx.booleans_to_int(fx.training_set(joined, cfg), keep=["is_loss"]).withColumn("label", F.col("is_loss").cast("double")), "scoring")
     cat, num = fx.route_columns(ts.drop("label"), CLS_ID)
     train = ts.where(F.col("split") == "train")
     pre = ml.fit_preprocessor(train, cat, num)
     weights = fx.class_weights(train, "is_loss")
-    tr = ml.cache(fx.with_class_weight(pre.transform(train), weights, "is_loss"))
+    tr = stored(fx.with_class_weight(pre.transform(train), weights, "is_loss"), "scoring")
     prob = ml.logistic(C, ml.total_weight(tr, "weight")).fit(tr)
 
     sev = fx.booleans_to_int(fx.severity_set(joined, cfg), keep=["is_loss"])
     scat, snum = fx.route_columns(sev, SEV_ID)
-    sev = ml.cache(fx.log_target(sev, "loss_amount", "label"))
+    sev = stored(fx.log_target(sev, "loss_amount", "label"), "scoring")
     strain = sev.where(F.col("split") == "train")
     spre = ml.fit_preprocessor(strain, scat, snum, group_rare=True, rare_min_count=GROUPER_MIN_COUNT)
-    st = ml.cache(spre.transform(strain))
+    st = stored(spre.transform(strain), "scoring")
     agg = st.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd"), F.min("label").alias("lo"),
                  F.max("label").alias("hi")).first()
     smodel = ml.ridge(alpha, int(agg["n"]), float(agg["sd"] or 0.0)).fit(st)
     meta = {
-        "probability_model": f"LogisticRegression(C={C}, class_weight=balanced)",
-        "severity_model": f"Ridge(alpha={alpha}) on log1p(loss_amount)",
-        "severity_training_loans": int(agg["n"]),
-        "currency": "USD",
+        "probability": {"kind": "balanced logistic regression", "C": C},
+        "severity": {"kind": "ridge on the log of one plus the loss", "alpha": alpha, "training_rows": int(agg["n"])},
+        "amounts_in": "USD",
     }
     return ScoringModels(pre, prob, spre, smodel, (float(agg["lo"]), float(agg["hi"])), cfg.train_cutoff, meta)
 
 
-def assemble_record(df: DataFrame, probability: Column, severity_log: Column, lo: float | Column, hi: float | Column) -> DataFrame:
+def assemble_record(
+    df: DataFrame, probability: Column, severity_log: Column, lo: float | Column, hi: float | Column,
+    cfg: PortfolioConfig | None = None,
+) -> DataFrame:
     """Clip the log severity to the training range, build the record."""
+    cfg = cfg or PortfolioConfig()
     lo_c = lo if isinstance(lo, Column) else F.lit(lo)
     hi_c = hi if isinstance(hi, Column) else F.lit(hi)
     clipped = F.least(F.greatest(severity_log, lo_c), hi_c)
     lgd = F.expm1(clipped)
     return df.select(
-        "loan_id",
+        cfg.id_col,
         F.round(probability, 6).alias("probability_of_default"),
         F.round(lgd, 2).alias("predicted_loss_given_default"),
         F.round(probability * lgd, 2).alias("expected_loss_usd"),
-        F.date_format("received_date", "yyyy-MM-dd").alias("received_date"),
+        F.date_format(cfg.date_col, "yyyy-MM-dd").alias(cfg.date_col),
         F.col("split").alias("data_split"),
         (F.col("split") == "train").alias("scored_on_training_data"),
-        F.coalesce(F.col("loss_amount") > 0, F.lit(False)).alias("severity_in_population"),
+        F.coalesce(F.col(cfg.amount_col) > 0, F.lit(False)).alias("severity_in_population"),
         (~severity_log.between(lo_c, hi_c)).alias("severity_clipped"),
     )
 
 
 def score_batch(models: ScoringModels, ids: DataFrame, joined: DataFrame, cfg: PortfolioConfig) -> DataFrame:
-    """Score a set of ids (one row each) with both models in one pass."""
-    ts = fx.booleans_to_int(fx.training_set(joined, cfg), keep=["is_loss"])
-    sev_all = fx.booleans_to_int(severity_features_all(joined, cfg), keep=["is_loss"])
-    wanted = ids.select(cfg.id_col).distinct()
-    rows = ts.join(wanted, cfg.id_col, "left_semi")
-    p = ml.positive_score(models.probability_model.transform(models.probability_pre.transform(rows)), "logistic", "p")
-    p = p.select(cfg.id_col, "p")
-    srows = sev_all.join(wanted, cfg.id_col, "left_semi")
-    s = models.severity_model.transform(models.severity_pre.transform(srows)).select(
-        cfg.id_col, "split", cfg.date_col, cfg.amount_col, F.col("prediction").alias("sev_log")
-    )
-    both = s.join(p, cfg.id_col)
+    """Score a set of ids (one row each) with both models in one pass.
+
+    Both feature sets come from one projection; the raw columns ride along as
+    a struct past the first model's preparation, so nothing is joined twice.
+    """
+    rows = fx.booleans_to_int(scoring_rows(joined, cfg), keep=[cfg.label_col])
+    rows = rows.join(ids.select(cfg.id_col).distinct(), cfg.id_col, "left_semi")
+    packed = rows.withColumn("__raw", F.struct(*rows.columns))
+    p = ml.positive_score(models.probability_model.transform(models.probability_pre.transform(packed)), "logistic", "__p")
+    s = models.severity_model.transform(models.severity_pre.transform(p.select("__raw.*", "__p")))
     lo, hi = models.severity_log_range
-    return assemble_record(both, F.col("p"), F.col("sev_log"), lo, hi)
+    return assemble_record(s, F.col("__p"), F.col("prediction"), lo, hi, cfg)
 
 
 def missing_ids(ids: DataFrame, known: DataFrame, id_col: str = "loan_id") -> DataFrame:

@@ -25,15 +25,15 @@ def _sentinel_sql(prefix: str = "") -> str:
 
 _SPLIT = f"CASE WHEN received_date < DATE '{FIXTURE_CUTOFF}' THEN 'train' ELSE 'test' END"
 
+# A loan keeps its level if enough loans of that level came in before the cutoff.
 TRAINING_SQL = f"""
-labelled AS (SELECT *, {_SPLIT} AS split FROM loans_joined),
-tsc AS (SELECT feat_001, count(*) AS train_loan_count FROM labelled WHERE split = 'train' GROUP BY feat_001)
-SELECT l.loan_id, l.split, l.is_loss, l.received_date,
-    CASE WHEN coalesce(t.train_loan_count, 0) >= {TRAIN_RARE_MIN_COUNT} THEN l.feat_001 ELSE 'OTHER' END AS feat_001_grouped,
-    l.feat_003, l.feat_004, l.feat_015, l.feat_041,
-    {_sentinel_sql('l.')},
-    {', '.join('l.' + c for c in REST)}
-FROM labelled l LEFT JOIN tsc t ON l.feat_001 = t.feat_001
+SELECT loan_id, {_SPLIT} AS split, is_loss, received_date,
+    CASE WHEN (SELECT count(*) FROM loans_joined o WHERE o.feat_001 = l.feat_001 AND o.received_date < DATE '{FIXTURE_CUTOFF}')
+        >= {TRAIN_RARE_MIN_COUNT} THEN feat_001 ELSE 'OTHER' END AS feat_001_grouped,
+    feat_003, feat_004, feat_015, feat_041,
+    {_sentinel_sql()},
+    {', '.join(REST)}
+FROM loans_joined l
 """
 
 SEVERITY_SQL = f"""
@@ -93,7 +93,7 @@ def _num_sql(c: str) -> str:
 @query(
     "fit_medians",
     f"""
-ts AS (WITH {TRAINING_SQL.strip()}),
+ts AS ({TRAINING_SQL.strip()}),
 tr AS (SELECT * FROM ts WHERE split = 'train')
 {' UNION ALL '.join(f"SELECT '{c}' AS column_name, median({_num_sql(c)}) AS median FROM tr" for c in TRAIN_NUM)}
 """,
@@ -108,7 +108,7 @@ def q_fit_medians(spark, sf_dir):
 @query(
     "fit_scaler",
     f"""
-ts AS (WITH {TRAINING_SQL.strip()}),
+ts AS ({TRAINING_SQL.strip()}),
 tr AS (SELECT * FROM ts WHERE split = 'train'),
 md AS (SELECT {', '.join(f"median({_num_sql(c)}) AS {c}" for c in TRAIN_NUM)} FROM tr)
 {' UNION ALL '.join(
@@ -131,7 +131,7 @@ def q_fit_scaler(spark, sf_dir):
 @query(
     "class_weights",
     f"""
-ts AS (WITH {TRAINING_SQL.strip()}),
+ts AS ({TRAINING_SQL.strip()}),
 cc AS (SELECT is_loss, count(*) AS class_count FROM ts WHERE split = 'train' GROUP BY is_loss)
 SELECT is_loss, class_count, CAST((SELECT sum(class_count) FROM cc) AS DOUBLE) / ((SELECT count(*) FROM cc) * class_count) AS class_weight
 FROM cc

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from lendlake.config import KPI_DEFINITIONS, SEVERITY_BANDS
 from lendlake.operators import marts
 from lendlake.plans.registry import portfolio, query
-from lendlake.plans.sqlbits import dbl, mean, median, rate, ratio
-from lendlake.sources.fixture import BASE_FEATURES, FEATURE_COLUMNS
+from lendlake.plans.sqlbits import dbl, mean, median, rate
+from lendlake.sources.fixture import FEATURE_COLUMNS
 
 # ---------------------------------------------------------------- staging
 
@@ -84,117 +84,96 @@ def q_portfolio_quarterly(spark, sf_dir):
 
 # ---------------------------------------------------------------- KPI record
 
-_CONFLICT = "(loss_amount IS NOT NULL AND is_loss <> (loss_amount > 0))"
-
-_METRICS_SQL = f"""
-pm AS (
-    SELECT
-        count(DISTINCT loan_id) AS funded_loan_count,
-        min(received_date) AS first_origination_date,
-        max(received_date) AS last_origination_date,
-        CAST(date_diff('day', min(received_date), max(received_date)) AS BIGINT) AS origination_window_days,
-        count(DISTINCT received_date) AS distinct_origination_days,
-        CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS loss_loan_count,
-        CAST(sum(CASE WHEN is_loss = false THEN 1 ELSE 0 END) AS BIGINT) AS non_loss_loan_count,
-        {rate('is_loss')} AS portfolio_loss_rate,
-        sum(coalesce(loss_amount, 0)) AS total_recorded_loss_amount,
-        sum(CASE WHEN loss_amount > 0 THEN loss_amount ELSE 0 END) AS total_positive_loss_amount,
-        sum(CASE WHEN loss_amount < 0 THEN loss_amount ELSE 0 END) AS total_net_recovery_amount,
-        {mean('coalesce(loss_amount, 0)')} AS average_loss_per_funded_loan,
-        {mean('CASE WHEN is_loss THEN loss_amount END')} AS average_loss_severity,
-        median(CASE WHEN is_loss THEN loss_amount END) AS median_loss_severity,
-        max(loss_amount) AS maximum_loss_amount,
-        CAST(sum(CASE WHEN {_CONFLICT} THEN 1 ELSE 0 END) AS BIGINT) AS label_conflict_loan_count,
-        {mean(f'CASE WHEN {_CONFLICT} THEN 1 ELSE 0 END')} AS label_conflict_rate,
-        CAST(sum(CASE WHEN loss_amount < 0 THEN 1 ELSE 0 END) AS BIGINT) AS net_recovery_loan_count,
-        CAST(sum(CASE WHEN loss_amount IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_loss_amount_count,
-        CAST(sum(CASE WHEN received_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_received_date_count
+# The whole record as one row.  Every loan carries the newest date and, over its
+# feature vector, how many loans share it and whether it is the first of them;
+# from these flags a single aggregate with filters yields all measures.
+_RECORD_SQL = f"""
+flagged AS (
+    SELECT *, loss_amount > 0 AS lossy, max(received_date) OVER () AS newest,
+        count(*) OVER same AS sharing, row_number() OVER same AS nth
     FROM loans_joined
+    WINDOW same AS (PARTITION BY {", ".join(FEATURE_COLUMNS)})
 ),
-wb AS (
-    SELECT max(received_date) AS anchor_date,
-        max(received_date) - INTERVAL 12 MONTH AS last_window_start,
-        max(received_date) - INTERVAL 24 MONTH AS prior_window_start
-    FROM loans_joined WHERE received_date IS NOT NULL
+timed AS (
+    SELECT *, CASE
+        WHEN received_date > newest - INTERVAL 12 MONTH THEN 'recent'
+        WHEN received_date > newest - INTERVAL 24 MONTH THEN 'earlier' END AS period
+    FROM flagged
 ),
-rw AS (
+record AS (
     SELECT
-        CAST(sum(CASE WHEN received_date > last_window_start THEN 1 ELSE 0 END) AS BIGINT)
-            AS funded_loan_count_last_12_months,
-        {mean('CASE WHEN received_date > last_window_start THEN CAST(is_loss AS INTEGER) END')}
+        count(DISTINCT loan_id) AS funded_loan_count,
+        arg_min(received_date, received_date) AS first_origination_date,
+        any_value(newest) AS last_origination_date,
+        CAST(any_value(newest) - min(received_date) AS BIGINT) AS origination_window_days,
+        len(list_distinct(list(received_date))) AS distinct_origination_days,
+        count(*) FILTER (is_loss) AS loss_loan_count,
+        count(*) FILTER (NOT is_loss) AS non_loss_loan_count,
+        count(*) FILTER (is_loss) / nullif(count(is_loss), 0) AS portfolio_loss_rate,
+        sum(loss_amount) AS total_recorded_loss_amount,
+        coalesce(sum(loss_amount) FILTER (lossy), 0) AS total_positive_loss_amount,
+        coalesce(sum(loss_amount) FILTER (loss_amount < 0), 0) AS total_net_recovery_amount,
+        CAST(sum(loss_amount) AS DOUBLE) / count(*) AS average_loss_per_funded_loan,
+        CAST(sum(loss_amount) FILTER (is_loss) AS DOUBLE) / count(loss_amount) FILTER (is_loss) AS average_loss_severity,
+        quantile_cont(loss_amount, 0.5) FILTER (is_loss) AS median_loss_severity,
+        max(loss_amount) AS maximum_loss_amount,
+        count(*) FILTER (lossy <> is_loss) AS label_conflict_loan_count,
+        count(*) FILTER (lossy <> is_loss) / count(*) AS label_conflict_rate,
+        count(*) FILTER (loss_amount < 0) AS net_recovery_loan_count,
+        count(*) - count(loss_amount) AS missing_loss_amount_count,
+        count(*) - count(received_date) AS missing_received_date_count,
+        count(*) FILTER (period = 'recent') AS funded_loan_count_last_12_months,
+        count(*) FILTER (period = 'recent' AND is_loss) / nullif(count(is_loss) FILTER (period = 'recent'), 0)
             AS loss_rate_last_12_months,
-        CAST(sum(CASE WHEN received_date <= last_window_start AND received_date > prior_window_start
-            THEN 1 ELSE 0 END) AS BIGINT) AS funded_loan_count_prior_12_months,
-        {mean('CASE WHEN received_date <= last_window_start AND received_date > prior_window_start THEN CAST(is_loss AS INTEGER) END')}
-            AS loss_rate_prior_12_months
-    FROM loans_joined CROSS JOIN wb
-),
-fvg AS (
-    SELECT count(*) AS n FROM loans_joined
-    GROUP BY {", ".join(FEATURE_COLUMNS)}
-),
-dr AS (
-    SELECT
-        CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_feature_vector_groups,
-        CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_feature_vector_loan_count,
-        CAST(sum(n) FILTER (WHERE n > 1) AS DOUBLE) / sum(n) AS duplicate_feature_vector_rate,
-        CAST(count(*) AS BIGINT) AS distinct_feature_vector_count
-    FROM fvg
-),
-am AS (
-    SELECT pm.*, rw.*, rw.loss_rate_last_12_months - rw.loss_rate_prior_12_months AS loss_rate_12_month_change, dr.*
-    FROM pm CROSS JOIN rw CROSS JOIN dr
+        count(*) FILTER (period = 'earlier') AS funded_loan_count_prior_12_months,
+        count(*) FILTER (period = 'earlier' AND is_loss) / nullif(count(is_loss) FILTER (period = 'earlier'), 0)
+            AS loss_rate_prior_12_months,
+        loss_rate_last_12_months - loss_rate_prior_12_months AS loss_rate_12_month_change,
+        count(*) FILTER (sharing > 1 AND nth = 1) AS duplicate_feature_vector_groups,
+        (sum(1) FILTER (sharing > 1))::BIGINT AS duplicate_feature_vector_loan_count,
+        (sum(1) FILTER (sharing > 1)) / count(*) AS duplicate_feature_vector_rate,
+        count(*) FILTER (nth = 1) AS distinct_feature_vector_count
+    FROM timed
 )"""
 
 
-def _kpi_long_sql() -> str:
-    parts = []
+def _kpi_structs(only_headline: bool = False) -> str:
+    """One row per KPI: unnest of a list of structs built from the record."""
+    structs = []
     for pos, (group, name, unit, headline) in enumerate(KPI_DEFINITIONS, start=1):
-        if unit == "date":
-            value, text = "CAST(NULL AS DOUBLE)", f"strftime({name}, '%Y-%m-%d')"
-        else:
-            value, text = f"CAST({name} AS DOUBLE)", "CAST(NULL AS VARCHAR)"
-        parts.append(
-            f"SELECT '{group}' AS kpi_group, '{name}' AS kpi_name, '{unit}' AS kpi_unit, "
-            f"{pos} AS kpi_display_order, {'true' if headline else 'false'} AS is_headline, "
-            f"{value} AS kpi_value, {text} AS kpi_value_text FROM am"
+        if only_headline and not headline:
+            continue
+        date = unit == "date"
+        structs.append(
+            f"{{kpi_group: '{group}', kpi_name: '{name}', kpi_unit: '{unit}', kpi_display_order: {pos}, "
+            f"is_headline: {str(bool(headline)).lower()}, kpi_value: {'NULL' if date else name}::DOUBLE, "
+            f"kpi_value_text: {f'{name}::DATE::VARCHAR' if date else 'NULL::VARCHAR'}}}"
         )
-    return "kl AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+    return "SELECT unnest([" + ",\n".join(structs) + "], recursive := true) FROM record"
 
 
-def _kpi_wide_sql() -> str:
-    cols = []
-    for _, name, unit, _ in KPI_DEFINITIONS:
-        if unit == "date":
-            v = "CAST(kpi_value_text AS DATE)"
-        elif unit == "count":
-            v = "CAST(kpi_value AS BIGINT)"
-        elif unit == "amount":
-            v = "CAST(CAST(kpi_value AS DECIMAL(18,2)) AS DOUBLE)"
-        else:
-            v = "kpi_value"
-        cols.append(f"max(CASE WHEN kpi_name = '{name}' THEN {v} END) AS {name}")
-    return "SELECT " + ",\n".join(cols) + " FROM kl"
+_WIDE_TYPES = {"date": "DATE", "count": "BIGINT", "amount": "DECIMAL(18,2)::DOUBLE", "rate": "DOUBLE", "rate_change": "DOUBLE"}
 
 
-@query("portfolio_kpis_long", _METRICS_SQL + ",\n" + _kpi_long_sql() + "\nSELECT * FROM kl")
+def _record_typed() -> str:
+    return "SELECT " + ", ".join(f"{name}::{_WIDE_TYPES[unit]} AS {name}" for _, name, unit, _ in KPI_DEFINITIONS) + " FROM record"
+
+
+@query("portfolio_kpis_long", _RECORD_SQL + "\n" + _kpi_structs())
 def q_portfolio_kpis_long(spark, sf_dir):
     """The long KPI mart (29 rows)."""
     p = portfolio(spark, sf_dir)
     return marts.portfolio_kpis(p.joined, p.cfg, p.loans)
 
 
-@query("portfolio_kpis_wide", _METRICS_SQL + ",\n" + _kpi_long_sql() + "\n" + _kpi_wide_sql())
+@query("portfolio_kpis_wide", _RECORD_SQL + "\n" + _record_typed())
 def q_portfolio_kpis_wide(spark, sf_dir):
     """One typed row pivoted from the long mart."""
     p = portfolio(spark, sf_dir)
     return marts.kpi_wide(marts.portfolio_kpis(p.joined, p.cfg, p.loans))
 
 
-@query(
-    "headline_kpis",
-    _METRICS_SQL + ",\n" + _kpi_long_sql() + "\nSELECT * FROM kl WHERE is_headline",
-)
+@query("headline_kpis", _RECORD_SQL + "\n" + _kpi_structs(only_headline=True))
 def q_headline_kpis(spark, sf_dir):
     """Headline KPIs (ordered by display order)."""
     p = portfolio(spark, sf_dir)
@@ -203,89 +182,88 @@ def q_headline_kpis(spark, sf_dir):
 
 @query(
     "trailing_windows",
-    _METRICS_SQL + "\nSELECT rw.*, CAST(wb.anchor_date AS DATE) AS anchor_date, "
-    "CAST(wb.last_window_start AS DATE) AS last_window_start, "
-    "CAST(wb.prior_window_start AS DATE) AS prior_window_start FROM rw CROSS JOIN wb",
+    """
+newest AS (SELECT received_date AS d FROM loans_joined ORDER BY d DESC NULLS LAST LIMIT 1),
+months AS (
+    SELECT is_loss, CASE WHEN received_date > d - INTERVAL 1 YEAR THEN 0 ELSE 1 END AS years_back, d
+    FROM newest LEFT JOIN loans_joined ON received_date > d - INTERVAL 2 YEAR
+)
+SELECT count(*) FILTER (years_back = 0) AS funded_loan_count_last_12_months,
+    avg(is_loss::INT) FILTER (years_back = 0) AS loss_rate_last_12_months,
+    count(*) FILTER (years_back = 1) AS funded_loan_count_prior_12_months,
+    avg(is_loss::INT) FILTER (years_back = 1) AS loss_rate_prior_12_months,
+    d AS anchor_date, (d - INTERVAL 1 YEAR)::DATE AS last_window_start, (d - INTERVAL 2 YEAR)::DATE AS prior_window_start
+FROM months GROUP BY d
+""",
 )
 def q_trailing_windows(spark, sf_dir):
     """A11 + F5: last / prior 12-month windows anchored on the newest date."""
     p = portfolio(spark, sf_dir)
     rw = marts.trailing_windows(p.loans, p.cfg)
-    return marts.attach_row(rw, marts.window_bounds(p.loans, p.cfg))
+    return marts.attach_row(rw, marts.trailing_bounds(p.loans, p.cfg))
 
 
 @query(
     "duplicate_vectors",
-    """
-fvg AS (
-    SELECT count(*) AS n FROM loans_joined
-    GROUP BY feat_001, feat_002, feat_003, feat_004, feat_015, feat_041, feat_066_min
+    f"""
+shared AS (
+    SELECT count(*) OVER v AS n, row_number() OVER v AS nth FROM loans_joined
+    WINDOW v AS (PARTITION BY {", ".join(FEATURE_COLUMNS)})
 )
-SELECT
-    CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_feature_vector_groups,
-    CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_feature_vector_loan_count,
-    CAST(sum(n) FILTER (WHERE n > 1) AS DOUBLE) / sum(n) AS duplicate_feature_vector_rate,
-    CAST(count(*) AS BIGINT) AS distinct_feature_vector_count,
-    CAST(max(n) AS BIGINT) AS largest_group
-FROM fvg
+SELECT count(*) FILTER (n > 1 AND nth = 1) AS duplicate_feature_vector_groups,
+    (sum(1) FILTER (n > 1))::BIGINT AS duplicate_feature_vector_loan_count,
+    (sum(1) FILTER (n > 1)) / count(*) AS duplicate_feature_vector_rate,
+    count(*) FILTER (nth = 1) AS distinct_feature_vector_count,
+    max(n) AS largest_group
+FROM shared
 """,
 )
 def q_duplicate_vectors(spark, sf_dir):
-    """A12 + A13 on the seven base predictors (plus the largest group size)."""
+    """A12 + A13 on the whole feature vector (plus the largest group size)."""
     p = portfolio(spark, sf_dir)
-    dup = marts.duplicate_vectors(p.joined, BASE_FEATURES)
-    largest = p.joined.groupBy(*BASE_FEATURES).count().agg(F.max("count").cast("bigint").alias("largest_group"))
+    dup = marts.duplicate_vectors(p.joined)
+    largest = p.joined.groupBy(*FEATURE_COLUMNS).count().agg(F.max("count").cast("bigint").alias("largest_group"))
     return marts.attach_row(dup, largest)
 
 
 # ---------------------------------------------------------------- segmentation
 
-_SEG_UNION = "\nUNION ALL\n".join(
-    f"SELECT loan_id, '{f}' AS feature_name, coalesce(CAST({f} AS VARCHAR), '__NULL__') AS segment, "
-    f"is_loss, loss_amount FROM loans_joined"
-    for f in ["feat_001", "feat_003", "feat_004", "feat_015", "feat_041"]
-)
+_SEG_FEATURES = ["feat_001", "feat_003", "feat_004", "feat_015", "feat_041"]
 
 
 @query(
     "risk_segmentation",
     f"""
-sl AS ({_SEG_UNION}),
-pt AS (
-    SELECT count(*) AS portfolio_loan_count, {rate('is_loss')} AS portfolio_loss_rate,
-        sum(CASE WHEN loss_amount > 0 THEN loss_amount ELSE 0 END) AS portfolio_positive_loss_amount
-    FROM loans_joined
+cube AS (
+    -- One pass: a grouping set per feature, and the empty one for the portfolio.
+    SELECT {", ".join(f"{f}::VARCHAR AS {f}" for f in _SEG_FEATURES)},
+        list_position([{", ".join(f"grouping({f})" for f in _SEG_FEATURES)}], 0) AS facet,
+        count(*) AS n, count(*) FILTER (is_loss) AS losses, count(is_loss) AS known,
+        count(*) FILTER (loss_amount > 0) AS hits, sum(loss_amount) AS total,
+        coalesce(sum(loss_amount) FILTER (loss_amount > 0), 0) AS positive,
+        quantile_cont(loss_amount, 0.5) FILTER (loss_amount > 0) AS middle,
+        max(loss_amount) FILTER (loss_amount > 0) AS top
+    FROM loans_joined GROUP BY GROUPING SETS ({", ".join(f"({f})" for f in _SEG_FEATURES)}, ())
 ),
-sm AS (
-    SELECT feature_name, segment,
-        count(*) AS funded_loan_count,
-        CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS loss_loan_count,
-        CAST(sum(CASE WHEN loss_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) AS positive_loss_loan_count,
-        {rate('is_loss')} AS observed_loss_rate,
-        sum(coalesce(loss_amount, 0)) AS total_recorded_loss_amount,
-        sum(CASE WHEN loss_amount > 0 THEN loss_amount ELSE 0 END) AS total_positive_loss_amount,
-        {mean('coalesce(loss_amount, 0)')} AS average_loss_per_funded_loan,
-        {mean('CASE WHEN loss_amount > 0 THEN loss_amount END')} AS average_positive_loss_severity,
-        median(CASE WHEN loss_amount > 0 THEN loss_amount END) AS median_positive_loss_severity,
-        max(CASE WHEN loss_amount > 0 THEN loss_amount END) AS maximum_positive_loss_amount
-    FROM sl GROUP BY feature_name, segment
-)
-SELECT feature_name, segment, funded_loan_count, loss_loan_count, positive_loss_loan_count, observed_loss_rate,
-    {ratio('funded_loan_count', 'portfolio_loan_count')} AS portfolio_loan_share,
-    {dbl('total_recorded_loss_amount')} AS total_recorded_loss_amount,
-    {dbl('total_positive_loss_amount')} AS total_positive_loss_amount,
-    {ratio('total_positive_loss_amount', 'portfolio_positive_loss_amount')} AS portfolio_positive_loss_share,
-    average_loss_per_funded_loan, average_positive_loss_severity,
-    {dbl('median_positive_loss_severity')} AS median_positive_loss_severity,
-    {dbl('maximum_positive_loss_amount')} AS maximum_positive_loss_amount,
-    portfolio_loss_rate,
-    (observed_loss_rate - portfolio_loss_rate) * 100 AS loss_rate_difference_pp,
-    funded_loan_count >= 100 AS is_material_segment,
-    CASE WHEN funded_loan_count < 100 THEN 'Insufficient sample'
-        WHEN (observed_loss_rate - portfolio_loss_rate) * 100 >= 5 THEN 'High risk'
-        WHEN (observed_loss_rate - portfolio_loss_rate) * 100 <= -5 THEN 'Low risk'
-        ELSE 'Portfolio-like' END AS risk_band
-FROM sm CROSS JOIN pt
+beside AS (
+    SELECT *, max(n) OVER () AS all_n, max(losses / known) FILTER (facet IS NULL) OVER () AS all_rate,
+        max(positive) FILTER (facet IS NULL) OVER () AS all_positive
+    FROM cube
+),
+judged AS (SELECT *, (losses / known - all_rate) * 100 AS pp FROM beside WHERE facet IS NOT NULL)
+SELECT [{", ".join(f"'{f}'" for f in _SEG_FEATURES)}][facet] AS feature_name,
+    coalesce([{", ".join(_SEG_FEATURES)}][facet], '__NULL__') AS segment,
+    n AS funded_loan_count, losses AS loss_loan_count, hits AS positive_loss_loan_count,
+    losses / known AS observed_loss_rate, n / all_n AS portfolio_loan_share,
+    coalesce(total, 0)::DOUBLE AS total_recorded_loss_amount, positive::DOUBLE AS total_positive_loss_amount,
+    positive::DOUBLE / all_positive::DOUBLE AS portfolio_positive_loss_share,
+    coalesce(total, 0)::DOUBLE / n AS average_loss_per_funded_loan,
+    CASE WHEN hits > 0 THEN positive::DOUBLE / hits END AS average_positive_loss_severity,
+    middle::DOUBLE AS median_positive_loss_severity, top::DOUBLE AS maximum_positive_loss_amount,
+    all_rate AS portfolio_loss_rate, pp AS loss_rate_difference_pp, n >= 100 AS is_material_segment,
+    list_extract(['Insufficient sample', 'High risk', 'Low risk', 'Portfolio-like'],
+        1 + list_position([n < 100, pp >= 5, pp <= -5, true], true)::INT - 1) AS risk_band
+FROM judged
 """,
 )
 def q_risk_segmentation(spark, sf_dir):
@@ -297,38 +275,23 @@ def q_risk_segmentation(spark, sf_dir):
 # ---------------------------------------------------------------- bands
 
 
-def _band_case(kind: str) -> str:
-    whens = []
-    for i, (upper, label) in enumerate(SEVERITY_BANDS, start=1):
-        if upper is None:
-            continue
-        whens.append(f"WHEN loss_amount < {upper} THEN {i if kind == 'order' else repr(label)}")
-    last = len(SEVERITY_BANDS) if kind == "order" else repr(SEVERITY_BANDS[-1][1])
-    return "CASE " + " ".join(whens) + f" ELSE {last} END"
+_BAND_EDGES = [upper for upper, _ in SEVERITY_BANDS if upper is not None]
+_BAND_NAMES = ", ".join(repr(label) for _, label in SEVERITY_BANDS)
 
 
 @query(
     "severity_bands",
     f"""
-b AS (
-    SELECT loan_id, loss_amount, {_band_case('order')} AS severity_band_order, {_band_case('label')} AS severity_band
-    FROM loans_joined WHERE loss_amount > 0
-),
-t AS (SELECT count(*) AS positive_loss_loan_count, sum(loss_amount) AS portfolio_positive_loss_amount FROM b),
-m AS (
-    SELECT severity_band_order, severity_band, count(*) AS loan_count,
-        sum(loss_amount) AS total_positive_loss_amount,
-        {mean('loss_amount')} AS average_positive_loss,
-        median(loss_amount) AS median_positive_loss
-    FROM b GROUP BY severity_band_order, severity_band
-)
-SELECT severity_band, severity_band_order, loan_count,
-    {ratio('loan_count', 'positive_loss_loan_count')} AS positive_loss_loan_share,
-    {dbl('total_positive_loss_amount')} AS total_positive_loss_amount,
-    {ratio('total_positive_loss_amount', 'portfolio_positive_loss_amount')} AS positive_loss_amount_share,
-    average_positive_loss,
-    {dbl('median_positive_loss')} AS median_positive_loss
-FROM m CROSS JOIN t
+SELECT [{_BAND_NAMES}][k] AS severity_band, k AS severity_band_order, count(*) AS loan_count,
+    count(*) / sum(count(*)) OVER () AS positive_loss_loan_share,
+    sum(loss_amount)::DOUBLE AS total_positive_loss_amount,
+    sum(loss_amount)::DOUBLE / (sum(sum(loss_amount)) OVER ())::DOUBLE AS positive_loss_amount_share,
+    sum(loss_amount)::DOUBLE / count(*) AS average_positive_loss,
+    quantile_cont(loss_amount, 0.5)::DOUBLE AS median_positive_loss
+FROM (
+    SELECT loss_amount, (1 + len(list_filter({_BAND_EDGES}, lambda edge: loss_amount >= edge)))::INT AS k
+    FROM loans_joined WHERE loss_amount > 0)
+GROUP BY k
 """,
 )
 def q_severity_bands(spark, sf_dir):

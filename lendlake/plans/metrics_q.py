@@ -19,7 +19,8 @@ from lendlake.plans.registry import portfolio, query
 SCORE_SQL = "round(coalesce(feat_020_max, 0) * 10 + coalesce(feat_025_max, 0) * 5, 4)"
 THRESHOLD = 0.9
 SEVERITY_PRED_SQL = "coalesce(feat_010_sum, 0) * 0.25"
-DECLINE_SHARES = [0.05, 0.10, 0.15, 0.20, 0.25, 0.30]
+# The shares of the report.
+DECLINE_SHARES = [0.05, 0.10, 0.20, 0.30, 0.40, 0.50]
 
 
 def score_col():
@@ -44,7 +45,7 @@ def severity_scored(spark, sf_dir, split="test"):
 
 
 _T = f"""
-ts AS (WITH {TRAINING_SQL.strip()}),
+ts AS ({TRAINING_SQL.strip()}),
 t AS (SELECT loan_id, received_date, is_loss, {SCORE_SQL} AS score, {SCORE_SQL} >= {THRESHOLD} AS predicted FROM ts WHERE split = 'test'),
 c AS (SELECT score, CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS pos, CAST(sum(1 - CAST(is_loss AS INTEGER)) AS BIGINT) AS neg
       FROM t WHERE score IS NOT NULL AND is_loss IS NOT NULL GROUP BY score),
@@ -110,14 +111,17 @@ def q_confusion(spark, sf_dir):
     return mx.confusion(scored_test(spark, sf_dir), "predicted", "is_loss")
 
 
-_EDGES = "list_transform(quantile_cont(score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]), lambda x: round(x, 6))"
+# Independent of the operator: bins by a join on the ordered distinct edges.
+_DECILES = """,
+edges AS (
+    SELECT edge, row_number() OVER (ORDER BY edge) - 1 AS b
+    FROM (SELECT DISTINCT unnest(quantile_cont(score, [i / 10 FOR i IN range(11)])) AS edge FROM t)
+),
+binned AS (SELECT t.*, (10 - greatest(coalesce(e.b, 0), 0))::INT AS risk_decile FROM t ASOF LEFT JOIN edges e ON t.score > e.edge)"""
 
 
-@query("risk_deciles", _T + f""",
-e AS (SELECT {_EDGES} AS edges FROM t)
-SELECT loan_id, received_date, CAST(is_loss AS INTEGER) AS actual_is_loss, score,
-    CAST(10 - (SELECT count(*) FROM unnest(edges) AS u(x) WHERE round(score, 6) > x) AS INTEGER) AS risk_decile
-FROM t CROSS JOIN e
+@query("risk_deciles", _T + _DECILES + """
+SELECT loan_id, received_date, CAST(is_loss AS INTEGER) AS actual_is_loss, score, risk_decile FROM binned
 """)
 def q_risk_deciles(spark, sf_dir):
     """Prediction rows with the risk decile (1 = riskiest)."""
@@ -126,11 +130,11 @@ def q_risk_deciles(spark, sf_dir):
     return d.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"), "score", "risk_decile")
 
 
-@query("decile_table", _T + f""",
-e AS (SELECT {_EDGES} AS edges FROM t),
-d AS (SELECT *, CAST(10 - (SELECT count(*) FROM unnest(edges) AS u(x) WHERE round(score, 6) > x) AS INTEGER) AS risk_decile FROM t CROSS JOIN e)
-SELECT risk_decile, count(*) AS loans, CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS losses,
-    sum(CAST(is_loss AS INTEGER)) / count(is_loss) AS loss_rate FROM d GROUP BY risk_decile
+@query("decile_table", _T + _DECILES + """
+SELECT risk_decile, count(*) AS loans, count(*) FILTER (is_loss) AS losses, avg(is_loss::INT) AS loss_rate,
+    (avg(is_loss::INT) - last_value(avg(is_loss::INT)) OVER (ORDER BY risk_decile ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) * 100
+        AS lead_over_last_pp
+FROM binned GROUP BY risk_decile
 """)
 def q_decile_table(spark, sf_dir):
     """Observed loss rate by risk decile."""
@@ -138,20 +142,20 @@ def q_decile_table(spark, sf_dir):
     return mx.decile_table(d, "risk_decile", "is_loss")
 
 
-@query("decline_table", _T + """,
-q AS (SELECT """ + ", ".join(f"round(quantile_cont(score, {1 - s!r}), 6) AS e{i}" for i, s in enumerate(DECLINE_SHARES)) + """,
-      count(*) AS n, sum(CAST(is_loss AS INTEGER)) AS P FROM t),
-r AS (""" + " UNION ALL ".join(
-    f"SELECT {s!r} AS decline_share, e{i} AS score_cutoff, count(*) FILTER (WHERE round(score, 6) >= e{i}) AS d, "
-    f"sum(CASE WHEN round(score, 6) >= e{i} THEN CAST(is_loss AS INTEGER) ELSE 0 END) AS c, max(n) AS n, max(P) AS P FROM t CROSS JOIN q GROUP BY e{i}"
-    for i, s in enumerate(DECLINE_SHARES)) + """)
-SELECT decline_share, score_cutoff, CAST(d AS BIGINT) AS declined, CAST(c AS BIGINT) AS caught, c / P AS recall,
-    c / nullif(d, 0) AS precision, (c / nullif(d, 0)) / (P / n) AS lift, CAST(d - c AS BIGINT) AS good_declined,
-    CAST(P - c AS BIGINT) AS missed FROM r
+@query("decline_table", _T + f""",
+asked AS (
+    SELECT unnest({DECLINE_SHARES}) AS decline_share, unnest(quantile_cont(score, {[1 - x for x in DECLINE_SHARES]})) AS cutoff FROM t),
+r AS (
+    SELECT decline_share, any_value(cutoff) AS cutoff, count(*) AS n, count(*) FILTER (is_loss) AS losses,
+        count(*) FILTER (score >= cutoff) AS d, count(*) FILTER (score >= cutoff AND is_loss) AS c
+    FROM asked JOIN t ON true GROUP BY decline_share)
+SELECT decline_share, round(cutoff, 6) AS score_cutoff, d AS declined, c AS caught, c / losses AS recall, c / d AS precision,
+    (c / d) / (losses / n) AS lift, d - c AS good_declined, losses - c AS missed FROM r
 """)
 def q_decline_table(spark, sf_dir):
     """Decline-the-riskiest-N% table."""
-    return mx.decline_table(scored_test(spark, sf_dir), "score", "is_loss", DECLINE_SHARES)
+    out = mx.decline_table(scored_test(spark, sf_dir), "score", "is_loss", DECLINE_SHARES)
+    return out.withColumn("score_cutoff", F.round("score_cutoff", 6))
 
 
 @query("regression_metrics", _S + """
@@ -209,23 +213,24 @@ def q_median_baseline(spark, sf_dir):
 @query("bic", _S + """
 SELECT count(*) AS n, round(sum((loss_amount - predicted_loss_amount) ^ 2), 2) AS rss, 2 AS n_params,
     round(count(*) * ln(sum((loss_amount - predicted_loss_amount) ^ 2) / count(*)) + 2 * ln(count(*)), 6) AS bic,
-    count(*) / 2 AS rows_per_param FROM s
+    2 / count(*) AS params_per_row, 2 / count(*) < 0.8 AS is_reliable FROM s
 """)
 def q_bic(spark, sf_dir):
     """BIC of the formula severity model (k = 2) and the rows-per-parameter guard."""
     out = mx.bic(severity_scored(spark, sf_dir), "loss_amount", "predicted_loss_amount", 2)
-    return out.select("n", F.round("rss", 2).alias("rss"), "n_params", F.round("bic", 6).alias("bic"), "rows_per_param")
+    return out.select("n", F.round("rss", 2).alias("rss"), "n_params", F.round("bic", 6).alias("bic"), "params_per_row", "is_reliable")
 
 
 @query("expected_loss", f"""
-ts AS (WITH {TRAINING_SQL.strip()}),
+ts AS ({TRAINING_SQL.strip()}),
 lj AS (SELECT l.*, t.split FROM loans_joined l JOIN ts t ON l.loan_id = t.loan_id WHERE t.split = 'test'),
 {_S.strip()},
-a AS (SELECT sum(CAST(is_loss AS INTEGER)) / count(is_loss) AS loss_rate,
+a AS (SELECT count(*) AS n, sum(CAST(is_loss AS INTEGER)) / count(is_loss) AS loss_rate,
     CAST(sum(CASE WHEN loss_amount > 0 THEN loss_amount ELSE 0 END) AS DOUBLE) / count(*) AS actual_loss_per_loan,
     (SELECT avg(predicted_loss_amount) FROM s) AS mean_predicted_severity FROM lj),
 v AS (SELECT *, loss_rate * mean_predicted_severity AS modelled FROM a)
 SELECT 'loss_rate' AS metric, round(loss_rate, 9) AS value FROM v
+UNION ALL SELECT 'test_loans', n::DOUBLE FROM v
 UNION ALL SELECT 'mean_predicted_severity', round(mean_predicted_severity, 6) FROM v
 UNION ALL SELECT 'modelled_expected_loss_per_loan', round(modelled, 6) FROM v
 UNION ALL SELECT 'actual_loss_per_loan', round(actual_loss_per_loan, 6) FROM v

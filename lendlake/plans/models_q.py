@@ -6,8 +6,10 @@ Fitted models have no SQL twin; their invariants are tested in
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,52 +17,75 @@ from lendlake.config import GROUPER_MIN_COUNT, PROBABILITY_C, SEVERITY_ALPHA
 from lendlake.operators import features as fx
 from lendlake.operators import metrics as mx
 from lendlake.operators import models as ml
+from lendlake.operators import neighbors as nb
+from lendlake.operators import profiling as pf
 from lendlake.operators import scoring as sc
-from lendlake.plans.registry import portfolio, query
+from lendlake.operators.quantiles import exact_quantiles
+from lendlake.plans.registry import portfolio, query, staging_folder
+from lendlake.session import stored
+from lendlake.sources import sinks
+from lendlake.sources.fixture import FIXTURE_CUTOFF
 
 CLS_ID = ["loan_id", "split", "received_date", "is_loss"]
 SEV_ID = ["loan_id", "split", "received_date", "is_loss", "loss_amount"]
 
 
 class ClassifierData:
-    def __init__(self, spark, sf_dir):
+    """Prepared model rows; every fitted step learns from the fit rows only.
+
+    Fit and held-out rows are train and test, or with ``validation`` the two
+    parts of a hash split inside train.
+    """
+
+    def __init__(self, spark, sf_dir, validation=False):
         p = portfolio(spark, sf_dir)
         ts = fx.booleans_to_int(fx.training_set(p.joined, p.cfg), keep=["is_loss"])
         self.cat, self.num = fx.route_columns(ts, CLS_ID)
-        ts = ml.cache(ts.withColumn("label", F.col("is_loss").cast("double")))
-        train = ts.where(F.col("split") == "train")
-        weights = fx.class_weights(train, "is_loss")
-        self.pre = ml.fit_preprocessor(train, self.cat, self.num)
-        self.train = ml.cache(fx.with_class_weight(self.pre.transform(train), weights, "is_loss"))
-        self.test = ml.cache(self.pre.transform(ts.where(F.col("split") == "test")))
+        ts = stored(ts.withColumn("label", F.col("is_loss").cast("double")), "classifier-rows")
+        fit, held = _parts(ts, validation)
+        weights = fx.class_weights(fit, "is_loss")
+        self.pre = ml.fit_preprocessor(fit, self.cat, self.num)
+        self.train = stored(fx.with_class_weight(self.pre.transform(fit), weights, "is_loss"), "classifier-train")
+        self.test = stored(self.pre.transform(held), "classifier-test")
         self.sum_w = ml.total_weight(self.train, "weight")
 
 
 class SeverityData:
-    def __init__(self, spark, sf_dir):
+    def __init__(self, spark, sf_dir, validation=False):
         p = portfolio(spark, sf_dir)
         sev = fx.booleans_to_int(fx.severity_set(p.joined, p.cfg), keep=["is_loss"])
         self.cat, self.num = fx.route_columns(sev, SEV_ID)
-        sev = ml.cache(fx.log_target(sev, "loss_amount", "label"))
-        train = sev.where(F.col("split") == "train")
-        self.pre = ml.fit_preprocessor(train, self.cat, self.num, group_rare=True, rare_min_count=GROUPER_MIN_COUNT)
-        self.train = ml.cache(self.pre.transform(train))
-        self.test = ml.cache(self.pre.transform(sev.where(F.col("split") == "test")))
+        sev = stored(fx.log_target(sev, "loss_amount", "label"), "severity-rows")
+        self.fit_rows, self.held_rows = _parts(sev, validation)
+        self.pre = ml.fit_preprocessor(self.fit_rows, self.cat, self.num, group_rare=True, rare_min_count=GROUPER_MIN_COUNT)
+        self.train = stored(self.pre.transform(self.fit_rows), "severity-train")
+        self.test = stored(self.pre.transform(self.held_rows), "severity-test")
         st = self.train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd"),
                             F.min("label").alias("lo"), F.max("label").alias("hi")).first()
         self.n, self.label_sd, self.log_lo, self.log_hi = int(st["n"]), float(st["sd"] or 0.0), st["lo"], st["hi"]
 
+    def by_correlation(self):
+        """Numeric columns by the size of their correlation with the loss amount on the fit rows."""
+        rows = pf.correlation_with_target(self.fit_rows, self.num, "loss_amount").collect()  # one row a column
+        return [r["column_name"] for r in rows if r["correlation"] is not None]
 
-_DATA: dict = {}
 
+def _parts(df: DataFrame, validation: bool) -> tuple[DataFrame, DataFrame]:
+    train = df.where(F.col("split") == "train")
+    if not validation:
+        return train, df.where(F.col("split") == "test")
+    cut = fx.hash_split(train, "loan_id", 0.2)
+    return cut.where(~F.col("is_validation")).drop("is_validation"), cut.where(F.col("is_validation")).drop("is_validation")
 
-def _memo(cls, spark, sf_dir):
-    """Prepared (cached) model inputs, shared by the model queries of a session."""
-    import os
 
-    key = (cls.__name__, spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+_DATA: dict = {}
+
+
+def _memo(cls, spark, sf_dir, validation=False):
+    """Prepared (stored) model inputs, shared by the model queries of a session."""
+    key = (cls.__name__, spark.sparkContext.applicationId, sf_dir, validation)
     if key not in _DATA:
-        _DATA[key] = cls(spark, sf_dir)
+        _DATA[key] = cls(spark, sf_dir, validation)
     return _DATA[key]
 
 
@@ -105,18 +130,35 @@ def _classification_row(name: str, preds: DataFrame) -> DataFrame:
     return row
 
 
+def _knn_predictions(d: ClassifierData, k: int) -> DataFrame:
+    probs = nb.knn_probability(d.test, d.train, k, "loan_id")
+    truth = d.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"))
+    return truth.join(probs, "loan_id").withColumn("predicted", (F.col("score") > 0.5).cast("int"))
+
+
+COMPARED = [("SVM (C=10, linear)", "svm", 10.0), ("Logistic Regression (C=1.0)", "logistic", 1.0),
+            ("Decision Tree (max_depth=2)", "tree", 2)]
+
+
 @query("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    """Classifier comparison on the test split, sorted by ROC-AUC."""
+    """Four classifiers compared on the test split, sorted by ROC-AUC."""
     d = _memo(ClassifierData, spark, sf_dir)
-    rows = [
-        _classification_row("SVM (C=10, linear)", _class_predictions(d, "svm", 10.0)),
-        _classification_row("Logistic Regression (C=1.0)", _class_predictions(d, "logistic", 1.0)),
-        _classification_row("Decision Tree (max_depth=2)", _class_predictions(d, "tree", 2)),
-    ]
+    rows = [_classification_row(name, _class_predictions(d, kind, param)) for name, kind, param in COMPARED]
+    rows.append(_classification_row("KNN (k=40)", stored(_knn_predictions(d, 40), "knn-predictions")))
     return reduce(DataFrame.unionByName, rows).orderBy(F.col("roc_auc").desc())
 
 
+@query("classification_predictions")
+def q_classification_predictions(spark, sf_dir):
+    """Test rows with the SVM score, the logistic probability and the risk decile, riskiest first."""
+    d = _memo(ClassifierData, spark, sf_dir)
+    svm = _class_predictions(d, "svm", 10.0).select("loan_id", "received_date", "actual_is_loss", F.col("score").alias("svm_score"))
+    logreg = _class_predictions(d, "logistic", 1.0).select("loan_id", F.col("score").alias("logreg_probability_of_loss"))
+    both = stored(svm.join(logreg, "loan_id"), "class-predictions")
+    return mx.with_risk_decile(both, "svm_score").orderBy(F.col("svm_score").desc(), "loan_id")
+
+
 def _severity_predictions(d: SeverityData, model, clip: bool = True) -> DataFrame:
     fitted = model.fit(d.train)
     pred = fitted.transform(d.test)
@@ -146,90 +188,170 @@ def q_model_lasso(spark, sf_dir):
     return _severity_predictions(d, ml.lasso(0.01))
 
 
+def _simple(d: SeverityData):
+    """Rows with the one numeric predictor that correlates most with the loss amount."""
+    best = d.by_correlation()[0]
+    one = VectorAssembler(inputCols=[best], outputCol="features", handleInvalid="keep")
+    return best, one.transform(d.train.drop("features")), one.transform(d.test.drop("features"))
+
+
+def _expanded(d: SeverityData, degree: int):
+    """M9: the ten best numeric columns expanded, all other columns as they are."""
+    top = d.by_correlation()[:10]  # the reference's count
+    assembler = VectorAssembler(inputCols=top, outputCol="__top", handleInvalid="keep")
+    keep = [i for i, name in enumerate(d.pre.feature_names) if name not in set(top)]
+    slicer = VectorSlicer(inputCol="features", outputCol="__rest", indices=keep)
+    joiner = VectorAssembler(inputCols=["__poly", "__rest"], outputCol="features", handleInvalid="error")
+
+    def run(df: DataFrame) -> DataFrame:
+        wide = slicer.transform(ml.polynomial(assembler.transform(df), degree, "__top", "__poly"))
+        return joiner.transform(wide.drop("features")).drop("__top", "__poly", "__rest")
+
+    return run(d.train), run(d.test)
+
+
+def _back(fitted, test: DataFrame) -> DataFrame:
+    back = F.greatest(F.expm1(F.col("prediction")), F.lit(0.0))
+    return fitted.transform(test).select("loan_id", "received_date", F.col("loss_amount").cast("double").alias("actual_loss_amount"),
+                                         back.alias("predicted_loss_amount"))
+
+
+@query("model_simple")
+def q_model_simple(spark, sf_dir):
+    """Regression on the one best predictor."""
+    _, train, test = _simple(_memo(SeverityData, spark, sf_dir))
+    return _back(ml.ols().fit(train), test)
+
+
+@query("lasso_nonzero")
+def q_lasso_nonzero(spark, sf_dir):
+    """How many coefficients the lasso keeps, per alpha of the sweep."""
+    d = _memo(SeverityData, spark, sf_dir)
+    rows = []
+    for alpha in LASSO_ALPHAS:
+        coefficients = ml.lasso(alpha).fit(d.train).coefficients
+        rows.append((alpha, int(coefficients.numNonzeros()), len(coefficients)))
+    return spark.createDataFrame(rows, "alpha double, nonzero int, total int")
+
+
 @query("regression_comparison")
 def q_regression_comparison(spark, sf_dir):
-    """Baseline, ridge, lasso and OLS compared on MAE / RMSE / R^2."""
+    """Baseline, simple, multiple, polynomial, ridge and lasso, by RMSE, then MAE."""
     d = _memo(SeverityData, spark, sf_dir)
-    base_train = d.train.select(F.expm1("label").alias("y"))
-    from lendlake.operators.quantiles import exact_quantiles
-
-    med = exact_quantiles(base_train, [], "y", [0.5], "m").select(F.col("m")[0]).scalar()
-    rows = [mx.regression_metrics(d.test.select(F.col("loss_amount").cast("double").alias("a"), med.alias("p")), "a", "p")
-            .select(F.lit("Baseline (training median)").alias("model"), "*")]
-    for name, model in [
-        ("Ridge (alpha=100)", ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd)),
-        ("Lasso (alpha=0.01)", ml.lasso(0.01)),
-        ("Multiple Linear Regression", ml.ols()),
-    ]:
-        p = _severity_predictions(d, model)
-        rows.append(mx.regression_metrics(p, "actual_loss_amount", "predicted_loss_amount").select(F.lit(name).alias("model"), "*"))
+    degree = _best_degree(spark, sf_dir)
+    _, simple_train, simple_test = _simple(d)
+    poly_train, poly_test = _expanded(d, degree)
+    amounts = d.fit_rows.select(F.col("loss_amount").cast("double").alias("y"))
+    median = exact_quantiles(amounts, [], "y", [0.5], "m").select(F.col("m")[0]).scalar()
+    tables = [
+        ("Baseline (training median)", d.test.select(F.col("loss_amount").cast("double").alias("actual_loss_amount"),
+                                                      median.alias("predicted_loss_amount"))),
+        ("Simple Linear Regression", _back(ml.ols().fit(simple_train), simple_test)),
+        ("Multiple Linear Regression", _back(ml.ols().fit(d.train), d.test)),
+        (f"Polynomial Regression (degree {degree})", _back(ml.ols().fit(poly_train), poly_test)),
+        ("Ridge (alpha=100)", _back(ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd).fit(d.train), d.test)),
+        ("Lasso (alpha=0.01)", _back(ml.lasso(0.01).fit(d.train), d.test)),
+    ]
+    rows = [
+        mx.regression_metrics(t, "actual_loss_amount", "predicted_loss_amount").select(F.lit(name).alias("model"), "*")
+        for name, t in tables
+    ]
     return reduce(DataFrame.unionByName, rows).orderBy("rmse", "mae")
 
 
+# The parameters that the sweeps try (0 depth: unlimited).
+LOGISTIC_C = [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]
+SVM_C = [0.1, 1.0, 10.0]
+TREE_DEPTHS = [2, 3, 4, 5, 6, 8, 10, 12, 0]
+RIDGE_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
+LASSO_ALPHAS = [0.0001, 0.001, 0.01, 0.1, 1.0]
+
+
 @query("sweep")
 def q_sweep(spark, sf_dir):
-    """Parameter sweeps selected on hash validation splits inside train.
+    """The classifier sweeps on a hash validation split inside train.
 
-    Logistic C, linear-SVM C and tree depth by validation ROC-AUC; ridge and
-    lasso alpha by validation RMSE (currency).  ``is_best`` flags the best row
-    per model.
+    All preparation is fitted on the fit part only.  ``is_best`` flags the
+    highest ROC-AUC of a model (ties: the smaller parameter).
     """
-    d = _memo(ClassifierData, spark, sf_dir)
-    tv = fx.hash_split(d.train, "loan_id", 0.2)
-    fit_part = ml.cache(tv.where(~F.col("is_validation")))
-    val_part = tv.where(F.col("is_validation"))
-    sum_w = ml.total_weight(fit_part, "weight")
+    d = _memo(ClassifierData, spark, sf_dir, validation=True)
+    tried = [("logistic", p) for p in LOGISTIC_C] + [("svm", p) for p in SVM_C] + [("tree", p) for p in TREE_DEPTHS]
     rows = []
+    for kind, param in tried:
+        preds = _class_predictions(d, kind, (param or None) if kind == "tree" else param)
+        rows.append(_classification_row(kind, stored(preds, "sweep")).withColumn("param", F.lit(float(param))))
+    return _flag_best(stored(reduce(DataFrame.unionByName, rows), "sweep"), F.col("roc_auc"))
 
-    def auc_row(model_name, param, model, kind):
-        preds = ml.positive_score(model.transform(val_part), kind).select("score", F.col("is_loss").cast("int").alias("y"))
-        auc = mx.roc_auc(preds, "score", "y")
-        return auc.select(F.lit(model_name).alias("model"), F.lit(float(param)).alias("param"),
-                          F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
-
-    for C in (0.01, 0.1, 1.0, 10.0):
-        rows.append(auc_row("logistic", C, ml.logistic(C, sum_w).fit(fit_part), "logistic"))
-    for C in (0.1, 1.0, 10.0):
-        rows.append(auc_row("linear_svm", C, ml.linear_svm(C, sum_w).fit(fit_part), "svm"))
-    for depth in (2, 4, 6):
-        rows.append(auc_row("tree", depth, ml.decision_tree(depth).fit(fit_part), "tree"))
-    s = _memo(SeverityData, spark, sf_dir)
-    stv = fx.hash_split(s.train, "loan_id", 0.2)
-    s_fit = ml.cache(stv.where(~F.col("is_validation")))
-    s_val = stv.where(F.col("is_validation"))
-    st = s_fit.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
-    regressors = [("ridge", a, ml.ridge(a, int(st["n"]), float(st["sd"] or 0.0))) for a in (1.0, 10.0, 100.0)]
-    regressors += [("lasso", a, ml.lasso(a)) for a in (0.001, 0.01, 0.1)]
-    for name, alpha, est in regressors:
-        pred = est.fit(s_fit).transform(s_val).select(
-            F.col("loss_amount").cast("double").alias("a"), F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("p"))
-        rows.append(mx.regression_metrics(pred, "a", "p").select(
-            F.lit(name).alias("model"), F.lit(alpha).alias("param"), F.lit("rmse").alias("metric"),
-            F.col("rmse").alias("value")))
-    table = reduce(DataFrame.unionByName, rows)
-    # Best row per model (highest AUC, lowest RMSE; ties -> smaller parameter).
-    score = F.when(F.col("metric") == "rmse", -F.col("value")).otherwise(F.col("value"))
+
+@query("regression_sweep")
+def q_regression_sweep(spark, sf_dir):
+    """Ridge and lasso alphas by validation RMSE in currency."""
+    d = _memo(SeverityData, spark, sf_dir, validation=True)
+    tried = [("ridge", a, ml.ridge(a, d.n, d.label_sd)) for a in RIDGE_ALPHAS] + [("lasso", a, ml.lasso(a)) for a in LASSO_ALPHAS]
+    rows = []
+    for name, alpha, model in tried:
+        table = mx.regression_metrics(_back(model.fit(d.train), d.test), "actual_loss_amount", "predicted_loss_amount")
+        rows.append(table.select(F.lit(name).alias("model"), "*", F.lit(alpha).alias("param")))
+    return _flag_best(stored(reduce(DataFrame.unionByName, rows), "sweep"), -F.col("rmse"))
+
+
+def _flag_best(table: DataFrame, score) -> DataFrame:
     best = table.groupBy("model").agg(F.max_by("param", F.struct(score, -F.col("param"))).alias("best_param"))
-    return table.join(best, "model").select(
-        "model", "param", "metric", "value", (F.col("param") == F.col("best_param")).alias("is_best"))
+    return table.join(best, "model").withColumn("is_best", F.col("param") == F.col("best_param")).drop("best_param")
+
+
+def _degrees(spark, sf_dir) -> DataFrame:
+    key = ("degrees", spark.sparkContext.applicationId, sf_dir)
+    if key not in _DATA:
+        d = _memo(SeverityData, spark, sf_dir)
+        rows = []
+        for degree in (1, 2, 3):
+            train, _ = _expanded(d, degree)
+            width = len(train.first()["features"])
+            pred = ml.ols(width=width).fit(train).transform(train)
+            rows.append(mx.bic(pred, "label", "prediction", width + 1).select(F.lit(degree).alias("degree"), "*"))
+        table = stored(reduce(DataFrame.unionByName, rows), "degrees")
+        best = table.agg(F.min_by("degree", F.struct("bic", "degree"))).scalar()
+        _DATA[key] = table.withColumn("is_best", F.col("degree") == best)
+    return _DATA[key]
+
+
+def _best_degree(spark, sf_dir) -> int:
+    return _degrees(spark, sf_dir).where("is_best").first()["degree"]
 
 
 @query("poly_degree")
 def q_poly_degree(spark, sf_dir):
-    """Polynomial degree 1-3 of the top numeric features, picked by BIC."""
+    """Degree 1 to 3 for the ten columns that correlate most, all others kept; chosen by BIC."""
+    return _degrees(spark, sf_dir)
+
+
+@query("export_predictions", """
+ts AS (SELECT count(*) AS n FROM loans_joined WHERE received_date >= DATE '""" + FIXTURE_CUTOFF + """' OR received_date IS NULL),
+sev AS (SELECT count(*) AS n FROM loans_joined WHERE (received_date >= DATE '""" + FIXTURE_CUTOFF + """' OR received_date IS NULL) AND loss_amount > 0)
+SELECT 'predictions_classification' AS mart, n AS rows, true AS in_order FROM ts
+UNION ALL SELECT 'predictions_regression', n, true FROM sev
+UNION ALL SELECT 'model_comparison_classification', 4, true
+UNION ALL SELECT 'model_comparison_regression', 6, true
+""")
+def q_export_predictions(spark, sf_dir):
+    """K4, O2, O3: both prediction tables and both comparisons as ordered CSV, read back in file order."""
     d = _memo(SeverityData, spark, sf_dir)
-    from pyspark.ml.feature import VectorAssembler
-
-    top = [c for c in d.num if not c.startswith("is_unobserved")][:4]
-    rows = []
-    for degree in (1, 2, 3):
-        va = VectorAssembler(inputCols=top, outputCol="base", handleInvalid="keep")
-        tr = ml.polynomial(va.transform(d.train.drop("features")), degree, "base", "features")
-        model = ml.ols().fit(tr)
-        k = len(model.coefficients) + 1
-        pred = model.transform(tr)
-        rows.append(mx.bic(pred, "label", "prediction", k).select(F.lit(degree).alias("degree"), "*"))
-    return reduce(DataFrame.unionByName, rows)
+    ridge = _back(ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd).fit(d.train), d.test)
+    regression = mx.prediction_rows(ridge, "loan_id", "actual_loss_amount", "predicted_loss_amount", ["received_date"])
+    frames = {
+        "predictions_classification": (q_classification_predictions(spark, sf_dir), ["-svm_score", "loan_id"], False),
+        "predictions_regression": (regression, ["-absolute_error", "loan_id"], False),
+        "model_comparison_classification": (q_model_comparison(spark, sf_dir), ["-roc_auc"], True),
+        "model_comparison_regression": (q_regression_comparison(spark, sf_dir), ["rmse", "mae"], True),
+    }
+    base = f"{staging_folder(spark, sf_dir)}/predictions-{uuid.uuid4().hex[:8]}"
+    checks = []
+    for name, (frame, order, single) in frames.items():
+        keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in order]
+        sinks.export_csv(stored(frame, "export"), f"{base}/{name}", keys, single_file=single)
+        checks.append(sinks.read_in_order(spark, f"{base}/{name}", order[0]).select(F.lit(name).alias("mart"), "rows", "in_order"))
+    return reduce(DataFrame.unionByName, checks)
 
 
 @query("coefficients")
@@ -245,10 +367,6 @@ def q_coefficients(spark, sf_dir):
 def q_batch_scoring(spark, sf_dir):
     """Fit both models, score every loan in one distributed pass."""
     p = portfolio(spark, sf_dir)
-    import uuid
-
-    from lendlake.plans.registry import staging_folder
-
     fitted = sc.fit_scoring_models(p.joined, p.cfg)
     # K5: persist the fitted pipelines with their metadata and score with the reloaded copy.
     path = f"{staging_folder(spark, sf_dir)}/models-{uuid.uuid4().hex[:8]}"
@@ -261,18 +379,12 @@ def q_batch_scoring(spark, sf_dir):
 @query("model_knn")
 def q_model_knn(spark, sf_dir):
     """L4: exact k-nearest-neighbour probability (k = 40) for the test rows."""
-    from lendlake.operators import neighbors as nb
-
-    d = _memo(ClassifierData, spark, sf_dir)
-    probs = nb.knn_probability(d.test, d.train, 40, "loan_id")
-    return d.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss")).join(probs, "loan_id")
+    return _knn_predictions(_memo(ClassifierData, spark, sf_dir), 40).drop("predicted")
 
 
 @query("oversample")
 def q_oversample(spark, sf_dir):
     """Minority oversampling of the training vectors until the classes balance."""
-    from lendlake.operators import neighbors as nb
-
     d = _memo(ClassifierData, spark, sf_dir)
     over = nb.smote(d.train, "loan_id", "label", "features")
     return over.groupBy("label", "is_synthetic").agg(F.count(F.lit(1)).alias("rows"))
@@ -281,11 +393,9 @@ def q_oversample(spark, sf_dir):
 @query("weighting_comparison")
 def q_weighting_comparison(spark, sf_dir):
     """Class weights vs oversampling for the logistic model (test ROC-AUC / AP)."""
-    from lendlake.operators import neighbors as nb
-
     d = _memo(ClassifierData, spark, sf_dir)
     rows = [_classification_row("Logistic (class weights)", _class_predictions(d, "logistic", PROBABILITY_C))]
-    over = ml.cache(nb.smote(d.train, "loan_id", "label", "features"))
+    over = stored(nb.smote(d.train, "loan_id", "label", "features"), "oversampled")
     model = ml.logistic(PROBABILITY_C, ml.total_weight(over, None), weight=None).fit(over)
     preds = ml.positive_score(model.transform(d.test), "logistic").select(
         "loan_id", F.col("is_loss").cast("int").alias("actual_is_loss"), "score", F.col("prediction").cast("int").alias("predicted"))
@@ -296,13 +406,10 @@ def q_weighting_comparison(spark, sf_dir):
 @query("knn_sweep")
 def q_knn_sweep(spark, sf_dir):
     """L9 (k = 5..55 step 5), L4: one 55-neighbour search answers every k on the validation split."""
-    from lendlake.operators import neighbors as nb
-
-    d = _memo(ClassifierData, spark, sf_dir)
-    tv = fx.hash_split(d.train, "loan_id", 0.2)
-    fit_part, val_part = tv.where(~F.col("is_validation")), tv.where(F.col("is_validation"))
+    d = _memo(ClassifierData, spark, sf_dir, validation=True)
+    fit_part, val_part = d.train, d.test
     ks = list(range(5, 60, 5))
-    nn = ml.cache(nb.nearest_neighbors(val_part, fit_part, max(ks), "loan_id", "loan_id"))
+    nn = stored(nb.nearest_neighbors(val_part, fit_part, max(ks), "loan_id", "loan_id"), "knn-sweep")
     truth = val_part.select(F.col("loan_id").alias("test_id"), F.col("is_loss").cast("int").alias("y"))
     per_k = nn.groupBy("test_id").agg(
         *[F.avg(F.when(F.col("neighbor_rank") <= k, F.col("train_label"))).alias(f"k{k}") for k in ks]

@@ -7,6 +7,9 @@ the data scale, 8-9 for unit-free ratios) so the results hash identically.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.operators import features as fx
@@ -17,7 +20,7 @@ from lendlake.plans.sqlbits import mean, rate
 from lendlake.sources.fixture import FEATURE_COLUMNS
 
 NUM_COLS = [c for c in FEATURE_COLUMNS if c not in ("feat_001", "feat_003", "feat_004", "feat_015", "feat_041")]
-STD_COLS = ["feat_010_std", "feat_020_std", "feat_025_std"]
+STD_COLS = pf.feature_groups(NUM_COLS)["std"]
 ALL_COLS = ["loan_id", "received_date", "is_loss", "loss_amount", "feat_001", "feat_003", "feat_004", "feat_015",
             "feat_041", *NUM_COLS]
 
@@ -59,45 +62,57 @@ def q_profile_columns(spark, sf_dir):
     return out.select("column_name", "column_family", "count", "nulls", "min", "max", _r("median", 6), _r("mean", 4), _r("std", 4))
 
 
+CATEGORIES = ["feat_001", "feat_003", "feat_004", "feat_015", "feat_041"]
+
+
+def _each(make):
+    """One report per category, stacked."""
+    parts = [make(c).select(F.lit(c).alias("column_name"), "*") for c in CATEGORIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "profile_categories",
-    """
-g AS (SELECT coalesce(CAST(feat_001 AS VARCHAR), 'Missing') AS level, count(*) AS count FROM loans_joined GROUP BY 1)
-SELECT level, count, CAST(count * 100.0 / (SELECT count(*) FROM loans_joined) AS DOUBLE) AS percent FROM g
-""",
+    _u(
+        f"SELECT '{c}' AS column_name, coalesce({c}::VARCHAR, 'Missing') AS level, count(*) AS count, "
+        f"count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS percent FROM loans_joined GROUP BY 2" for c in CATEGORIES
+    ),
 )
 def q_profile_categories(spark, sf_dir):
-    """Level counts and % of feat_001, missing kept."""
-    return pf.category_summary(portfolio(spark, sf_dir).joined, "feat_001", include_missing=True)
+    """Level counts and % of every category, missing kept."""
+    joined = portfolio(spark, sf_dir).joined
+    return _each(lambda c: pf.category_summary(joined, c, include_missing=True))
 
 
 @query(
     "profile_by_level",
-    f"""
-SELECT coalesce(CAST(feat_041 AS VARCHAR), 'Missing') AS level, count(*) AS loans,
-    CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS losses, {rate('is_loss')} AS loss_rate,
-    {rate('is_loss')} * 100 AS loss_rate_pct, {mean('loss_amount')} AS mean_loss_amount
-FROM loans_joined GROUP BY 1
-""",
+    _u(
+        f"SELECT '{c}' AS column_name, coalesce({c}::VARCHAR, 'Missing') AS level, count(*) AS loans, "
+        f"CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS losses, {rate('is_loss')} AS loss_rate, "
+        f"{rate('is_loss')} * 100 AS loss_rate_pct, {mean('loss_amount')} AS mean_loss_amount FROM loans_joined GROUP BY 2"
+        for c in CATEGORIES
+    ),
 )
 def q_profile_by_level(spark, sf_dir):
-    """Loss outcome by level of feat_041."""
-    return pf.loss_by_level(portfolio(spark, sf_dir).joined, "feat_041")
+    """Loss outcome by level of every category."""
+    joined = portfolio(spark, sf_dir).joined
+    return _each(lambda c: pf.loss_by_level(joined, c))
 
 
 @query(
     "profile_median_by_level",
-    f"""
-sev AS ({SEVERITY_SQL})
-SELECT feat_003, count(*) AS loans, round(median(loss_amount), 6) AS median_amount
-FROM sev GROUP BY feat_003 ORDER BY loans DESC, feat_003 ASC NULLS LAST LIMIT 3
-""",
+    f"sev AS ({SEVERITY_SQL})\n" + _u(
+        f"(SELECT '{c}' AS column_name, {c}::VARCHAR AS level, count(*) AS loans, round(median(loss_amount), 6) AS median_amount "
+        f"FROM sev WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY loans DESC, {c} LIMIT 10)" for c in CATEGORIES
+    ),
 )
 def q_profile_median_by_level(spark, sf_dir):
-    """Median loss of the 3 most frequent feat_003 levels (top-k report)."""
+    """Median loss of the 10 most frequent levels of every category (a top-k report)."""
     p = portfolio(spark, sf_dir)
     sev = fx.severity_set(p.joined, p.cfg)
-    return pf.median_by_level(sev, "feat_003", "loss_amount", top_n=3).select("feat_003", "loans", _r("median_amount", 6))
+    return _each(
+        lambda c: pf.median_by_level(sev, c, "loss_amount").select(F.col(c).cast("string").alias("level"), "loans", _r("median_amount", 6))
+    )
 
 
 @query(
@@ -137,12 +152,48 @@ def q_profile_crosstab(spark, sf_dir):
     "profile_repeats",
     """
 SELECT received_date, CAST(loss_amount AS DOUBLE) AS loss_amount, count(*) AS rows, min(loan_id) AS first_id, max(loan_id) AS last_id
-FROM loans_joined GROUP BY received_date, loss_amount HAVING count(*) > 1
+FROM loans_joined WHERE is_loss AND loss_amount <= 0 GROUP BY received_date, loss_amount HAVING count(*) > 1
 """,
 )
 def q_profile_repeats(spark, sf_dir):
-    """Repeated (date, amount) combinations."""
-    return pf.repeated_patterns(portfolio(spark, sf_dir).loans, ["received_date", "loss_amount"])
+    """Repeated (date, amount) combinations of flagged rows without a positive amount."""
+    odd = pf.flagged_not_positive(portfolio(spark, sf_dir).loans)
+    return pf.repeated_patterns(odd, ["received_date", "loss_amount"])
+
+
+@query(
+    "repeated_members",
+    """
+counted AS (
+    SELECT received_date, loss_amount, loan_id, count(*) OVER (PARTITION BY received_date, loss_amount) AS rows
+    FROM loans_joined WHERE is_loss AND loss_amount <= 0)
+SELECT received_date, loss_amount::DOUBLE AS loss_amount, loan_id, rows FROM counted WHERE rows > 1
+""",
+)
+def q_repeated_members(spark, sf_dir):
+    """The loans of each repeated combination, one row per member."""
+    odd = pf.flagged_not_positive(portfolio(spark, sf_dir).loans)
+    return pf.repeated_members(odd, ["received_date", "loss_amount"])
+
+
+@query(
+    "profile_shape",
+    "SELECT count(*) AS rows, " + str(len(ALL_COLS)) + " AS columns, CAST(sum("
+    + " + ".join(f"({c} IS NULL)::INT" for c in ALL_COLS) + ") AS BIGINT) AS missing_cells, 1 AS columns_date, 1 AS columns_decimal, "
+    "3 AS columns_boolean, 4 AS columns_string, " + str(len(ALL_COLS) - 9) + " AS columns_double FROM loans_joined",
+)
+def q_profile_shape(spark, sf_dir):
+    """Rows, columns by type and missing cells."""
+    return pf.missing_cells(portfolio(spark, sf_dir).joined.select(*ALL_COLS))
+
+
+@query(
+    "rows_with_nulls",
+    "SELECT loan_id, " + ", ".join(FEATURE_COLUMNS) + " FROM loans_joined WHERE " + " OR ".join(f"{c} IS NULL" for c in FEATURE_COLUMNS),
+)
+def q_rows_with_nulls(spark, sf_dir):
+    """P10: the rows with any predictor missing."""
+    return pf.rows_with_nulls(portfolio(spark, sf_dir).joined, FEATURE_COLUMNS)
 
 
 @query(
@@ -193,7 +244,7 @@ def q_profile_skew(spark, sf_dir):
     return out.select(_r("skew_raw", 8), _r("skew_log1p", 8))
 
 
-SEV_NUM = [c for c in NUM_COLS if c not in ("feat_066_min", "feat_030_max")]
+SEV_NUM = NUM_COLS
 
 
 @query(
@@ -215,29 +266,30 @@ def q_profile_correlation(spark, sf_dir):
     "profile_null_patterns",
     f"""
 SELECT count(*) AS rows,
-    count(*) FILTER (WHERE {' OR '.join(c + ' IS NULL' for c in ['feat_002'] + STD_COLS)}) AS rows_any_null,
-    count(*) FILTER (WHERE {' AND '.join(c + ' IS NULL' for c in ['feat_002'] + STD_COLS)}) AS rows_all_null
+    count(*) FILTER (WHERE {' OR '.join(c + ' IS NULL' for c in FEATURE_COLUMNS)}) AS rows_any_null,
+    count(*) FILTER (WHERE {' AND '.join(c + ' IS NULL' for c in FEATURE_COLUMNS)}) AS rows_all_null
 FROM loans_joined
 """,
 )
 def q_profile_null_patterns(spark, sf_dir):
-    """Rows with any / all of the line statistics missing."""
-    return pf.null_patterns(portfolio(spark, sf_dir).joined, ["feat_002", *STD_COLS])
+    """Rows with any / all of the predictors missing."""
+    return pf.null_patterns(portfolio(spark, sf_dir).joined, FEATURE_COLUMNS)
 
 
 @query(
     "profile_missing_flag",
     f"""
-SELECT ({' AND '.join(c + ' IS NULL' for c in STD_COLS)}) AS all_missing, count(*) AS loans, {rate('is_loss')} AS loss_rate,
+SELECT ({' OR '.join(c + ' IS NULL' for c in STD_COLS)}) AS any_missing, count(*) AS loans, count(*) FILTER (is_loss) AS losses,
+    {rate('is_loss')} AS loss_rate, {rate('is_loss')} * 100 AS loss_rate_pct,
     {mean('loss_amount')} AS mean_loss_amount, round(median(CAST(loss_amount AS DOUBLE)), 6) AS median_loss_amount,
     min(received_date) AS first_date, max(received_date) AS last_date
 FROM loans_joined GROUP BY 1
 """,
 )
 def q_profile_missing_flag(spark, sf_dir):
-    """Outcome by the "all std columns missing" flag."""
+    """Outcome by the "any column of a family missing" flag (the std family)."""
     out = pf.missing_flag_outcome(portfolio(spark, sf_dir).joined, STD_COLS, "is_loss", "loss_amount", "received_date")
-    return out.select("all_missing", "loans", "loss_rate", "mean_loss_amount", _r("median_loss_amount", 6), "first_date", "last_date")
+    return out.withColumn("median_loss_amount", F.round("median_loss_amount", 6))
 
 
 _CANDIDATES = [995.0, 999.0, 999999999.0]
@@ -285,7 +337,7 @@ def q_profile_mean_mass(spark, sf_dir):
     return out.select("column_name", _r("mean", 4), "rows_at_value", "pct_at_value")
 
 
-_MV_COLS = ["feat_001", "feat_003", *NUM_COLS]
+_MV_COLS = FEATURE_COLUMNS
 
 
 @query(
@@ -302,7 +354,7 @@ def q_profile_missing_vs_outcome(spark, sf_dir):
     return pf.missing_vs_outcome(portfolio(spark, sf_dir).joined, _MV_COLS)
 
 
-_MY_COLS = ["feat_001", "feat_002", "feat_010_std"]
+_MY_COLS = FEATURE_COLUMNS
 
 
 @query(
@@ -364,7 +416,7 @@ def q_conflict_summary(spark, sf_dir):
 
 @query(
     "split_summary",
-    f"ts AS (WITH {TRAINING_SQL.strip()})\nSELECT split, count(*) AS loans, CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS losses, "
+    f"ts AS ({TRAINING_SQL.strip()})\nSELECT split, count(*) AS loans, CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS losses, "
     f"{rate('is_loss')} AS loss_rate FROM ts GROUP BY split",
 )
 def q_split_summary(spark, sf_dir):
@@ -373,16 +425,25 @@ def q_split_summary(spark, sf_dir):
     return pf.split_summary(fx.training_set(p.joined, p.cfg))
 
 
-@query(
-    "validated_merge",
-    """
+_MERGED_SQL = """
 SELECT f.loan_id, f.feat_003, f.feat_010_std, l.is_loss, CAST(l.loss_amount AS DOUBLE) AS loss_amount
-FROM stg_loan_features f LEFT JOIN stg_loans l ON f.loan_id = l.loan_id
-WHERE f.feat_010_std IS NULL
-""",
-)
-def q_validated_merge(spark, sf_dir):
-    """1:1-validated merge of a feature subset with the outcomes."""
+FROM stg_loan_features f {how} JOIN stg_loans l USING (loan_id)
+"""
+
+
+def _merged(spark, sf_dir, how):
     p = portfolio(spark, sf_dir)
-    sub = p.features.where(F.col("feat_010_std").isNull()).select("loan_id", "feat_003", "feat_010_std")
-    return pf.validated_merge(sub, p.loans.select("loan_id", "is_loss", "loss_amount"), "loan_id", "left")
+    features = p.features.select("loan_id", "feat_003", "feat_010_std")
+    return pf.validated_merge(features, p.loans.select("loan_id", "is_loss", "loss_amount"), "loan_id", how)
+
+
+@query("validated_merge", _MERGED_SQL.format(how="LEFT"))
+def q_validated_merge(spark, sf_dir):
+    """1:1-validated left merge of features with the outcomes."""
+    return _merged(spark, sf_dir, "left")
+
+
+@query("validated_merge_inner", _MERGED_SQL.format(how="INNER"))
+def q_validated_merge_inner(spark, sf_dir):
+    """The inner variant."""
+    return _merged(spark, sf_dir, "inner")

@@ -2,62 +2,43 @@
 
 from __future__ import annotations
 
+from lendlake.config import TOP_SHARE_THRESHOLDS
 from lendlake.operators import ranking
 from lendlake.plans.registry import portfolio, query
-from lendlake.plans.sqlbits import dbl, ratio
 
-_CURVE_SQL = f"""
-pos AS (
-    SELECT loan_id, received_date, CAST(extract(year FROM received_date) AS INTEGER) AS origination_year, loss_amount
+# The loans stand in one ordered list; a loan's rank is its place there, and the
+# total up to it is a sum over the list's prefix sums.
+_ORDERED_SQL = """
+ordered AS (
+    SELECT list({id: loan_id, d: received_date, x: loss_amount} ORDER BY loss_amount DESC, loan_id) AS loans
     FROM loans_joined WHERE loss_amount > 0
-),
-rk AS (
-    SELECT *,
-        row_number() OVER (ORDER BY loss_amount DESC, loan_id) AS loss_rank,
-        count(*) OVER () AS positive_loss_loan_count,
-        sum(loss_amount) OVER () AS portfolio_positive_loss_amount,
-        sum(loss_amount) OVER (ORDER BY loss_amount DESC, loan_id
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_positive_loss_amount
-    FROM pos
-),
-curve AS (
-    SELECT loan_id, received_date, origination_year, loss_amount, loss_rank, positive_loss_loan_count,
-        loss_rank AS cumulative_positive_loss_loan_count,
-        {ratio('loss_rank', 'positive_loss_loan_count')} AS cumulative_positive_loss_loan_share,
-        portfolio_positive_loss_amount, cumulative_positive_loss_amount,
-        {ratio('cumulative_positive_loss_amount', 'portfolio_positive_loss_amount')} AS cumulative_positive_loss_share
-    FROM rk
 )"""
 
-_CURVE_SELECT = f"""
-SELECT loan_id, received_date, origination_year, {dbl('loss_amount')} AS loss_amount, loss_rank,
-    positive_loss_loan_count, cumulative_positive_loss_loan_count, cumulative_positive_loss_loan_share,
-    {dbl('portfolio_positive_loss_amount')} AS portfolio_positive_loss_amount,
-    {dbl('cumulative_positive_loss_amount')} AS cumulative_positive_loss_amount,
-    cumulative_positive_loss_share
-FROM curve"""
-
-_SUMMARY_SQL = f"""
-thresholds AS (SELECT * FROM (VALUES (0.01), (0.05), (0.10), (0.20)) AS t (top_share_threshold)),
-cutoffs AS (
-    SELECT top_share_threshold,
-        max(positive_loss_loan_count) AS positive_loss_loan_population,
-        max(portfolio_positive_loss_amount) AS portfolio_positive_loss_amount,
-        CAST(ceil(max(positive_loss_loan_count) * top_share_threshold) AS INTEGER) AS loan_cutoff
-    FROM thresholds CROSS JOIN curve GROUP BY top_share_threshold
+_CURVE_SQL = _ORDERED_SQL + """,
+placed AS (
+    SELECT unnest(loans) AS loan, generate_subscripts(loans, 1) AS place, len(loans) AS population,
+        list_sum(list_transform(loans, lambda v: v.x)) AS amount
+    FROM ordered
 )
-SELECT {dbl('c.top_share_threshold')} AS top_share_threshold,
-    c.loan_cutoff AS positive_loss_loan_count,
-    c.positive_loss_loan_population,
-    {ratio('c.loan_cutoff', 'c.positive_loss_loan_population')} AS actual_loan_share,
-    {dbl('sum(curve.loss_amount)')} AS loss_amount,
-    {ratio('sum(curve.loss_amount)', 'c.portfolio_positive_loss_amount')} AS loss_share
-FROM cutoffs c JOIN curve ON curve.loss_rank <= c.loan_cutoff
-GROUP BY c.top_share_threshold, c.loan_cutoff, c.positive_loss_loan_population, c.portfolio_positive_loss_amount
+SELECT loan.id AS loan_id, loan.d AS received_date, year(loan.d)::INT AS origination_year, loan.x::DOUBLE AS loss_amount,
+    place AS loss_rank, population AS positive_loss_loan_count, place AS cumulative_positive_loss_loan_count,
+    place / population AS cumulative_positive_loss_loan_share, amount::DOUBLE AS portfolio_positive_loss_amount,
+    (sum(loan.x) OVER (ORDER BY place))::DOUBLE AS cumulative_positive_loss_amount,
+    (sum(loan.x) OVER (ORDER BY place))::DOUBLE / amount::DOUBLE AS cumulative_positive_loss_share
+FROM placed"""
+
+_SUMMARY_SQL = _ORDERED_SQL + f""",
+asked AS (SELECT unnest([{", ".join(f"{t}::DECIMAL(3,2)" for t in TOP_SHARE_THRESHOLDS)}]) AS share, loans FROM ordered),
+sliced AS (SELECT share, len(loans) AS population, loans, loans[1:ceil(len(loans) * share)::BIGINT] AS head FROM asked)
+SELECT share::DOUBLE AS top_share_threshold, len(head) AS positive_loss_loan_count,
+    population AS positive_loss_loan_population, len(head) / population AS actual_loan_share,
+    list_sum(list_transform(head, lambda v: v.x))::DOUBLE AS loss_amount,
+    list_sum(list_transform(head, lambda v: v.x))::DOUBLE / list_sum(list_transform(loans, lambda v: v.x))::DOUBLE AS loss_share
+FROM sliced
 """
 
 
-@query("loss_concentration", _CURVE_SQL + _CURVE_SELECT)
+@query("loss_concentration", _CURVE_SQL)
 def q_loss_concentration(spark, sf_dir):
     """Concentration curve (bucketed global rank, default bucket count).
 
@@ -67,14 +48,7 @@ def q_loss_concentration(spark, sf_dir):
     return ranking.loss_concentration(p.loans, p.cfg, method="scaled")
 
 
-@query("loss_concentration_scaled", _CURVE_SQL + _CURVE_SELECT)
-def q_loss_concentration_scaled(spark, sf_dir):
-    """W1-W4 with many small buckets (64): exercises offsets across bucket borders."""
-    p = portfolio(spark, sf_dir)
-    return ranking.loss_concentration(p.loans, p.cfg, method="scaled", buckets=64)
-
-
-@query("loss_concentration_summary", _CURVE_SQL + "," + _SUMMARY_SQL)
+@query("loss_concentration_summary", _SUMMARY_SQL)
 def q_loss_concentration_summary(spark, sf_dir):
     """Loss share of the top 1/5/10/20 % of loans."""
     p = portfolio(spark, sf_dir)

@@ -7,9 +7,7 @@ same casts, so both sides hash identically.
 
 from __future__ import annotations
 
-import os
-import re
-
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -99,7 +97,8 @@ class Portfolio:
 def staging_folder(spark: SparkSession, sf_dir: str) -> str:
     from lendlake.session import checkpoint_dir
 
-    tag = re.sub(r"[^A-Za-z0-9_.-]+", "_", os.path.abspath(sf_dir)).strip("_")
+    # The untouched name: a URI is no local path, and `/a_b` is not `/a/b`.
+    tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:24]
     return f"{checkpoint_dir(spark).rstrip('/')}/lendlake-staged/{spark.sparkContext.applicationId}/{tag}"
 
 
@@ -114,7 +113,7 @@ _PORTFOLIOS: dict[tuple[str, str], Portfolio] = {}
 
 def portfolio(spark: SparkSession, sf_dir: str) -> Portfolio:
     """The (cached) staged tables of an input folder for this session."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PORTFOLIOS:
         _PORTFOLIOS[key] = Portfolio(spark, sf_dir)
     return _PORTFOLIOS[key]

@@ -9,6 +9,7 @@ from lendlake.operators import scoring as sc
 from lendlake.plans.features_q import SEVERITY_SQL, TRAINING_SQL
 from lendlake.plans.metrics_q import SCORE_SQL, score_col
 from lendlake.plans.registry import portfolio, query
+from lendlake.session import stored
 from lendlake.sources.fixture import table
 
 # Fixed formula stand-ins for the two fitted models.
@@ -25,7 +26,7 @@ def _sev_log():
 
 
 SCORE_RECORDS_SQL = f"""
-ts AS (WITH {TRAINING_SQL.strip()}),
+ts AS ({TRAINING_SQL.strip()}),
 sev AS ({SEVERITY_SQL}),
 rng AS (SELECT min(ln(1 + loss_amount)) AS lo, max(ln(1 + loss_amount)) AS hi FROM sev WHERE split = 'train'),
 b AS (
@@ -49,18 +50,37 @@ def q_score_records(spark, sf_dir):
     return formula_scores(spark, sf_dir)
 
 
-def formula_scores(spark, sf_dir, ids=None):
-    """Score records with the formula stand-ins (optionally for a set of ids)."""
+def formula_rows(spark, sf_dir):
+    """One row per loan with both formula models' inputs, from one projection."""
+    p = portfolio(spark, sf_dir)
+    rows = sc.scoring_rows(p.joined, p.cfg)
+    return rows.select("loan_id", "split", "received_date", "loss_amount", "feat_001", score_col().alias("score"), _sev_log().alias("sl"))
+
+
+def severity_range(spark, sf_dir):
     p = portfolio(spark, sf_dir)
-    ts = fx.training_set(p.joined, p.cfg).select("loan_id", "split", "received_date", score_col().alias("score"))
-    feats = p.joined.select("loan_id", "loss_amount", _sev_log().alias("sl"))
     sev = fx.log_target(fx.severity_set(p.joined, p.cfg).where(F.col("split") == "train"), "loss_amount")
-    rng = sev.agg(F.min("log_target").alias("lo"), F.max("log_target").alias("hi"))
+    return sev.agg(F.min("log_target").alias("lo"), F.max("log_target").alias("hi"))
+
+
+def formula_scores(spark, sf_dir):
+    """Score records of all loans with the formula stand-ins."""
+    rng = severity_range(spark, sf_dir)
     lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
-    b = ts.join(feats, "loan_id")
-    if ids is not None:
-        b = b.join(ids.select("loan_id").distinct(), "loan_id", "left_semi")
-    return sc.assemble_record(b, (F.col("score") + 0.013) / 1.7, F.col("sl"), lo, hi)
+    return sc.assemble_record(formula_rows(spark, sf_dir), (F.col("score") + 0.013) / 1.7, F.col("sl"), lo, hi)
+
+
+@query(
+    "scoring_levels",
+    f"""
+ts AS ({TRAINING_SQL.strip()})
+SELECT t.loan_id, CASE WHEN l.loss_amount > 0 THEN l.feat_001 ELSE t.feat_001_grouped END AS feat_001
+FROM ts t JOIN loans_joined l USING (loan_id)
+""",
+)
+def q_scoring_levels(spark, sf_dir):
+    """The level the severity model sees, grouped outside its population."""
+    return formula_rows(spark, sf_dir).select("loan_id", "feat_001")
 
 
 @query(
@@ -79,8 +99,11 @@ def q_score_missing_ids(spark, sf_dir):
 
 @query("stream_score_records", SCORE_RECORDS_SQL)
 def q_stream_score_records(spark, sf_dir):
-    """Streaming G2: ids arrive as files (one per origination year) and are
-    scored micro-batch by micro-batch; the stored output is read back."""
+    """Streaming G2: ids arrive as files and are scored micro-batch by micro-batch.
+
+    The clip range and the feature rows are prepared once; each batch joins
+    the stored rows, and the stored output is read back.
+    """
     import uuid
 
     from lendlake.plans.registry import staging_folder
@@ -88,7 +111,14 @@ def q_stream_score_records(spark, sf_dir):
 
     p = portfolio(spark, sf_dir)
     base = f"{staging_folder(spark, sf_dir)}/stream-{uuid.uuid4().hex[:8]}"
-    p.loans.select("loan_id", F.year("received_date").alias("y")).repartition("y").drop("y").write.parquet(f"{base}/ids")
-    q = score_stream(spark, f"{base}/ids", lambda ids: formula_scores(spark, sf_dir, ids), f"{base}/out", f"{base}/ckpt")
+    p.loans.select("loan_id").repartition(4).write.parquet(f"{base}/ids")
+    rows = stored(formula_rows(spark, sf_dir), "scoring-rows")
+    bounds = severity_range(spark, sf_dir).first()
+
+    def score(ids):
+        wanted = rows.join(ids.select("loan_id").distinct(), "loan_id", "left_semi")
+        return sc.assemble_record(wanted, (F.col("score") + 0.013) / 1.7, F.col("sl"), bounds["lo"], bounds["hi"])
+
+    q = score_stream(spark, f"{base}/ids", score, f"{base}/out", f"{base}/ckpt", files_per_batch=2)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").drop("batch_id")

@@ -1,4 +1,4 @@
-"""Mart exports (K1-K4) with a twin that checks every export is whole."""
+"""Mart exports (K1-K3) with a twin that checks every export is whole."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lendlake.operators import marts, ranking
-from lendlake.plans.quality_q import MART_CTES
-from lendlake.plans.registry import mart_cte, portfolio, query, staging_folder
+from lendlake.plans.quality_q import MART_CTES, Tables
+from lendlake.plans.registry import mart_cte, query, staging_folder
 from lendlake.sources import sinks
 
 # mart -> (order keys, bounded size -> single file)
@@ -30,24 +29,12 @@ _SQL = ",\n".join(mart_cte(f"m_{m}", MART_CTES[m]) for m in EXPORTS) + "\n" + "\
 
 @query("export_marts", _SQL)
 def q_export_marts(spark, sf_dir):
-    """K1-K3: store and export the eight marts as ordered CSV; rows read back per export."""
-    p = portfolio(spark, sf_dir)
-    kpis = marts.portfolio_kpis(p.joined, p.cfg, p.loans)
-    conc = ranking.loss_concentration(p.loans, p.cfg)
-    frames = {
-        "kpis": kpis,
-        "kpis_wide": marts.kpi_wide(kpis),
-        "yearly": marts.portfolio_yearly(p.loans, p.cfg),
-        "quarterly": marts.portfolio_quarterly(p.loans, p.cfg),
-        "segmentation": marts.risk_segmentation(p.joined, p.cfg),
-        "bands": marts.severity_bands(p.loans, p.cfg),
-        "concentration": conc,
-        "summary": ranking.concentration_summary(conc),
-    }
+    """K1-K3: export the eight stored marts as ordered CSV; rows read back per export."""
+    tables = Tables(spark, sf_dir)
     base = f"{staging_folder(spark, sf_dir)}/exports-{uuid.uuid4().hex[:8]}"
     written = {}
     for name, (order, single) in EXPORTS.items():
-        stored = sinks.write_table(frames[name], f"{base}/tables/{name}")
+        stored = tables[name]
         keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in order] or stored.columns[:1]
         sinks.export_csv(stored, f"{base}/csv/{name}", keys, single_file=single)
         written[name] = f"{base}/csv/{name}"

@@ -9,8 +9,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lendlake") -> SparkSession:
@@ -50,3 +53,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lendlake-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files) and needs no cache that
+    somebody must release; folders are grouped by application.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lendlake-stored/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions that run in Python workers refer to its modules.  Spark's file
+    server sends the archive, so it may lie on the driver's own disk.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="lendlake-")) / "lendlake.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _SHIPPED.add(app)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,6 +50,28 @@ def read_csv(spark, path: str, schema: str | None = None) -> DataFrame:
     return (r.schema(schema) if schema else r.option("inferSchema", False)).csv(path)
 
 
+def read_in_order(spark, path: str, key: str) -> DataFrame:
+    """Rows of an export and whether its files, in name order, follow ``key`` ("-key": falling).
+
+    Each file reports its first and last line, so only one row per file meets
+    the others.  A key with NULLs is not supported.
+    """
+    down, column = key.startswith("-"), key.lstrip("-")
+    rows = read_csv(spark, path).select(
+        F.col(column).cast("double").alias("k"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line")
+    )
+    k = -F.col("k") if down else F.col("k")
+    in_file = Window.partitionBy("file").orderBy("line")
+    rows = rows.select("file", "line", k.alias("k"), F.lag(k).over(in_file).alias("above"))
+    files = rows.groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min_by("k", "line").alias("first"), F.max_by("k", "line").alias("last"),
+        F.coalesce(F.bool_and(F.col("above") <= F.col("k")), F.lit(True)).alias("sorted"),
+    )
+    between = Window.orderBy("file")
+    files = files.withColumn("joins", F.coalesce(F.lag("last").over(between) <= F.col("first"), F.lit(True)))
+    return files.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.bool_and(F.col("sorted") & F.col("joins")).alias("in_order"))
+
+
 def export_listing(spark, exported: dict[str, str]) -> DataFrame:
     """Rows per exported file set, read back from the written CSVs."""
     parts = [read_csv(spark, p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("mart"), "rows")

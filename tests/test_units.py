@@ -36,10 +36,18 @@ def test_scaled_rank_equals_plain_with_hot_amount(spark):
     plain = ranking.loss_concentration(df, method="plain").select("loan_id", "loss_rank", "cumulative_positive_loss_amount")
     scaled = ranking.loss_concentration(df, method="scaled", buckets=16).select("loan_id", "loss_rank", "cumulative_positive_loss_amount")
     assert plain.exceptAll(scaled).count() == 0 and scaled.exceptAll(plain).count() == 0
-    pos = df.where("loss_amount > 0")
-    cuts = ranking.sample_cut_points(pos, [("loss_amount", True), ("loan_id", False)], 16)
-    sizes = pos.withColumn("b", ranking.bucket_expr(cuts, [("loss_amount", True), ("loan_id", False)])).groupBy("b").count()
-    assert sizes.agg(F.max("count")).first()[0] < 1000  # the hot value (1000 rows) is split
+
+
+def test_ranges_split_a_hot_value_and_place_nulls(spark):
+    # The order includes the id, so the hot amount is spread over ranges; NULL keys sort as in the plain form.
+    rows = [(None if i % 5 == 0 else 7, f"L{i:04d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "x int, id string")
+    for order in ([("x", True), ("id", False)], [("x", False), ("id", True)]):
+        plain = ranking.running_totals(df, order, {"s": "x"}, rank_col="r", method="plain")
+        scaled = ranking.running_totals(df, order, {"s": "x"}, rank_col="r", buckets=8)
+        assert plain.exceptAll(scaled).count() == 0 and scaled.exceptAll(plain).count() == 0
+    ranges = df.repartitionByRange(8, F.col("x").desc(), "id").groupBy(F.spark_partition_id()).count()
+    assert ranges.agg(F.max("count")).first()[0] < 320
 
 
 def test_scaled_rank_invariant_to_partitioning(spark):
@@ -81,7 +89,7 @@ def test_window_edges_half_open(spark):
 
 
 def test_feb_29_anchor(spark):
-    b = marts.window_bounds(loans(spark, [("a", date(2024, 2, 29), True, None)])).first()
+    b = marts.trailing_bounds(loans(spark, [("a", date(2024, 2, 29), True, None)])).first()
     assert b.last_window_start == date(2023, 2, 28) and b.prior_window_start == date(2022, 2, 28)
 
 
@@ -165,3 +173,69 @@ def test_roc_auc_by_group_matches_single(spark):
         want = metrics.roc_auc(df.where(F.col("g") == g), "score", "y").first()[0]
         assert got[g] == pytest.approx(want)
     assert got["a"] == pytest.approx(0.5)
+
+
+def test_auc_of_large_counts_does_not_overflow(spark):
+    # 4e9 rows a side cannot be made here; the totals are what overflowed.
+    counts = spark.createDataFrame([(0.1, 0, 4_000_000_000), (0.9, 4_000_000_000, 0)], "s double, pos bigint, neg bigint")
+    P, N = metrics._totals(counts)
+    assert counts.select((P * N).alias("x")).first()[0] == 1.6e19
+
+
+def test_deciles_drop_equal_edges_and_keep_close_scores_apart(spark):
+    import numpy as np
+    import pandas as pd
+
+    for xs in ([0.1 * (i % 5) if i % 3 else 0.5 for i in range(60)], [1e-8 * i for i in range(100)], [0.5] * 7):
+        df = spark.createDataFrame([(float(x),) for x in xs], "s double")
+        got = sorted((r.s, r.risk_decile) for r in metrics.with_risk_decile(df, "s").collect())
+        labels = pd.qcut(pd.Series(sorted(xs)), 10, labels=False, duplicates="drop")
+        want = [10 - (0 if np.isnan(b) else int(b)) for b in labels]
+        assert [d for _, d in got] == want
+
+
+def test_checks_fail_on_empty_and_one_sided_input(spark):
+    from lendlake.operators import quality as dq
+
+    one_side = spark.createDataFrame([("test", date(2020, 1, 1))], "split string, received_date date")
+    assert not dq.split_is_chronological(one_side).first().passed
+    seg = spark.createDataFrame([], "feature_name string, portfolio_loan_share double, portfolio_positive_loss_share double")
+    assert [r.passed for r in dq.shares_sum_to_one(seg).collect()] == [False]
+    assert not dq.no_group_straddles_split(spark.createDataFrame([], "split string, a int"), ["a"]).first().passed
+
+
+def test_staging_folders_of_similar_names_stay_apart(spark):
+    from lendlake.plans.registry import staging_folder
+
+    assert staging_folder(spark, "/data/a_b") != staging_folder(spark, "/data/a/b")
+    assert "data" not in staging_folder(spark, "hdfs://host/data")
+
+
+def test_shared_folder_is_required_off_local_masters():
+    from types import SimpleNamespace
+
+    from lendlake.session import checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[2,1,1024]")
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(fake)
+
+
+def test_levels_grouped_by_broadcast_and_by_salted_join(spark, monkeypatch):
+    from lendlake.operators import features as fx
+
+    rows = [(i, "hot" if i % 3 else f"r{i}", "train") for i in range(200)] + [(900, "hot", "test"), (901, None, "test")]
+    df = spark.createDataFrame(rows, "id int, c string, split string")
+    a = {r.id: r.c_grouped for r in fx.with_grouped_level(df, "c", 50, "OTHER").collect()}
+    monkeypatch.setattr(fx, "MAX_BROADCAST_LEVELS", 0)
+    b = {r.id: r.c_grouped for r in fx.with_grouped_level(df, "c", 50, "OTHER").collect()}
+    assert a == b and len(a) == 202 and a[900] == "hot" and a[901] == "OTHER" and a[0] == "OTHER"
+
+
+def test_quantiles_leave_out_nan_and_report_it(spark):
+    from lendlake.operators.quantiles import exact_quantiles, nan_count
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert exact_quantiles(df, [], "x", [0.5], "q").first().q == [1.5]
+    assert nan_count(df, [], "x").first().nan_count == 1
