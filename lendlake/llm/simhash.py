@@ -35,7 +35,7 @@ from lendlake.llm.arrow import by_bytes, map_batches, replaced_schema, text_byte
 from lendlake.llm.common import join_by_size, stored, text_or_empty
 
 TREE_ROWS = 4096
-SHARD_ROWS = 32
+SHARD_ROWS = 256
 MASK_64 = (1 << 64) - 1
 
 
