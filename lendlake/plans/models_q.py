@@ -89,6 +89,14 @@ def _memo(cls, spark, sf_dir, validation=False):
     return _DATA[key]
 
 
+def _kept(spark, sf_dir, name: str, build) -> DataFrame:
+    """A report of fitted models, written once per session and input folder."""
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _DATA:
+        _DATA[key] = stored(build(), name)
+    return _DATA[key]
+
+
 def _classifier(d: ClassifierData, kind: str, param):
     if kind == "logistic":
         return ml.logistic(param, d.sum_w)
@@ -136,6 +144,10 @@ def _knn_predictions(d: ClassifierData, k: int) -> DataFrame:
     return truth.join(probs, "loan_id").withColumn("predicted", (F.col("score") > 0.5).cast("int"))
 
 
+def _kept_knn(spark, sf_dir) -> DataFrame:
+    return _kept(spark, sf_dir, "knn-40", lambda: _knn_predictions(_memo(ClassifierData, spark, sf_dir), 40))
+
+
 COMPARED = [("SVM (C=10, linear)", "svm", 10.0), ("Logistic Regression (C=1.0)", "logistic", 1.0),
             ("Decision Tree (max_depth=2)", "tree", 2)]
 
@@ -144,19 +156,26 @@ COMPARED = [("SVM (C=10, linear)", "svm", 10.0), ("Logistic Regression (C=1.0)",
 def q_model_comparison(spark, sf_dir):
     """Four classifiers compared on the test split, sorted by ROC-AUC."""
     d = _memo(ClassifierData, spark, sf_dir)
-    rows = [_classification_row(name, _class_predictions(d, kind, param)) for name, kind, param in COMPARED]
-    rows.append(_classification_row("KNN (k=40)", stored(_knn_predictions(d, 40), "knn-predictions")))
-    return reduce(DataFrame.unionByName, rows).orderBy(F.col("roc_auc").desc())
+
+    def build():
+        rows = [_classification_row(name, stored(_class_predictions(d, kind, param), kind)) for name, kind, param in COMPARED]
+        rows.append(_classification_row("KNN (k=40)", _kept_knn(spark, sf_dir)))
+        return reduce(DataFrame.unionByName, rows)
+
+    return _kept(spark, sf_dir, "model-comparison", build).orderBy(F.col("roc_auc").desc())
 
 
 @query("classification_predictions")
 def q_classification_predictions(spark, sf_dir):
     """Test rows with the SVM score, the logistic probability and the risk decile, riskiest first."""
-    d = _memo(ClassifierData, spark, sf_dir)
+    both = _kept(spark, sf_dir, "class-predictions", lambda: _both_scores(_memo(ClassifierData, spark, sf_dir)))
+    return mx.with_risk_decile(both, "svm_score").orderBy(F.col("svm_score").desc(), "loan_id")
+
+
+def _both_scores(d: ClassifierData) -> DataFrame:
     svm = _class_predictions(d, "svm", 10.0).select("loan_id", "received_date", "actual_is_loss", F.col("score").alias("svm_score"))
     logreg = _class_predictions(d, "logistic", 1.0).select("loan_id", F.col("score").alias("logreg_probability_of_loss"))
-    both = stored(svm.join(logreg, "loan_id"), "class-predictions")
-    return mx.with_risk_decile(both, "svm_score").orderBy(F.col("svm_score").desc(), "loan_id")
+    return svm.join(logreg, "loan_id")
 
 
 def _severity_predictions(d: SeverityData, model, clip: bool = True) -> DataFrame:
@@ -237,6 +256,10 @@ def q_lasso_nonzero(spark, sf_dir):
 @query("regression_comparison")
 def q_regression_comparison(spark, sf_dir):
     """Baseline, simple, multiple, polynomial, ridge and lasso, by RMSE, then MAE."""
+    return _kept(spark, sf_dir, "regression-comparison", lambda: _regression_rows(spark, sf_dir)).orderBy("rmse", "mae")
+
+
+def _regression_rows(spark, sf_dir) -> DataFrame:
     d = _memo(SeverityData, spark, sf_dir)
     degree = _best_degree(spark, sf_dir)
     _, simple_train, simple_test = _simple(d)
@@ -256,7 +279,7 @@ def q_regression_comparison(spark, sf_dir):
         mx.regression_metrics(t, "actual_loss_amount", "predicted_loss_amount").select(F.lit(name).alias("model"), "*")
         for name, t in tables
     ]
-    return reduce(DataFrame.unionByName, rows).orderBy("rmse", "mae")
+    return reduce(DataFrame.unionByName, rows)
 
 
 # The parameters that the sweeps try (0 depth: unlimited).
@@ -379,7 +402,7 @@ def q_batch_scoring(spark, sf_dir):
 @query("model_knn")
 def q_model_knn(spark, sf_dir):
     """L4: exact k-nearest-neighbour probability (k = 40) for the test rows."""
-    return _knn_predictions(_memo(ClassifierData, spark, sf_dir), 40).drop("predicted")
+    return _kept_knn(spark, sf_dir).drop("predicted")
 
 
 @query("oversample")
