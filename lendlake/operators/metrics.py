@@ -70,10 +70,10 @@ def average_precision(df: DataFrame, score: str, label: str, method: str = "scal
     return desc.agg(F.sum(step).alias("s")).select(F.try_divide(F.col("s"), P).alias("average_precision"))
 
 
-def threshold_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
-    """Accuracy, precision, recall, F1 (0 on an empty denominator)."""
+def threshold_metrics(df: DataFrame, pred: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, precision, recall, F1 (0 on an empty denominator), one row or one per group of ``by``."""
     p, y = F.col(pred).cast("int"), F.col(label).cast("int")
-    one = df.agg(
+    one = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when((p == 1) & (y == 1), 1).otherwise(0)).alias("tp"),
         F.sum(F.when((p == 1) & (y == 0), 1).otherwise(0)).alias("fp"),
@@ -87,6 +87,7 @@ def threshold_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
     prec = safe(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = safe(F.col("tp"), F.col("tp") + F.col("fn"))
     return one.select(
+        *by,
         safe(F.col("tp") + F.col("tn"), F.col("n")).alias("accuracy"),
         prec.alias("precision"),
         rec.alias("recall"),
@@ -261,21 +262,25 @@ def expected_loss(
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def roc_auc_by_group(df: DataFrame, group: str, score: str, label: str) -> DataFrame:
-    """E1 for many models at once: one ROC-AUC per ``group`` in a single pass.
+def rank_metrics_by_group(df: DataFrame, group: str, score: str, label: str) -> DataFrame:
+    """E1 and E2 for many models at once: ``group, roc_auc, average_precision`` in one pass.
 
-    The window is partitioned by group and runs over the *distinct* scores of
-    that group, so it is for scores with few distinct values (a k-neighbour
-    share takes at most k + 1); continuous scores use ``roc_auc``.
+    One running total over (group, falling score) serves all groups; what the
+    groups before hold (one row per group, broadcast) is taken off again.
     """
     lab = F.col(label).cast("int")
     counts = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(group, score).agg(
         F.sum(lab).cast("bigint").alias("pos"), F.sum(1 - lab).cast("bigint").alias("neg")
     )
-    w = Window.partitionBy(group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    below = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    return below.groupBy(group).agg(
-        F.try_divide(
-            F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)), F.sum("pos").cast("double") * F.sum("neg")
-        ).alias("roc_auc")
+    run = running_totals(counts, [(group, False), (score, True)], {"tp": "pos", "fp": "neg"})
+    totals = run.groupBy(group).agg(F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N"))
+    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0.0)
+    base = totals.select(
+        group, "P", "N", F.coalesce(F.sum("P").over(before), zero).alias("P0"), F.coalesce(F.sum("N").over(before), zero).alias("N0")
+    )
+    tp, fp = F.col("tp") - F.col("P0"), F.col("fp") - F.col("N0")
+    return run.join(F.broadcast(base), group).groupBy(group).agg(
+        F.try_divide(F.sum(F.col("pos") * (F.col("N") - fp + F.col("neg") / 2.0)), F.max("P") * F.max("N")).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("pos") * (tp / (tp + fp))), F.max("P")).alias("average_precision"),
     )

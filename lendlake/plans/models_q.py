@@ -21,6 +21,7 @@ from lendlake.operators import neighbors as nb
 from lendlake.operators import profiling as pf
 from lendlake.operators import scoring as sc
 from lendlake.operators.quantiles import exact_quantiles
+from lendlake.plans.features_q import TRAINING_SQL
 from lendlake.plans.registry import portfolio, query, staging_folder
 from lendlake.session import stored
 from lendlake.sources import sinks
@@ -130,18 +131,13 @@ def q_model_tree(spark, sf_dir):
     return _class_predictions(_memo(ClassifierData, spark, sf_dir), "tree", 2)
 
 
-def _classification_row(name: str, preds: DataFrame) -> DataFrame:
-    auc = mx.roc_auc(preds, "score", "actual_is_loss")
-    ap = mx.average_precision(preds, "score", "actual_is_loss")
-    th = mx.threshold_metrics(preds, "predicted", "actual_is_loss")
-    row = th.select(F.lit(name).alias("model"), auc.scalar().alias("roc_auc"), ap.scalar().alias("pr_auc"), "*")
-    return row
-
-
-def _knn_predictions(d: ClassifierData, k: int) -> DataFrame:
-    probs = nb.knn_probability(d.test, d.train, k, "loan_id")
-    truth = d.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"))
-    return truth.join(probs, "loan_id").withColumn("predicted", (F.col("score") > 0.5).cast("int"))
+def _classification_rows(named: list[tuple[str, DataFrame]]) -> DataFrame:
+    """E1-E3 of several models' predictions, one row a model, ranked in one pass."""
+    parts = [preds.select(F.lit(name).alias("model"), "actual_is_loss", "score", "predicted") for name, preds in named]
+    scored = reduce(DataFrame.unionByName, parts)
+    ranks = mx.rank_metrics_by_group(scored, "model", "score", "actual_is_loss")
+    rows = ranks.join(mx.threshold_metrics(scored, "predicted", "actual_is_loss", ["model"]), "model")
+    return rows.withColumnRenamed("average_precision", "pr_auc")
 
 
 def _kept_knn(spark, sf_dir) -> DataFrame:
@@ -158,9 +154,8 @@ def q_model_comparison(spark, sf_dir):
     d = _memo(ClassifierData, spark, sf_dir)
 
     def build():
-        rows = [_classification_row(name, stored(_class_predictions(d, kind, param), kind)) for name, kind, param in COMPARED]
-        rows.append(_classification_row("KNN (k=40)", _kept_knn(spark, sf_dir)))
-        return reduce(DataFrame.unionByName, rows)
+        named = [(name, stored(_class_predictions(d, kind, param), kind)) for name, kind, param in COMPARED]
+        return _classification_rows([*named, ("KNN (k=40)", _kept_knn(spark, sf_dir))])
 
     return _kept(spark, sf_dir, "model-comparison", build).orderBy(F.col("roc_auc").desc())
 
@@ -299,11 +294,16 @@ def q_sweep(spark, sf_dir):
     """
     d = _memo(ClassifierData, spark, sf_dir, validation=True)
     tried = [("logistic", p) for p in LOGISTIC_C] + [("svm", p) for p in SVM_C] + [("tree", p) for p in TREE_DEPTHS]
-    rows = []
-    for kind, param in tried:
+    parts = []
+    for run, (kind, param) in enumerate(tried):
         preds = _class_predictions(d, kind, (param or None) if kind == "tree" else param)
-        rows.append(_classification_row(kind, stored(preds, "sweep")).withColumn("param", F.lit(float(param))))
-    return _flag_best(stored(reduce(DataFrame.unionByName, rows), "sweep"), F.col("roc_auc"))
+        names = [F.lit(run).alias("run"), F.lit(kind).alias("model"), F.lit(float(param)).alias("param")]
+        parts.append(stored(preds.select(*names, "actual_is_loss", "score", "predicted"), "sweep"))
+    scored = reduce(DataFrame.unionByName, parts)
+    table = mx.threshold_metrics(scored, "predicted", "actual_is_loss", ["run", "model", "param"])
+    table = table.join(mx.rank_metrics_by_group(scored, "run", "score", "actual_is_loss"), "run").drop("run")
+    table = table.withColumnRenamed("average_precision", "pr_auc")
+    return _flag_best(stored(table, "sweep"), F.col("roc_auc"))
 
 
 @query("regression_sweep")
@@ -405,7 +405,12 @@ def q_model_knn(spark, sf_dir):
     return _kept_knn(spark, sf_dir).drop("predicted")
 
 
-@query("oversample")
+@query("oversample", f"""
+sides AS (SELECT is_loss::INT::DOUBLE AS label, count(*) AS n FROM ({TRAINING_SQL.strip()}) WHERE split = 'train' GROUP BY 1),
+short AS (SELECT arg_min(label, n) AS label, max(n) - min(n) AS missing FROM sides)
+SELECT label, false AS is_synthetic, n AS rows FROM sides
+UNION ALL SELECT label, true, missing FROM short WHERE missing > 0
+""")
 def q_oversample(spark, sf_dir):
     """Minority oversampling of the training vectors until the classes balance."""
     d = _memo(ClassifierData, spark, sf_dir)
@@ -417,13 +422,12 @@ def q_oversample(spark, sf_dir):
 def q_weighting_comparison(spark, sf_dir):
     """Class weights vs oversampling for the logistic model (test ROC-AUC / AP)."""
     d = _memo(ClassifierData, spark, sf_dir)
-    rows = [_classification_row("Logistic (class weights)", _class_predictions(d, "logistic", PROBABILITY_C))]
+    weighted = stored(_class_predictions(d, "logistic", PROBABILITY_C), "weighted")
     over = stored(nb.smote(d.train, "loan_id", "label", "features"), "oversampled")
     model = ml.logistic(PROBABILITY_C, ml.total_weight(over, None), weight=None).fit(over)
     preds = ml.positive_score(model.transform(d.test), "logistic").select(
         "loan_id", F.col("is_loss").cast("int").alias("actual_is_loss"), "score", F.col("prediction").cast("int").alias("predicted"))
-    rows.append(_classification_row("Logistic (oversampled)", preds))
-    return reduce(DataFrame.unionByName, rows)
+    return _classification_rows([("Logistic (class weights)", weighted), ("Logistic (oversampled)", stored(preds, "oversampled-scores"))])
 
 
 @query("knn_sweep")
@@ -439,6 +443,6 @@ def q_knn_sweep(spark, sf_dir):
     ).join(truth, "test_id")
     long = per_k.select("y", F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("score")) for k in ks])).alias("s")).select("y", "s.*")
-    table = mx.roc_auc_by_group(long, "k", "score", "y")
+    table = mx.rank_metrics_by_group(long, "k", "score", "y").select("k", "roc_auc")
     best = table.agg(F.max_by("k", F.struct(F.col("roc_auc"), -F.col("k")))).scalar()
     return table.withColumn("is_best", F.col("k") == best)

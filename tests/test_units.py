@@ -165,10 +165,10 @@ def test_exact_quantiles_hot_value_and_groups(spark):
     assert exact_median(dec, [], "x").first()[0] == D("1.00")
 
 
-def test_roc_auc_by_group_matches_single(spark):
+def test_rank_metrics_by_group_match_single(spark):
     rows = list(zip([0.9, 0.8, 0.7, 0.7, 0.3, 0.2], [1, 0, 1, 0, 0, 1]))
     df = spark.createDataFrame([("a", s, y) for s, y in rows] + [("b", 1 - s, y) for s, y in rows], "g string, score double, y int")
-    got = {r.g: r.roc_auc for r in metrics.roc_auc_by_group(df, "g", "score", "y").collect()}
+    got = {r.g: r.roc_auc for r in metrics.rank_metrics_by_group(df, "g", "score", "y").collect()}
     for g in ("a", "b"):
         want = metrics.roc_auc(df.where(F.col("g") == g), "score", "y").first()[0]
         assert got[g] == pytest.approx(want)
