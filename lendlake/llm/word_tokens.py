@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lendlake.llm.arrow import by_bytes, map_batches, replaced_schema, with_column
 
-MEMO_ENTRIES = 1_200_000
+MEMO_ENTRIES = 900_000
 MEMO_LENGTH = 64
 PUNCTUATION = ".,;:!?#*$%&|"  # not the apostrophe: the vocabulary has pieces like 's
 
@@ -122,7 +122,7 @@ def encode(docs: DataFrame, path: str, end_id: int, text: str = "text", ids: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        for batch in by_bytes(batches, text, 6 << 20):
+        for batch in by_bytes(batches, text, 4 << 20):
             packed = coder.encode([x or "" for x in batch.column(text).to_pylist()])
             yield with_column(batch, drop, ids, pa.array([x + end for x in packed], pa.binary()))
 
