@@ -34,7 +34,7 @@ REPEAT_WINDOW = 5
 BUCKETS = 1 << 16
 PAIR_FACTOR = 1_000_003
 THRESHOLD = -150_000  # millionths of a nat per n-gram
-TRUSTED_BROADCAST_ROWS = 4_000_000  # 8 bytes each
+TRUSTED_BROADCAST_ROWS = 1_000_000  # 8 bytes each; more are joined by shuffle
 MEMO_ENTRIES = 300_000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
