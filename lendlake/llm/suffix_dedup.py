@@ -84,8 +84,13 @@ def anchored_runs(text: bytes, window: int, anchor: int = ANCHOR) -> tuple[np.nd
 
 
 def _runs(docs: DataFrame, window: int) -> DataFrame:
-    """``anchor, context, uid, place``; place packs the first start and the number of starts."""
-    schema = "anchor bigint, context bigint, uid bigint, place bigint"
+    """``anchor, context, uid, place, again``; place packs the first start and the number of starts.
+
+    Of equal contexts in a slice of texts only the first is dealt out by its
+    anchor; the others are known to be repeated (``again``) and travel under a
+    random key, so a line that stands everywhere does not meet in one task.
+    """
+    schema = "anchor bigint, context bigint, uid bigint, place bigint, again boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
@@ -102,8 +107,14 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
                     out[2].append(np.full(len(first), uid, np.int64))
                     out[3].append((first + at) << 8 | count)
             if out[0]:
-                columns = [pa.array(np.concatenate(x)) for x in out]
-                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "context", "uid", "place"])
+                anchor, context, uid, place = (np.concatenate(x) for x in out)
+                order = np.lexsort((place, uid, context, anchor))
+                anchor, context, uid, place = anchor[order], context[order], uid[order], place[order]
+                again = np.concatenate([[False], (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])])
+                spread = _scrambled(uid.view(np.uint64) * np.uint64(_FACTOR) + place.view(np.uint64)).view(np.int64)
+                columns = [np.where(again, spread, anchor), np.where(again, 0, context), uid, place, again]
+                names = ["anchor", "context", "uid", "place", "again"]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return map_batches(docs.select("uid", "text"), run, schema)
 
@@ -125,15 +136,18 @@ def _resolve_contexts(runs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(place), anchors], names=["uid", "place", "anchor"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
             rows = np.stack([batch.column(c).to_numpy() for c in order])
-            rows = np.concatenate([held, rows], axis=1)
+            known = batch.column("again").to_numpy(zero_copy_only=False).astype(bool)
+            if known.any():
+                yield out(rows[2, known], rows[3, known], None)
+            rows = np.concatenate([held, rows[:, ~known]], axis=1)
+            if not rows.shape[1]:
+                continue
             keys = rows[:2]
             first = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-            again = rows[:, ~first]
-            if again.shape[1]:
-                yield out(again[2], again[3], None)
+            later = rows[:, ~first]
+            if later.shape[1]:
+                yield out(later[2], later[3], None)
             heads = rows[:, first]
             same = heads[0, 1:] == heads[0, :-1]
             several = np.concatenate([[before], same]) | np.concatenate([same, [False]])
