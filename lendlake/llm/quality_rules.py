@@ -1,9 +1,19 @@
 """Quality rules: counts of a text, and a hashed n-gram likelihood ratio.
 
-A trusted target and the raw corpus each give a multinomial over hashed words
-and word pairs (all documents counted, add-one smoothed).  A document's score
-is the mean over its n-grams of the log ratio target : raw.  Every document is
-held against one threshold; nothing is drawn at random.
+A trusted target and the raw corpus each give counts of hashed words and word
+pairs (all documents counted).  The target's share of a bucket is smoothed
+towards the raw share: a bucket's ratio is (target count + PRIOR) : (count
+expected of a raw text of the target's size + PRIOR), so an n-gram without
+evidence either way scores 0, however few texts are trusted.  A document's
+score is the mean over its n-grams of the log ratio.  A trusted document's own
+n-grams are taken out of the target when it is scored, so its verdict is the
+one it would get if it were not trusted.  Every document is held against one
+threshold; nothing is drawn at random.
+
+Without a prior (``prior=None``) both counts are multinomials with add-one
+smoothing and no document is taken out: the rule of the op2 query's SQL twin.
+Where the target has few n-grams against the buckets, that rule rejects clean
+documents outside the target.
 
 Log ratios are rounded to millionths, so a document's sum is a whole number:
 the verdict does not depend on the order of summing.
@@ -34,9 +44,11 @@ REPEAT_WINDOW = 5
 BUCKETS = 1 << 16
 PAIR_FACTOR = 1_000_003
 THRESHOLD = -150_000  # millionths of a nat per n-gram
+PRIOR = 8  # n-grams per bucket that follow the raw corpus
 TRUSTED_BROADCAST_ROWS = 1_000_000  # 8 bytes each; more are joined by shuffle
 MEMO_ENTRIES = 300_000
 
+MARK = "trusted mark"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -88,38 +100,58 @@ def text_counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def count_buckets(docs: DataFrame, text: str, buckets: int) -> DataFrame:
-    """``bucket, n``: n-grams of all texts by bucket, summed per task before the shuffle."""
+    """``bucket, n, t``: n-grams of all and of the marked texts by bucket, summed per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
+        total, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in by_bytes(batches, text):
-            found = [buckets_of(words, buckets) for x in text_bytes(batch.column(text)) if (words := x.split())]
-            if found:
-                total += np.bincount(np.concatenate(found), minlength=buckets)
+            found: dict[bool, list[np.ndarray]] = {True: [], False: []}
+            for x, marked in zip(text_bytes(batch.column(text)), batch.column(MARK).to_pylist()):
+                if words := x.split():
+                    found[marked].append(buckets_of(words, buckets))
+            for marked, grams in found.items():
+                if grams:
+                    counts = np.bincount(np.concatenate(grams), minlength=buckets)
+                    total += counts
+                    if marked:
+                        target += counts
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["bucket", "n"])
+        values = [pa.array(used, pa.int64()), pa.array(total[used]), pa.array(target[used])]
+        yield pa.RecordBatch.from_arrays(values, names=["bucket", "n", "t"])
 
-    partial = map_batches(docs.select(F.col(f"`{text}`")), run, "bucket bigint, n bigint")
-    return partial.groupBy("bucket").agg(F.sum("n").alias("n"))
+    partial = map_batches(docs.select(F.col(f"`{text}`"), MARK), run, "bucket bigint, n bigint, t bigint")
+    return partial.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
-def log_ratios(target: DataFrame, raw: DataFrame, buckets: int) -> np.ndarray:
-    """Smoothed log ratios of all buckets in millionths (``buckets`` numbers)."""
-    t, r = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    for counts, into in ((target, t), (raw, r)):
-        for row in counts.collect():  # at most ``buckets`` rows
-            into[row["bucket"]] = row["n"]
-    if not t.sum():
+def log_ratios(target: np.ndarray, size: int, raw: np.ndarray, raw_size: int, prior: float) -> np.ndarray:
+    """Log ratios in millionths of buckets with these counts, of ``size`` and ``raw_size`` n-grams in all."""
+    expected = size * (raw / max(1, raw_size))
+    return np.rint(1e6 * (np.log(target + prior) - np.log(expected + prior))).astype(np.int64)
+
+
+def add_one_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """Log ratios of all buckets in millionths, both sides smoothed by one per bucket."""
+    buckets = len(raw)
+    if not target.sum():
         return np.zeros(buckets, np.int64)  # nothing is trusted: no evidence either way
-    shift = log(t.sum() + buckets) - log(r.sum() + buckets)
-    return np.array([round(1e6 * (log(a + 1) - log(b + 1) - shift)) for a, b in zip(t.tolist(), r.tolist())], np.int64)
+    shift = log(target.sum() + buckets) - log(raw.sum() + buckets)
+    pairs = zip(target.tolist(), raw.tolist())
+    return np.array([round(1e6 * (log(a + 1) - log(b + 1) - shift)) for a, b in pairs], np.int64)
+
 
+def mark_trusted(docs: DataFrame, trusted: DataFrame, doc_id: str) -> DataFrame:
+    """``docs`` with ``MARK``: whether the id is in ``trusted``; broadcast only behind a count."""
+    key = F.col(f"`{doc_id}`")
+    ids = trusted.select(key.alias("trusted id")).filter(F.col("trusted id").isNotNull()).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
 
-def trusted_rows(docs: DataFrame, trusted: DataFrame, doc_id: str) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``trusted``; broadcast only behind a count."""
-    ids = trusted.select(F.col(f"`{doc_id}`")).filter(F.col(f"`{doc_id}`").isNotNull()).distinct()
-    small = ids.count() <= TRUSTED_BROADCAST_ROWS
-    return docs.join(F.broadcast(ids) if small else ids, doc_id, "left_semi")
+    def marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        return rows.join(ids, key == F.col("trusted id"), "left").select(*columns, F.col("trusted id").isNotNull().alias(MARK))
+
+    if ids.count() <= TRUSTED_BROADCAST_ROWS:
+        return marked(docs, F.broadcast(ids))
+    # Null ids are never trusted; in the shuffle they would all go to one task.
+    return marked(docs.filter(key.isNotNull()), ids).union(docs.filter(key.isNull()).select(*columns, F.lit(False).alias(MARK)))
 
 
 def apply_rules(
@@ -129,38 +161,52 @@ def apply_rules(
     text: str = "text",
     buckets: int = BUCKETS,
     threshold: int = THRESHOLD,
+    prior: float | None = PRIOR,
 ) -> DataFrame:
     """``docs`` with the five counts, ``score_sum``, ``n_grams``, ``base_failed`` and ``kept``.
 
     ``trusted`` lists the ids of the target documents; null ids and ids that
     ``docs`` lacks are ignored, a repeated id counts once.  ``score_sum`` is in
     millionths; a row is kept if it passes the base rules and ``score_sum >=
-    threshold * n_grams``.  Null and empty texts have no words and fail the
-    base rules.  Without any trusted text all ratios are 0, so the base rules
-    decide.  Rows are judged alone: repeated rows and ties get equal verdicts.
+    threshold * n_grams``.  For a trusted row the target is the other trusted
+    texts, unless ``prior`` is None (add-one smoothing).  Null and empty texts have no words and fail the base rules.
+    Without any trusted text all ratios are 0, so the base rules decide.  Rows
+    are judged alone: repeated rows and ties get equal verdicts.
     Columns named like the results are replaced; an empty table stays empty.
     """
-    raw = count_buckets(docs, text, buckets)
-    target = count_buckets(trusted_rows(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), trusted, doc_id), text, buckets)
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(target, raw, buckets))
+    marked_docs = mark_trusted(docs, trusted, doc_id)
+    target, raw = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+    for row in count_buckets(marked_docs, text, buckets).collect():  # at most ``buckets`` rows
+        target[row["bucket"]], raw[row["bucket"]] = row["t"], row["n"]
+    size, raw_size = int(target.sum()), int(raw.sum())
+    weights = add_one_ratios(target, raw) if prior is None else log_ratios(target, size, raw, raw_size, prior)
+    known = docs.sparkSession.sparkContext.broadcast((target, raw, weights))
     outputs = [*COUNTS, "score_sum", "n_grams", "base_failed", "kept"]
     fields = [T.StructField(c, T.LongType()) for c in outputs[:-2]] + [T.StructField(c, T.BooleanType()) for c in outputs[-2:]]
     schema = replaced_schema(docs, outputs, *fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = ratios.value
+        target, raw, weights = known.value
+
+        def score_sum(grams: np.ndarray, marked: bool) -> int:
+            if not marked:
+                return int(weights[grams].sum())
+            own, n = np.unique(grams, return_counts=True)
+            return int((n * log_ratios(target[own] - n, size - len(grams), raw[own], raw_size, prior)).sum())
+
         for batch in by_bytes(batches, text):
             rows = []
-            for x in text_bytes(batch.column(text)):
+            marks = [False] * len(batch) if prior is None else batch.column(MARK).to_pylist()
+            for x, marked in zip(text_bytes(batch.column(text)), marks):
                 counts = text_counts(x)
                 n, _, _, _, repeated = counts
                 words = x.split()
                 grams = buckets_of(words, buckets) if words else ()
-                score = int(weights[grams].sum()) if words else 0
+                score = score_sum(grams, marked) if words else 0
                 failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
                 rows.append((*counts, score, len(grams), failed, not failed and score >= threshold * len(grams)))
             kinds = [pa.int64()] * (len(outputs) - 2) + [pa.bool_()] * 2
             values = {c: pa.array(v, k) for c, v, k in zip(outputs, zip(*rows), kinds)}
-            yield with_columns(batch, outputs, values)
+            yield with_columns(batch, outputs if prior is None else [*outputs, MARK], values)
 
-    return map_batches(docs, run, schema)
+    return map_batches(docs if prior is None else marked_docs, run, schema)

@@ -187,10 +187,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """)
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and verdict of every document; trusted are those labelled 1."""
+    """Counts and verdict of every document; trusted are those labelled 1.
+
+    Scored without a prior, as the SQL twin states; the pipeline uses the prior.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    judged = quality_rules.apply_rules(docs, good)
+    judged = quality_rules.apply_rules(docs, good, prior=None)
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 

@@ -276,6 +276,34 @@ def test_rules_shuffled_join_gives_the_same(spark, monkeypatch):
     assert Counter(map(tuple, b.collect())) == first
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_rules_keep_held_out_good_labels(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").collect()}
+    held = {i for i in labels if zlib.crc32(str(i).encode()) % 5 == 0}
+    good = spark.createDataFrame([(i,) for i, q in labels.items() if q == 1 and i not in held], "doc_id bigint")
+    lost = defaultdict(list)
+    for r in quality_rules.apply_rules(docs, good).select("doc_id", "lang", "base_failed", "kept").collect():
+        if not r["base_failed"]:
+            q = labels.get(r["doc_id"])
+            kind = "bad" if q == 0 else "unlabelled" if q is None else "held" if r["doc_id"] in held else "trusted"
+            lost[kind, r["lang"]].append(not r["kept"])
+            lost[kind].append(not r["kept"])
+    assert np.mean(lost["bad"]) >= 0.9
+    for lang in ("en", "de", "es", "fr"):
+        assert np.mean(lost["held", lang]) <= 0.05 and np.mean(lost["trusted", lang]) <= 0.05
+        assert np.mean(lost["unlabelled", lang]) <= 0.12  # junk has no label here
+
+
+def test_rules_verdict_does_not_depend_on_being_trusted(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").select("doc_id", "text")
+    good = spark.read.parquet(f"{SMOKE}/labels.parquet").filter("quality = 1").select("doc_id")
+    scores = {r["doc_id"]: r["score_sum"] for r in quality_rules.apply_rules(docs, good).collect()}
+    for i in sorted(r["doc_id"] for r in good.collect())[:3]:
+        others = quality_rules.apply_rules(docs, good.filter(F.col("doc_id") != i))
+        assert others.filter(F.col("doc_id") == i).first()["score_sum"] == scores[i]
+
+
 def test_pairwise_sum_identity():
     r = np.random.default_rng(0)
     m = classifier.FactorisationMachine(0.3, r.normal(size=30), r.normal(size=(30, 4)))
