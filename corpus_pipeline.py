@@ -14,6 +14,9 @@ no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,24 +25,40 @@ from lendlake.llm.common import keep_rows, stored, table
 from lendlake.llm.queries import WORDS
 
 
+def others_aside(stage: Callable) -> Callable:
+    """``stage`` with the caller's other columns under names that no operator uses."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own = ("doc_id", "text", "n_chars")
+        names = [c.lower() if c.lower() in own else f"other column {i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).toDF(*docs.columns)
+
+    return run
+
+
+@others_aside
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality rules reject; documents labelled 1 are the trusted target."""
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     return quality_rules.apply_rules(docs, good).filter("kept").select(*docs.columns)
 
 
+@others_aside
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of equal texts, against a new digest index."""
     found = exact_dedup.dedup_exact(docs, exact_dedup.DigestIndex(spark))
     return keep_rows(docs, found.filter("kept"))
 
 
+@others_aside
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of SimHash links."""
     found = simhash.near_duplicates(docs, shingle=4, radius=4)
     return keep_rows(docs, found.filter("kept"))
 
 
+@others_aside
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out 100-byte strings that also start earlier, whole characters only."""
     cut = suffix_dedup.remove_repeats(docs, window=100, whole_characters=True)
