@@ -11,6 +11,7 @@ is empty and goes or no step is left.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,25 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
     return bins
 
 
+def _offers(own: list[int], lengths: list[int]) -> Iterator[tuple[int, ...]]:
+    """One piece of every length, then a pair of every two lengths; ``own`` is longest first.
+
+    Equal lengths exchange alike.  A bin's distinct lengths add up to at most
+    its capacity, so they are few however many pieces it holds.
+    """
+    kinds: dict[int, list[int]] = defaultdict(list)
+    for i in own:
+        kinds[lengths[i]].append(i)
+    groups = list(kinds.values())
+    for a in groups:
+        yield (a[0],)
+    for k, a in enumerate(groups):
+        if len(a) > 1:
+            yield (a[0], a[1])
+        for b in groups[k + 1 :]:
+            yield (a[0], b[0])
+
+
 def _sweep(bins: list[list[int]], lengths: list[int], capacity: int, least: int) -> list[list[int]]:
     bins = [list(b) for b in bins]
     fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
@@ -93,12 +113,14 @@ def _sweep(bins: list[list[int]], lengths: list[int], capacity: int, least: int)
                     break
             if gained:
                 continue
-            near = usable[home]
-            pairs = [(i, j) for k, i in enumerate(own) for j in own[k + 1 :]] if len(own) <= 32 else []
-            for given in [(i,) for i in own] + pairs:  # one for one, two for one
+            near, most = usable[home], size + room[home]
+            # A near piece can be had for any length above its own, up to what its bin then holds.
+            starts, ends = (np.bincount(x[near] + 1, minlength=capacity + 2) for x in (size, most))
+            open_at = np.cumsum(starts - ends) > 0
+            for given in _offers(own, lengths):  # one for one, two for one
                 n = sum(lengths[i] for i in given)
-                ok = np.flatnonzero(near & (size < n) & (size + room[home] >= n))
-                if len(ok):
+                if open_at[n]:
+                    ok = np.flatnonzero(near & (size < n) & (most >= n))
                     k = int(ok[size[ok].argmin()])  # the shortest: the most is won
                     target, taken = int(home[k]), int(item[k])
                     put(taken, b)

@@ -3,7 +3,7 @@
 import base64
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -153,6 +153,15 @@ def test_local_search_beats_best_fit():
     assert len(packing.improve([[0], [1, 4], [2, 5], [3]], lengths, capacity)) == 3
 
 
+def test_two_for_one_in_a_bin_of_many_pieces():
+    # No piece of the emptiest bin fits elsewhere or has a shorter one to go for; two of them go for one of three.
+    lengths, capacity = [2] * 34 + [3] * (70 * 23), 70
+    bins = [list(range(34))] + [list(range(k, k + 23)) for k in range(34, len(lengths), 23)]
+    better = packing.improve(bins, lengths, capacity)
+    assert sorted(i for b in better for i in b) == list(range(len(lengths)))
+    assert Counter(sum(lengths[i] for i in b) for b in better) == {70: 17, 69: 53, 51: 1}
+
+
 def test_op10_query(spark, words):
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet").collect()
     rows = sorted(queries.QUERIES["op10_token_files"](spark, SMOKE).collect(), key=lambda r: r["doc_id"])
