@@ -142,7 +142,7 @@ def logistic(C: float, sum_w: float, weight: str | None = "weight", label: str =
 def linear_svm(C: float, sum_w: float, weight: str | None = "weight", label: str = "label", max_iter: int = 100):
     """L2: linear SVM (hinge loss) with the same penalty mapping.
 
-    At most ``max_iter`` iterations; ``converged`` tells whether fewer did.
+    At most ``max_iter`` iterations; ``fit_svm`` goes on until fewer do.
     """
     m = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * sum_w), standardization=False,
                   maxIter=max_iter, tol=1e-6, aggregationDepth=2)
@@ -154,6 +154,15 @@ def converged(model, max_iter: int) -> bool:
     return model.summary().totalIterations < max_iter if callable(model.summary) else model.summary.totalIterations < max_iter
 
 
+def fit_svm(train: DataFrame, C: float, sum_w: float, weight: str | None = "weight", label: str = "label", max_iter: int = 100):
+    """L2: the linear SVM fitted until it converges; a fit cut by ``max_iter`` is repeated with four times as many."""
+    while True:
+        model = linear_svm(C, sum_w, weight, label, max_iter).fit(train)
+        if converged(model, max_iter):
+            return model
+        max_iter *= 4
+
+
 def decision_tree(max_depth: int | None, weight: str | None = "weight", label: str = "label", max_bins: int = 64):
     """L3: decision tree (``None`` depth -> 30, Spark's maximum).
 

@@ -98,16 +98,16 @@ def _kept(spark, sf_dir, name: str, build) -> DataFrame:
     return _DATA[key]
 
 
-def _classifier(d: ClassifierData, kind: str, param):
+def _fitted(d: ClassifierData, kind: str, param):
     if kind == "logistic":
-        return ml.logistic(param, d.sum_w)
+        return ml.logistic(param, d.sum_w).fit(d.train)
     if kind == "svm":
-        return ml.linear_svm(param, d.sum_w)
-    return ml.decision_tree(param)
+        return ml.fit_svm(d.train, param, d.sum_w)
+    return ml.decision_tree(param).fit(d.train)
 
 
 def _class_predictions(d: ClassifierData, kind: str, param) -> DataFrame:
-    model = _classifier(d, kind, param).fit(d.train)
+    model = _fitted(d, kind, param)
     out = ml.positive_score(model.transform(d.test), kind)
     return out.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"), "score",
                       F.col("prediction").cast("int").alias("predicted"))

@@ -34,6 +34,18 @@ def test_logistic_matches_weighted_newton(spark):
     assert np.allclose(model.coefficients.toArray(), beta[1:], atol=1e-4)
 
 
+def test_svm_goes_on_until_it_converges(spark):
+    X, y, w = _data()
+    rows = [(Vectors.dense(x.tolist()), float(t), float(wi)) for x, t, wi in zip(X, y, w)]
+    df = spark.createDataFrame(rows, ["features", "label", "weight"])
+    assert not ml.converged(ml.linear_svm(10.0, float(w.sum()), max_iter=2).fit(df), 2)
+    whole = ml.linear_svm(10.0, float(w.sum()), max_iter=5000).fit(df)
+    assert ml.converged(whole, 5000)
+    model = ml.fit_svm(df, 10.0, float(w.sum()), max_iter=2)
+    assert model.summary().totalIterations == whole.summary().totalIterations > 2
+    assert np.allclose(model.coefficients.toArray(), whole.coefficients.toArray(), atol=1e-9)
+
+
 def test_ridge_matches_normal_equations(spark):
     rng = np.random.default_rng(3)
     X = rng.normal(size=(200, 4))
