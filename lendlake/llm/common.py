@@ -76,3 +76,29 @@ def keep_rows(docs: DataFrame, kept: DataFrame, doc_id: str = "doc_id", text: st
     ).distinct()
     rows = docs.withColumn(key, F.coalesce(F.col(f"`{doc_id}`").cast("long"), no_id)).withColumn(mark, F.xxhash64(text_or_empty(text)))
     return rows.join(named, [key, mark], "left_semi").dropDuplicates([key, mark]).drop(key, mark)
+
+
+def numbered(df: DataFrame, order: list[str], label: str) -> DataFrame:
+    """``df`` with ``place``: 0, 1, 2, ... over all rows in ascending ``order`` (nulls first).
+
+    Rows are dealt by ranges of the order and sorted there, so no task holds
+    more than its range; only the number of rows of each range goes to the
+    driver.  Rows that agree in all of ``order`` take neighbouring places;
+    a random last key deals them out over ranges, so a row that is repeated
+    often does not fill one task.  The result is a written table.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = [F.col(f"`{c}`") for c in order] + [F.col("tie key")]
+    ranged = df.withColumn("tie key", F.rand(7)).repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
+    # The id is the number of the range, shifted by 33 bits, plus the place in it.
+    rows = stored(ranged.drop("tie key").withColumn("place", F.monotonically_increasing_id()), label)
+    per_range = rows.groupBy(F.shiftright("place", 33).alias("range")).agg(F.count(F.lit(1)).alias("n"))
+    first, offsets = 0, []
+    for r in sorted(per_range.collect()):
+        offsets.append((r["range"], first - (r["range"] << 33)))
+        first += r["n"]
+    shift = F.broadcast(spark.createDataFrame(offsets, "range bigint, shift bigint"))
+    return rows.join(shift, F.shiftright("place", 33) == F.col("range")).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("place") + F.col("shift")).alias("place")
+    )
