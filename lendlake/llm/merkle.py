@@ -182,7 +182,7 @@ def build(
     top_leaves = known.select(
         F.lit("").alias("tree"), F.col("rank").alias("at"), F.lit(trees).cast("long").alias("size"), F.col("subroot").alias("node")
     )
-    top = grow(top_leaves, trees, stride, "top")
+    top = grow(stored(top_leaves, "top-0"), trees, stride, "top")
     first = top.roots.first()
     return Manifest(forest, top, known, first["node"] if first else None, tuple(carry))
 
@@ -192,9 +192,8 @@ def prove(manifest: Manifest) -> DataFrame:
 
     ``path`` runs from the leaf by its subroot to the root.
     """
-    spark = manifest.sources.sparkSession
-    nothing = spark.range(1).select(F.lit("").alias("tree"), F.expr("array()").cast("array<struct<left:string,right:string>>").alias("path"))
-    at_top = paths(manifest.top, nothing).select(F.col("at").alias("rank"), "path")
+    end = F.expr("array()").cast("array<struct<left:string,right:string>>")
+    at_top = paths(manifest.top, manifest.top.roots.select("tree", end.alias("path"))).select(F.col("at").alias("rank"), "path")
     above = manifest.sources.join(at_top, "rank").select("tree", F.struct("subroot", "path").alias("above"))
     found = paths(manifest.forest, above.select("tree", F.col("above.path").alias("path")), manifest.carried)
     subroots = manifest.sources.select("tree", "subroot", "size")

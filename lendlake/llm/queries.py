@@ -16,6 +16,7 @@ from lendlake.llm import (
     bpe,
     chat,
     classifier,
+    conversation_repair,
     exact_dedup,
     merkle,
     packing,
@@ -264,6 +265,105 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc(token_files.read(spark, target)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+# Plain dynamic programming, row by row; a state holds its least cost ``c`` and audit ``w``.
+_FAR = "{'c': 1000000000000, 'w': ''}"
+
+
+def _edit_sql(state: str, letter: str, cost: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'w': {state}.w || '{letter}'}}"
+
+
+def _least_sql(*entries: str) -> str:
+    return f"list_sort([{', '.join(entries)}])[1]"
+
+
+_INSERTED = {
+    "u1": _least_sql("u", *[_edit_sql(x, "I", "5") for x in ("e", "s", "a")]),
+    "a1": _least_sql("a", _edit_sql("u1", "I", "5")),
+}
+
+
+def _taken_sql(deleted: str, initial: str, froms: tuple[str, ...], reroled: bool) -> str:
+    keep = [f"CASE WHEN fault IN (0, 3) AND ini = '{initial}' THEN {_edit_sql(x, 'K', 'more')} ELSE {_FAR} END" for x in froms]
+    rerole = [f"CASE WHEN fault IN (0, 3) THEN {_edit_sql(x, 'R', '1 + more')} ELSE {_FAR} END" for x in froms if reroled]
+    return _least_sql(_edit_sql(deleted, "D", "2"), *keep, *rerole)
+
+
+@query(rf"""
+WITH RECURSIVE {CRC_TABLE_SQL.strip()},
+src AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s
+  FROM conversations),
+hit AS (SELECT *, {CRC_SQL.format(s="s")} % 20 AS kind FROM src, crc_table),
+damaged AS (
+  SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END)
+  FROM hit WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS i,
+         row_number() OVER (PARTITION BY cid, role, text ORDER BY turn NULLS FIRST) AS nth,
+         regexp_replace(text, '[ 	-]+$', '') AS body, substr(role, 1, 1) AS ini
+  FROM damaged),
+marked AS (
+  SELECT *, CASE WHEN body = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(ini) OVER (PARTITION BY cid ORDER BY i) || ini AS pair
+  FROM placed),
+convs AS (SELECT DISTINCT cid, conv_id FROM src),
+dp AS (
+  SELECT cid, 0::BIGINT AS i, {{'c': 0::BIGINT, 'w': ''}} AS e, {_FAR} AS s, {_FAR} AS u, {_FAR} AS a FROM convs
+  UNION ALL
+  SELECT cid, i, {_edit_sql("e", "D", "2")}, {_taken_sql("s", "s", ("e",), False)},
+         {_taken_sql("u1", "u", ("e", "s", "a1"), True)}, {_taken_sql("a1", "a", ("u1",), True)}
+  FROM (SELECT *, {_INSERTED["a1"]} AS a1 FROM (
+    SELECT dp.cid, m.i, ini, fault, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS more, e, s, u, a, {_INSERTED["u1"]} AS u1
+    FROM dp JOIN marked m ON m.cid = dp.cid AND m.i = dp.i + 1))),
+ends AS (
+  SELECT cid, {_least_sql("e", "a1")} AS best FROM (SELECT *, {_INSERTED["a1"]} AS a1 FROM (
+    SELECT *, {_INSERTED["u1"]} AS u1 FROM dp QUALIFY row_number() OVER (PARTITION BY cid ORDER BY i DESC) = 1))),
+steps AS (
+  SELECT cid, unnest(string_split(best.w, '')) AS letter, generate_subscripts(string_split(best.w, ''), 1) AS j
+  FROM ends WHERE best.w <> ''),
+read AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER v AS i, count(*) FILTER (letter <> 'D') OVER v AS k
+  FROM steps WINDOW v AS (PARTITION BY cid ORDER BY j)),
+kept AS (
+  SELECT r.*, m.role, m.text, max(CASE WHEN k = 1 AND letter = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY r.cid) AS led
+  FROM read r LEFT JOIN marked m ON m.cid = r.cid AND m.i = r.i AND letter <> 'I' WHERE letter <> 'D'),
+repaired AS (
+  SELECT cid, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (k - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                || ':' || coalesce(text, ''), chr(10) ORDER BY j)) AS repaired_sha256
+  FROM kept GROUP BY cid),
+counts AS (
+  SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY cid)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.w AS audit,
+       coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM convs JOIN ends USING (cid) LEFT JOIN counts USING (cid) LEFT JOIN repaired USING (cid)
+""")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations, repair them; one row for every original one."""
+    source = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damage(source)
+    found = conversation_repair.repair(rows)
+    turns = rows.groupBy("conv").agg(
+        F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long").alias("gaps")
+    )
+    convs = source.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")).alias("conv")).distinct()
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", *conversation_repair.OUTPUTS)]
+    out = convs.join(turns, "conv", "left").join(found.audits, "conv", "left").join(found.digests(), "conv", "left")
+    return out.select(
+        "conv_id",
+        *zero,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 _FIELD_SQL = "coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
 
 
