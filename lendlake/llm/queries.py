@@ -304,7 +304,8 @@ damaged AS (
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS i,
          row_number() OVER (PARTITION BY cid, role, text ORDER BY turn NULLS FIRST) AS nth,
-         regexp_replace(text, '[ 	-]+$', '') AS body, substr(role, 1, 1) AS ini
+         regexp_replace(text, '[ 	-
+]+$', '') AS body, substr(role, 1, 1) AS ini
   FROM damaged),
 marked AS (
   SELECT *, CASE WHEN body = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
