@@ -292,23 +292,22 @@ def _taken_sql(deleted: str, initial: str, froms: tuple[str, ...], reroled: bool
 @query(rf"""
 WITH RECURSIVE {CRC_TABLE_SQL.strip()},
 src AS (
-  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  SELECT row_number() OVER () AS rid, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
          coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s
   FROM conversations),
 hit AS (SELECT *, {CRC_SQL.format(s="s")} % 20 AS kind FROM src, crc_table),
 damaged AS (
-  SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  SELECT rid, cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
          CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
-         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END)
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
   FROM hit WHERE kind <> 0),
-placed AS (
-  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS i,
-         row_number() OVER (PARTITION BY cid, role, text ORDER BY turn NULLS FIRST) AS nth,
-         regexp_replace(text, '[ 	-
-]+$', '') AS body, substr(role, 1, 1) AS ini
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text, rid, copy) AS i,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body, substr(role, 1, 1) AS ini
   FROM damaged),
+placed AS (SELECT *, min(i) OVER (PARTITION BY cid, role, text) AS earliest FROM ordered),
 marked AS (
-  SELECT *, CASE WHEN body = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+  SELECT *, CASE WHEN body = '' THEN 1 WHEN earliest < i THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
          lag(ini) OVER (PARTITION BY cid ORDER BY i) || ini AS pair
   FROM placed),
 convs AS (SELECT DISTINCT cid, conv_id FROM src),
