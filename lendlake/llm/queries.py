@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake.llm import (
@@ -20,6 +20,7 @@ from lendlake.llm import (
     exact_dedup,
     merkle,
     packing,
+    pii,
     quality_rules,
     sharding,
     simhash,
@@ -364,6 +365,25 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query()
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text: those of the rules, and those the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.redact(docs, pii.learn(docs), keep_text=False)
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *[_count_of(base, kind) for kind in pii.KINDS],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 _FIELD_SQL = "coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
 
 
