@@ -108,7 +108,7 @@ def paths(forest: Forest, above: DataFrame, carried: tuple[str, ...] = ()) -> Da
     """
     known = above.select("tree", F.lit(0).cast("long").alias("at"), "path")
     if len(forest.levels) == 1:
-        return forest.levels[0].join(known, ["tree", "at"])
+        return forest.levels[0].join(known, ["tree", "at"]).select("tree", "at", "node", *carried, "path")
     for depth in range(len(forest.levels) - 2, -1, -1):
         known = _down(forest.levels[depth], known, forest.stride, carried if depth == 0 else ())
     return known
