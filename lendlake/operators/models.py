@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -163,16 +163,6 @@ def fit_svm(train: DataFrame, C: float, sum_w: float, weight: str | None = "weig
         max_iter *= 4
 
 
-def decision_tree(max_depth: int | None, weight: str | None = "weight", label: str = "label", max_bins: int = 64):
-    """L3: decision tree (``None`` depth -> 30, Spark's maximum).
-
-    Numeric splits are chosen among ``max_bins`` quantile bins of a column.
-    """
-    m = DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=30 if max_depth is None else max_depth,
-                               maxBins=max_bins, seed=42)
-    return m.setWeightCol(weight) if weight else m
-
-
 # The normal equations are solved on the driver, which Spark refuses above this width.
 NORMAL_MAX_COLUMNS = 4096
 

@@ -20,13 +20,15 @@ from lendlake.operators import models as ml
 from lendlake.operators import neighbors as nb
 from lendlake.operators import profiling as pf
 from lendlake.operators import scoring as sc
+from lendlake.operators import trees
 from lendlake.operators.quantiles import exact_quantiles
-from lendlake.plans.features_q import TRAINING_SQL
+from lendlake.plans.features_q import SEVERITY_SQL, TRAIN_NUM, TRAINING_SQL
 from lendlake.plans.registry import portfolio, query, staging_folder
 from lendlake.session import stored
 from lendlake.sources import sinks
 from lendlake.sources.fixture import FIXTURE_CUTOFF
 
+TRAIN_CATS = ["feat_001_grouped", "feat_003", "feat_041"]
 CLS_ID = ["loan_id", "split", "received_date", "is_loss"]
 SEV_ID = ["loan_id", "split", "received_date", "is_loss", "loss_amount"]
 
@@ -49,6 +51,20 @@ class ClassifierData:
         self.train = stored(fx.with_class_weight(self.pre.transform(fit), weights, "is_loss"), "classifier-train")
         self.test = stored(self.pre.transform(held), "classifier-test")
         self.sum_w = ml.total_weight(self.train, "weight")
+        by_class = {int(r["is_loss"]): r["class_weight"] for r in weights.where(F.col("is_loss").isNotNull()).collect()}  # two rows
+        self.weights = by_class.get(0, 1.0), by_class.get(1, 1.0)
+        self.fit_rows, self.held_rows = fit, held
+        self.grown = None
+
+    def tree(self, max_depth: int | None) -> DataFrame:
+        """L3: held-out rows scored by the exact tree; a deeper tree, once grown, answers smaller depths."""
+        if self.grown is None or (self.grown[0] is not None and (max_depth is None or max_depth > self.grown[0])):
+            both = [df.select(F.col("loan_id").alias("id"), F.lit(fit).alias("fit"), "label", trees.entries(self.cat, self.num, self.pre.medians).alias("entries"))
+                    for df, fit in ((self.fit_rows.where(F.col("label").isNotNull()), True), (self.held_rows, False))]
+            self.grown = max_depth, trees.grow(both[0].unionByName(both[1]), self.weights, max_depth)
+        scores = self.grown[1].predict(max_depth)
+        truth = self.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"))
+        return truth.join(scores.withColumnRenamed("id", "loan_id"), "loan_id")
 
 
 class SeverityData:
@@ -101,12 +117,12 @@ def _kept(spark, sf_dir, name: str, build) -> DataFrame:
 def _fitted(d: ClassifierData, kind: str, param):
     if kind == "logistic":
         return ml.logistic(param, d.sum_w).fit(d.train)
-    if kind == "svm":
-        return ml.fit_svm(d.train, param, d.sum_w)
-    return ml.decision_tree(param).fit(d.train)
+    return ml.fit_svm(d.train, param, d.sum_w)
 
 
 def _class_predictions(d: ClassifierData, kind: str, param) -> DataFrame:
+    if kind == "tree":
+        return d.tree(param)
     model = _fitted(d, kind, param)
     out = ml.positive_score(model.transform(d.test), kind)
     return out.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"), "score",
@@ -125,7 +141,52 @@ def q_model_linear_svm(spark, sf_dir):
     return _class_predictions(_memo(ClassifierData, spark, sf_dir), "svm", 10.0)
 
 
-@query("model_tree")
+# The model matrix as (loan_id, f, v), non-zero values only, and the depth-2 tree over it, a level at a time.
+MATRIX_SQL = f"""
+ts AS ({TRAINING_SQL.strip()}),
+md AS (SELECT {', '.join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in TRAIN_NUM)} FROM ts WHERE split = 'train'),
+long AS (
+    {' UNION ALL '.join(f"SELECT loan_id, '{c}' AS f, coalesce(CAST(ts.{c} AS DOUBLE), md.{c}) AS v FROM ts CROSS JOIN md" for c in TRAIN_NUM)}
+    UNION ALL {' UNION ALL '.join(f"SELECT loan_id, '{c}=' || coalesce({c}, 'MISSING'), 1.0 FROM ts" for c in TRAIN_CATS)}),
+x AS (SELECT loan_id, f, v FROM long WHERE v <> 0)"""
+
+
+def _tree_level_sql(i: int) -> str:
+    return f"""
+n{i} AS (SELECT node, count(*) FILTER (y = 0) AS n0, count(*) FILTER (y = 1) AS n1 FROM who{i} WHERE fit GROUP BY node),
+g{i} AS (
+    SELECT node, f, v, count(*) FILTER (y = 0) AS c0, count(*) FILTER (y = 1) AS c1
+    FROM who{i} JOIN x USING (loan_id) WHERE fit GROUP BY node, f, v),
+a{i} AS (
+    SELECT * FROM g{i} UNION ALL
+    SELECT node, f, 0.0, any_value(n0) - sum(c0), any_value(n1) - sum(c1) FROM g{i} JOIN n{i} USING (node)
+    GROUP BY node, f HAVING any_value(n0 + n1) > sum(c0 + c1)),
+s{i} AS (
+    SELECT node, f, v, lead(v) OVER p AS nxt, sum(c0) OVER p AS l0, sum(c1) OVER p AS l1
+    FROM a{i} WINDOW p AS (PARTITION BY node, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+e{i} AS (
+    SELECT node, f, v, (v + nxt) / 2 AS cut, l0 * w0 AS a, l1 * w1 AS b, (n0 - l0) * w0 AS c, (n1 - l1) * w1 AS d
+    FROM s{i} JOIN n{i} USING (node) CROSS JOIN w WHERE nxt IS NOT NULL AND n0 > 0 AND n1 > 0),
+b{i} AS (
+    SELECT node, f, cut FROM e{i}
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY 2.0 * a * b / (a + b) + 2.0 * c * d / (c + d), f, v) = 1),
+who{i + 1} AS (
+    SELECT loan_id, fit, y, received_date,
+        node || CASE WHEN b{i}.f IS NULL THEN '' WHEN coalesce(x.v, 0) <= cut THEN 'l' ELSE 'r' END AS node
+    FROM who{i} LEFT JOIN b{i} USING (node) LEFT JOIN x USING (loan_id, f))"""
+
+
+@query("model_tree", MATRIX_SQL + f""",
+w AS (
+    SELECT CAST(count(*) AS DOUBLE) / (2 * count(*) FILTER (NOT is_loss)) AS w0, CAST(count(*) AS DOUBLE) / (2 * count(*) FILTER (is_loss)) AS w1
+    FROM ts WHERE split = 'train'),
+who0 AS (SELECT loan_id, split = 'train' AS fit, CAST(is_loss AS INTEGER) AS y, received_date, '' AS node FROM ts),
+{_tree_level_sql(0).strip()},
+{_tree_level_sql(1).strip()},
+leaf AS (SELECT node, count(*) FILTER (y = 0) * any_value(w0) AS a, count(*) FILTER (y = 1) * any_value(w1) AS b FROM who2 CROSS JOIN w WHERE fit GROUP BY node)
+SELECT loan_id, received_date, y AS actual_is_loss, b / (a + b) AS score, CASE WHEN b / (a + b) > 0.5 THEN 1 ELSE 0 END AS predicted
+FROM who2 JOIN leaf USING (node) WHERE NOT fit
+""")
 def q_model_tree(spark, sf_dir):
     """L3: balanced decision tree (depth 2), test-row probabilities."""
     return _class_predictions(_memo(ClassifierData, spark, sf_dir), "tree", 2)
@@ -140,6 +201,12 @@ def _classification_rows(named: list[tuple[str, DataFrame]]) -> DataFrame:
     return rows.withColumnRenamed("average_precision", "pr_auc")
 
 
+def _knn_predictions(d: ClassifierData, k: int) -> DataFrame:
+    scores = nb.knn_probability(d.test, d.train, k, "loan_id")
+    truth = d.test.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"))
+    return truth.join(scores, "loan_id").withColumn("predicted", (F.col("score") > 0.5).cast("int"))
+
+
 def _kept_knn(spark, sf_dir) -> DataFrame:
     return _kept(spark, sf_dir, "knn-40", lambda: _knn_predictions(_memo(ClassifierData, spark, sf_dir), 40))
 
@@ -293,6 +360,7 @@ def q_sweep(spark, sf_dir):
     highest ROC-AUC of a model (ties: the smaller parameter).
     """
     d = _memo(ClassifierData, spark, sf_dir, validation=True)
+    d.tree(None)  # grown once, cut at every depth below
     tried = [("logistic", p) for p in LOGISTIC_C] + [("svm", p) for p in SVM_C] + [("tree", p) for p in TREE_DEPTHS]
     parts = []
     for run, (kind, param) in enumerate(tried):
@@ -399,7 +467,27 @@ def q_batch_scoring(spark, sf_dir):
     return sc.score_batch(models, ids, p.joined, p.cfg)
 
 
-@query("model_knn")
+_SCALED = ", ".join(
+    f"(coalesce(CAST(ts.{c} AS DOUBLE), md.{c}) - sc.{c}[1]) / sc.{c}[2]" for c in TRAIN_NUM
+)
+
+
+@query("model_knn", f"""
+ts AS ({TRAINING_SQL.strip()}),
+md AS (SELECT {', '.join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in TRAIN_NUM)} FROM ts WHERE split = 'train'),
+sc AS (
+    SELECT {', '.join(f"[avg(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})), CASE WHEN stddev_pop(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})) = 0 THEN 1 ELSE stddev_pop(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})) END] AS {c}" for c in TRAIN_NUM)}
+    FROM ts CROSS JOIN md WHERE split = 'train'),
+lv AS (SELECT {', '.join(f"list(DISTINCT coalesce({c}, 'MISSING')) AS {c}" for c in TRAIN_CATS)} FROM ts WHERE split = 'train'),
+m AS (
+    SELECT loan_id, split, received_date, CAST(is_loss AS INTEGER) AS y, [{_SCALED}]
+        || {' || '.join(f"list_transform(lv.{c}, lambda l: CASE WHEN l = coalesce(ts.{c}, 'MISSING') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)" for c in TRAIN_CATS)} AS v
+    FROM ts CROSS JOIN md CROSS JOIN sc CROSS JOIN lv),
+near AS (
+    SELECT t.loan_id, arg_min(r.y, {{'d': list_distance(t.v, r.v), 'id': r.loan_id}}, 40) AS ys
+    FROM m t JOIN m r ON t.split = 'test' AND r.split = 'train' GROUP BY t.loan_id)
+SELECT loan_id, received_date, y AS actual_is_loss, list_avg(ys) AS score FROM near JOIN m USING (loan_id)
+""")
 def q_model_knn(spark, sf_dir):
     """L4: exact k-nearest-neighbour probability (k = 40) for the test rows."""
     return _kept_knn(spark, sf_dir).drop("predicted")
