@@ -177,11 +177,11 @@ def decline_table(df: DataFrame, score: str, label: str, shares: Sequence[float]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """MAE, RMSE, R^2 (against the mean of the evaluated rows)."""
+def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """MAE, RMSE, R^2 (against the mean of the evaluated rows), one row or one per group of ``by``."""
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     err = a - p
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
@@ -217,16 +217,20 @@ def bic(df: DataFrame, actual: str, predicted: str, n_params: int) -> DataFrame:
     """
     err = F.col(actual).cast("double") - F.col(predicted).cast("double")
     one = df.agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("rss"))
-    n = F.col("n")
-    return one.select(
+    return bic_of_sums(one.withColumn("n_params", F.lit(n_params)))
+
+
+def bic_of_sums(sums: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``bic`` from ``n, rss, n_params`` already known, one row each."""
+    n, k = F.col("n"), F.col("n_params")
+    return sums.select(
+        *keep,
         "n",
         "rss",
-        F.lit(n_params).alias("n_params"),
-        F.when(F.col("rss") == 0, F.lit(float("-inf")))
-        .otherwise(n * F.log(F.col("rss") / n) + F.lit(n_params) * F.log(n))
-        .alias("bic"),
-        (F.lit(n_params) / n).alias("params_per_row"),
-        (F.lit(n_params) / n < PARAMS_PER_ROW_LIMIT).alias("is_reliable"),
+        "n_params",
+        F.when(F.col("rss") == 0, F.lit(float("-inf"))).otherwise(n * F.log(F.col("rss") / n) + k * F.log(n)).alias("bic"),
+        (k / n).alias("params_per_row"),
+        (k / n < PARAMS_PER_ROW_LIMIT).alias("is_reliable"),
     )
 
 

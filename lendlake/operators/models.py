@@ -1,4 +1,4 @@
-"""Model fitting on Spark ML.
+"""Preparation and the classifiers of Spark ML (L1, L2, L11, M5, M8); trees are in ``trees``, linear regression in ``linear``.
 
 Preparation is fitted on training rows only: categories are imputed
 (``MISSING``), optionally grouped (rare levels), indexed and one-hot encoded
@@ -10,8 +10,6 @@ over the cached assembled vectors).
 
 Penalty mapping to the original objectives (sample weights w):
   logistic / linear SVM, C   -> regParam = 1 / (C * sum(w)), standardization off
-  ridge, alpha               -> regParam = alpha * std_samp(y) / n, l-bfgs
-  lasso, alpha               -> regParam = alpha, elasticNetParam = 1
 """
 
 from __future__ import annotations
@@ -22,9 +20,8 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,28 +160,6 @@ def fit_svm(train: DataFrame, C: float, sum_w: float, weight: str | None = "weig
         max_iter *= 4
 
 
-# The normal equations are solved on the driver, which Spark refuses above this width.
-NORMAL_MAX_COLUMNS = 4096
-
-
-def ols(label: str = "label", width: int | None = None):
-    """Ordinary least squares; wide inputs (``width`` columns) are fitted iteratively."""
-    solver = "l-bfgs" if width is not None and width > NORMAL_MAX_COLUMNS else "normal"
-    return LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, standardization=False, solver=solver)
-
-
-def ridge(alpha: float, n: int, label_std: float, label: str = "label"):
-    """Ridge, alpha on the sum of squares (regParam = alpha * sd(y) / n)."""
-    return LinearRegression(featuresCol="features", labelCol=label, regParam=alpha * label_std / n, elasticNetParam=0.0,
-                            standardization=False, solver="l-bfgs", maxIter=1000, tol=1e-10)
-
-
-def lasso(alpha: float, label: str = "label"):
-    """Lasso (mean squared error / 2 + alpha |b|_1)."""
-    return LinearRegression(featuresCol="features", labelCol=label, regParam=alpha, elasticNetParam=1.0,
-                            standardization=False, maxIter=1000, tol=1e-10)
-
-
 def positive_score(predictions: DataFrame, kind: str, out: str = "score") -> DataFrame:
     """Score of the positive class: probability[1], or rawPrediction[1] for the SVM."""
     col = "rawPrediction" if kind == "svm" else "probability"
@@ -193,11 +168,7 @@ def positive_score(predictions: DataFrame, kind: str, out: str = "score") -> Dat
 
 def coefficient_table(model, names: Sequence[str]) -> list[tuple[str, float]]:
     """(feature, coefficient) ranked by magnitude (small driver-side list)."""
-    coefs = np.asarray(model.coefficients.toArray()).ravel()
+    found = model.coefficients
+    coefs = np.asarray(found.toArray() if hasattr(found, "toArray") else found).ravel()
     pairs = list(zip(names, coefs.tolist()))
     return sorted(pairs, key=lambda p: -abs(p[1]))
-
-
-def polynomial(df: DataFrame, degree: int, in_col: str = "features", out: str = "poly") -> DataFrame:
-    """M9: polynomial expansion without bias term."""
-    return PolynomialExpansion(degree=degree, inputCol=in_col, outputCol=out).transform(df)

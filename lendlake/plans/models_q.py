@@ -9,12 +9,13 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.config import GROUPER_MIN_COUNT, PROBABILITY_C, SEVERITY_ALPHA
 from lendlake.operators import features as fx
+from lendlake.operators import linear
 from lendlake.operators import metrics as mx
 from lendlake.operators import models as ml
 from lendlake.operators import neighbors as nb
@@ -22,7 +23,7 @@ from lendlake.operators import profiling as pf
 from lendlake.operators import scoring as sc
 from lendlake.operators import trees
 from lendlake.operators.quantiles import exact_quantiles
-from lendlake.plans.features_q import SEVERITY_SQL, TRAIN_NUM, TRAINING_SQL
+from lendlake.plans.features_q import SEV_CATS, SEVERITY_SQL, TRAIN_NUM, TRAINING_SQL
 from lendlake.plans.registry import portfolio, query, staging_folder
 from lendlake.session import stored
 from lendlake.sources import sinks
@@ -77,9 +78,26 @@ class SeverityData:
         self.pre = ml.fit_preprocessor(self.fit_rows, self.cat, self.num, group_rare=True, rare_min_count=GROUPER_MIN_COUNT)
         self.train = stored(self.pre.transform(self.fit_rows), "severity-train")
         self.test = stored(self.pre.transform(self.held_rows), "severity-test")
-        st = self.train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd"),
-                            F.min("label").alias("lo"), F.max("label").alias("hi")).first()
-        self.n, self.label_sd, self.log_lo, self.log_hi = int(st["n"]), float(st["sd"] or 0.0), st["lo"], st["hi"]
+        names = self.pre.feature_names
+        self.design = linear.Design(tuple(range(len(names))))
+        # M9: the ten best numeric columns expanded (the reference's count), all other columns as they are.
+        top = self.by_correlation()[:10]
+        self.best = names.index(top[0])
+        kept = tuple(i for i, name in enumerate(names) if name not in set(top))
+        self.wide = linear.Design(kept, tuple(names.index(c) for c in top), DEGREES[-1])
+        self._moments: dict = {}
+
+    def moments(self, design: linear.Design) -> linear.Moments:
+        """Cross products of the fit rows, computed once for each design."""
+        if design not in self._moments:
+            self._moments[design] = linear.moments(self.train, design)
+        return self._moments[design]
+
+    def amounts(self, design: linear.Design, models: list[linear.Linear]) -> DataFrame:
+        """Held-out rows with ``amounts``: each model's prediction in currency, none below 0."""
+        pred = linear.predictions(self.test.select("loan_id", "received_date", "loss_amount", "features"), design, models)
+        back = F.transform("predictions", lambda x: F.greatest(F.expm1(x), F.lit(0.0)))
+        return pred.select("loan_id", "received_date", F.col("loss_amount").cast("double").alias("actual_loss_amount"), back.alias("amounts"))
 
     def by_correlation(self):
         """Numeric columns by the size of their correlation with the loss amount on the fit rows."""
@@ -240,78 +258,106 @@ def _both_scores(d: ClassifierData) -> DataFrame:
     return svm.join(logreg, "loan_id")
 
 
-def _severity_predictions(d: SeverityData, model, clip: bool = True) -> DataFrame:
-    fitted = model.fit(d.train)
-    pred = fitted.transform(d.test)
-    back = F.greatest(F.expm1(F.col("prediction")), F.lit(0.0))
-    return pred.select("loan_id", "received_date", F.col("loss_amount").cast("double").alias("actual_loss_amount"),
-                       back.alias("predicted_loss_amount"))
+def _severity_predictions(d: SeverityData, model: linear.Linear) -> DataFrame:
+    table = d.amounts(d.design, [model])
+    return table.select("loan_id", "received_date", "actual_loss_amount", F.col("amounts")[0].alias("predicted_loss_amount"))
 
 
-@query("model_ols")
+def _in_cents(table: DataFrame) -> DataFrame:
+    return table.withColumn("predicted_loss_amount", F.round("predicted_loss_amount", 2))
+
+
+# The severity model matrix, centred, and the normal equations solved by elimination.  A column that
+# depends on earlier ones has no pivot and gets no coefficient: the fitted values are the same.
+SEVERITY_MATRIX_SQL = f"""
+raw AS ({SEVERITY_SQL.strip()}),
+sev AS (
+    SELECT loan_id, split, received_date, loss_amount, {', '.join(f"CAST({c} AS DOUBLE) AS {c}" for c in TRAIN_NUM)},
+        {', '.join(f"CASE WHEN count(*) FILTER (split = 'train') OVER (PARTITION BY {c}) >= {GROUPER_MIN_COUNT} THEN coalesce({c}, 'MISSING') ELSE 'RARE' END AS {c}" for c in SEV_CATS)}
+    FROM raw),
+md AS (SELECT {', '.join(f"median({c}) AS {c}" for c in TRAIN_NUM)} FROM sev WHERE split = 'train'),
+sc AS (
+    SELECT {', '.join(f"[avg(coalesce(sev.{c}, md.{c})), CASE WHEN stddev_pop(coalesce(sev.{c}, md.{c})) = 0 THEN 1 ELSE stddev_pop(coalesce(sev.{c}, md.{c})) END] AS {c}" for c in TRAIN_NUM)}
+    FROM sev CROSS JOIN md WHERE split = 'train'),
+lv AS (SELECT {', '.join(f"list_sort(list(DISTINCT {c})) AS {c}" for c in SEV_CATS)} FROM sev WHERE split = 'train'),
+m AS (
+    SELECT loan_id, split, received_date, loss_amount, ln(1 + loss_amount) AS y,
+        [{', '.join(f"(coalesce(sev.{c}, md.{c}) - sc.{c}[1]) / sc.{c}[2]" for c in TRAIN_NUM)}]
+        || {' || '.join(f"list_transform(lv.{c}, lambda l: CASE WHEN l = sev.{c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)" for c in SEV_CATS)} AS v
+    FROM sev CROSS JOIN md CROSS JOIN sc CROSS JOIN lv),
+z AS (
+    SELECT loan_id, i, val - avg(val) OVER (PARTITION BY i) AS val, avg(val) OVER (PARTITION BY i) AS mean
+    FROM (SELECT loan_id, unnest(v || [y]) AS val, generate_subscripts(v || [y], 1) AS i FROM m WHERE split = 'train')),
+g AS (SELECT a.i, b.i AS j, sum(a.val * b.val) AS s FROM z a JOIN z b USING (loan_id) GROUP BY a.i, b.i),
+means AS (SELECT list(mean ORDER BY i) AS means FROM (SELECT DISTINCT i, mean FROM z))"""
+
+
+def _solved_sql(alphas: list[float]) -> str:
+    return SEVERITY_MATRIX_SQL + f""",
+start AS (
+    SELECT alpha, list(r ORDER BY i) AS mat
+    FROM (SELECT alpha, i, list(s + CASE WHEN i = j THEN alpha ELSE 0 END ORDER BY j) AS r
+          FROM g CROSS JOIN (SELECT unnest({[float(a) for a in alphas]}) AS alpha)
+          WHERE i < (SELECT max(i) FROM g) GROUP BY alpha, i)
+    GROUP BY alpha),
+solve AS (
+    SELECT alpha, 1 AS k, mat FROM start
+    UNION ALL
+    SELECT alpha, k + 1, CASE WHEN abs(mat[k][k]) < 1e-6 THEN mat ELSE list_transform(mat, lambda r, i:
+        CASE WHEN i = k THEN r ELSE list_transform(r, lambda c, j: c - r[k] / mat[k][k] * mat[k][j]) END) END
+    FROM solve WHERE k <= len(mat)),
+beta AS (
+    SELECT alpha, list_transform(mat, lambda r, i: CASE WHEN abs(r[i]) < 1e-6 THEN 0 ELSE r[len(r)] / r[i] END) AS b
+    FROM solve WHERE k = len(mat) + 1),
+fitted AS (
+    SELECT alpha, b, means[len(means)] - list_dot_product(b, means[1:len(b)]) AS a FROM beta CROSS JOIN means)"""
+
+
+_PREDICTED_SQL = """
+SELECT loan_id, received_date, loss_amount AS actual_loss_amount,
+    round(greatest(exp(a + list_dot_product(b, v)) - 1, 0), 2) AS predicted_loss_amount
+FROM m CROSS JOIN fitted WHERE split = 'test'"""
+
+
+@query("model_ols", "RECURSIVE" + _solved_sql([0.0]) + _PREDICTED_SQL)
 def q_model_ols(spark, sf_dir):
-    """OLS on log1p(loss), back-transformed and clipped at 0."""
+    """Least squares on log1p(loss), back-transformed, clipped at 0, in cents."""
     d = _memo(SeverityData, spark, sf_dir)
-    return _severity_predictions(d, ml.ols())
+    return _in_cents(_severity_predictions(d, linear.ridge(d.moments(d.design), 0.0)))
 
 
-@query("model_ridge")
+@query("model_ridge", "RECURSIVE" + _solved_sql([SEVERITY_ALPHA]) + _PREDICTED_SQL)
 def q_model_ridge(spark, sf_dir):
-    """Ridge (alpha = 100) on log1p(loss)."""
-    d = _memo(SeverityData, spark, sf_dir)
-    return _severity_predictions(d, ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd))
+    """Ridge (alpha = 100) on log1p(loss), in cents."""
+    return _in_cents(_ridge_predictions(_memo(SeverityData, spark, sf_dir)))
+
+
+def _ridge_predictions(d: SeverityData) -> DataFrame:
+    return _severity_predictions(d, linear.ridge(d.moments(d.design), SEVERITY_ALPHA))
 
 
 @query("model_lasso")
 def q_model_lasso(spark, sf_dir):
     """Lasso (alpha = 0.01) on log1p(loss)."""
     d = _memo(SeverityData, spark, sf_dir)
-    return _severity_predictions(d, ml.lasso(0.01))
-
-
-def _simple(d: SeverityData):
-    """Rows with the one numeric predictor that correlates most with the loss amount."""
-    best = d.by_correlation()[0]
-    one = VectorAssembler(inputCols=[best], outputCol="features", handleInvalid="keep")
-    return best, one.transform(d.train.drop("features")), one.transform(d.test.drop("features"))
-
-
-def _expanded(d: SeverityData, degree: int):
-    """M9: the ten best numeric columns expanded, all other columns as they are."""
-    top = d.by_correlation()[:10]  # the reference's count
-    assembler = VectorAssembler(inputCols=top, outputCol="__top", handleInvalid="keep")
-    keep = [i for i, name in enumerate(d.pre.feature_names) if name not in set(top)]
-    slicer = VectorSlicer(inputCol="features", outputCol="__rest", indices=keep)
-    joiner = VectorAssembler(inputCols=["__poly", "__rest"], outputCol="features", handleInvalid="error")
-
-    def run(df: DataFrame) -> DataFrame:
-        wide = slicer.transform(ml.polynomial(assembler.transform(df), degree, "__top", "__poly"))
-        return joiner.transform(wide.drop("features")).drop("__top", "__poly", "__rest")
-
-    return run(d.train), run(d.test)
-
-
-def _back(fitted, test: DataFrame) -> DataFrame:
-    back = F.greatest(F.expm1(F.col("prediction")), F.lit(0.0))
-    return fitted.transform(test).select("loan_id", "received_date", F.col("loss_amount").cast("double").alias("actual_loss_amount"),
-                                         back.alias("predicted_loss_amount"))
+    return _severity_predictions(d, linear.lasso(d.moments(d.design), [LASSO_ALPHA])[LASSO_ALPHA])
 
 
 @query("model_simple")
 def q_model_simple(spark, sf_dir):
-    """Regression on the one best predictor."""
-    _, train, test = _simple(_memo(SeverityData, spark, sf_dir))
-    return _back(ml.ols().fit(train), test)
+    """Regression on the one numeric column that correlates most with the loss amount."""
+    d = _memo(SeverityData, spark, sf_dir)
+    design = linear.Design((d.best,))
+    table = d.amounts(design, [linear.ridge(d.moments(d.design).only([d.best]), 0.0)])
+    return table.select("loan_id", "received_date", "actual_loss_amount", F.col("amounts")[0].alias("predicted_loss_amount"))
 
 
 @query("lasso_nonzero")
 def q_lasso_nonzero(spark, sf_dir):
     """How many coefficients the lasso keeps, per alpha of the sweep."""
     d = _memo(SeverityData, spark, sf_dir)
-    rows = []
-    for alpha in LASSO_ALPHAS:
-        coefficients = ml.lasso(alpha).fit(d.train).coefficients
-        rows.append((alpha, int(coefficients.numNonzeros()), len(coefficients)))
+    models = linear.lasso(d.moments(d.design), LASSO_ALPHAS)
+    rows = [(a, int((m.coefficients != 0).sum()), len(m.coefficients)) for a, m in sorted(models.items())]
     return spark.createDataFrame(rows, "alpha double, nonzero int, total int")
 
 
@@ -322,34 +368,49 @@ def q_regression_comparison(spark, sf_dir):
 
 
 def _regression_rows(spark, sf_dir) -> DataFrame:
+    """All models over one matrix of the widest design, scored in one pass."""
     d = _memo(SeverityData, spark, sf_dir)
     degree = _best_degree(spark, sf_dir)
-    _, simple_train, simple_test = _simple(d)
-    poly_train, poly_test = _expanded(d, degree)
-    amounts = d.fit_rows.select(F.col("loss_amount").cast("double").alias("y"))
-    median = exact_quantiles(amounts, [], "y", [0.5], "m").select(F.col("m")[0]).scalar()
-    tables = [
-        ("Baseline (training median)", d.test.select(F.col("loss_amount").cast("double").alias("actual_loss_amount"),
-                                                      median.alias("predicted_loss_amount"))),
-        ("Simple Linear Regression", _back(ml.ols().fit(simple_train), simple_test)),
-        ("Multiple Linear Regression", _back(ml.ols().fit(d.train), d.test)),
-        (f"Polynomial Regression (degree {degree})", _back(ml.ols().fit(poly_train), poly_test)),
-        ("Ridge (alpha=100)", _back(ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd).fit(d.train), d.test)),
-        ("Lasso (alpha=0.01)", _back(ml.lasso(0.01).fit(d.train), d.test)),
-    ]
-    rows = [
-        mx.regression_metrics(t, "actual_loss_amount", "predicted_loss_amount").select(F.lit(name).alias("model"), "*")
-        for name, t in tables
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    m = d.moments(d.wide)
+    plain = d.wide.columns(1)
+    alone = m.only(plain)
+
+    def placed(model: linear.Linear, columns: list[int]) -> linear.Linear:
+        coefficients = np.zeros(d.wide.width)
+        coefficients[columns] = model.coefficients
+        return linear.Linear(coefficients, model.intercept)
+
+    chosen = d.wide.columns(degree)
+    models = {
+        "Simple Linear Regression": placed(linear.ridge(m.only([0]), 0.0), [0]),
+        "Multiple Linear Regression": placed(linear.ridge(alone, 0.0), plain),
+        f"Polynomial Regression (degree {degree})": placed(linear.ridge(m.only(chosen), 0.0), chosen),
+        "Ridge (alpha=100)": placed(linear.ridge(alone, SEVERITY_ALPHA), plain),
+        "Lasso (alpha=0.01)": placed(linear.lasso(alone, [LASSO_ALPHA])[LASSO_ALPHA], plain),
+    }
+    train_amounts = d.fit_rows.select(F.col("loss_amount").cast("double").alias("y"))
+    median = exact_quantiles(train_amounts, [], "y", [0.5], "m").select(F.col("m")[0]).scalar()
+    return _metrics_of(d.amounts(d.wide, list(models.values())).withColumn("amounts", F.array_append("amounts", median)),
+                       [(name,) for name in models] + [("Baseline (training median)",)], "model string")
+
+
+def _metrics_of(amounts: DataFrame, names: list[tuple], schema: str) -> DataFrame:
+    """E7 for each place of ``amounts``, with the name of that place."""
+    long = amounts.select("actual_loss_amount", F.posexplode("amounts").alias("place", "predicted"))
+    rows = mx.regression_metrics(long, "actual_loss_amount", "predicted", ["place"])
+    named = amounts.sparkSession.createDataFrame([(i, *n) for i, n in enumerate(names)], f"place int, {schema}")
+    return rows.join(F.broadcast(named), "place").drop("place")
 
 
 # The parameters that the sweeps try (0 depth: unlimited).
 LOGISTIC_C = [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]
 SVM_C = [0.1, 1.0, 10.0]
 TREE_DEPTHS = [2, 3, 4, 5, 6, 8, 10, 12, 0]
+DEGREES = (1, 2, 3)
+LASSO_ALPHA = 0.01
 RIDGE_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
 LASSO_ALPHAS = [0.0001, 0.001, 0.01, 0.1, 1.0]
+CERTIFIED = 1e-6
 
 
 @query("sweep")
@@ -376,14 +437,31 @@ def q_sweep(spark, sf_dir):
 
 @query("regression_sweep")
 def q_regression_sweep(spark, sf_dir):
-    """Ridge and lasso alphas by validation RMSE in currency."""
+    """Ridge and lasso alphas by validation RMSE in currency; one pass fits, one scores all."""
     d = _memo(SeverityData, spark, sf_dir, validation=True)
-    tried = [("ridge", a, ml.ridge(a, d.n, d.label_sd)) for a in RIDGE_ALPHAS] + [("lasso", a, ml.lasso(a)) for a in LASSO_ALPHAS]
-    rows = []
-    for name, alpha, model in tried:
-        table = mx.regression_metrics(_back(model.fit(d.train), d.test), "actual_loss_amount", "predicted_loss_amount")
-        rows.append(table.select(F.lit(name).alias("model"), "*", F.lit(alpha).alias("param")))
-    return _flag_best(stored(reduce(DataFrame.unionByName, rows), "sweep"), -F.col("rmse"))
+    m = d.moments(d.design)
+    lassos = linear.lasso(m, LASSO_ALPHAS)
+    models = [linear.ridge(m, a) for a in RIDGE_ALPHAS] + [lassos[a] for a in LASSO_ALPHAS]
+    names = [("ridge", a) for a in RIDGE_ALPHAS] + [("lasso", a) for a in LASSO_ALPHAS]
+    return _flag_best(stored(_metrics_of(d.amounts(d.design, models), names, "model string, param double"), "sweep"), -F.col("rmse"))
+
+
+@query("regression_certificates", """
+SELECT * FROM (
+    SELECT 'ridge' AS model, unnest([0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])::DOUBLE AS param
+    UNION ALL SELECT 'lasso', unnest([0.0001, 0.001, 0.01, 0.1, 1.0])
+    UNION ALL SELECT 'polynomial', unnest([1.0, 2.0, 3.0])) CROSS JOIN (SELECT true AS is_optimal)
+""")
+def q_regression_certificates(spark, sf_dir):
+    """Whether every solution meets its optimality conditions (``CERTIFIED`` of the largest |X'y|)."""
+    d = _memo(SeverityData, spark, sf_dir)
+    m, wide = d.moments(d.design), d.moments(d.wide)
+    found = [("ridge", a, linear.certificate(m, linear.ridge(m, a), a, "l2")) for a in [0.0, *RIDGE_ALPHAS]]
+    found += [("lasso", a, linear.certificate(m, model, a, "l1")) for a, model in linear.lasso(m, LASSO_ALPHAS).items()]
+    for degree in DEGREES:
+        part = wide.only(d.wide.columns(degree))
+        found.append(("polynomial", float(degree), linear.certificate(part, linear.ridge(part, 0.0), 0.0, "l2")))
+    return spark.createDataFrame([(name, p, off <= CERTIFIED) for name, p, off in found], "model string, param double, is_optimal boolean")
 
 
 def _flag_best(table: DataFrame, score) -> DataFrame:
@@ -392,19 +470,14 @@ def _flag_best(table: DataFrame, score) -> DataFrame:
 
 
 def _degrees(spark, sf_dir) -> DataFrame:
-    key = ("degrees", spark.sparkContext.applicationId, sf_dir)
-    if key not in _DATA:
-        d = _memo(SeverityData, spark, sf_dir)
-        rows = []
-        for degree in (1, 2, 3):
-            train, _ = _expanded(d, degree)
-            width = len(train.first()["features"])
-            pred = ml.ols(width=width).fit(train).transform(train)
-            rows.append(mx.bic(pred, "label", "prediction", width + 1).select(F.lit(degree).alias("degree"), "*"))
-        table = stored(reduce(DataFrame.unionByName, rows), "degrees")
-        best = table.agg(F.min_by("degree", F.struct("bic", "degree"))).scalar()
-        _DATA[key] = table.withColumn("is_best", F.col("degree") == best)
-    return _DATA[key]
+    d = _memo(SeverityData, spark, sf_dir)
+    m, rows = d.moments(d.wide), []
+    for degree in DEGREES:
+        part = m.only(d.wide.columns(degree))
+        rows.append((degree, m.n, linear.residual_sum(part, linear.ridge(part, 0.0).coefficients), len(part.xy) + 1))
+    table = mx.bic_of_sums(spark.createDataFrame(rows, "degree int, n bigint, rss double, n_params int"), ["degree"])
+    best = table.agg(F.min_by("degree", F.struct("bic", "degree"))).scalar()
+    return table.withColumn("is_best", F.col("degree") == best)
 
 
 def _best_degree(spark, sf_dir) -> int:
@@ -428,8 +501,7 @@ UNION ALL SELECT 'model_comparison_regression', 6, true
 def q_export_predictions(spark, sf_dir):
     """K4, O2, O3: both prediction tables and both comparisons as ordered CSV, read back in file order."""
     d = _memo(SeverityData, spark, sf_dir)
-    ridge = _back(ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd).fit(d.train), d.test)
-    regression = mx.prediction_rows(ridge, "loan_id", "actual_loss_amount", "predicted_loss_amount", ["received_date"])
+    regression = mx.prediction_rows(_ridge_predictions(d), "loan_id", "actual_loss_amount", "predicted_loss_amount", ["received_date"])
     frames = {
         "predictions_classification": (q_classification_predictions(spark, sf_dir), ["-svm_score", "loan_id"], False),
         "predictions_regression": (regression, ["-absolute_error", "loan_id"], False),
@@ -449,7 +521,7 @@ def q_export_predictions(spark, sf_dir):
 def q_coefficients(spark, sf_dir):
     """Ridge coefficients by magnitude (named by the assembled attributes)."""
     d = _memo(SeverityData, spark, sf_dir)
-    model = ml.ridge(SEVERITY_ALPHA, d.n, d.label_sd).fit(d.train)
+    model = linear.ridge(d.moments(d.design), SEVERITY_ALPHA)
     pairs = ml.coefficient_table(model, d.pre.feature_names)
     return spark.createDataFrame(pairs, "feature string, coefficient double")
 

@@ -223,9 +223,12 @@ def with_fixture(body: str) -> str:
     """Prefix a twin query with the shared fixture CTEs.
 
     ``body`` may start with ``WITH``-less CTE definitions separated by commas
-    (``"x AS (...), y AS (...) SELECT ..."``) or with a plain ``SELECT``.
+    (``"x AS (...), y AS (...) SELECT ..."``) or with a plain ``SELECT``; a body
+    that refers to itself starts with ``RECURSIVE``.
     """
     body = body.strip()
+    if body.startswith("RECURSIVE"):
+        return "WITH RECURSIVE " + FIXTURE_SQL.strip() + ",\n" + body.removeprefix("RECURSIVE").strip()
     if body.upper().startswith("SELECT") or body.startswith("("):
         return "WITH " + FIXTURE_SQL.strip() + "\n" + body
     return "WITH " + FIXTURE_SQL.strip() + ",\n" + body
