@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
@@ -53,26 +53,33 @@ def train_level_counts(labelled: DataFrame, column: str) -> DataFrame:
     return labelled.where(F.col("split") == "train").groupBy(column).agg(F.count(F.lit(1)).alias("train_loan_count"))
 
 
+def lookup(rows: DataFrame, value: Column, table: DataFrame, small: bool) -> DataFrame:
+    """``rows`` with the columns of ``table`` at the level ``value``; NULL where ``table`` lacks it.
+
+    ``table`` has one row per ``level``.  A ``small`` one is broadcast, so the
+    wide rows are not shuffled on a hot level; else the rows of a level are
+    spread over ``LEVEL_SALTS`` salts.
+    """
+    keyed = rows.withColumn("__value", value)
+    if small:
+        return keyed.join(F.broadcast(table), keyed["__value"] == table["level"], "left").drop("__value", "level")
+    salted = keyed.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(LEVEL_SALTS)).cast("int"))
+    spread = table.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(LEVEL_SALTS - 1))))
+    on = (salted["__value"] == spread["level"]) & (salted["__salt"] == spread["__at"])
+    return salted.join(spread, on, "left").drop("__salt", "__at", "__value", "level")
+
+
 def with_grouped_level(labelled: DataFrame, column: str, min_count: int, rare_label: str) -> DataFrame:
     """``column``_grouped, the level if enough training rows have it, else ``rare_label``.
 
     The table of kept levels (at most training rows / ``min_count``) is counted
-    first.  Up to ``MAX_BROADCAST_LEVELS`` it is broadcast, so the wide rows
-    are not shuffled on a hot level; beyond, rows of a level are spread over
-    ``LEVEL_SALTS`` salts.  A NULL level is never kept.
+    first; up to ``MAX_BROADCAST_LEVELS`` it is broadcast (``lookup``).  A NULL
+    level is never kept.
     """
     kept = train_level_counts(labelled, column).where(F.col("train_loan_count") >= min_count).where(F.col(column).isNotNull())
-    kept = stored(kept.select(F.col(column).alias("__level")), "levels")
-    if kept.count() <= MAX_BROADCAST_LEVELS:
-        joined = labelled.join(F.broadcast(kept), labelled[column] == kept["__level"], "left")
-    else:
-        salts = F.sequence(F.lit(0), F.lit(LEVEL_SALTS - 1))
-        salted = labelled.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(LEVEL_SALTS)).cast("int"))
-        spread = kept.withColumn("__at", F.explode(salts))
-        on = (salted[column] == spread["__level"]) & (salted["__salt"] == spread["__at"])
-        joined = salted.join(spread, on, "left").drop("__salt", "__at")
-    grouped = F.coalesce(F.col("__level"), F.lit(rare_label))
-    return joined.withColumn(f"{column}_grouped", grouped).drop("__level")
+    kept = stored(kept.select(F.col(column).alias("level"), F.col(column).alias("__kept")), "levels")
+    joined = lookup(labelled, F.col(column), kept, kept.count() <= MAX_BROADCAST_LEVELS)
+    return joined.withColumn(f"{column}_grouped", F.coalesce(F.col("__kept"), F.lit(rare_label))).drop("__kept")
 
 
 def training_set(
@@ -187,21 +194,14 @@ def fit_rare_levels(
 def apply_rare_levels(
     df: DataFrame, kept: DataFrame, columns: Sequence[str], rare_label: str = GROUPER_LABEL, impute_first: bool = True
 ) -> DataFrame:
-    """M3 transform: levels not kept become ``rare_label`` (one join per column).
-
-    The kept-level table has at most ``rows / min_count`` entries per column;
-    Spark broadcasts it when its size estimate is under the broadcast
-    threshold and shuffles otherwise.
-    """
+    """M3 transform: levels not kept become ``rare_label`` (one ``lookup`` per column, its table counted first)."""
+    sizes = {r["column_name"]: r["n"] for r in kept.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a column
     out = df
     for c in columns:
         value = F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)) if impute_first else F.col(c).cast("string")
-        k = kept.where(F.col("column_name") == c).select(F.col("level").alias(f"__k_{c}"), F.lit(True).alias(f"__hit_{c}"))
-        out = out.withColumn(f"__v_{c}", value)
-        out = out.join(k, out[f"__v_{c}"] == k[f"__k_{c}"], "left")
-        out = out.withColumn(c, F.when(F.col(f"__hit_{c}"), F.col(f"__v_{c}")).otherwise(F.lit(rare_label))).drop(
-            f"__v_{c}", f"__k_{c}", f"__hit_{c}"
-        )
+        table = kept.where(F.col("column_name") == c).select("level", F.col("level").alias("__kept"))
+        found = lookup(out, value, table, sizes.get(c, 0) <= MAX_BROADCAST_LEVELS)
+        out = found.withColumn(c, F.coalesce("__kept", F.lit(rare_label))).drop("__kept")
     return out
 
 

@@ -15,61 +15,60 @@ Penalty mapping to the original objectives (sample weights w):
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlake.config import GROUPER_MIN_COUNT, MISSING_CATEGORY
-from lendlake.operators import features as fx
-from lendlake.session import stored
+from lendlake.config import GROUPER_MIN_COUNT
+from lendlake.operators.pipeline import CategoryPlaces, CategoryPlacesModel, MedianScale, MedianScaleModel, place_column, vector_names
 
 
 @dataclass
 class Preprocessor:
-    """Fitted preparation: medians, scaler and the encoder pipeline."""
+    """Fitted preparation, one ``PipelineModel``: places of levels, one-hot marks, scaled numbers, the vector."""
 
     cat_cols: list[str]
     num_cols: list[str]
-    medians: dict[str, float]
-    means: dict[str, float]
-    scales: dict[str, float]
-    encoder: PipelineModel
-    rare_kept: DataFrame | None = None
-    rare_min_count: int | None = None
-    feature_names: list[str] = field(default_factory=list)
-
-    def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        x = df
-        if self.rare_kept is not None:
-            x = fx.apply_rare_levels(x, self.rare_kept, self.cat_cols)
-        x = x.select(
-            *[c for c in x.columns if c not in self.cat_cols and c not in self.num_cols],
-            *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)).alias(c) for c in self.cat_cols],
-            *[
-                ((F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])) - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(c)
-                for c in self.num_cols
-            ],
-        )
-        return self.encoder.transform(x).withColumnRenamed("__features", out)
+    pipeline: PipelineModel
 
+    @property
+    def places(self) -> CategoryPlacesModel:
+        return self.pipeline.stages[0]
 
-# The encoder holds every level on the driver: one vector slot each.
-MAX_LEVELS = 10_000
+    @property
+    def scaler(self) -> MedianScaleModel:
+        return next(s for s in self.pipeline.stages if isinstance(s, MedianScaleModel))
 
+    @property
+    def medians(self) -> dict[str, float]:
+        return dict(zip(self.num_cols, self.scaler.getOrDefault("medians")))
+
+    @property
+    def scales(self) -> dict[str, float]:
+        return dict(zip(self.num_cols, self.scaler.getOrDefault("scales")))
+
+    @property
+    def feature_names(self) -> list[str]:
+        return vector_names(self.num_cols, self.places)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``features``; the prepared columns go."""
+        used = [*self.cat_cols, *self.num_cols, *[p(c) for c in self.cat_cols for p in (place_column, mark_column)]]
+        return self.pipeline.transform(df).drop(*used)
+
+    def then(self, model) -> PipelineModel:
+        """Preparation and ``model`` as one pipeline, to be saved and applied as a whole."""
+        return PipelineModel([*self.pipeline.stages, model])
 
-def check_level_counts(df: DataFrame, cat_cols: Sequence[str], limit: int = MAX_LEVELS) -> None:
-    """M5: raise before a column with too many levels is one-hot encoded (group it first)."""
-    if cat_cols:
-        counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cat_cols]).first().asDict()
-        wide = {c: n for c, n in counts.items() if n > limit}
-        if wide:
-            raise ValueError(f"too many levels to one-hot encode: {wide}")
+
+def mark_column(c: str) -> str:
+    return f"__marks_{c}"
 
 
 def fit_preprocessor(
@@ -81,44 +80,16 @@ def fit_preprocessor(
 ) -> Preprocessor:
     """M3-M8: fit every preparation step on the training rows."""
     cat_cols, num_cols = list(cat_cols), list(num_cols)
-    kept = None
-    base = train
-    if group_rare and cat_cols:
-        kept = stored(fx.fit_rare_levels(train, cat_cols, rare_min_count), "rare-levels")
-        base = fx.apply_rare_levels(train, kept, cat_cols)
-    # Exact medians, then mean / population std of the imputed columns (two
-    # aggregate passes; results are one number per column).
-    fitted = {r["column_name"]: r["median"] for r in fx.fit_medians(base, num_cols).collect()} if num_cols else {}
-    medians = {c: (float(fitted[c]) if fitted.get(c) is not None else 0.0) for c in num_cols}
-    imputed = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in num_cols]
-    stats = base.agg(
-        *[F.avg(e).alias(f"m_{c}") for c, e in zip(num_cols, imputed)],
-        *[F.stddev_pop(e).alias(f"s_{c}") for c, e in zip(num_cols, imputed)],
-    ).first() if num_cols else None
-    means = {c: float(stats[f"m_{c}"] or 0.0) for c in num_cols}
-    scales = {c: (float(stats[f"s_{c}"]) if stats[f"s_{c}"] else 1.0) for c in num_cols}
-    stages = []
-    check_level_counts(base, cat_cols)
+    stages: list = [CategoryPlaces(columns=cat_cols, minCount=rare_min_count if group_rare else 0)]
     if cat_cols:
+        # A place beyond the levels is kept as one more category, the last, which gets no mark.
         stages.append(
-            StringIndexer(inputCols=cat_cols, outputCols=[f"__idx_{c}" for c in cat_cols], handleInvalid="keep",
-                          stringOrderType="alphabetAsc")
-        )
-        stages.append(
-            OneHotEncoder(inputCols=[f"__idx_{c}" for c in cat_cols], outputCols=[f"__oh_{c}" for c in cat_cols], dropLast=True)
+            OneHotEncoder(inputCols=[place_column(c) for c in cat_cols], outputCols=[mark_column(c) for c in cat_cols],
+                          handleInvalid="keep", dropLast=True)
         )
-    stages.append(VectorAssembler(inputCols=num_cols + [f"__oh_{c}" for c in cat_cols], outputCol="__features", handleInvalid="keep"))
-    prepared = base.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)).alias(c) for c in cat_cols],
-        *[F.lit(0.0).alias(c) for c in num_cols],
-    )
-    encoder = Pipeline(stages=stages).fit(prepared)
-    names = list(num_cols)
-    if cat_cols:
-        labels = encoder.stages[0].labelsArray
-        for c, levels in zip(cat_cols, labels):
-            names += [f"{c}={lv}" for lv in levels]
-    return Preprocessor(cat_cols, num_cols, medians, means, scales, encoder, kept, rare_min_count if group_rare else None, names)
+    stages.append(MedianScale(columns=num_cols))
+    stages.append(VectorAssembler(inputCols=[*num_cols, *[mark_column(c) for c in cat_cols]], outputCol="features", handleInvalid="keep"))
+    return Preprocessor(cat_cols, num_cols, Pipeline(stages=stages).fit(train))
 
 
 def total_weight(df: DataFrame, weight: str | None) -> float:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from lendlake.config import GROUPER_MIN_COUNT, PROBABILITY_C, SEVERITY_ALPHA, Po
 from lendlake.functions import sentinel_flag, sentinel_to_null
 from lendlake.operators import features as fx
 from lendlake.operators import models as ml
+from lendlake.operators.pipeline import Ridge
 from lendlake.session import stored
 
 CLS_ID = ["loan_id", "split", "received_date", "is_loss"]
@@ -27,10 +29,10 @@ SEV_ID = ["loan_id", "split", "received_date", "is_loss", "loss_amount"]
 
 @dataclass
 class ScoringModels:
-    probability_pre: ml.Preprocessor
-    probability_model: object
-    severity_pre: ml.Preprocessor
-    severity_model: object
+    """Both fitted pipelines (preparation and model each) and what the record needs beside them."""
+
+    probability: PipelineModel
+    severity: PipelineModel
     severity_log_range: tuple[float, float]
     training_cutoff: str
     metadata: dict = field(default_factory=dict)
@@ -73,15 +75,14 @@ def fit_scoring_models(joined: DataFrame, cfg: PortfolioConfig, C: float = PROBA
     strain = sev.where(F.col("split") == "train")
     spre = ml.fit_preprocessor(strain, scat, snum, group_rare=True, rare_min_count=GROUPER_MIN_COUNT)
     st = stored(spre.transform(strain), "scoring")
-    agg = st.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd"), F.min("label").alias("lo"),
-                 F.max("label").alias("hi")).first()
-    smodel = ml.ridge(alpha, int(agg["n"]), float(agg["sd"] or 0.0)).fit(st)
+    agg = st.agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).first()
+    smodel = Ridge(alpha=alpha).fit(st)
     meta = {
         "probability": {"kind": "balanced logistic regression", "C": C},
         "severity": {"kind": "ridge on the log of one plus the loss", "alpha": alpha, "training_rows": int(agg["n"])},
         "amounts_in": "USD",
     }
-    return ScoringModels(pre, prob, spre, smodel, (float(agg["lo"]), float(agg["hi"])), cfg.train_cutoff, meta)
+    return ScoringModels(pre.then(prob), spre.then(smodel), (float(agg["lo"]), float(agg["hi"])), cfg.train_cutoff, meta)
 
 
 def assemble_record(
@@ -116,8 +117,8 @@ def score_batch(models: ScoringModels, ids: DataFrame, joined: DataFrame, cfg: P
     rows = fx.booleans_to_int(scoring_rows(joined, cfg), keep=[cfg.label_col])
     rows = rows.join(ids.select(cfg.id_col).distinct(), cfg.id_col, "left_semi")
     packed = rows.withColumn("__raw", F.struct(*rows.columns))
-    p = ml.positive_score(models.probability_model.transform(models.probability_pre.transform(packed)), "logistic", "__p")
-    s = models.severity_model.transform(models.severity_pre.transform(p.select("__raw.*", "__p")))
+    p = ml.positive_score(models.probability.transform(packed), "logistic", "__p")
+    s = models.severity.transform(p.select("__raw.*", "__p"))
     lo, hi = models.severity_log_range
     return assemble_record(s, F.col("__p"), F.col("prediction"), lo, hi, cfg)
 
@@ -128,50 +129,19 @@ def missing_ids(ids: DataFrame, known: DataFrame, id_col: str = "loan_id") -> Da
 
 
 def save_models(models: ScoringModels, path: str) -> None:
-    """K5: persist both fitted models, the fitted preparation and metadata."""
+    """K5: one saved pipeline per model, and the metadata."""
     spark = SparkSession.getActiveSession()
-    for tag, pre, model in (("probability", models.probability_pre, models.probability_model),
-                            ("severity", models.severity_pre, models.severity_model)):
-        model.write().overwrite().save(f"{path}/{tag}_model")
-        pre.encoder.write().overwrite().save(f"{path}/{tag}_encoder")
-        if pre.rare_kept is not None:
-            pre.rare_kept.write.mode("overwrite").parquet(f"{path}/{tag}_rare_levels")
-    meta = {
-        "severity_log_range": list(models.severity_log_range),
-        "training_cutoff": models.training_cutoff,
-        "metadata": models.metadata,
-        "probability_pre": _pre_meta(models.probability_pre),
-        "severity_pre": _pre_meta(models.severity_pre),
-    }
+    models.probability.write().overwrite().save(f"{path}/probability")
+    models.severity.write().overwrite().save(f"{path}/severity")
+    meta = {"severity_log_range": list(models.severity_log_range), "training_cutoff": models.training_cutoff, "metadata": models.metadata}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
 def load_models(path: str) -> ScoringModels:
     """K5: load what ``save_models`` wrote."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import LogisticRegressionModel
-    from pyspark.ml.regression import LinearRegressionModel
-
     spark = SparkSession.getActiveSession()
     meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
-
-    def pre(tag):
-        m = meta[f"{tag}_pre"]
-        kept = spark.read.parquet(f"{path}/{tag}_rare_levels") if m["rare_min_count"] else None
-        return ml.Preprocessor(m["cat_cols"], m["num_cols"], m["medians"], m["means"], m["scales"],
-                               PipelineModel.load(f"{path}/{tag}_encoder"), kept, m["rare_min_count"], m["feature_names"])
-
     return ScoringModels(
-        pre("probability"), LogisticRegressionModel.load(f"{path}/probability_model"),
-        pre("severity"), LinearRegressionModel.load(f"{path}/severity_model"),
+        PipelineModel.load(f"{path}/probability"), PipelineModel.load(f"{path}/severity"),
         tuple(meta["severity_log_range"]), meta["training_cutoff"], meta["metadata"],
     )
-
-
-def _pre_meta(pre: ml.Preprocessor) -> dict:
-    d: dict = {}
-    d.update(cat_cols=pre.cat_cols, num_cols=pre.num_cols, medians=pre.medians, means=pre.means, scales=pre.scales,
-             rare_min_count=pre.rare_min_count, feature_names=pre.feature_names)
-    return d
-
-

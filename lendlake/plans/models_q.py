@@ -526,17 +526,47 @@ def q_coefficients(spark, sf_dir):
     return spark.createDataFrame(pairs, "feature string, coefficient double")
 
 
+def _scored_batch(spark, sf_dir) -> DataFrame:
+    """Fit both pipelines, save and load them, score every loan in one pass; kept for the session."""
+    def build():
+        p = portfolio(spark, sf_dir)
+        path = f"{staging_folder(spark, sf_dir)}/models-{uuid.uuid4().hex[:8]}"
+        sc.save_models(sc.fit_scoring_models(p.joined, p.cfg), path)
+        return sc.score_batch(sc.load_models(path), p.loans.select("loan_id"), p.joined, p.cfg)
+
+    return _kept(spark, sf_dir, "batch-scores", build)
+
+
 @query("batch_scoring")
 def q_batch_scoring(spark, sf_dir):
-    """Fit both models, score every loan in one distributed pass."""
-    p = portfolio(spark, sf_dir)
-    fitted = sc.fit_scoring_models(p.joined, p.cfg)
-    # K5: persist the fitted pipelines with their metadata and score with the reloaded copy.
-    path = f"{staging_folder(spark, sf_dir)}/models-{uuid.uuid4().hex[:8]}"
-    sc.save_models(fitted, path)
-    models = sc.load_models(path)
-    ids = p.loans.select("loan_id")
-    return sc.score_batch(models, ids, p.joined, p.cfg)
+    """Every loan scored by the two saved and reloaded pipelines."""
+    return _scored_batch(spark, sf_dir)
+
+
+_LEVELS_IN = {c: f"CASE WHEN coalesce(b.{c}, 'MISSING') IN (SELECT level FROM kept WHERE c = '{c}') THEN coalesce(b.{c}, 'MISSING') ELSE 'RARE' END" for c in SEV_CATS}
+
+
+@query("batch_scoring_severity", "RECURSIVE" + _solved_sql([SEVERITY_ALPHA]) + f""",
+ts AS ({TRAINING_SQL.strip()}),
+kept AS (
+    {' UNION ALL '.join(f"SELECT '{c}' AS c, coalesce({c}, 'MISSING') AS level FROM raw WHERE split = 'train' GROUP BY 2 HAVING count(*) >= {GROUPER_MIN_COUNT}" for c in SEV_CATS)}),
+b AS (
+    SELECT ts.* EXCLUDE (feat_001_grouped), CASE WHEN j.loss_amount > 0 THEN j.feat_001 ELSE ts.feat_001_grouped END AS feat_001, j.loss_amount
+    FROM ts JOIN loans_joined j USING (loan_id)),
+r AS (SELECT min(y) AS lo, max(y) AS hi FROM m WHERE split = 'train'),
+logs AS (
+    SELECT loan_id, received_date, split, loss_amount, a + list_dot_product(f.b,
+        [{', '.join(f"(coalesce(CAST(b.{c} AS DOUBLE), md.{c}) - sc.{c}[1]) / sc.{c}[2]" for c in TRAIN_NUM)}]
+        || {' || '.join(f"list_transform(lv.{c}, lambda l: CASE WHEN l = b.at_{c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)" for c in SEV_CATS)}) AS y
+    FROM (SELECT *, {', '.join(f"{x} AS at_{c}" for c, x in _LEVELS_IN.items())} FROM b) b CROSS JOIN md CROSS JOIN sc CROSS JOIN lv CROSS JOIN (SELECT a, b FROM fitted) f)
+SELECT loan_id, strftime(received_date, '%Y-%m-%d') AS received_date, split AS data_split, split = 'train' AS scored_on_training_data,
+    coalesce(loss_amount > 0, false) AS severity_in_population, NOT (y BETWEEN lo AND hi) AS severity_clipped,
+    round(exp(least(greatest(y, lo), hi)) - 1, 2) AS predicted_loss_given_default
+FROM logs CROSS JOIN r
+""")
+def q_batch_scoring_severity(spark, sf_dir):
+    """What the reloaded severity pipeline says of every loan, with the flags of the record."""
+    return _scored_batch(spark, sf_dir).drop("probability_of_default", "expected_loss_usd")
 
 
 _SCALED = ", ".join(

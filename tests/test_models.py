@@ -2,9 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from lendlake.operators import models as ml
+from lendlake.operators.pipeline import Ridge
 
 
 def _data(n=300, seed=7):
@@ -46,19 +49,6 @@ def test_svm_goes_on_until_it_converges(spark):
     assert np.allclose(model.coefficients.toArray(), whole.coefficients.toArray(), atol=1e-9)
 
 
-def test_ridge_matches_normal_equations(spark):
-    rng = np.random.default_rng(3)
-    X = rng.normal(size=(200, 4))
-    y = X @ np.array([2.0, 0.0, -1.0, 0.5]) + rng.normal(size=200) + 3
-    alpha = 10.0
-    df = spark.createDataFrame([(Vectors.dense(x.tolist()), float(t)) for x, t in zip(X, y)], ["features", "label"])
-    model = ml.ridge(alpha, len(y), float(np.std(y, ddof=1))).fit(df)
-    Xc, yc = X - X.mean(0), y - y.mean()
-    beta = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(4), Xc.T @ yc)
-    assert np.allclose(model.coefficients.toArray(), beta, atol=1e-5)
-    assert model.intercept == pytest.approx(y.mean() - X.mean(0) @ beta, abs=1e-5)
-
-
 def test_preprocessor_exact_median_population_std_unknown_level(spark):
     train = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, "a"), (4.0, None)], "x double, c string")
     pre = ml.fit_preprocessor(train, ["c"], ["x"])
@@ -87,3 +77,35 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(True,)] * 2 + [(False,)] * 6, "y boolean")
     w = {r.y: r.class_weight for r in class_weights(df, "y").collect()}
     assert w[True] == pytest.approx(8 / (2 * 2)) and w[False] == pytest.approx(8 / (2 * 6))
+
+
+def test_levels_without_a_limit(spark, monkeypatch):
+    """50,000 levels encode exactly, by broadcast and by the salted join, and no label list reaches the driver."""
+    from lendlake.operators import features as fx
+
+    train = spark.range(50_000).select(F.format_string("v%05d", F.col("id")).alias("c"), F.col("id").cast("double").alias("x"))
+    pre = ml.fit_preprocessor(train, ["c"], ["x"])
+    asked = spark.createDataFrame([("v00000", 0.0), ("v49999", 1.0), ("new", 2.0), (None, 3.0)], "c string, x double")
+    found = {}
+    for limit in (fx.MAX_BROADCAST_LEVELS, 10):
+        monkeypatch.setattr(fx, "MAX_BROADCAST_LEVELS", limit)
+        rows = {r["x"]: r["features"] for r in pre.pipeline.transform(asked.withColumn("keep", F.col("x"))).select(F.col("keep").alias("x"), "features").collect()}
+        assert rows[0.0].size == 50_001
+        marks = {x: [int(i) for i in v.indices if i > 0] for x, v in rows.items()}
+        assert marks == {0.0: [1], 1.0: [50_000], 2.0: [], 3.0: []}
+        found[limit] = marks
+    assert len(found) == 2
+
+
+def test_rare_levels_share_one_place_in_the_pipeline(spark, tmp_path):
+    rows = [("a",)] * 5 + [("b",)] * 4 + [("c",), (None,), ("d",)]
+    train = spark.createDataFrame(rows, "c string").withColumn("x", F.lit(1.0)).withColumn("label", F.length(F.coalesce("c", F.lit(""))) * 1.0)
+    pre = ml.fit_preprocessor(train, ["c"], ["x"], group_rare=True, rare_min_count=4)
+    assert pre.feature_names == ["x", "c=RARE", "c=a", "c=b"]
+    pipeline = pre.then(Ridge(alpha=2.0).fit(pre.transform(train)))
+    path = str(tmp_path / "pipeline")
+    pipeline.save(path)
+    asked = spark.createDataFrame([("a",), ("d",), ("zz",), (None,)], "c string").withColumn("x", F.lit(None).cast("double"))
+    scored = [m.transform(asked).select("c", "x", "prediction").orderBy("c").collect() for m in (pipeline, PipelineModel.load(path))]
+    assert scored[0] == scored[1] and len({r["prediction"] for r in scored[0]}) == 2
+    assert all(r["x"] == 0.0 for r in scored[0])
