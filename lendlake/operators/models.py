@@ -1,15 +1,12 @@
-"""Preparation and the classifiers of Spark ML (L1, L2, L11, M5, M8); trees are in ``trees``, linear regression in ``linear``.
+"""Preparation of model rows (M3-M8) and reports on fitted models.
 
 Preparation is fitted on training rows only: categories are imputed
-(``MISSING``), optionally grouped (rare levels), indexed and one-hot encoded
+(``MISSING``), optionally grouped (rare levels), numbered and one-hot encoded
 (unknown level -> all zeros, no level dropped); numerics get the exact
 training median and are standardised with the *population* std (what the
 original pipelines do; Spark's ``Imputer``/``StandardScaler`` use the lower
-median and the sample std).  Estimators run distributed (``treeAggregate``
-over the cached assembled vectors).
-
-Penalty mapping to the original objectives (sample weights w):
-  logistic / linear SVM, C   -> regParam = 1 / (C * sum(w)), standardization off
+median and the sample std).  Trees are in ``trees``, linear regression in
+``linear``, logistic regression and the SVM in ``convex``.
 """
 
 from __future__ import annotations
@@ -19,7 +16,6 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -92,45 +88,6 @@ def fit_preprocessor(
     return Preprocessor(cat_cols, num_cols, Pipeline(stages=stages).fit(train))
 
 
-def total_weight(df: DataFrame, weight: str | None) -> float:
-    if weight is None:
-        return float(df.count())
-    return float(df.agg(F.sum(weight)).first()[0])
-
-
-def logistic(C: float, sum_w: float, weight: str | None = "weight", label: str = "label", max_iter: int = 2000):
-    """L1: L2-penalised logistic regression matching C with balanced weights."""
-    lr = LogisticRegression(
-        featuresCol="features", labelCol=label, regParam=1.0 / (C * sum_w), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter, tol=1e-8, family="binomial",
-    )
-    return lr.setWeightCol(weight) if weight else lr
-
-
-def linear_svm(C: float, sum_w: float, weight: str | None = "weight", label: str = "label", max_iter: int = 100):
-    """L2: linear SVM (hinge loss) with the same penalty mapping.
-
-    At most ``max_iter`` iterations; ``fit_svm`` goes on until fewer do.
-    """
-    m = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * sum_w), standardization=False,
-                  maxIter=max_iter, tol=1e-6, aggregationDepth=2)
-    return m.setWeightCol(weight) if weight else m
-
-
-def converged(model, max_iter: int) -> bool:
-    """Whether an iterative fit stopped by its tolerance, not by ``max_iter``."""
-    return model.summary().totalIterations < max_iter if callable(model.summary) else model.summary.totalIterations < max_iter
-
-
-def fit_svm(train: DataFrame, C: float, sum_w: float, weight: str | None = "weight", label: str = "label", max_iter: int = 100):
-    """L2: the linear SVM fitted until it converges; a fit cut by ``max_iter`` is repeated with four times as many."""
-    while True:
-        model = linear_svm(C, sum_w, weight, label, max_iter).fit(train)
-        if converged(model, max_iter):
-            return model
-        max_iter *= 4
-
-
 def positive_score(predictions: DataFrame, kind: str, out: str = "score") -> DataFrame:
     """Score of the positive class: probability[1], or rawPrediction[1] for the SVM."""
     col = "rawPrediction" if kind == "svm" else "probability"

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.config import GROUPER_LABEL, MISSING_CATEGORY
+from lendlake.operators import convex, linear
 from lendlake.operators import features as fx
-from lendlake.operators import linear
 from lendlake.operators.ranking import running_totals
 from lendlake.session import stored
 
@@ -184,7 +184,8 @@ class LinearModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     intercept = Param(Params._dummy(), "intercept", "prediction of a row of zeros", TypeConverters.toFloat)
 
     @classmethod
-    def of(cls, model: linear.Linear) -> LinearModel:
+    def of(cls, model) -> LinearModel:
+        """From anything fitted that has ``coefficients`` and ``intercept``."""
         out = cls()
         out._set(coefficients=[float(c) for c in model.coefficients], intercept=float(model.intercept))
         return out
@@ -195,6 +196,29 @@ class LinearModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return df.withColumn("prediction", F.aggregate(products, F.lit(self.getOrDefault(self.intercept)), lambda s, x: s + x))
 
 
+class LogisticModel(LinearModel):
+    """L1: ``probability`` (a vector of two) and ``prediction`` (1 above one half)."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        p = 1 / (1 + F.exp(-F.col("prediction")))
+        out = super()._transform(df).withColumn("probability", array_to_vector(F.array(1 - p, p)))
+        return out.withColumn("prediction", (F.col("prediction") > 0).cast("double"))
+
+
+class Logistic(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """L1 fit: balanced logistic regression on ``features``, ``label`` and ``weight`` by Newton's method."""
+
+    C = Param(Params._dummy(), "C", "weight of the losses against the penalty", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, C: float = 1.0):
+        super().__init__()
+        self._set(C=float(self._input_kwargs.get("C", 1.0)))
+
+    def _fit(self, train: DataFrame) -> LogisticModel:
+        return LogisticModel.of(convex.fit_logistic(stored(convex.prepared(train), "logistic-sums"), self.getOrDefault(self.C)))
+
+
 class Ridge(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """L6 fit: ridge on ``features`` and ``label`` by one pass of cross products."""
 

@@ -20,7 +20,7 @@ from lendlake.config import GROUPER_MIN_COUNT, PROBABILITY_C, SEVERITY_ALPHA, Po
 from lendlake.functions import sentinel_flag, sentinel_to_null
 from lendlake.operators import features as fx
 from lendlake.operators import models as ml
-from lendlake.operators.pipeline import Ridge
+from lendlake.operators.pipeline import Logistic, Ridge
 from lendlake.session import stored
 
 CLS_ID = ["loan_id", "split", "received_date", "is_loss"]
@@ -67,7 +67,7 @@ def fit_scoring_models(joined: DataFrame, cfg: PortfolioConfig, C: float = PROBA
     pre = ml.fit_preprocessor(train, cat, num)
     weights = fx.class_weights(train, "is_loss")
     tr = stored(fx.with_class_weight(pre.transform(train), weights, "is_loss"), "scoring")
-    prob = ml.logistic(C, ml.total_weight(tr, "weight")).fit(tr)
+    prob = Logistic(C=C).fit(tr)
 
     sev = fx.booleans_to_int(fx.severity_set(joined, cfg), keep=["is_loss"])
     scat, snum = fx.route_columns(sev, SEV_ID)

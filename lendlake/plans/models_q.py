@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlake.config import GROUPER_MIN_COUNT, PROBABILITY_C, SEVERITY_ALPHA
+from lendlake.operators import convex
 from lendlake.operators import features as fx
 from lendlake.operators import linear
 from lendlake.operators import metrics as mx
@@ -22,6 +23,7 @@ from lendlake.operators import neighbors as nb
 from lendlake.operators import profiling as pf
 from lendlake.operators import scoring as sc
 from lendlake.operators import trees
+from lendlake.operators.pipeline import LinearModel
 from lendlake.operators.quantiles import exact_quantiles
 from lendlake.plans.features_q import SEV_CATS, SEVERITY_SQL, TRAIN_NUM, TRAINING_SQL
 from lendlake.plans.registry import portfolio, query, staging_folder
@@ -51,7 +53,8 @@ class ClassifierData:
         self.pre = ml.fit_preprocessor(fit, self.cat, self.num)
         self.train = stored(fx.with_class_weight(self.pre.transform(fit), weights, "is_loss"), "classifier-train")
         self.test = stored(self.pre.transform(held), "classifier-test")
-        self.sum_w = ml.total_weight(self.train, "weight")
+        self.rows = stored(convex.prepared(self.train), "classifier-sums")
+        self._points: dict = {}
         by_class = {int(r["is_loss"]): r["class_weight"] for r in weights.where(F.col("is_loss").isNotNull()).collect()}  # two rows
         self.weights = by_class.get(0, 1.0), by_class.get(1, 1.0)
         self.fit_rows, self.held_rows = fit, held
@@ -132,25 +135,88 @@ def _kept(spark, sf_dir, name: str, build) -> DataFrame:
     return _DATA[key]
 
 
-def _fitted(d: ClassifierData, kind: str, param):
-    if kind == "logistic":
-        return ml.logistic(param, d.sum_w).fit(d.train)
-    return ml.fit_svm(d.train, param, d.sum_w)
+def _fitted(d: ClassifierData, kind: str, C: float) -> convex.Fitted:
+    """Fitted once for each C; a fit starts from the nearest C fitted before."""
+    done = d._points
+    if (kind, C) not in done:
+        near = min((c for k, c in done if k == kind), key=lambda c: abs(np.log(c / C)), default=None)
+        start = None if near is None else done[kind, near].point
+        done[kind, C] = (convex.fit_logistic if kind == "logistic" else convex.fit_svm)(d.rows, C, start)
+    return done[kind, C]
 
 
 def _class_predictions(d: ClassifierData, kind: str, param) -> DataFrame:
     if kind == "tree":
         return d.tree(param)
-    model = _fitted(d, kind, param)
-    out = ml.positive_score(model.transform(d.test), kind)
-    return out.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"), "score",
-                      F.col("prediction").cast("int").alias("predicted"))
+    return _scored(d, _fitted(d, kind, param), kind)
 
 
-@query("model_logistic")
+def _scored(d: ClassifierData, model: convex.Fitted, kind: str) -> DataFrame:
+    out = LinearModel.of(model).transform(d.test)
+    score = F.col("prediction") if kind == "svm" else 1 / (1 + F.exp(-F.col("prediction")))
+    return out.select("loan_id", "received_date", F.col("is_loss").cast("int").alias("actual_is_loss"), score.alias("score"),
+                      (F.col("prediction") > 0).cast("int").alias("predicted"))
+
+
+# The scaled matrix of the classifiers: numbers, then marks of the training levels.
+_SCALED = ", ".join(
+    f"(coalesce(CAST(ts.{c} AS DOUBLE), md.{c}) - sc.{c}[1]) / sc.{c}[2]" for c in TRAIN_NUM
+)
+CLASSIFIER_MATRIX_SQL = f"""
+ts AS ({TRAINING_SQL.strip()}),
+md AS (SELECT {', '.join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in TRAIN_NUM)} FROM ts WHERE split = 'train'),
+sc AS (
+    SELECT {', '.join(f"[avg(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})), CASE WHEN stddev_pop(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})) = 0 THEN 1 ELSE stddev_pop(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})) END] AS {c}" for c in TRAIN_NUM)}
+    FROM ts CROSS JOIN md WHERE split = 'train'),
+lv AS (SELECT {', '.join(f"list(DISTINCT coalesce({c}, 'MISSING')) AS {c}" for c in TRAIN_CATS)} FROM ts WHERE split = 'train'),
+m AS (
+    SELECT loan_id, split, received_date, CAST(is_loss AS INTEGER) AS y, [{_SCALED}]
+        || {' || '.join(f"list_transform(lv.{c}, lambda l: CASE WHEN l = coalesce(ts.{c}, 'MISSING') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)" for c in TRAIN_CATS)} AS v
+    FROM ts CROSS JOIN md CROSS JOIN sc CROSS JOIN lv)"""
+
+
+def _newton_sql(i: int) -> str:
+    """One full Newton step for the balanced logistic regression, from ``b{i}`` to ``b{i + 1}``; the intercept comes last."""
+    return f"""
+u{i} AS (
+    SELECT loan_id, j, x, w * (mu - y) AS r, w * mu * (1 - mu) AS h
+    FROM nz JOIN (SELECT loan_id, y, w, 1 / (1 + exp(-list_dot_product(v, b))) AS mu FROM z CROSS JOIN b{i}) USING (loan_id)),
+s{i} AS (
+    SELECT j, k, {PROBABILITY_C} * hx + CASE WHEN j = k AND j < n THEN 1 ELSE 0 END AS e FROM (
+        SELECT a.j, c.j AS k, sum(a.h * a.x * c.x) AS hx FROM u{i} a JOIN u{i} c USING (loan_id) GROUP BY a.j, c.j) CROSS JOIN size
+    UNION ALL
+    SELECT j, n + 1, {PROBABILITY_C} * sum(r * x) + CASE WHEN j < n THEN any_value(b[j]) ELSE 0 END FROM u{i} CROSS JOIN b{i} CROSS JOIN size GROUP BY j, n),
+full{i} AS (
+    SELECT j, k, coalesce(e, CASE WHEN j = k THEN 1 ELSE 0 END) AS e
+    FROM (SELECT unnest(range(1, n + 1)) AS j FROM size) CROSS JOIN (SELECT unnest(range(1, n + 2)) AS k FROM size) LEFT JOIN s{i} USING (j, k)),
+solve{i} AS (
+    SELECT 1 AS step, list(row ORDER BY j) AS mat FROM (SELECT j, list(e ORDER BY k) AS row FROM full{i} GROUP BY j)
+    UNION ALL
+    SELECT step + 1, list_transform(mat, lambda r, m: CASE WHEN m = step THEN r ELSE
+        list_transform(r, lambda c, j: c - r[step] / mat[step][step] * mat[step][j]) END) FROM solve{i} WHERE step <= len(mat)),
+b{i + 1} AS (
+    SELECT list_transform(b, lambda c, j: c - mat[j][len(mat) + 1] / mat[j][j]) AS b FROM solve{i} CROSS JOIN b{i} WHERE step = len(mat) + 1)"""
+
+
+NEWTON_STEPS = 10
+
+
+@query("model_logistic", "RECURSIVE" + CLASSIFIER_MATRIX_SQL + f""",
+z AS (
+    SELECT loan_id, y, v || [1.0] AS v, CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY y)) AS w
+    FROM m WHERE split = 'train'),
+size AS (SELECT max(len(v)) AS n FROM z),
+nz AS (SELECT * FROM (SELECT loan_id, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM z) WHERE x <> 0),
+b0 AS (SELECT list_transform(range(n), lambda c: 0.0::DOUBLE) AS b FROM size),
+{','.join(_newton_sql(i) for i in range(NEWTON_STEPS)).strip()}
+SELECT loan_id, received_date, y AS actual_is_loss, round(1 / (1 + exp(-list_dot_product(v || [1.0], b))), 6) AS score,
+    CASE WHEN list_dot_product(v || [1.0], b) > 0 THEN 1 ELSE 0 END AS predicted
+FROM m CROSS JOIN b{NEWTON_STEPS} WHERE split = 'test'
+""")
 def q_model_logistic(spark, sf_dir):
-    """Balanced logistic regression (C = 1), test-row probabilities."""
-    return _class_predictions(_memo(ClassifierData, spark, sf_dir), "logistic", PROBABILITY_C)
+    """Balanced logistic regression (C = 1), test-row probabilities to six places."""
+    found = _class_predictions(_memo(ClassifierData, spark, sf_dir), "logistic", PROBABILITY_C)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @query("model_linear_svm")
@@ -446,6 +512,18 @@ def q_regression_sweep(spark, sf_dir):
     return _flag_best(stored(_metrics_of(d.amounts(d.design, models), names, "model string, param double"), "sweep"), -F.col("rmse"))
 
 
+@query("classifier_certificates", f"""
+SELECT * FROM (SELECT 'logistic' AS model, unnest({LOGISTIC_C})::DOUBLE AS param UNION ALL SELECT 'svm', unnest({SVM_C})::DOUBLE)
+CROSS JOIN (SELECT true AS is_optimal)
+""")
+def q_classifier_certificates(spark, sf_dir):
+    """L1, L2: whether the gradient (logistic) or the duality gap (SVM) at each solution is within its bound."""
+    d = _memo(ClassifierData, spark, sf_dir)
+    found = [("logistic", C, _fitted(d, "logistic", C).error <= 1e-6) for C in LOGISTIC_C]
+    found += [("svm", C, _fitted(d, "svm", C).error <= convex.GAP) for C in SVM_C]
+    return spark.createDataFrame([(name, c, bool(ok)) for name, c, ok in found], "model string, param double, is_optimal boolean")
+
+
 @query("regression_certificates", """
 SELECT * FROM (
     SELECT 'ridge' AS model, unnest([0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])::DOUBLE AS param
@@ -569,24 +647,9 @@ def q_batch_scoring_severity(spark, sf_dir):
     return _scored_batch(spark, sf_dir).drop("probability_of_default", "expected_loss_usd")
 
 
-_SCALED = ", ".join(
-    f"(coalesce(CAST(ts.{c} AS DOUBLE), md.{c}) - sc.{c}[1]) / sc.{c}[2]" for c in TRAIN_NUM
-)
-
-
-@query("model_knn", f"""
-ts AS ({TRAINING_SQL.strip()}),
-md AS (SELECT {', '.join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in TRAIN_NUM)} FROM ts WHERE split = 'train'),
-sc AS (
-    SELECT {', '.join(f"[avg(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})), CASE WHEN stddev_pop(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})) = 0 THEN 1 ELSE stddev_pop(coalesce(CAST(ts.{c} AS DOUBLE), md.{c})) END] AS {c}" for c in TRAIN_NUM)}
-    FROM ts CROSS JOIN md WHERE split = 'train'),
-lv AS (SELECT {', '.join(f"list(DISTINCT coalesce({c}, 'MISSING')) AS {c}" for c in TRAIN_CATS)} FROM ts WHERE split = 'train'),
-m AS (
-    SELECT loan_id, split, received_date, CAST(is_loss AS INTEGER) AS y, [{_SCALED}]
-        || {' || '.join(f"list_transform(lv.{c}, lambda l: CASE WHEN l = coalesce(ts.{c}, 'MISSING') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)" for c in TRAIN_CATS)} AS v
-    FROM ts CROSS JOIN md CROSS JOIN sc CROSS JOIN lv),
+@query("model_knn", CLASSIFIER_MATRIX_SQL + """,
 near AS (
-    SELECT t.loan_id, arg_min(r.y, {{'d': list_distance(t.v, r.v), 'id': r.loan_id}}, 40) AS ys
+    SELECT t.loan_id, arg_min(r.y, {'d': list_distance(t.v, r.v), 'id': r.loan_id}, 40) AS ys
     FROM m t JOIN m r ON t.split = 'test' AND r.split = 'train' GROUP BY t.loan_id)
 SELECT loan_id, received_date, y AS actual_is_loss, list_avg(ys) AS score FROM near JOIN m USING (loan_id)
 """)
@@ -614,9 +677,7 @@ def q_weighting_comparison(spark, sf_dir):
     d = _memo(ClassifierData, spark, sf_dir)
     weighted = stored(_class_predictions(d, "logistic", PROBABILITY_C), "weighted")
     over = stored(nb.smote(d.train, "loan_id", "label", "features"), "oversampled")
-    model = ml.logistic(PROBABILITY_C, ml.total_weight(over, None), weight=None).fit(over)
-    preds = ml.positive_score(model.transform(d.test), "logistic").select(
-        "loan_id", F.col("is_loss").cast("int").alias("actual_is_loss"), "score", F.col("prediction").cast("int").alias("predicted"))
+    preds = _scored(d, convex.fit_logistic(stored(convex.prepared(over, weight=None), "oversampled-sums"), PROBABILITY_C), "logistic")
     return _classification_rows([("Logistic (class weights)", weighted), ("Logistic (oversampled)", stored(preds, "oversampled-scores"))])
 
 

@@ -3,52 +3,12 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lendlake.operators import models as ml
 from lendlake.operators.pipeline import Ridge
 
 
-def _data(n=300, seed=7):
-    rng = np.random.default_rng(seed)
-    X = rng.normal(size=(n, 3))
-    y = (X @ np.array([1.0, -0.5, 0.25]) + rng.normal(scale=1.0, size=n) > 0.3).astype(float)
-    w = np.where(y == 1, n / (2 * y.sum()), n / (2 * (n - y.sum())))
-    return X, y, w
-
-
-def test_logistic_matches_weighted_newton(spark):
-    X, y, w = _data()
-    C = 1.0
-    rows = [(Vectors.dense(x.tolist()), float(t), float(wi)) for x, t, wi in zip(X, y, w)]
-    df = spark.createDataFrame(rows, ["features", "label", "weight"])
-    model = ml.logistic(C, float(w.sum())).fit(df)
-    # Newton on  sum w*logloss + ||b||^2 / (2C), intercept unpenalised.
-    Z = np.hstack([np.ones((len(X), 1)), X])
-    beta = np.zeros(4)
-    pen = np.diag([0.0, 1 / C, 1 / C, 1 / C])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-Z @ beta))
-        g = Z.T @ (w * (p - y)) + pen @ beta
-        H = Z.T @ (Z * (w * p * (1 - p))[:, None]) + pen
-        beta -= np.linalg.solve(H, g)
-    assert model.intercept == pytest.approx(beta[0], abs=1e-4)
-    assert np.allclose(model.coefficients.toArray(), beta[1:], atol=1e-4)
-
-
-def test_svm_goes_on_until_it_converges(spark):
-    X, y, w = _data()
-    rows = [(Vectors.dense(x.tolist()), float(t), float(wi)) for x, t, wi in zip(X, y, w)]
-    df = spark.createDataFrame(rows, ["features", "label", "weight"])
-    assert not ml.converged(ml.linear_svm(10.0, float(w.sum()), max_iter=2).fit(df), 2)
-    whole = ml.linear_svm(10.0, float(w.sum()), max_iter=5000).fit(df)
-    assert ml.converged(whole, 5000)
-    model = ml.fit_svm(df, 10.0, float(w.sum()), max_iter=2)
-    assert model.summary().totalIterations == whole.summary().totalIterations > 2
-    assert np.allclose(model.coefficients.toArray(), whole.coefficients.toArray(), atol=1e-9)
-
-
 def test_preprocessor_exact_median_population_std_unknown_level(spark):
     train = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, "a"), (4.0, None)], "x double, c string")
     pre = ml.fit_preprocessor(train, ["c"], ["x"])
