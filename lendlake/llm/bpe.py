@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -55,13 +56,27 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return {int(rank): base64.b64decode(token) for token, rank in pairs}
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> pa.Array:
+    """Bytes by rank; null where the file has no such rank."""
+    known = token_bytes(path)
+    return pa.array([known.get(rank) for rank in range(max(known, default=-1) + 1)], pa.large_binary())
+
+
 def decode_lists(lists: pa.ListArray, path: str) -> pa.Array:
-    """The bytes of each list of ids."""
-    token = token_bytes(path).__getitem__
-    ends = lists.offsets.to_pylist()
-    parts = list(map(token, lists.values[ends[0] : ends[-1]].to_pylist()))
-    first = ends[0]
-    return pa.array([b"".join(parts[a - first : b - first]) for a, b in zip(ends, ends[1:])], pa.binary())
+    """The bytes of each list of ids.
+
+    The tokens taken one after the other already are the text: their buffer is
+    kept, and only the ends of the lists become the new offsets.
+    """
+    starts = lists.offsets.to_numpy()
+    tokens = vocabulary(path).take(lists.values.slice(starts[0], starts[-1] - starts[0]))
+    if tokens.null_count:
+        raise ValueError("an id that the rank file lacks")
+    _, offsets, data = tokens.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(tokens) + 1)[starts - starts[0]]
+    found = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), data])
+    return found.cast(pa.binary())
 
 
 class Memo(dict):
