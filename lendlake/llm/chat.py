@@ -5,16 +5,14 @@ Grammar of the output (one string per conversation)::
     conversation := turn*
     turn         := "<|im_start|>" role "\\n" text "<|im_end|>\\n"
 
-Inside a role or text the two characters ``<|`` never meet: ``<``, any number
-of backslashes and ``|`` get one backslash more, and reading takes one away.
-A role also has ``%`` and line feeds written as ``%25`` and ``%0A``, because
-the first line feed ends it.
-
-A turn is first rendered as it stands and reparsed.  If the parser does not
-give back exactly that one turn, its content is escaped and rendered again;
-escaping is idempotent on content without conflicts and injective, so the
-second rendering always reads back identical (checked over the whole
-conversation in ``round_trip``).
+A turn is first rendered as it stands and reparsed.  If the parser gives back
+exactly that one turn it stays as it is: ``<|endoftext|>`` or a role ``a%b`` are
+no conflict.  Else role and text are escaped: ``<``, any number of backslashes
+and ``|`` get one backslash more, and reading takes one away; in a role ``%``
+and line feeds are written ``%25`` and ``%0A``, because the first line feed
+ends it.  Escaped content holds neither mark and reads back identical, so one
+step is enough; ``round_trip`` tells whether the whole conversation does, and
+the query makes a false value an error.
 
 Everything is DataFrame functions.  Defined results: null role or text counts
 as empty; a null turn sorts first; equal turn numbers sort by role, then text;

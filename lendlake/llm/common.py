@@ -66,8 +66,9 @@ def join_by_size(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
 def keep_rows(docs: DataFrame, kept: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``kept`` names by ``doc_id`` and ``row_hash`` (``xxhash64(text)``).
 
-    Of repeated rows (same id, same text) one stays.  Null ids match null ids.
-    The text is shuffled once; the rows named are narrow.
+    Of repeated rows (same id, same text) one stays: each task keeps one before
+    the shuffle, so a row that is repeated often is one row a task.  Null ids
+    match null ids.  The text is shuffled once; the rows named are narrow.
     """
     mark, key = "row hash", "row key"
     no_id = F.lit(-(1 << 63))
@@ -75,7 +76,7 @@ def keep_rows(docs: DataFrame, kept: DataFrame, doc_id: str = "doc_id", text: st
         F.coalesce(F.col("doc_id").cast("long"), no_id).alias(key), F.col("row_hash").alias(mark)
     ).distinct()
     rows = docs.withColumn(key, F.coalesce(F.col(f"`{doc_id}`").cast("long"), no_id)).withColumn(mark, F.xxhash64(text_or_empty(text)))
-    return rows.join(named, [key, mark], "left_semi").dropDuplicates([key, mark]).drop(key, mark)
+    return rows.dropDuplicates([key, mark]).join(named, [key, mark], "left_semi").drop(key, mark)
 
 
 def numbered(df: DataFrame, order: list[str], label: str) -> DataFrame:

@@ -28,24 +28,60 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
 
 
+ROWS_PER_BUCKET = 1_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 64, 100_000  # the most that Spark allows
+
+
 class DigestIndex:
     """Digests seen so far, bucketed and sorted, at ``location``.
 
     ``location`` must be a folder that all executors share; left out, a new
-    folder below ``spark.checkpoint.dir`` is taken.  ``buckets`` is fixed for
-    the life of an index; choose it so that a bucket of the grown index fits
-    the sort memory of a task.
+    folder below ``spark.checkpoint.dir`` is taken.  The number of buckets is
+    fixed for the life of an index and kept beside its files: a new one takes
+    ``buckets``, or else one for each ``ROWS_PER_BUCKET`` of the ``expected``
+    digests; one that is there already keeps its own, and asking for another is
+    an error, as is a folder of files without that mark.  ``close`` (or the end
+    of a ``with`` block) takes the table out of the catalogue and leaves the files.
     """
 
-    def __init__(self, spark: SparkSession, location: str | None = None, buckets: int = 64):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, location: str | None = None, buckets: int | None = None, expected: int = 0):
+        self.spark = spark
         self.location = location or scratch_path(spark, "digest-index")
+        known = self._known_buckets()
+        if known is not None and buckets not in (None, known):
+            raise ValueError(f"the index at {self.location} has {known} buckets, not {buckets}")
+        wanted = min(max(-(-expected // ROWS_PER_BUCKET), LEAST_BUCKETS), MOST_BUCKETS)
+        self.buckets = known or buckets or wanted
         self.name = f"digest_index_{uuid.uuid4().hex}"
+        if known is None:
+            spark.range(1).select(F.lit(str(self.buckets)).alias("value")).coalesce(1).write.text(self._mark)
         spark.sql(
             f"CREATE TABLE {self.name} ({INDEX_SCHEMA}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.location}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.location}'"
         )
 
+    @property
+    def _mark(self) -> str:
+        return f"{self.location.rstrip('/')}/_buckets"  # Spark's readers pass over names that begin so
+
+    def _known_buckets(self) -> int | None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.location)
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(path) or not files.listStatus(path):
+            return None
+        if not files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._mark}/_SUCCESS")):
+            raise ValueError(f"{self.location} holds files, but no number of buckets")
+        return int(self.spark.read.text(self._mark).first()["value"])
+
+    def __enter__(self) -> DigestIndex:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 

@@ -10,21 +10,14 @@ n-grams are taken out of the target when it is scored, so its verdict is the
 one it would get if it were not trusted.  Every document is held against one
 threshold; nothing is drawn at random.
 
-Without a prior (``prior=None``) both counts are multinomials with add-one
-smoothing and no document is taken out: the rule of the op2 query's SQL twin.
-Where the target has few n-grams against the buckets, that rule rejects clean
-documents outside the target.
-
 Log ratios are rounded to millionths, so a document's sum is a whole number:
 the verdict does not depend on the order of summing.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import md5
-from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +38,7 @@ BUCKETS = 1 << 16
 PAIR_FACTOR = 1_000_003
 THRESHOLD = -150_000  # millionths of a nat per n-gram
 PRIOR = 8  # n-grams per bucket that follow the raw corpus
-TRUSTED_BROADCAST_ROWS = 1_000_000  # 8 bytes each; more are joined by shuffle
+TRUSTED_BROADCAST_ROWS = 250_000  # 8 bytes each; more are joined by shuffle
 MEMO_ENTRIES = 300_000
 
 MARK = "trusted mark"
@@ -80,23 +73,38 @@ def buckets_of(words: list[bytes], buckets: int) -> np.ndarray:
     return np.concatenate([h % buckets, (h[:-1] * PAIR_FACTOR + h[1:]) % buckets])
 
 
+def repeated_words(words: list[bytes]) -> int:
+    """How many words lie in windows of ``REPEAT_WINDOW`` words that are found twice or more.
+
+    Windows are compared by 64-bit hashes, eight bytes a window whatever the text's length.
+    """
+    n = len(words) - REPEAT_WINDOW + 1
+    if n < 2:
+        return 0
+    word = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    window = word[:n].copy()
+    for i in range(1, REPEAT_WINDOW):
+        window = window * np.uint64(0x9E3779B97F4A7C15) + word[i : i + n]
+    order = np.argsort(window, kind="stable")
+    same = window[order[1:]] == window[order[:-1]]
+    if not same.any():
+        return 0
+    again = np.zeros(n, bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    edges = np.zeros(len(words) + 1, np.int64)
+    starts = np.flatnonzero(again)
+    edges[starts] += 1
+    edges[starts + REPEAT_WINDOW] -= 1
+    return int((np.cumsum(edges) > 0).sum())
+
+
 def text_counts(text: bytes) -> tuple[int, int, int, int, int]:
     """(words, code points in words, symbols, repeated lines, words in repeated windows)."""
     words = text.split()
-    n = len(words)
     chars = len(text.decode()) - sum(text.count(c.encode()) for c in WHITESPACE)
     symbols = sum(text.count(c.encode()) for c in SYMBOLS)
     lines = [line for line in text.split(b"\n") if line.strip()]
-    windows = list(zip(*[words[i:] for i in range(REPEAT_WINDOW)]))
-    counted = Counter(windows)
-    covered = 0
-    if len(counted) < len(windows):
-        end = 0
-        for i, w in enumerate(windows):
-            if counted[w] > 1:
-                covered += i + REPEAT_WINDOW - max(i, end)
-                end = i + REPEAT_WINDOW
-    return n, chars, symbols, len(lines) - len(set(lines)), covered
+    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
 def count_buckets(docs: DataFrame, text: str, buckets: int) -> DataFrame:
@@ -129,16 +137,6 @@ def log_ratios(target: np.ndarray, size: int, raw: np.ndarray, raw_size: int, pr
     return np.rint(1e6 * (np.log(target + prior) - np.log(expected + prior))).astype(np.int64)
 
 
-def add_one_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log ratios of all buckets in millionths, both sides smoothed by one per bucket."""
-    buckets = len(raw)
-    if not target.sum():
-        return np.zeros(buckets, np.int64)  # nothing is trusted: no evidence either way
-    shift = log(target.sum() + buckets) - log(raw.sum() + buckets)
-    pairs = zip(target.tolist(), raw.tolist())
-    return np.array([round(1e6 * (log(a + 1) - log(b + 1) - shift)) for a, b in pairs], np.int64)
-
-
 def mark_trusted(docs: DataFrame, trusted: DataFrame, doc_id: str) -> DataFrame:
     """``docs`` with ``MARK``: whether the id is in ``trusted``; broadcast only behind a count."""
     key = F.col(f"`{doc_id}`")
@@ -161,7 +159,7 @@ def apply_rules(
     text: str = "text",
     buckets: int = BUCKETS,
     threshold: int = THRESHOLD,
-    prior: float | None = PRIOR,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """``docs`` with the five counts, ``score_sum``, ``n_grams``, ``base_failed`` and ``kept``.
 
@@ -169,7 +167,7 @@ def apply_rules(
     ``docs`` lacks are ignored, a repeated id counts once.  ``score_sum`` is in
     millionths; a row is kept if it passes the base rules and ``score_sum >=
     threshold * n_grams``.  For a trusted row the target is the other trusted
-    texts, unless ``prior`` is None (add-one smoothing).  Null and empty texts have no words and fail the base rules.
+    texts.  Null and empty texts have no words and fail the base rules.
     Without any trusted text all ratios are 0, so the base rules decide.  Rows
     are judged alone: repeated rows and ties get equal verdicts.
     Columns named like the results are replaced; an empty table stays empty.
@@ -179,7 +177,7 @@ def apply_rules(
     for row in count_buckets(marked_docs, text, buckets).collect():  # at most ``buckets`` rows
         target[row["bucket"]], raw[row["bucket"]] = row["t"], row["n"]
     size, raw_size = int(target.sum()), int(raw.sum())
-    weights = add_one_ratios(target, raw) if prior is None else log_ratios(target, size, raw, raw_size, prior)
+    weights = log_ratios(target, size, raw, raw_size, prior)
     known = docs.sparkSession.sparkContext.broadcast((target, raw, weights))
     outputs = [*COUNTS, "score_sum", "n_grams", "base_failed", "kept"]
     fields = [T.StructField(c, T.LongType()) for c in outputs[:-2]] + [T.StructField(c, T.BooleanType()) for c in outputs[-2:]]
@@ -196,8 +194,7 @@ def apply_rules(
 
         for batch in by_bytes(batches, text):
             rows = []
-            marks = [False] * len(batch) if prior is None else batch.column(MARK).to_pylist()
-            for x, marked in zip(text_bytes(batch.column(text)), marks):
+            for x, marked in zip(text_bytes(batch.column(text)), batch.column(MARK).to_pylist()):
                 counts = text_counts(x)
                 n, _, _, _, repeated = counts
                 words = x.split()
@@ -207,6 +204,6 @@ def apply_rules(
                 rows.append((*counts, score, len(grams), failed, not failed and score >= threshold * len(grams)))
             kinds = [pa.int64()] * (len(outputs) - 2) + [pa.bool_()] * 2
             values = {c: pa.array(v, k) for c, v, k in zip(outputs, zip(*rows), kinds)}
-            yield with_columns(batch, outputs if prior is None else [*outputs, MARK], values)
+            yield with_columns(batch, [*outputs, MARK], values)
 
-    return map_batches(docs if prior is None else marked_docs, run, schema)
+    return map_batches(marked_docs, run, schema)

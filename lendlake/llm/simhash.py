@@ -239,11 +239,13 @@ def near_duplicates(
     marks = stored(rows.groupBy("fingerprint").agg(F.min(first).alias("best"), F.count(F.lit(1)).alias("n")), "marks")
     links = stored(near_links(marks.select("fingerprint"), radius), "near-links")
     labels = components(links)
-    marks = marks.join(labels, F.col("fingerprint") == F.col("node"), "left").select(
+    labelled = marks.join(labels, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "n", "best", F.coalesce("label", "fingerprint").alias("label")
     )
-    bests = marks.groupBy("label").agg(F.min("best").alias("component"))
-    members = stored(marks.join(bests, "label").select("fingerprint", "n", "component"), "members")
+    labelled = stored(labelled, "labelled")
+    bests = labelled.groupBy("label").agg(F.min("best").alias("component"), F.count(F.lit(1)).alias("size"))
+    members = join_by_size(labelled, stored(bests, "components"), "label", "size", labelled.count())
+    members = stored(members.select("fingerprint", "n", "component"), "members")
     found = join_by_size(rows, members, "fingerprint", "n", rows.count())
     return found.select(
         "doc_id",

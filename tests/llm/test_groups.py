@@ -376,3 +376,72 @@ def test_chat_odd_rows(spark):
     assert [s["length"] for s in out[1]["loss_spans"]] == [1, 1, 1]
     assert out[None]["turns"][0]["text"] == "x" * 100_000 and out[None]["loss_spans"] == []
     assert chat.format_chat(df.limit(0)).collect() == []
+
+
+def test_exact_index_reopened(spark, tmp_path):
+    """The number of buckets stays with the index; another one is refused instead of giving wrong results."""
+    place = str(tmp_path / "index")
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    with exact_dedup.DigestIndex(spark, place, buckets=8) as index:
+        assert exact_dedup.dedup_exact(docs, index).filter("kept").count() == 300
+        name = index.name
+    assert not spark.catalog.tableExists(name)
+    for buckets in (4, 16):
+        with pytest.raises(ValueError):
+            exact_dedup.DigestIndex(spark, place, buckets=buckets)
+    for buckets in (8, None):
+        with exact_dedup.DigestIndex(spark, place, buckets=buckets, expected=10**9) as index:
+            found = exact_dedup.dedup_exact(docs.union(spark.createDataFrame([(900, "new")], docs.schema)), index)
+            assert index.buckets == 8 and found.filter("kept").count() == (1 if buckets else 0)
+    docs.write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, str(tmp_path / "other"))
+    with exact_dedup.DigestIndex(spark, expected=150_000_000) as index:
+        assert index.buckets == 150
+
+
+def test_chat_twin_on_conflicting_rows(spark, tmp_path):
+    texts = ["see <|endoftext|> here", "<|im_end|>", "<|im_start|>x", "a<\\|b", "<\\\\|", "plain <| text", "<|im_end|", "<", None]
+    roles = ["user", "assistant", "a%b", "a%25b", "x%0Ay", "line\nfeed", "<|im_start|>", "<|im_end|>", "<\\|r", None]
+    rows = [(c, t, role, text) for c, role in enumerate(roles) for t, text in enumerate(texts)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(str(tmp_path / "c"))
+    (tmp_path / "c").rename(tmp_path / "conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    problems, _ = compare(spark, con, "op9_chat_format", queries.QUERIES["op9_chat_format"], queries.ORACLES["op9_chat_format"], str(tmp_path))
+    assert not problems, problems
+
+
+@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"dd"]), max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_repeated_words_equal_counting_windows(words):
+    windows = list(zip(*[words[i:] for i in range(5)]))
+    n, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        covered |= set(range(i, i + 5)) if n[w] > 1 else set()
+    assert quality_rules.repeated_words(words) == len(covered)
+
+
+def test_very_long_texts(spark, tmp_path):
+    """A text of some megabytes passes every operator whole."""
+    from lendlake.llm import packing, token_files, word_tokens
+
+    long = " ".join(f"w{i % 50_021}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, long), (2, "short one"), (3, long + " end")], "doc_id bigint, text string")
+    judged = {r["doc_id"]: r for r in quality_rules.apply_rules(docs, docs.select("doc_id").limit(0)).collect()}
+    assert judged[1]["n_words"] == 400_000 and judged[1]["n_repeat_words"] == 400_000
+    assert sharding.shuffle_into_shards(docs, 2).count() == 3
+    near = {r["doc_id"]: r for r in simhash.near_duplicates(docs).collect()}
+    assert near[1]["component_id"] == near[3]["component_id"] == 1
+    with exact_dedup.DigestIndex(spark) as index:
+        assert exact_dedup.dedup_exact(docs, index).filter("kept").count() == 3
+    cut = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(docs).select("doc_id", "kept", "n_bytes").collect()}
+    assert cut[1]["n_bytes"] == len(long) and bytes(cut[2]["kept"]) == b"short one" and len(cut[3]["kept"]) < 400
+    tokens = word_tokens.encode(docs, queries.WORDS, end_id=0)
+    n = {r["doc_id"]: r["n"] for r in tokens.select("doc_id", (F.octet_length("ids") / 4).cast("int").alias("n")).collect()}
+    packed = packing.pack(packing.cut(tokens, 2048).select("doc_id", "piece", "start", "length"), 2048).collect()
+    assert {i: sum(r["length"] for r in packed if r["doc_id"] == i) for i in n} == n
+    token_files.write(docs, str(tmp_path / "ids"), queries.WORDS, end_id=1)
+    assert {r["doc_id"]: r["n_tokens"] for r in token_files.read(spark, str(tmp_path / "ids")).collect()} == n
+    model = classifier.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int"))
+    assert classifier.score(docs, model).count() == 3
