@@ -239,3 +239,34 @@ def test_quantiles_leave_out_nan_and_report_it(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
     assert exact_quantiles(df, [], "x", [0.5], "q").first().q == [1.5]
     assert nan_count(df, [], "x").first().nan_count == 1
+
+
+@pytest.mark.parametrize("small,miss", [(20_000, False), (5, False), (5, True), (20_000, True)])
+def test_quantiles_by_repeated_selection(spark, monkeypatch, small, miss):
+    """Brackets that hold too many values, or miss their ranks altogether, are narrowed to the exact result."""
+    import numpy as np
+    from lendlake.operators import quantiles as qt
+
+    monkeypatch.setattr(qt, "SMALL_BRACKET", small)
+    monkeypatch.setattr(qt, "GRID", 7)
+    rng = np.random.default_rng(2)
+    rows = [(g, float(x)) for g, n in (("a", 900), ("b", 7), ("c", 1)) for x in np.round(rng.normal(size=n), 2)]
+    rows += [("a", 0.5)] * 400 + [("d", None), ("a", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    if miss:  # a sketch that points at the wrong place
+        whole = qt.F.percentile_approx
+        monkeypatch.setattr(qt, "DEFAULT_ACCURACY", 10_000)
+
+        def wrong(col, percentage, accuracy=10_000):
+            found = whole(col, percentage, accuracy)
+            return found if len(percentage) == 7 else qt.F.transform(found, lambda e: e + 0.4)
+
+        monkeypatch.setattr(qt.F, "percentile_approx", wrong)
+    for keys in (["g"], []):
+        got = {tuple(r[k] for k in keys): r["q"] for r in qt.exact_quantiles(df, keys, "x", probs, "q").collect()}
+        groups = ["a", "b", "c"] if keys else [None]
+        for name in groups:
+            x = [v for g, v in rows if v is not None and v == v and name in (None, g)]
+            assert got[(name,) if keys else ()] == pytest.approx(np.quantile(x, probs).tolist(), abs=1e-12)
+        assert len(got) == len(groups)
