@@ -8,7 +8,7 @@ row-multiplying join is planned and the large side never shuffles for them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,22 +23,18 @@ from lendlake.config import (
     TRAILING_MONTHS,
     PortfolioConfig,
 )
+from lendlake.operators.duplicates import repeats
 from lendlake.operators.quantiles import exact_median
 from lendlake.functions import (
     band_label,
     band_order,
-    decimal_median,
     is_conflict,
     mean_of,
     null_to_segment,
     rate_of,
     ratio,
 )
-
-
-# "select": exact median by selection (bounded memory per task, default);
-# "percentile": Spark's exact percentile aggregate (one value->count map per group).
-MEDIAN_METHOD = "select"
+from lendlake.session import stored
 
 
 def _cfg(cfg: PortfolioConfig | None) -> PortfolioConfig:
@@ -60,35 +56,61 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _cohort_measures(cfg: PortfolioConfig, with_max: bool) -> list[Column]:
+def date_cube(loans: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
+    """Everything that adds up, per date: one row a day, NULL date included.
+
+    Totals, trailing windows and cohorts are sums over it, so the loans are
+    read once for all of them.  Sums of cents are exact in any order.
+    """
+    cfg = _cfg(cfg)
     amt, lab = F.col(cfg.amount_col), F.col(cfg.label_col)
+    conflict = is_conflict(lab, amt)
     severity = F.when(lab, amt)
+    return loans.groupBy(F.col(cfg.date_col).alias("day")).agg(
+        F.count(F.lit(1)).alias("loans"),
+        F.count(lab).alias("labelled"),
+        F.sum(F.coalesce(lab.cast("int"), F.lit(0))).cast("bigint").alias("losses"),
+        F.count_if(lab == F.lit(False)).alias("non_losses"),
+        F.sum(F.coalesce(amt, F.lit(0))).alias("recorded"),
+        F.sum(F.when(amt > 0, amt).otherwise(0)).alias("positive"),
+        F.sum(F.when(amt < 0, amt).otherwise(0)).alias("recovered"),
+        F.sum(severity).alias("severity"),
+        F.count(severity).alias("severities"),
+        F.max(amt).alias("largest"),
+        F.sum(F.when(conflict, 1).otherwise(0)).alias("conflicts"),
+        F.count_if(amt < 0).alias("recoveries"),
+        F.count_if(amt.isNull()).alias("unknown_amounts"),
+    )
+
+
+def _share(total: str, count: str) -> Column:
+    """Mean of a measure from its sum and count in the cube."""
+    return F.sum(total).cast("double") / F.when(F.sum(count) != 0, F.sum(count))
+
+
+def _cohort_measures(with_max: bool) -> list[Column]:
     out = [
-        F.sum(lab.cast("int")).cast("bigint").alias("loss_loan_count"),
-        rate_of(lab).alias("observed_loss_rate"),
-        F.sum(F.coalesce(amt, F.lit(0))).alias("total_recorded_loss_amount"),
-        F.sum(F.when(amt > 0, amt).otherwise(0)).alias("total_positive_loss_amount"),
-        mean_of(F.coalesce(amt, F.lit(0))).alias("average_loss_per_funded_loan"),
-        mean_of(severity).alias("average_loss_severity"),
+        F.when(F.sum("labelled") > 0, F.sum("losses")).cast("bigint").alias("loss_loan_count"),
+        _share("losses", "labelled").alias("observed_loss_rate"),
+        F.sum("recorded").alias("total_recorded_loss_amount"),
+        F.sum("positive").alias("total_positive_loss_amount"),
+        _share("recorded", "loans").alias("average_loss_per_funded_loan"),
+        _share("severity", "severities").alias("average_loss_severity"),
     ]
-    if MEDIAN_METHOD == "percentile":
-        out.append(decimal_median(severity).alias("median_loss_severity"))
-    if with_max:
-        out.append(F.max(amt).alias("maximum_loss_amount"))
-    return out
+    return [*out, F.max("largest").alias("maximum_loss_amount")] if with_max else out
 
 
-def cohort_aggregate(df: DataFrame, keys: Sequence[Column], cfg: PortfolioConfig, with_max: bool) -> DataFrame:
-    """Cohort measures plus an exact distinct loan count per cohort.
+def cohort_aggregate(df: DataFrame, keys: Callable[[Column], list[Column]], cfg: PortfolioConfig, with_max: bool) -> DataFrame:
+    """Cohort measures, with an exact distinct loan count and median per cohort; ``keys`` are functions of the date.
 
-    The distinct count is its own aggregate (group by cohort + id, then
-    count), joined back on the cohort key; both sides are one row per cohort.
-    Mixing it into the main ``agg`` would make Catalyst aggregate per
-    (cohort, id) and keep a median buffer for every single loan.
+    The measures are rolled up from the cube.  The distinct count is its own
+    aggregate (group by cohort + id, then count), joined back on the cohort
+    key; both sides are one row per cohort.
     """
-    keyed = df.select(*keys, cfg.id_col, cfg.label_col, cfg.amount_col)
-    names = [k for k in keyed.columns if k not in (cfg.id_col, cfg.label_col, cfg.amount_col)]
-    main = keyed.groupBy(*names).agg(*_cohort_measures(cfg, with_max))
+    cube = date_cube(df, cfg).select(*keys(F.col("day")), "*")
+    names = cube.columns[: cube.columns.index("day")]
+    main = cube.groupBy(*names).agg(*_cohort_measures(with_max))
+    keyed = df.select(*keys(F.col(cfg.date_col)), cfg.id_col, cfg.label_col, cfg.amount_col)
     distinct = (
         keyed.select(*names, cfg.id_col)
         .where(F.col(cfg.id_col).isNotNull())
@@ -103,8 +125,6 @@ def cohort_aggregate(df: DataFrame, keys: Sequence[Column], cfg: PortfolioConfig
         F.coalesce(distinct["funded_loan_count"], F.lit(0)).alias("funded_loan_count"),
         *[main[c] for c in measures],
     )
-    if MEDIAN_METHOD == "percentile":
-        return out
     med = exact_median(keyed.where(F.col(cfg.label_col)), names, cfg.amount_col, "median_loss_severity")
     joined = out.join(med, [out[n].eqNullSafe(med[n]) for n in names], "left")
     cols = [out[c] for c in out.columns]
@@ -117,20 +137,22 @@ def portfolio_yearly(loans: DataFrame, cfg: PortfolioConfig | None = None) -> Da
     """One row per origination year (undated loans excluded)."""
     cfg = _cfg(cfg)
     dated = loans.where(F.col(cfg.date_col).isNotNull())
-    return cohort_aggregate(dated, [F.year(cfg.date_col).cast("int").alias("origination_year")], cfg, with_max=True)
+    return cohort_aggregate(dated, lambda d: [F.year(d).cast("int").alias("origination_year")], cfg, with_max=True)
 
 
 def portfolio_quarterly(joined: DataFrame, cfg: PortfolioConfig | None = None) -> DataFrame:
     """A10: one row per origination quarter present in the data."""
     cfg = _cfg(cfg)
-    d = F.col(cfg.date_col)
-    keys = [
-        F.year(d).cast("int").alias("origination_year"),
-        F.quarter(d).cast("int").alias("origination_quarter_number"),
-        F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("origination_quarter_name"),
-        F.trunc(d, "quarter").alias("origination_quarter_start"),
-    ]
-    grouped = cohort_aggregate(joined.where(d.isNotNull()), keys, cfg, with_max=False)
+
+    def keys(d: Column) -> list[Column]:
+        return [
+            F.year(d).cast("int").alias("origination_year"),
+            F.quarter(d).cast("int").alias("origination_quarter_number"),
+            F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("origination_quarter_name"),
+            F.trunc(d, "quarter").alias("origination_quarter_start"),
+        ]
+
+    grouped = cohort_aggregate(joined.where(F.col(cfg.date_col).isNotNull()), keys, cfg, with_max=False)
     key = F.concat(
         F.col("origination_year").cast("string"), F.lit("-"), F.col("origination_quarter_name")
     ).alias("origination_year_quarter_key")
@@ -142,45 +164,39 @@ def portfolio_quarterly(joined: DataFrame, cfg: PortfolioConfig | None = None) -
 # --------------------------------------------------------------------------
 
 
-def loan_measures(joined: DataFrame, cfg: PortfolioConfig | None = None, more: Sequence[Column] = ()) -> DataFrame:
-    """A1: the one-pass portfolio aggregate (one row), with ``more`` measures of the same pass.
+def loan_measures(joined: DataFrame, cfg: PortfolioConfig | None = None, months: int | None = None) -> DataFrame:
+    """A1: the portfolio record (one row), with the trailing windows of A11 where ``months`` is given.
 
-    The two exact distinct counts are separate aggregates attached as scalar
-    subqueries instead of one ``agg`` with two DISTINCTs, which Catalyst would
-    plan as an ``Expand`` tripling every input row before the shuffle.
+    All of it comes from the cube of one pass, but the distinct ids and the
+    median, which are aggregates of their own, attached as scalar subqueries.
     """
     cfg = _cfg(cfg)
     loans = joined.select(*cfg.outcome_cols)
-    amt, lab, d = F.col(cfg.amount_col), F.col(cfg.label_col), F.col(cfg.date_col)
-    conflict = is_conflict(lab, amt)
-    main = loans.agg(
-        F.min(d).alias("first_origination_date"),
-        F.max(d).alias("last_origination_date"),
-        F.datediff(F.max(d), F.min(d)).cast("bigint").alias("origination_window_days"),
-        F.sum(lab.cast("int")).cast("bigint").alias("loss_loan_count"),
-        F.sum(F.when(lab == F.lit(False), 1).otherwise(0)).cast("bigint").alias("non_loss_loan_count"),
-        rate_of(lab).alias("portfolio_loss_rate"),
-        F.sum(F.coalesce(amt, F.lit(0))).alias("total_recorded_loss_amount"),
-        F.sum(F.when(amt > 0, amt).otherwise(0)).alias("total_positive_loss_amount"),
-        F.sum(F.when(amt < 0, amt).otherwise(0)).alias("total_net_recovery_amount"),
-        mean_of(F.coalesce(amt, F.lit(0))).alias("average_loss_per_funded_loan"),
-        mean_of(F.when(lab, amt)).alias("average_loss_severity"),
-        *([decimal_median(F.when(lab, amt)).alias("median_loss_severity")] if MEDIAN_METHOD == "percentile" else []),
-        F.max(amt).alias("maximum_loss_amount"),
-        F.sum(F.when(conflict, 1).otherwise(0)).cast("bigint").alias("label_conflict_loan_count"),
-        mean_of(F.when(conflict, 1).otherwise(0)).alias("label_conflict_rate"),
-        F.sum(F.when(amt < 0, 1).otherwise(0)).cast("bigint").alias("net_recovery_loan_count"),
-        F.sum(F.when(amt.isNull(), 1).otherwise(0)).cast("bigint").alias("missing_loss_amount_count"),
-        F.sum(F.when(d.isNull(), 1).otherwise(0)).cast("bigint").alias("missing_received_date_count"),
-        *more,
+    cube = stored(date_cube(loans, cfg), "date-cube")
+    main = cube.agg(
+        F.min("day").alias("first_origination_date"),
+        F.max("day").alias("last_origination_date"),
+        F.datediff(F.max("day"), F.min("day")).cast("bigint").alias("origination_window_days"),
+        F.when(F.sum("labelled") > 0, F.sum("losses")).cast("bigint").alias("loss_loan_count"),
+        F.sum("non_losses").cast("bigint").alias("non_loss_loan_count"),
+        _share("losses", "labelled").alias("portfolio_loss_rate"),
+        F.sum("recorded").alias("total_recorded_loss_amount"),
+        F.sum("positive").alias("total_positive_loss_amount"),
+        F.sum("recovered").alias("total_net_recovery_amount"),
+        _share("recorded", "loans").alias("average_loss_per_funded_loan"),
+        _share("severity", "severities").alias("average_loss_severity"),
+        F.max("largest").alias("maximum_loss_amount"),
+        F.sum("conflicts").cast("bigint").alias("label_conflict_loan_count"),
+        _share("conflicts", "loans").alias("label_conflict_rate"),
+        F.sum("recoveries").cast("bigint").alias("net_recovery_loan_count"),
+        F.sum("unknown_amounts").cast("bigint").alias("missing_loss_amount_count"),
+        F.coalesce(F.sum(F.when(F.col("day").isNull(), F.col("loans"))), F.lit(0)).cast("bigint").alias("missing_received_date_count"),
+        F.count("day").cast("bigint").alias("distinct_origination_days"),
+        *([] if months is None else _trailing_measures(cube, months)),
     )
     funded = loans.agg(F.countDistinct(cfg.id_col).alias("funded_loan_count"))
-    days = loans.agg(F.countDistinct(cfg.date_col).alias("distinct_origination_days"))
-    out = attach_row(attach_row(main, funded), days)
-    if MEDIAN_METHOD != "percentile":
-        med = exact_median(loans.where(lab), [], cfg.amount_col, "median_loss_severity")
-        out = attach_row(out, med)
-    return out
+    med = exact_median(loans.where(F.col(cfg.label_col)), [], cfg.amount_col, "median_loss_severity")
+    return attach_row(attach_row(main, funded), med)
 
 
 def trailing_bounds(joined: DataFrame, cfg: PortfolioConfig | None = None, months: int = TRAILING_MONTHS) -> DataFrame:
@@ -194,22 +210,24 @@ def trailing_bounds(joined: DataFrame, cfg: PortfolioConfig | None = None, month
     )
 
 
-def _trailing_measures(joined: DataFrame, cfg: PortfolioConfig, months: int) -> list[Column]:
-    """Loans and loss rate in the last and the prior ``months``; the bounds are one scalar struct."""
-    bounds = trailing_bounds(joined, cfg, months).select(F.struct("last_window_start", "prior_window_start").alias("b")).scalar()
-    d, lab = F.col(cfg.date_col), F.col(cfg.label_col).cast("int")
-    recent = d > bounds["last_window_start"]
-    earlier = ~recent & (d > bounds["prior_window_start"])
+def _trailing_measures(cube: DataFrame, months: int) -> list[Column]:
+    """Loans and loss rate in the last and the prior ``months``, from the cube; the bounds are one scalar struct."""
+    anchor = F.max("day")
+    bounds = cube.agg(F.struct(F.add_months(anchor, -months).alias("last"), F.add_months(anchor, -2 * months).alias("prior")).alias("b")).scalar()
+    recent = F.col("day") > bounds["last"]
+    earlier = ~recent & (F.col("day") > bounds["prior"])
     out = []
     for inside, name in ((recent, "last"), (earlier, "prior")):
-        out.append(F.count_if(inside).cast("bigint").alias(f"funded_loan_count_{name}_12_months"))
-        out.append(mean_of(F.when(inside, lab)).alias(f"loss_rate_{name}_12_months"))
+        loans, labelled, losses = (F.sum(F.when(inside, F.col(c)).otherwise(0)) for c in ("loans", "labelled", "losses"))
+        out.append(F.coalesce(loans, F.lit(0)).cast("bigint").alias(f"funded_loan_count_{name}_12_months"))
+        out.append((losses.cast("double") / F.when(labelled != 0, labelled)).alias(f"loss_rate_{name}_12_months"))
     return out
 
 
 def trailing_windows(joined: DataFrame, cfg: PortfolioConfig | None = None, months: int = TRAILING_MONTHS) -> DataFrame:
     """Loans and loss rate in the last / prior ``months`` (half-open windows)."""
-    return joined.agg(*_trailing_measures(joined, _cfg(cfg), months))
+    cube = stored(date_cube(joined, cfg), "date-cube")
+    return cube.agg(*_trailing_measures(cube, months))
 
 
 def feature_columns(joined: DataFrame, cfg: PortfolioConfig | None = None) -> list[str]:
@@ -219,20 +237,17 @@ def feature_columns(joined: DataFrame, cfg: PortfolioConfig | None = None) -> li
 
 
 def duplicate_vectors(joined: DataFrame, columns: Sequence[str] | None = None, cfg: PortfolioConfig | None = None) -> DataFrame:
-    """A12 + A13: duplicate-record groups over the whole feature row.
+    """A12 + A13: duplicate-record groups over the whole feature row (NULLs compare equal).
 
-    Groups on the feature columns themselves (NULLs compare equal in GROUP BY).
-    Map-side partial aggregation collapses a hot vector to one row per task
-    before the shuffle, so a vector shared by a third of all rows stays cheap.
+    Rows meet by a digest of 16 bytes, and only repeated ones by their columns.
     """
-    cols = list(columns) if columns is not None else feature_columns(joined, cfg)
-    groups = joined.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    found = repeats(joined, list(columns) if columns is not None else feature_columns(joined, cfg))
     n = F.col("n")
-    return groups.agg(
+    return found.groups.agg(
         F.count_if(n > 1).cast("bigint").alias("duplicate_feature_vector_groups"),
         F.sum(F.when(n > 1, n)).cast("bigint").alias("duplicate_feature_vector_loan_count"),
-        (F.sum(F.when(n > 1, n)).cast("double") / F.sum(n)).alias("duplicate_feature_vector_rate"),
-        F.count(F.lit(1)).cast("bigint").alias("distinct_feature_vector_count"),
+        (F.sum(F.when(n > 1, n)).cast("double") / F.lit(float(found.total) if found.total else None)).alias("duplicate_feature_vector_rate"),
+        (F.count(F.lit(1)) + F.lit(found.single)).cast("bigint").alias("distinct_feature_vector_count"),
     )
 
 
@@ -244,7 +259,7 @@ def kpi_record(joined: DataFrame, cfg: PortfolioConfig | None = None, loans: Dat
     """
     cfg = _cfg(cfg)
     loans = loans if loans is not None else joined
-    base = loan_measures(loans, cfg, _trailing_measures(loans, cfg, TRAILING_MONTHS))
+    base = loan_measures(loans, cfg, TRAILING_MONTHS)
     base = base.withColumn(
         "loss_rate_12_month_change", F.col("loss_rate_last_12_months") - F.col("loss_rate_prior_12_months")
     )
@@ -343,14 +358,12 @@ def risk_segmentation(
             F.sum(F.when(amt > 0, amt).otherwise(0)).alias("total_positive_loss_amount"),
             mean_of(F.coalesce(amt, F.lit(0))).alias("average_loss_per_funded_loan"),
             mean_of(positive).alias("average_positive_loss_severity"),
-            *([decimal_median(positive).alias("median_positive_loss_severity")] if MEDIAN_METHOD == "percentile" else []),
             F.max(positive).alias("maximum_positive_loss_amount"),
         )
     )
-    if MEDIAN_METHOD != "percentile":
-        long = loan_levels(base, cfg).where(amt > 0)
-        med = exact_median(long, ["feature_name", "segment"], cfg.amount_col, "median_positive_loss_severity")
-        seg = seg.join(med, ["feature_name", "segment"], "left")
+    long = loan_levels(base, cfg).where(amt > 0)
+    med = exact_median(long, ["feature_name", "segment"], cfg.amount_col, "median_positive_loss_severity")
+    seg = seg.join(med, ["feature_name", "segment"], "left")
     seg = attach_row(seg, totals)
     diff = (F.col("observed_loss_rate") - F.col("portfolio_loss_rate")) * 100
     n = F.col("funded_loan_count")
@@ -403,11 +416,9 @@ def severity_bands(joined: DataFrame, cfg: PortfolioConfig | None = None, bands=
         F.count(F.lit(1)).alias("loan_count"),
         F.sum(amt).alias("total_positive_loss_amount"),
         mean_of(amt).alias("average_positive_loss"),
-        *([decimal_median(amt).alias("median_positive_loss")] if MEDIAN_METHOD == "percentile" else []),
     )
-    if MEDIAN_METHOD != "percentile":
-        med = exact_median(banded, ["severity_band_order", "severity_band"], cfg.amount_col, "median_positive_loss")
-        metrics = metrics.join(med, ["severity_band_order", "severity_band"], "left")
+    med = exact_median(banded, ["severity_band_order", "severity_band"], cfg.amount_col, "median_positive_loss")
+    metrics = metrics.join(med, ["severity_band_order", "severity_band"], "left")
     m = attach_row(metrics, totals)
     return m.select(
         "severity_band",

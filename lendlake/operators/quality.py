@@ -3,9 +3,8 @@
 A check is declared as a ``Check`` and run by ``run_checks``, which returns
 one summary row per check: ``(check_name, table_name, column_name,
 n_violations, passed)``.  All row-level predicates of one table (not_null,
-accepted_values, expression_is_true) are answered by one aggregate pass;
-uniqueness checks are one grouped count each (partial aggregation keeps hot
-keys cheap).  ``violations`` returns the offending rows for any check.
+accepted_values, expression_is_true) are answered by one aggregate pass, and
+all its unique keys by one more (partial aggregation keeps hot keys cheap).  ``violations`` returns the offending rows for any check.
 
 Unlike the declarative tests they reproduce, the table-level assertions
 (C8-C13) fail on an empty table instead of passing silently: comparisons are
@@ -21,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendlake.operators.duplicates import repeats
+
 
 @dataclass
 class Check:
@@ -82,6 +83,41 @@ def violations(tables: dict[str, DataFrame], c: Check) -> DataFrame:
     raise ValueError(c.kind)
 
 
+UNIQUE = {"unique", "unique_combination"}
+
+
+def _key(c: Check) -> Column:
+    """The key of a uniqueness check as one string, exact; NULL where the row has none."""
+    if c.kind == "unique":
+        return F.col(c.column).cast("string")
+    text = [F.col(x).cast("string") for x in c.columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
+
+
+def _repeated_keys(df: DataFrame, group: Sequence[tuple[int, Check]]) -> DataFrame:
+    """One row: how many keys of each check occur more than once.  All checks of a table share one read and one shuffle."""
+    keys = F.array(*[F.struct(F.lit(i).alias("check"), _key(c).alias("key")) for i, c in group])
+    counted = df.select(F.explode(keys).alias("k")).select("k.*").where(F.col("key").isNotNull()).groupBy("check", "key")
+    again = counted.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return again.agg(*[F.count_if(F.col("check") == i).alias(f"v{i}") for i, _ in group])
+
+
+def _summary(one: DataFrame, group: Sequence[tuple[int, Check]]) -> DataFrame:
+    """The summary rows of the checks whose violations are the columns ``v<order>`` of one row."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("check_order"),
+            F.lit(c.kind).alias("check_kind"),
+            F.lit(c.name).alias("check_name"),
+            F.lit(c.table).alias("table_name"),
+            F.lit(c.column).cast("string").alias("column_name"),
+            F.col(f"v{i}").cast("bigint").alias("n_violations"),
+        )
+        for i, c in group
+    ]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Summary table of the checks (one row each, in declaration order)."""
     parts: list[DataFrame] = []
@@ -91,20 +127,15 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
             by_table.setdefault(c.table, []).append((i, c))
     for tname, group in by_table.items():
         one = tables[tname].agg(*[F.count_if(_violation_predicate(c)).alias(f"v{i}") for i, c in group])
-        rows = [
-            F.struct(
-                F.lit(i).alias("check_order"),
-                F.lit(c.kind).alias("check_kind"),
-                F.lit(c.name).alias("check_name"),
-                F.lit(c.table).alias("table_name"),
-                F.lit(c.column).cast("string").alias("column_name"),
-                F.col(f"v{i}").cast("bigint").alias("n_violations"),
-            )
-            for i, c in group
-        ]
-        parts.append(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+        parts.append(_summary(one, group))
+    unique: dict[str, list[tuple[int, Check]]] = {}
     for i, c in enumerate(checks):
-        if c.kind in ROW_LEVEL:
+        if c.kind in UNIQUE:
+            unique.setdefault(c.table, []).append((i, c))
+    for tname, group in unique.items():
+        parts.append(_summary(_repeated_keys(tables[tname], group), group))
+    for i, c in enumerate(checks):
+        if c.kind in ROW_LEVEL | UNIQUE:
             continue
         v = violations(tables, c)
         n = v.agg(F.count(F.lit(1)).cast("bigint").alias("n_violations"))
@@ -251,10 +282,10 @@ def yearly_reconciles(yearly: DataFrame, joined: DataFrame, date_col: str = "rec
 
 def no_group_straddles_split(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     """C14: there are rows, and no duplicate feature vector has rows in both train and test."""
-    g = df.groupBy(*feature_cols).agg(F.countDistinct("split").alias("splits"), F.count(F.lit(1)).alias("n"))
-    one = g.agg(
-        F.count(F.lit(1)).alias("groups"),
+    found = repeats(df, list(feature_cols), [(F.min("split") != F.max("split")).alias("straddles")])
+    one = found.groups.agg(
+        (F.count(F.lit(1)) + F.lit(found.single)).alias("groups"),
         F.count_if(F.col("n") > 1).cast("bigint").alias("duplicate_groups"),
-        F.count_if(F.col("splits") > 1).cast("bigint").alias("straddling_groups"),
+        F.count_if("straddles").cast("bigint").alias("straddling_groups"),
     )
     return one.withColumn("passed", (F.col("groups") > 0) & (F.col("straddling_groups") == 0))
