@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lendlake.config import KPI_DEFINITIONS, SEVERITY_BANDS
 from lendlake.operators import marts
 from lendlake.plans.registry import portfolio, query
-from lendlake.plans.sqlbits import dbl, mean, median, rate
+from lendlake.plans.sqlbits import rate
 from lendlake.sources.fixture import FEATURE_COLUMNS
 
 # ---------------------------------------------------------------- staging
@@ -33,49 +33,51 @@ def q_loans_joined(spark, sf_dir):
 
 # ---------------------------------------------------------------- cohorts
 
-_COHORT_SQL = f"""
-    count(DISTINCT loan_id) AS funded_loan_count,
-    CAST(sum(CAST(is_loss AS INTEGER)) AS BIGINT) AS loss_loan_count,
-    {rate('is_loss')} AS observed_loss_rate,
-    {dbl('sum(coalesce(loss_amount, 0))')} AS total_recorded_loss_amount,
-    {dbl('sum(CASE WHEN loss_amount > 0 THEN loss_amount ELSE 0 END)')} AS total_positive_loss_amount,
-    {mean('coalesce(loss_amount, 0)')} AS average_loss_per_funded_loan,
-    {mean('CASE WHEN is_loss THEN loss_amount END')} AS average_loss_severity,
-    {median('CASE WHEN is_loss THEN loss_amount END')} AS median_loss_severity"""
+def _cohort_sql(key: str) -> str:
+    """CTE ``cohorts``: sums by day rolled up to ``key`` (a function of d), beside the distinct loans and the median of each key."""
+    return f"""
+days AS (
+    SELECT received_date AS d, count(*) AS loans, count(is_loss) AS known, count(*) FILTER (is_loss) AS lost,
+        sum(loss_amount) AS recorded, sum(loss_amount) FILTER (loss_amount > 0) AS above, max(loss_amount) AS largest,
+        sum(loss_amount) FILTER (is_loss) AS severity, count(loss_amount) FILTER (is_loss) AS severities
+    FROM loans_joined WHERE received_date IS NOT NULL GROUP BY d
+),
+sums AS (
+    SELECT {key} AS k, sum(loans) AS n, sum(known) AS known, sum(lost) AS lost, coalesce(sum(recorded), 0)::DOUBLE AS recorded,
+        coalesce(sum(above), 0)::DOUBLE AS above, max(largest) AS largest, sum(severity)::DOUBLE / sum(severities) AS severity
+    FROM days GROUP BY k
+),
+ids AS (
+    SELECT k, count(*) AS funded FROM (SELECT DISTINCT {key} AS k, loan_id FROM (SELECT received_date AS d, loan_id FROM loans_joined))
+    WHERE k IS NOT NULL AND loan_id IS NOT NULL GROUP BY k
+),
+middles AS (
+    SELECT {key} AS k, quantile_cont(loss_amount, 0.5) AS middle
+    FROM (SELECT received_date AS d, loss_amount FROM loans_joined WHERE is_loss) GROUP BY k
+),
+cohorts AS (
+    SELECT k, coalesce(funded, 0) AS funded_loan_count, lost::BIGINT AS loss_loan_count, lost / known AS observed_loss_rate,
+        recorded AS total_recorded_loss_amount, above AS total_positive_loss_amount, recorded / n AS average_loss_per_funded_loan,
+        severity AS average_loss_severity, middle::DOUBLE AS median_loss_severity, largest::DOUBLE AS maximum_loss_amount
+    FROM sums LEFT JOIN ids USING (k) LEFT JOIN middles USING (k)
+)"""
 
 
-@query(
-    "portfolio_yearly",
-    f"""
-SELECT CAST(extract(year FROM received_date) AS INTEGER) AS origination_year,{_COHORT_SQL},
-    {dbl('max(loss_amount)')} AS maximum_loss_amount
-FROM loans_joined
-WHERE received_date IS NOT NULL
-GROUP BY 1
-""",
-)
+@query("portfolio_yearly", _cohort_sql("year(d)::INT") + """
+SELECT k AS origination_year, * EXCLUDE (k) FROM cohorts
+""")
 def q_portfolio_yearly(spark, sf_dir):
     """Yearly cohort mart."""
     p = portfolio(spark, sf_dir)
     return marts.portfolio_yearly(p.loans, p.cfg)
 
 
-@query(
-    "portfolio_quarterly",
-    f"""
-q AS (
-    SELECT CAST(extract(year FROM received_date) AS INTEGER) AS origination_year,
-        CAST(extract(quarter FROM received_date) AS INTEGER) AS origination_quarter_number,
-        'Q' || CAST(extract(quarter FROM received_date) AS VARCHAR) AS origination_quarter_name,
-        CAST(date_trunc('quarter', received_date) AS DATE) AS origination_quarter_start,{_COHORT_SQL}
-    FROM loans_joined
-    WHERE received_date IS NOT NULL
-    GROUP BY 1, 2, 3, 4
-)
-SELECT CAST(origination_year AS VARCHAR) || '-' || origination_quarter_name AS origination_year_quarter_key, *
-FROM q
-""",
-)
+@query("portfolio_quarterly", _cohort_sql("date_trunc('quarter', d)::DATE") + """
+SELECT strftime(k, '%Y') || '-Q' || quarter(k) AS origination_year_quarter_key, year(k)::INT AS origination_year,
+    quarter(k)::INT AS origination_quarter_number, 'Q' || quarter(k) AS origination_quarter_name, k AS origination_quarter_start,
+    * EXCLUDE (k, maximum_loss_amount)
+FROM cohorts
+""")
 def q_portfolio_quarterly(spark, sf_dir):
     """A10: quarterly cohort mart."""
     p = portfolio(spark, sf_dir)
@@ -103,10 +105,10 @@ timed AS (
 record AS (
     SELECT
         count(DISTINCT loan_id) AS funded_loan_count,
-        arg_min(received_date, received_date) AS first_origination_date,
+        min(received_date) AS first_origination_date,
         any_value(newest) AS last_origination_date,
         CAST(any_value(newest) - min(received_date) AS BIGINT) AS origination_window_days,
-        len(list_distinct(list(received_date))) AS distinct_origination_days,
+        count(DISTINCT received_date) AS distinct_origination_days,
         count(*) FILTER (is_loss) AS loss_loan_count,
         count(*) FILTER (NOT is_loss) AS non_loss_loan_count,
         count(*) FILTER (is_loss) / nullif(count(is_loss), 0) AS portfolio_loss_rate,
@@ -261,8 +263,7 @@ SELECT [{", ".join(f"'{f}'" for f in _SEG_FEATURES)}][facet] AS feature_name,
     CASE WHEN hits > 0 THEN positive::DOUBLE / hits END AS average_positive_loss_severity,
     middle::DOUBLE AS median_positive_loss_severity, top::DOUBLE AS maximum_positive_loss_amount,
     all_rate AS portfolio_loss_rate, pp AS loss_rate_difference_pp, n >= 100 AS is_material_segment,
-    list_extract(['Insufficient sample', 'High risk', 'Low risk', 'Portfolio-like'],
-        1 + list_position([n < 100, pp >= 5, pp <= -5, true], true)::INT - 1) AS risk_band
+    CASE WHEN n < 100 THEN 'Insufficient sample' WHEN pp >= 5 THEN 'High risk' WHEN pp <= -5 THEN 'Low risk' ELSE 'Portfolio-like' END AS risk_band
 FROM judged
 """,
 )
@@ -302,7 +303,9 @@ def q_severity_bands(spark, sf_dir):
 
 # ---------------------------------------------------------------- typed-load diagnostics
 
-_CASTS = {"feat_002": "DOUBLE", "feat_001": "INTEGER", "feat_003": "VARCHAR", "feat_041": "INTEGER"}
+# Every feature column: numbers as staged, flags as flags, texts as themselves or as whole numbers (which fail).
+_CASTS = {c: "DOUBLE" for c in FEATURE_COLUMNS}
+_CASTS |= {"feat_001": "INTEGER", "feat_003": "VARCHAR", "feat_004": "BOOLEAN", "feat_015": "BOOLEAN", "feat_041": "INTEGER"}
 
 
 @query(

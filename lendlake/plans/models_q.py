@@ -26,7 +26,7 @@ from lendlake.operators import trees
 from lendlake.operators.pipeline import LinearModel
 from lendlake.operators.quantiles import exact_quantiles
 from lendlake.plans.features_q import SEV_CATS, SEVERITY_SQL, TRAIN_NUM, TRAINING_SQL
-from lendlake.plans.registry import portfolio, query, staging_folder
+from lendlake.plans.registry import MEMOS, portfolio, query, staging_folder
 from lendlake.session import stored
 from lendlake.sources import sinks
 from lendlake.sources.fixture import FIXTURE_CUTOFF
@@ -117,6 +117,7 @@ def _parts(df: DataFrame, validation: bool) -> tuple[DataFrame, DataFrame]:
 
 
 _DATA: dict = {}
+MEMOS.append(_DATA)
 
 
 def _memo(cls, spark, sf_dir, validation=False):
@@ -591,7 +592,7 @@ def q_export_predictions(spark, sf_dir):
     for name, (frame, order, single) in frames.items():
         keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in order]
         sinks.export_csv(stored(frame, "export"), f"{base}/{name}", keys, single_file=single)
-        checks.append(sinks.read_in_order(spark, f"{base}/{name}", order[0]).select(F.lit(name).alias("mart"), "rows", "in_order"))
+        checks.append(sinks.read_in_order(spark, f"{base}/{name}", order[:1]).select(F.lit(name).alias("mart"), "rows", "in_order"))
     return reduce(DataFrame.unionByName, checks)
 
 

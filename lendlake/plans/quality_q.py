@@ -8,7 +8,7 @@ from lendlake.operators import features as fx
 from lendlake.operators import marts, ranking
 from lendlake.operators import quality as dq
 from lendlake.operators.quality import Check
-from lendlake.plans.registry import mart_cte, portfolio, query, staging_folder
+from lendlake.plans.registry import MEMOS, mart_cte, portfolio, query, staging_folder
 from lendlake.sources.fixture import FEATURE_COLUMNS
 from lendlake.sources.sinks import write_table
 
@@ -29,6 +29,7 @@ FIXTURE_RELS = ["raw_loans", "raw_features", "stg_loans", "stg_loan_features", "
 
 
 _MARTS: dict[tuple[str, str, str], DataFrame] = {}
+MEMOS.append(_MARTS)
 
 
 class Tables(dict):

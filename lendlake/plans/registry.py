@@ -109,6 +109,13 @@ def store(df: DataFrame, path: str) -> DataFrame:
 
 
 _PORTFOLIOS: dict[tuple[str, str], Portfolio] = {}
+MEMOS: list[dict] = [_PORTFOLIOS]  # every memo of this folder; keys hold the application's id
+
+
+def clear() -> None:
+    """Forget all staged tables, marts and fitted models of this process; their files go with the checkpoint folder."""
+    for memo in MEMOS:
+        memo.clear()
 
 
 def portfolio(spark: SparkSession, sf_dir: str) -> Portfolio:

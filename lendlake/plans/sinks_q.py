@@ -23,13 +23,13 @@ EXPORTS = {
 }
 
 _SQL = ",\n".join(mart_cte(f"m_{m}", MART_CTES[m]) for m in EXPORTS) + "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{m}' AS mart, count(*) AS rows FROM m_{m}" for m in EXPORTS
+    f"SELECT '{m}' AS mart, count(*) AS rows, true AS in_order, true AS is_whole FROM m_{m}" for m in EXPORTS
 )
 
 
 @query("export_marts", _SQL)
 def q_export_marts(spark, sf_dir):
-    """K1-K3: export the eight stored marts as ordered CSV; rows read back per export."""
+    """K1-K3, O2, O3: export the eight stored marts as ordered CSV; rows, order and content read back from the files."""
     tables = Tables(spark, sf_dir)
     base = f"{staging_folder(spark, sf_dir)}/exports-{uuid.uuid4().hex[:8]}"
     written = {}
@@ -37,5 +37,5 @@ def q_export_marts(spark, sf_dir):
         stored = tables[name]
         keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in order] or stored.columns[:1]
         sinks.export_csv(stored, f"{base}/csv/{name}", keys, single_file=single)
-        written[name] = f"{base}/csv/{name}"
-    return sinks.export_listing(spark, written)
+        written[name] = stored, f"{base}/csv/{name}", order
+    return sinks.checked_exports(spark, written)

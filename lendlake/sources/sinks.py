@@ -13,6 +13,7 @@ single task has to write the whole table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,33 +51,50 @@ def read_csv(spark, path: str, schema: str | None = None) -> DataFrame:
     return (r.schema(schema) if schema else r.option("inferSchema", False)).csv(path)
 
 
-def read_in_order(spark, path: str, key: str) -> DataFrame:
-    """Rows of an export and whether its files, in name order, follow ``key`` ("-key": falling).
+def read_in_order(spark, path: str, order: Sequence[str], schema=None) -> DataFrame:
+    """One row: ``rows`` of an export, whether its files, in name order, follow ``order`` ("-key": falling), and a ``content`` hash.
 
     Each file reports its first and last line, so only one row per file meets
-    the others.  A key with NULLs is not supported.
+    the others.  Without a ``schema`` the keys are numbers.  NULL comes first, or last if falling.
     """
-    down, column = key.startswith("-"), key.lstrip("-")
-    rows = read_csv(spark, path).select(
-        F.col(column).cast("double").alias("k"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line")
+    rows = read_csv(spark, path, schema)
+    keys = []
+    for key in order:
+        c = F.col(key.lstrip("-")) if schema is not None else F.col(key.lstrip("-")).cast("double")
+        if key.startswith("-"):
+            keys += [c.isNull().alias(f"no {key}"), (-c).alias(key)]
+        else:
+            keys += [c.isNotNull().alias(f"has {key}"), c.alias(key)]
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    rows = rows.select(
+        F.struct(*(keys or [F.lit(0).alias("k")])).alias("k"), F.col("_metadata.file_name").alias("file"), place.alias("line"), content_hash(rows).alias("hash")
     )
-    k = -F.col("k") if down else F.col("k")
     in_file = Window.partitionBy("file").orderBy("line")
-    rows = rows.select("file", "line", k.alias("k"), F.lag(k).over(in_file).alias("above"))
+    rows = rows.withColumn("above", F.lag("k").over(in_file))
     files = rows.groupBy("file").agg(
         F.count(F.lit(1)).alias("rows"), F.min_by("k", "line").alias("first"), F.max_by("k", "line").alias("last"),
-        F.coalesce(F.bool_and(F.col("above") <= F.col("k")), F.lit(True)).alias("sorted"),
+        F.coalesce(F.bool_and(F.col("above") <= F.col("k")), F.lit(True)).alias("sorted"), F.sum("hash").alias("hash"),
     )
     between = Window.orderBy("file")
     files = files.withColumn("joins", F.coalesce(F.lag("last").over(between) <= F.col("first"), F.lit(True)))
-    return files.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.bool_and(F.col("sorted") & F.col("joins")).alias("in_order"))
+    return files.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.bool_and(F.col("sorted") & F.col("joins")), F.lit(True)).alias("in_order"),
+        F.sum("hash").alias("content"),
+    )
+
+
+def content_hash(df: DataFrame) -> Column:
+    """A row's hash, whose sum does not depend on the order of rows; an empty text counts as NULL, as in CSV."""
+    texts = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    values = [F.nullif(F.col(c), F.lit("")) if c in texts else F.col(c) for c in df.columns]
+    return F.xxhash64(*values, F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])).cast("decimal(38,0)")
 
 
-def export_listing(spark, exported: dict[str, str]) -> DataFrame:
-    """Rows per exported file set, read back from the written CSVs."""
-    parts = [read_csv(spark, p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("mart"), "rows")
-             for n, p in exported.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def checked_exports(spark, exported: dict[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """``mart, rows, in_order, is_whole`` of each export (table, path, order), from the files as they were written."""
+    parts = []
+    for name, (table, path, order) in exported.items():
+        whole = table.select(content_hash(table).alias("h")).agg(F.sum("h")).scalar()
+        found = read_in_order(spark, path, order, table.schema)
+        parts.append(found.select(F.lit(name).alias("mart"), "rows", "in_order", F.col("content").eqNullSafe(whole).alias("is_whole")))
+    return reduce(DataFrame.unionByName, parts)

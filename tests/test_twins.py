@@ -25,6 +25,11 @@ def test_twin(spark, con, name):
     assert not problems, problems
 
 
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
+def test_query_without_twin_runs(spark, name):
+    assert entry.queries()[name](spark, SF).count() > 0
+
+
 def test_every_query_has_doc_and_entry(spark):
     qs = entry.queries()
     assert set(SQL) <= set(qs)
