@@ -7,8 +7,8 @@ candidates: generators with high recall propose overlapping spans, gradient
 boosted trees score them by features of their format and context, and one
 calibrated threshold for each kind selects.  Spans of the rules always stay.
 
-The trees learn from the rules by distant supervision, on a bounded sample of
-documents: a candidate equal to a span of the rules is positive, and so are
+The trees learn from the rules by distant supervision, on every candidate of
+every document; equal feature vectors count together.  A candidate equal to a span of the rules is positive, and so are
 rewritten forms of it in its place; fragments, matches that failed their check
 and other candidates are negative; what touches a failed match without being
 it is not used.
@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from math import exp
+from math import ceil, exp, sqrt
 from zlib import crc32
 
 import pyarrow as pa
@@ -48,10 +49,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 Span = tuple[int, int, int]  # start, kind, end (code points, end exclusive)
 
-SAMPLE_TEXTS = 20_000  # different texts to learn from, at most
-SAMPLE_CANDIDATES = 20_000  # of their candidates, at most
 TREES, DEPTH = 10, 4
 PRECISION = 0.99  # of what a threshold lets through, estimated on held-out candidates
+MAX_BINS = 1024  # cut points a feature; Spark takes them from all vectors up to the square of their number
+SCORE_CELLS = 10_000  # a kind's held-out scores are counted in so many cells
 CONTEXT = 40
 
 
@@ -266,14 +267,22 @@ def trees_of(fitted: GBTClassificationModel) -> list[tuple[float, Tree]]:
     return [(float(w), read_tree(iter(t.toDebugString.strip().split("\n")[1:]))) for w, t in zip(fitted.treeWeights, fitted.trees)]
 
 
-def threshold(scored: list[tuple[float, int]], precision: float) -> float:
-    """The least score from which the isotonic estimate of precision is at least ``precision``; 2 if there is none."""
-    blocks: list[list[float]] = []  # least score, positives, candidates
+def threshold(scored: Iterable[tuple[float, int]], precision: float) -> float:
+    """``threshold_of`` single candidates with their labels."""
     by_score: dict[float, list[int]] = {}
     for s, y in scored:
         by_score.setdefault(s, []).append(y)
-    for s in sorted(by_score):
-        blocks.append([s, sum(by_score[s]), len(by_score[s])])
+    return threshold_of([(s, sum(ys), len(ys)) for s, ys in by_score.items()], precision)
+
+
+def threshold_of(counted: Iterable[tuple[float, int, int]], precision: float) -> float:
+    """The least score from which the isotonic estimate of precision is at least ``precision``; 2 if there is none.
+
+    ``counted``: different scores with their positives and candidates.
+    """
+    blocks: list[list[float]] = []  # least score, positives, candidates
+    for s, positives, candidates in sorted(counted):
+        blocks.append([s, positives, candidates])
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
             _, y, n = blocks.pop()
             blocks[-1][1] += y
@@ -281,46 +290,58 @@ def threshold(scored: list[tuple[float, int]], precision: float) -> float:
     return next((max(0.5, s) for s, y, n in blocks if y >= precision * n), 2.0)
 
 
-def learn(
-    docs: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS, sample_candidates: int = SAMPLE_CANDIDATES,
-    precision: float = PRECISION,
-) -> Model:
-    """Fit the trees on at most ``sample_texts`` different texts of ``docs``, chosen by hash.
+def learn(docs: DataFrame, text: str = "text", precision: float = PRECISION) -> Model:
+    """Fit the trees on all candidates of all texts of ``docs``.
 
-    A fifth of the candidates is held out to calibrate the thresholds.  A kind
-    without positive candidates gets no threshold that could be reached; with
-    candidates of one label only, or an empty table, the model adds nothing.
+    Features are counts and marks, so candidates are reduced to their different
+    feature vectors, each with its number of candidates as its weight, before
+    they move.  A fifth of the candidates, by their place and context, is held out
+    to calibrate the thresholds; their scores are counted in ``SCORE_CELLS`` cells
+    a kind, and only those counts go to the driver.  A kind without positive
+    candidates gets no threshold that could be reached; with candidates of one
+    label only, or an empty table, the model adds nothing.
     """
     source = docs.select(text_or_empty(text).alias("text"))
-    known = source.select(F.xxhash64("text").alias("h")).groupBy("h").agg(F.lit(1).alias("one")).orderBy("h").limit(sample_texts)
-    chosen = source.withColumn("h", F.xxhash64("text")).join(F.broadcast(known.select("h")), "h").dropDuplicates(["h"])
-    schema = pa.schema([("h", pa.int64()), ("kind", pa.int32()), ("label", pa.int32()), ("features", pa.list_(pa.float64()))])
+    schema = pa.schema([("held_out", pa.bool_()), ("kind", pa.int32()), ("label", pa.int32()), ("features", pa.list_(pa.float64())), ("n", pa.int64())])
 
-    def place(t: str, span: Span) -> int:
+    def held_out(t: str, span: Span) -> bool:
         a, kind, b = span
-        return crc32(f"{kind}:{a}:{t[max(0, a - CONTEXT) : b + CONTEXT]}".encode())
+        return crc32(f"{kind}:{a}:{t[max(0, a - CONTEXT) : b + CONTEXT]}".encode()) % 5 == 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", 1 << 20):
-            found = [(place(t, span), span[1], y, x) for t in batch.column("text").to_pylist() for span, y, x in examples(t)]
-            columns = zip(*found) if found else [[]] * 4
+            found = Counter((held_out(t, span), span[1], y, tuple(x)) for t in batch.column("text").to_pylist() for span, y, x in examples(t))
+            columns = zip(*[(*key, n) for key, n in found.items()]) if found else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(columns, schema)], schema=schema)
 
-    every = map_batches(chosen.select("text"), run, "h bigint, kind int, label int, features array<double>")
-    some = every.orderBy("h", "kind", "label", "features").limit(sample_candidates)
-    # Bounded above: one file, so the same rows come in one order and give the same trees.
-    rows = stored(some.coalesce(1).sortWithinPartitions("h", "kind", "label", "features"), "pii-candidates")
-    held_out = F.col("h") % 5 == 0
-    counts = {r["label"]: r["count"] for r in rows.filter(~held_out).groupBy("label").count().collect()}
-    if len(counts) < 2:
+    every = map_batches(source, run, "held_out boolean, kind int, label int, features array<double>, n bigint")
+    keys = ["held_out", "kind", "label", "features"]
+    # In order, so that the same rows give the same trees.
+    rows = stored(every.groupBy(*keys).agg(F.sum("n").alias("n")).orderBy(*keys), "pii-candidates")
+    fit = rows.filter(~F.col("held_out"))
+    sizes = {r["label"]: r["count"] for r in fit.groupBy("label").count().collect()}
+    if len(sizes) < 2:
         return Model()
-    train = rows.filter(~held_out).select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
-    booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+    train = fit.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"), F.col("n").cast("double").alias("n"))
+    bins = min(MAX_BINS, max(32, ceil(sqrt(sum(sizes.values())))))
+    booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, weightCol="n", maxBins=bins)
     model = Model(trees_of(booster.fit(train)))
-    tested: list[list[tuple[float, int]]] = [[] for _ in KINDS]
-    for r in rows.filter(held_out).select("kind", "label", "features").collect():
-        tested[r["kind"]].append((model.score(r["features"]), r["label"]))
-    model.thresholds = tuple(threshold(t, precision) for t in tested)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    tested = pa.schema([("kind", pa.int32()), ("score", pa.float64()), ("positives", pa.int64()), ("n", pa.int64())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            scores = pa.array([model.score(x) for x in batch.column("features").to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), scores, batch.column("positives"), batch.column("n")], schema=tested)
+
+    asked = rows.filter("held_out").select("kind", "features", (F.col("n") * F.col("label")).alias("positives"), "n")
+    scored = map_batches(asked, score, "kind int, score double, positives bigint, n bigint")
+    cells = scored.groupBy("kind", F.floor(F.col("score") * SCORE_CELLS).alias("cell"))
+    counted: list[list[tuple[float, int, int]]] = [[] for _ in KINDS]
+    for r in cells.agg(F.min("score").alias("score"), F.sum("positives").alias("y"), F.sum("n").alias("n")).collect():
+        counted[r["kind"]].append((r["score"], r["y"], r["n"]))
+    model.thresholds = tuple(threshold_of(c, precision) for c in counted)
     return model
 
 

@@ -250,6 +250,24 @@ def test_trees_add_what_the_rules_pass_over(spark):
     assert pii.redact(rows.limit(0), pii.learn(docs.limit(0))).collect() == []
 
 
+def test_every_candidate_is_learned_from(spark, monkeypatch):
+    docs = spark.createDataFrame(list(planted(5, 400)) + [(i, None) for i in range(9)], "doc_id bigint, text string")
+    tables = []
+    monkeypatch.setattr(pii, "stored", lambda df, label: tables.append(df.collect()) or spark.createDataFrame(tables[-1], df.schema))
+    model = pii.learn(docs)
+    every = [y for r in planted(5, 400) for _, y, _ in pii.examples(r[1])]
+    assert sum(r["n"] for r in tables[0]) == len(every)
+    assert sum(r["n"] for r in tables[0] if r["label"]) == sum(every)
+    assert model.trees and all(t < 1 for t in model.thresholds)
+
+
+def test_threshold_counts_equal_scores_together():
+    scored = [(0.2, 0), (0.6, 0), (0.6, 1), (0.7, 1), (0.9, 1), (0.9, 1)]
+    counted = [(0.9, 2, 2), (0.2, 0, 1), (0.6, 1, 2), (0.7, 1, 1)]
+    for p in (0.4, 0.5, 0.99):
+        assert pii.threshold(scored, p) == pii.threshold_of(counted, p)
+
+
 def test_trees_equal_the_fitted_classifier(spark):
     rows = [(x, y) for _, t in planted(4, 300) for _, y, x in pii.examples(t)]
     data = spark.createDataFrame([(x, float(y)) for x, y in rows], "x array<double>, label double").select(array_to_vector("x").alias("features"), "x", "label")
