@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from lendlake.config import PortfolioConfig
 from lendlake.operators import profiling as pf
@@ -50,3 +51,30 @@ def test_sources_views_read_back_and_sample(spark, tmp_path):
     assert staging.scan(spark, f"file://{tmp_path}/loans").count() == 3
     sinks.publish_view(stored, "loans_view_under_test")
     assert pf.sample_rows(spark.table("loans_view_under_test"), 2).count() == 2
+
+
+def test_staging_joins_only_ids_that_repeat_or_are_missing(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    from lendlake.plans import registry
+
+    def write(folder, orders):
+        lines = [(k, q, 10.0 * q, 0.08, 0.01, "R", "F") for k, q in ((1, 2.0), (1, 3.0), (2, 4.0))]
+        rows = [(k, c, "F", 5.0 + c, datetime(1999, 1, c + 1), "2-HIGH") for k, c in orders]
+        spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+        spark.createDataFrame(lines, "l_orderkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string").write.parquet(f"{folder}/lineitem.parquet")
+        spark.createDataFrame([(0, 250.0, "A"), (1, -3.0, "B")], "c_custkey bigint, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+        return str(folder)
+
+    joins, join = [], registry.join_loans
+    monkeypatch.setattr(registry, "join_loans", lambda *a: joins.append(1) or join(*a))
+    for name, orders, joined, rows in (("once", [(1, 0), (2, 1), (3, 2)], 0, 3), ("odd", [(1, 0), (1, 1), (2, 2), (None, 0), (None, 1)], 1, 7)):
+        folder = write(tmp_path / name, orders)
+        joins.clear()
+        p = registry.Portfolio(spark, folder)
+        assert len(joins) == joined
+        plain = registry.Portfolio(spark, folder, materialize=False)
+        every = p.loans.join(p.features.withColumnRenamed("loan_id", "id"), F.col("loan_id") == F.col("id"), "left").drop("id")
+        for stored, lazy in ((p.loans, plain.loans), (p.features, plain.features), (p.joined, every)):
+            assert stored.columns == lazy.columns and sorted(map(str, stored.collect())) == sorted(map(str, lazy.collect()))
+        assert p.joined.count() == rows
